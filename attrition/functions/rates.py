@@ -1,0 +1,14 @@
+"""Ratios on exact sums: one double division at the end, 0 for an empty group."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def ratio(part: Column, whole: Column) -> Column:
+    return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+
+
+def percent(part: Column, whole: Column) -> Column:
+    return ratio(part * 100, whole)

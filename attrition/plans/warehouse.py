@@ -42,23 +42,27 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, source: str, root: str):
         self.spark, self.source, self.root = spark, source, root
-        self._written: set[str] = set()
+        self._paths: dict[str, str] = {}
         self.seconds: dict[str, float] = {}
 
-    def path(self, layer: str) -> str:
-        return f"{self.root}/{layer}"
+    def adopt(self, other: Warehouse, layers: list[str]) -> None:
+        """Read these layers from where another warehouse stored them."""
+        for layer in layers:
+            other[layer]
+            self._paths[layer] = other._paths[layer]
 
     def __getitem__(self, layer: str) -> DataFrame:
-        if layer not in self._written:
+        if layer not in self._paths:
             self.build(layer)
-        return self.spark.read.parquet(self.path(layer))
+        return self.spark.read.parquet(self._paths[layer])
 
     def build(self, layer: str) -> None:
         frame = _BUILDERS[layer](self)
         start = time.monotonic()
-        landing.write_table(frame, self.path(layer))
+        path = f"{self.root}/{layer}"
+        landing.write_table(frame, path)
         self.seconds[layer] = time.monotonic() - start
-        self._written.add(layer)
+        self._paths[layer] = path
 
     def build_all(self) -> None:
         """Full reload: dimensions before the facts that look their keys up."""

@@ -12,7 +12,7 @@ from attrition.functions.cleansing import utf16_length
 
 
 def read_raw(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
-    """One header row plus data rows, every column text, or a parquet table as is."""
+    """One header row plus data rows, every column text and blank cells NULL; or a parquet table as is."""
     if kind == "csv":
         return spark.read.csv(path, header=True, inferSchema=False)
     return spark.read.format(kind).load(path)
