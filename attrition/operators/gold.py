@@ -81,30 +81,28 @@ def service_bits(bridge: DataFrame) -> DataFrame:
 ADDON_MASK = sum(1 << (key - 1) for key, _, category, _ in schemas.SERVICES if category == "Add-on")
 
 
-def build_model(
-    fact_churn: DataFrame, dim_customer: DataFrame, dim_contract: DataFrame, bridge: DataFrame
-) -> DataFrame:
-    """Facts with every attribute a report can group or filter by.
-
-    The relationships are walked once here; each measure is then a scan of the
-    columns it names plus one aggregation. ``ServiceMask`` carries the bridge, so a
-    service filter keeps a customer once, however many services match.
-    """
+def build_customer_profile(dim_customer: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Customers with the services they hold: ``ServiceMask`` is 0 and ``addon_count`` NULL for none."""
     addons = F.bit_count(F.col("ServiceMask").bitwiseAND(F.lit(ADDON_MASK)))
-    tenure, score = F.col("TenureMonths"), F.col("ChurnScore")
     return (
-        fact_churn.join(dim_customer, "CustomerKey")
-        .join(dim_contract, "ContractKey")
-        .join(service_bits(bridge), "CustomerKey", "left")
+        dim_customer.join(service_bits(bridge), "CustomerKey", "left")
         .withColumn("ServiceMask", F.coalesce("ServiceMask", F.lit(0).cast("bigint")))
         .withColumn("addon_count", F.when(addons > 0, addons))
-        .withColumn("TenureBucket", derive.tenure_bucket(tenure))
-        .withColumn("TenureBucketOrder", derive.band_order(F.col("TenureBucket"), schemas.TENURE_BUCKETS))
-        .withColumn("ScoreBand", derive.risk_band(score))
-        .withColumn("ScoreBandOrder", derive.band_order(F.col("ScoreBand"), schemas.RISK_BANDS))
     )
 
 
+def build_model(fact_churn: DataFrame, dim_contract: DataFrame, profile: DataFrame) -> DataFrame:
+    """Facts with every attribute a report can group or filter by.
+
+    The relationships are walked once here; each measure is then a scan of the
+    columns it names plus one aggregation. ``ServiceMask`` carries the bridge, so a
+    service filter keeps a customer once, however many services match. The stored
+    profile makes this a single shuffled join, which the adaptive skew handling can
+    split when one customer holds a large part of the facts.
+    """
+    return with_derived(fact_churn.join(dim_contract, "ContractKey").join(profile, "CustomerKey"))
+
+
 def with_derived(fact_churn: DataFrame) -> DataFrame:
     """The fact's own calculated columns."""
     return (

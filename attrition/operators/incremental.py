@@ -19,18 +19,25 @@ def latest_versions(changes: DataFrame, key: str, sequence: str) -> DataFrame:
     return best.select(key, "_best.*").select(*changes.columns)
 
 
-def upsert(current: DataFrame, changes: DataFrame, key: str = "customer_id", sequence: str = "version") -> DataFrame:
-    """``current`` with the changes applied. A change older than what is stored is ignored,
-    so a batch that arrives twice or late does no harm."""
-    latest = latest_versions(changes, key, sequence)
-    stored = current.select(key, F.col(sequence).alias("_stored"))
-    fresh = (
-        latest.join(stored, key, "left")
-        .filter(F.col("_stored").isNull() | (F.col(sequence) >= F.col("_stored")))
-        .select(*current.columns)
+def apply_latest(current: DataFrame, latest: DataFrame, key: str, sequence: str) -> DataFrame:
+    """``current`` with one change per key applied. A change older than what is stored is
+    ignored, so a batch that arrives twice or late does no harm.
+
+    Every join has the changes on the side that may be broadcast: while they are
+    small, ``current`` is scanned twice (once for its keys only) and never shuffled.
+    """
+    offered = latest.select(key, F.struct(*current.columns).alias("_new"))
+    take = F.col("_new").isNotNull() & F.coalesce(F.col(f"_new.{sequence}") >= F.col(sequence), F.lit(True))
+    updated = current.join(offered, key, "left").select(
+        *[F.when(take, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name) for name in current.columns]
     )
-    kept = current.join(fresh.select(key), key, "left_anti")
-    return kept.unionByName(fresh)
+    seen = current.select(key).join(latest.select(key), key, "left_semi")
+    arriving = latest.join(seen, key, "left_anti").select(*current.columns)
+    return updated.unionByName(arriving)
+
+
+def upsert(current: DataFrame, changes: DataFrame, key: str = "customer_id", sequence: str = "version") -> DataFrame:
+    return apply_latest(current, latest_versions(changes, key, sequence), key, sequence)
 
 
 def upsert_dim_customer(dim_customer: DataFrame, changed: DataFrame) -> DataFrame:

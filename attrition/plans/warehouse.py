@@ -25,12 +25,11 @@ _BUILDERS = {
     "keyed": lambda w: gold.key_subscribers(w["silver"], w["dim_customer"]),
     "fact_customer_service": lambda w: gold.build_fact_customer_service(w["keyed"], w["dim_service"]),
     "fact_churn": lambda w: gold.build_fact_churn(w["keyed"], w["dim_contract"]),
-    "model": lambda w: gold.build_model(
-        w["fact_churn"], w["dim_customer"], w["dim_contract"], w["fact_customer_service"]
-    ),
+    "profile": lambda w: gold.build_customer_profile(w["dim_customer"], w["fact_customer_service"]),
+    "model": lambda w: gold.build_model(w["fact_churn"], w["dim_contract"], w["profile"]),
 }
 LAYERS = list(_BUILDERS)
-FACTS = ["keyed", "fact_customer_service", "fact_churn", "model"]
+FACTS = ["keyed", "fact_customer_service", "fact_churn", "profile", "model"]
 
 
 class Warehouse:

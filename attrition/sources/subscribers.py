@@ -17,7 +17,7 @@ WITH held AS (
   FROM {lineitem} GROUP BY l_orderkey
 ),
 place AS (
-  SELECT /*+ BROADCAST(n), BROADCAST(r) */ c.c_custkey, n.n_name, r.r_name
+  SELECT c.c_custkey, n.n_name, r.r_name
   FROM {customer} c
   JOIN {nation} n ON c.c_nationkey = n.n_nationkey
   JOIN {region} r ON n.n_regionkey = r.r_regionkey

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from attrition.operators.incremental import latest_versions, upsert
+from attrition.operators.checks import require_clean
+from attrition.operators.incremental import apply_latest, latest_versions
 from attrition.plans.kpis import kpi_overview
 from attrition.sources.feed import build_feed
 
@@ -44,11 +45,15 @@ def read_kpis(spark: SparkSession, root: str) -> DataFrame:
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, sequence: str) -> None:
     spark = batch.sparkSession
+    # Stored first: a small batch is then known to be small and the snapshot is not shuffled for it.
+    changes = f"{root}/changes/batch={batch_id}"
+    latest_versions(batch, key, sequence).write.mode("overwrite").parquet(changes)
+    latest = spark.read.parquet(changes)
+    require_clean(latest.agg(F.count_if(F.col(key).isNull()).alias("missing_ids")), "missing_ids")
     version = current_version(spark, root, before=batch_id)
-    if version is None:
-        merged = latest_versions(batch, key, sequence)
-    else:
-        merged = upsert(spark.read.parquet(f"{root}/snapshot/batch={version}"), batch, key, sequence)
+    merged = latest
+    if version is not None:
+        merged = apply_latest(spark.read.parquet(f"{root}/snapshot/batch={version}"), latest, key, sequence)
     target = f"{root}/snapshot/batch={batch_id}"
     merged.write.mode("overwrite").parquet(target)
     kpi_overview(build_feed(spark.read.parquet(target))).write.mode("overwrite").parquet(f"{root}/kpi/batch={batch_id}")
