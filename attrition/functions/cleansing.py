@@ -1,51 +1,49 @@
-"""Scalar cleansing expressions; every one is a plain Catalyst expression."""
+"""Scalar cleansing as SQL text; every one is a plain Catalyst expression."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def utf16_length(text: Column) -> Column:
+def utf16_length(text: str) -> str:
     """Length in UTF-16 units, which is how declared text widths are counted."""
-    plain = F.length(text)
-    units = F.octet_length(F.encode(text, "UTF-16BE")) / 2
-    return F.when(F.octet_length(text) == plain, plain).otherwise(units.cast("int"))
+    return (
+        f"CASE WHEN octet_length({text}) = length({text}) THEN length({text}) "
+        f"ELSE CAST(octet_length(encode({text}, 'UTF-16BE')) / 2 AS INT) END"
+    )
 
 
-def is_text(text: Column, value: str) -> Column:
+def is_text(text: str, value: str) -> str:
     """Equality that ignores case and trailing blanks, but not leading ones."""
-    return F.lower(F.rtrim(text)) == value.lower()
+    return f"lower(rtrim({text})) = '{value.lower()}'"
 
 
-def yes_no(text: Column) -> Column:
-    return F.when(is_text(text, "Yes"), True).when(is_text(text, "No"), False)
+def yes_no(text: str) -> str:
+    return f"CASE WHEN {is_text(text, 'Yes')} THEN true WHEN {is_text(text, 'No')} THEN false END"
 
 
-def safe_int(text: Column, kind: str) -> Column:
+def safe_int(text: str, kind: str) -> str:
     """``tinyint`` is the unsigned 0-255 kind and lands in a smallint."""
     if kind != "tinyint":
-        return text.try_cast(kind)
-    value = text.try_cast("smallint")
-    return F.when(value.between(0, 255), value)
+        return f"try_cast({text} AS {kind})"
+    value = f"try_cast({text} AS smallint)"
+    return f"CASE WHEN {value} BETWEEN 0 AND 255 THEN {value} END"
 
 
-def safe_decimal(text: Column, precision: int, scale: int) -> Column:
+def safe_decimal(text: str, precision: int, scale: int) -> str:
     """Plain decimal notation only: exponents and grouping marks become NULL."""
-    plain = text.rlike(r"^\s*[+-]?\d*\.?\d*\s*$")
-    return F.when(plain, text.try_cast(f"decimal({precision},{scale})"))
+    plain = f"{text} RLIKE r'^\\s*[+-]?\\d*\\.?\\d*\\s*$'"
+    return f"CASE WHEN {plain} THEN try_cast({text} AS decimal({precision},{scale})) END"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+def blank_to_null(text: str) -> str:
+    return f"nullif(trim({text}), '')"
 
 
-def one_line(text: Column) -> Column:
+def one_line(text: str) -> str:
     """Line feed and tab become blanks, carriage returns vanish. Most text has none of
     them, and a byte search is much cheaper than rebuilding the string."""
-    needed = text.contains("\n") | text.contains("\t") | text.contains("\r")
-    return F.when(needed, F.translate(text, "\n\t\r", "  ")).otherwise(text)
+    needed = " OR ".join(f"contains({text}, '{mark}')" for mark in (r"\n", r"\t", r"\r"))
+    return rf"CASE WHEN {needed} THEN translate({text}, '\n\t\r', '  ') ELSE {text} END"
 
 
-def bit(flag: Column) -> Column:
-    return F.coalesce(flag.cast("int"), F.lit(0))
+def bit(flag: str) -> str:
+    return f"coalesce(CAST({flag} AS INT), 0)"

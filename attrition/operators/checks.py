@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions.cleansing import utf16_length
+from attrition.functions.sql import aggregate, named
 from attrition.operators.domains import literal_table
 
 # Key columns of each star table.
@@ -40,14 +41,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _count(df: DataFrame, **labels: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(
-        *[F.lit(value).alias(name) for name, value in labels.items()], F.col("_n").alias("row_count")
-    )
-
-
 def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    return _union([_count(df, layer=name) for name, df in tables.items()])
+    return _union(
+        [
+            aggregate(df, [], row_count="count(1)").selectExpr(f"'{name}' AS layer", "row_count")
+            for name, df in tables.items()
+        ]
+    )
 
 
 def wide_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -68,12 +68,9 @@ def churn_sanity(fact_churn: DataFrame) -> DataFrame:
 def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]] = PRIMARY_KEYS) -> DataFrame:
     found = []
     for name, columns in keys.items():
-        repeated = tables[name].groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        found.append(
-            repeated.agg(F.count(F.lit(1)).alias("_k"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("_x")).select(
-                F.lit(name).alias("table"), F.col("_k").alias("repeated_keys"), F.col("_x").alias("extra_rows")
-            )
-        )
+        repeated = aggregate(tables[name], columns, n="count(1)").filter("n > 1")
+        counted = aggregate(repeated, [], repeated_keys="count(1)", extra_rows="coalesce(sum(n - 1), 0)")
+        found.append(counted.selectExpr(f"'{name}' AS table", "repeated_keys", "extra_rows"))
     return _union(found)
 
 
@@ -81,18 +78,14 @@ def orphan_rows(tables: dict[str, DataFrame]) -> DataFrame:
     """Child rows without a parent. Children collapse to one row per key before the join."""
     found = []
     for child, column, parent in FOREIGN_KEYS:
-        keys = tables[child].groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        lost = keys.filter(F.col(column).isNotNull()).join(tables[parent].select(column), column, "left_anti")
-        found.append(
-            lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")).select(
-                F.lit(child).alias("table"), F.lit(column).alias("column"), F.lit(parent).alias("parent"), "orphans"
-            )
-        )
+        keys = aggregate(tables[child], [column], n="count(1)").filter(f"{column} IS NOT NULL")
+        lost = aggregate(keys.join(tables[parent], column, "left_anti"), [], orphans="coalesce(sum(n), 0)")
+        found.append(lost.selectExpr(f"'{child}' AS table", f"'{column}' AS column", f"'{parent}' AS parent", "orphans"))
     return _union(found)
 
 
-def _per_column(df: DataFrame, tests: dict[str, Column], label: str) -> DataFrame:
-    one = df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
+def _per_column(df: DataFrame, tests: dict[str, str], label: str) -> DataFrame:
+    one = df.agg(*named({name: f"count_if({test})" for name, test in tests.items()}))
     return one.unpivot([], [f"`{name}`" for name in tests], "column", label)
 
 
@@ -100,7 +93,7 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
     """NULLs in required columns, one pass per table."""
     return _union(
         [
-            _per_column(tables[name], {c: F.col(c).isNull() for c in columns}, "nulls").select(
+            _per_column(tables[name], {c: f"{c} IS NULL" for c in columns}, "nulls").select(
                 F.lit(name).alias("table"), "column", "nulls"
             )
             for name, columns in REQUIRED.items()
@@ -111,7 +104,7 @@ def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
 def contract_gaps(silver: DataFrame) -> DataFrame:
     """Rows whose contract columns are not all filled and so would have no dimension row."""
     columns = list(schemas.CONTRACT_ATTRIBUTES.values())
-    return _per_column(silver, {c: F.col(c).isNull() for c in columns}, "nulls")
+    return _per_column(silver, {c: f"{c} IS NULL" for c in columns}, "nulls")
 
 
 def reconcile(actual: DataFrame, expected: dict[str, int]) -> DataFrame:
@@ -132,7 +125,7 @@ def missing_ids(silver: DataFrame) -> DataFrame:
 
 def too_wide(silver: DataFrame) -> DataFrame:
     """Values longer than their declared width, per text column, in one pass."""
-    tests = {name: utf16_length(F.col(name)) > width for name, width in schemas.TEXT_WIDTHS.items()}
+    tests = {name: f"{utf16_length(name)} > {width}" for name, width in schemas.TEXT_WIDTHS.items()}
     return _per_column(silver, tests, "too_wide")
 
 

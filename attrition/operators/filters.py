@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions import derive
-from attrition.functions.rates import percent, ratio
+from attrition.functions.sql import aggregate, named, percent, quote, ratio
 from attrition.operators.domains import literal_table
 
 ALL = "All"
@@ -23,29 +23,28 @@ DOMAINS = {
 }
 
 
-def field_value(field: str) -> Column:
-    """The value of a filter field on a feed row."""
-    if field == "internet":
-        return derive.internet_tier(F.col("internet"))
-    if field == "tenure":
-        return derive.tenure_band(F.col("tenure"))
-    if field == "churn":
-        return F.when(F.col("churn") == "Yes", "Churned").otherwise("Active")
-    return F.col(field)
+# Filter field -> its value on a feed row.
+FIELD_VALUES = {
+    "gender": "gender",
+    "contract": "contract",
+    "internet": derive.internet_tier("internet"),
+    "pay": "pay",
+    "tenure": derive.tenure_band("tenure"),
+    "churn": "CASE WHEN churn = 'Yes' THEN 'Churned' ELSE 'Active' END",
+}
 
 
-def _test(field: str, value: str) -> Column:
+def _test(field: str, value: str) -> str:
     """Plain comparisons where the field allows it, so that the scan can use them."""
-    column = F.col(field)
     if field == "internet" and value in ("DSL", "Fiber optic"):
-        return column == value
+        return f"internet = {quote(value)}"
     if field == "churn" and value == "Churned":
-        return column == "Yes"
+        return "churn = 'Yes'"
     if field == "tenure":
         for label, low, high in schemas.TENURE_BANDS[1:-1]:
             if label == value:
-                return column.between(low, high)
-    return field_value(field) == value
+                return f"tenure BETWEEN {low} AND {high}"
+    return f"{FIELD_VALUES[field]} = {quote(value)}"
 
 
 def apply_filters(rows: DataFrame, spec: dict[str, str], without: str | None = None) -> DataFrame:
@@ -58,39 +57,30 @@ def apply_filters(rows: DataFrame, spec: dict[str, str], without: str | None = N
     return rows
 
 
-def _cells(rows: DataFrame, *aggregates: Column) -> DataFrame:
-    """One row per combination of the filter fields: a few hundred on clean data."""
-    return rows.groupBy(*[field_value(field).alias(field) for field in DOMAINS]).agg(*aggregates)
-
-
 def facet_counts(rows: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Count per field and value under all *other* filters, in one scan.
 
-    Rows collapse to field combinations first. A combination counts for a field when
-    no other field fails, that is, when its failures are at most its own.
+    Rows collapse to one row per combination of the fields first, a few hundred on
+    clean data. A combination counts for a field when no other field fails, that is,
+    when its failures are at most its own.
     """
-    cells = _cells(rows, F.count(F.lit(1)).alias("n"))
+    cells = aggregate(rows, FIELD_VALUES, n="count(1)")
     fails = {}
     for field in DOMAINS:
         wanted = spec.get(field, ALL)
-        fails[field] = F.lit(0) if wanted == ALL else F.when(F.col(field) == wanted, 0).otherwise(1)
-    total = sum(fails.values(), F.lit(0))
+        fails[field] = "0" if wanted == ALL else f"CASE WHEN {field} = {quote(wanted)} THEN 0 ELSE 1 END"
+    total = " + ".join(fails.values())
     pairs = []
     for field in DOMAINS:
-        others = total - fails[field]
-        pairs.append(F.when(others == 0, F.struct(F.lit(field).alias("field"), F.col(field).alias("value"))))
+        counts = f"({total}) - ({fails[field]}) = 0"
+        pairs.append(f"CASE WHEN {counts} THEN struct('{field}' AS field, {field} AS value) END")
         if field == "churn":
-            pairs.append(F.when(others == 0, F.struct(F.lit(field).alias("field"), F.lit(ALL).alias("value"))))
-    counted = (
-        cells.select(F.explode(F.array_compact(F.array(*pairs))).alias("p"), "n")
-        .groupBy("p.field", "p.value")
-        .agg(F.sum("n").alias("n"))
-    )
-    listed = [(field, value) for field, values in DOMAINS.items() for value in values] + [("churn", ALL)]
-    domain = literal_table(rows.sparkSession, ["field", "value"], listed)
-    return domain.join(counted, ["field", "value"], "left").select(
-        "field", "value", F.coalesce("n", F.lit(0)).alias("count")
-    )
+            pairs.append(f"CASE WHEN {counts} THEN struct('{field}' AS field, '{ALL}' AS value) END")
+    matched = cells.selectExpr("n", f"inline(array_compact(array({', '.join(pairs)})))")
+    counted = aggregate(matched, ["field", "value"], n="sum(n)")
+    listed_values = [(field, value) for field, values in DOMAINS.items() for value in values] + [("churn", ALL)]
+    domain = literal_table(rows.sparkSession, ["field", "value"], listed_values)
+    return domain.join(counted, ["field", "value"], "left").selectExpr("field", "value", "coalesce(n, 0) AS count")
 
 
 def segment_kpis(rows: DataFrame, segments: DataFrame) -> DataFrame:
@@ -101,33 +91,31 @@ def segment_kpis(rows: DataFrame, segments: DataFrame) -> DataFrame:
     that a segment with wildcards is an equality lookup, not a range of comparisons.
     """
     fields = list(DOMAINS)
-    cells = _cells(
-        rows,
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("churn") == "Yes").alias("churners"),
-        F.sum("monthly").alias("monthly_revenue"),
-        F.sum("cltv").alias("cltv"),
-    )
-    values = ["total", "churners", "monthly_revenue", "cltv"]
-    cube = cells.cube(*fields).agg(*[F.sum(name).alias(name) for name in values], F.grouping_id().alias("_open"))
-    patterns = cube.select(
+    sums = {
+        "total": "count(1)",
+        "churners": "count_if(churn = 'Yes')",
+        "monthly_revenue": "sum(monthly)",
+        "cltv": "sum(cltv)",
+    }
+    cells = aggregate(rows, FIELD_VALUES, **sums)
+    cube = cells.cube(*fields).agg(*named({n: f"sum({n})" for n in sums} | {"_open": "grouping_id()"}))
+    patterns = cube.selectExpr(
         *[
-            F.when(F.col("_open").bitwiseAND(F.lit(1 << (len(fields) - 1 - position))) != 0, F.lit(ALL))
-            .otherwise(F.col(field))
-            .alias(field)
+            f"CASE WHEN _open & {1 << (len(fields) - 1 - position)} <> 0 THEN '{ALL}' ELSE {field} END AS {field}"
             for position, field in enumerate(fields)
         ],
-        *values,
+        *sums,
+    )
+    found = segments.join(patterns, fields, "left").selectExpr(
+        "segment", *[f"coalesce({n}, 0) AS {n}" for n in sums]
     )
-    joined = segments.join(patterns, fields, "left")
-    zero = {name: F.coalesce(F.col(name), F.lit(0)) for name in values}
-    return joined.select(
+    return found.selectExpr(
         "segment",
-        zero["total"].alias("total"),
-        zero["churners"].alias("churners"),
-        percent(zero["churners"], zero["total"]).alias("churn_rate"),
-        zero["monthly_revenue"].alias("monthly_revenue"),
-        ratio(zero["cltv"], zero["total"]).alias("avg_cltv"),
+        "total",
+        "churners",
+        f"{percent('churners', 'total')} AS churn_rate",
+        "monthly_revenue",
+        f"{ratio('cltv', 'total')} AS avg_cltv",
     )
 
 
@@ -136,18 +124,17 @@ def threshold_sweep(model: DataFrame) -> DataFrame:
 
     The fact collapses to one row per score, and the running sum sees 101 rows.
     """
-    score = F.least(F.col("ChurnScore").cast("int"), F.lit(100))
-    active = model.filter((F.col("ChurnLabel") == "No") & (F.col("ChurnScore") >= 0))
-    counted = active.groupBy(score.alias("threshold")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("MonthlyCharges").alias("revenue")
+    active = model.filter("ChurnLabel = 'No' AND ChurnScore >= 0")
+    counted = aggregate(
+        active, {"threshold": "least(CAST(ChurnScore AS INT), 100)"}, n="count(1)", revenue="sum(MonthlyCharges)"
     )
-    scale = model.sparkSession.range(101).select(F.col("id").cast("int").alias("threshold"))
+    scale = model.sparkSession.range(101).selectExpr("CAST(id AS INT) AS threshold")
     filled = scale.join(F.broadcast(counted), "threshold", "left")
-    above = Window.orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return filled.select(
+    above = "(ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return filled.selectExpr(
         "threshold",
-        F.sum(F.coalesce("n", F.lit(0))).over(above).alias("high_risk_active"),
-        F.sum(F.coalesce("revenue", F.lit(0))).over(above).alias("exposure"),
+        f"sum(coalesce(n, 0)) OVER {above} AS high_risk_active",
+        f"sum(coalesce(revenue, 0)) OVER {above} AS exposure",
     )
 
 
@@ -164,28 +151,22 @@ def visible_rows(rows: DataFrame, entitlements: DataFrame, user: str, state: str
 
 def access_summary(model: DataFrame, entitlements: DataFrame) -> DataFrame:
     """What each user sees, from one aggregation per state: counts add up over states."""
-    states = model.groupBy(F.coalesce("State", F.lit("")).alias("state")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ChurnLabel") == "Yes").alias("gone")
+    states = aggregate(
+        model, {"state": "coalesce(State, '')"}, n="count(1)", gone="count_if(ChurnLabel = 'Yes')"
     )
-    everyone = entitlements.groupBy("user").agg(F.max(F.col("role") == "Executive").alias("_all"))
-    regional = (
-        entitlements.filter(F.col("role") == "Regional")
-        .select("user", "state")
-        .distinct()
-        .join(states, "state")
-        .groupBy("user")
-        .agg(F.sum("n").alias("n"), F.sum("gone").alias("gone"))
+    everyone = aggregate(entitlements, ["user"], _all="max(role = 'Executive')")
+    listed_states = entitlements.filter("role = 'Regional'").select("user", "state").distinct()
+    regional = aggregate(listed_states.join(states, "state"), ["user"], n="sum(n)", gone="sum(gone)")
+    whole = states.agg(F.expr("struct(sum(n) AS n, sum(gone) AS gone)")).scalar()
+    seen = everyone.join(regional, "user", "left").withColumn("_whole", F.when(F.col("_all"), whole))
+    counted = seen.selectExpr(
+        "user", "coalesce(_whole.n, n, 0) AS customers", "coalesce(_whole.gone, gone, 0) AS churned"
     )
-    whole = states.agg(F.sum("n").alias("n"), F.sum("gone").alias("gone"))
-    whole = whole.select(F.lit(True).alias("_all"), F.col("n").alias("_n"), F.col("gone").alias("_gone"))
-    seen = everyone.join(F.broadcast(whole), "_all", "left").join(regional, "user", "left")
-    n = F.coalesce("_n", "n", F.lit(0))
-    gone = F.coalesce("_gone", "gone", F.lit(0))
-    return seen.select("user", n.alias("customers"), gone.alias("churned"), ratio(gone, n).alias("churn_rate"))
+    return counted.selectExpr("*", f"{ratio('churned', 'customers')} AS churn_rate")
 
 
 def minimum_base(grouped: DataFrame, size: str, base: int) -> DataFrame:
-    return grouped.filter(F.col(size) >= base)
+    return grouped.filter(f"{size} >= {base}")
 
 
 # Semantic-model filter fields that are plain columns of the model.
@@ -229,7 +210,7 @@ def filter_model(model: DataFrame, spec: dict, without: tuple[str, ...] = ()) ->
             raise ValueError(f"unknown filter field {field!r}")
     if services:
         mask = service_mask(services.get("ServiceName"), services.get("ServiceCategory"))
-        model = model.filter(F.col("ServiceMask").bitwiseAND(F.lit(mask)) != 0)
+        model = model.filter(f"ServiceMask & {mask} <> 0")
     return model
 
 

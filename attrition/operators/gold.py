@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions import derive
+from attrition.functions.sql import quote
 from attrition.operators.keys import with_key
 
 
 def _renamed(silver: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return silver.select(*[F.col(source).alias(target) for target, source in mapping.items()])
+    return silver.selectExpr(*[f"{source} AS {target}" for target, source in mapping.items()])
 
 
 def build_dim_customer(silver: DataFrame) -> DataFrame:
@@ -41,9 +42,8 @@ def key_subscribers(silver: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 def unpivot_services(keyed: DataFrame, *keep: str) -> DataFrame:
     """One row per held service, in a single pass over the nine columns."""
-    tests = derive.subscribed({column: F.col(column) for _, _, _, column in schemas.SERVICES})
-    held = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in tests.items()]))
-    return keyed.select(*keep, F.explode(held).alias("ServiceName"))
+    held = ", ".join(f"CASE WHEN {hit} THEN {quote(name)} END" for name, hit in derive.subscribed().items())
+    return keyed.selectExpr(*keep, f"explode(array_compact(array({held}))) AS ServiceName")
 
 
 def build_fact_customer_service(keyed: DataFrame, dim_service: DataFrame) -> DataFrame:
@@ -55,15 +55,12 @@ def build_fact_customer_service(keyed: DataFrame, dim_service: DataFrame) -> Dat
 def fact_rows(keyed: DataFrame, dim_contract: DataFrame) -> DataFrame:
     """Fact content before its own key. The contract side is a stored table, so
     the optimizer broadcasts it on its measured size and shuffles otherwise."""
-    contract = dim_contract.select(
-        "ContractKey",
-        *[F.col(target).alias(source) for target, source in schemas.CONTRACT_ATTRIBUTES.items()],
+    contract = dim_contract.selectExpr(
+        "ContractKey", *[f"{target} AS {source}" for target, source in schemas.CONTRACT_ATTRIBUTES.items()]
     )
     joined = keyed.join(contract, list(schemas.CONTRACT_ATTRIBUTES.values()))
-    return joined.select(
-        "CustomerKey",
-        "ContractKey",
-        *[F.col(source).alias(target) for target, source in schemas.FACT_ATTRIBUTES.items()],
+    return joined.selectExpr(
+        "CustomerKey", "ContractKey", *[f"{source} AS {target}" for target, source in schemas.FACT_ATTRIBUTES.items()]
     )
 
 
@@ -73,9 +70,7 @@ def build_fact_churn(keyed: DataFrame, dim_contract: DataFrame) -> DataFrame:
 
 def service_bits(bridge: DataFrame) -> DataFrame:
     """Services per customer as one integer; bit ``ServiceKey - 1`` is set when held."""
-    return bridge.groupBy("CustomerKey").agg(
-        F.bit_or(F.expr("shiftleft(1L, ServiceKey - 1)")).alias("ServiceMask")
-    )
+    return bridge.groupBy("CustomerKey").agg(F.expr("bit_or(shiftleft(1L, ServiceKey - 1)) AS ServiceMask"))
 
 
 ADDON_MASK = sum(1 << (key - 1) for key, _, category, _ in schemas.SERVICES if category == "Add-on")
@@ -83,11 +78,11 @@ ADDON_MASK = sum(1 << (key - 1) for key, _, category, _ in schemas.SERVICES if c
 
 def build_customer_profile(dim_customer: DataFrame, bridge: DataFrame) -> DataFrame:
     """Customers with the services they hold: ``ServiceMask`` is 0 and ``addon_count`` NULL for none."""
-    addons = F.bit_count(F.col("ServiceMask").bitwiseAND(F.lit(ADDON_MASK)))
-    return (
-        dim_customer.join(service_bits(bridge), "CustomerKey", "left")
-        .withColumn("ServiceMask", F.coalesce("ServiceMask", F.lit(0).cast("bigint")))
-        .withColumn("addon_count", F.when(addons > 0, addons))
+    profile = dim_customer.join(service_bits(bridge), "CustomerKey", "left")
+    return profile.selectExpr(
+        *dim_customer.columns,
+        "coalesce(ServiceMask, 0L) AS ServiceMask",
+        f"nullif(bit_count(ServiceMask & {ADDON_MASK}), 0) AS addon_count",
     )
 
 
@@ -105,16 +100,20 @@ def build_model(fact_churn: DataFrame, dim_contract: DataFrame, profile: DataFra
 
 def with_derived(fact_churn: DataFrame) -> DataFrame:
     """The fact's own calculated columns."""
-    return (
-        fact_churn.withColumn("TenureBucket", derive.tenure_bucket(F.col("TenureMonths")))
-        .withColumn("TenureBucketOrder", derive.band_order(F.col("TenureBucket"), schemas.TENURE_BUCKETS))
-        .withColumn("ScoreBand", derive.risk_band(F.col("ChurnScore")))
-        .withColumn("ScoreBandOrder", derive.band_order(F.col("ScoreBand"), schemas.RISK_BANDS))
+    banded = fact_churn.selectExpr(
+        "*",
+        f"{derive.tenure_bucket('TenureMonths')} AS TenureBucket",
+        f"{derive.risk_band('ChurnScore')} AS ScoreBand",
+    )
+    return banded.selectExpr(
+        "*",
+        f"CAST({derive.band_order('TenureBucket', schemas.TENURE_BUCKETS)} AS INT) AS TenureBucketOrder",
+        f"CAST({derive.band_order('ScoreBand', schemas.RISK_BANDS)} AS INT) AS ScoreBandOrder",
     )
 
 
 def with_addon_count(dim_customer: DataFrame, bridge: DataFrame, dim_service: DataFrame) -> DataFrame:
     """Customers with the number of premium add-ons they hold; NULL when none."""
     addons = F.broadcast(dim_service.filter(F.col("ServiceCategory") == "Add-on").select("ServiceKey"))
-    counts = bridge.join(addons, "ServiceKey").groupBy("CustomerKey").agg(F.count(F.lit(1)).alias("addon_count"))
+    counts = bridge.join(addons, "ServiceKey").groupBy("CustomerKey").agg(F.expr("count(1) AS addon_count"))
     return dim_customer.join(counts, "CustomerKey", "left")

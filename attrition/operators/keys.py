@@ -7,19 +7,17 @@ unpartitioned window sees one row per bucket, at most ``16 ** digits``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COPIES_PER_ROW = 10_000
 
 
-def content_key(columns: list[str]) -> Column:
-    """Text that differs whenever any column differs; NULL is told from text by its lack of a length."""
-    parts = []
-    for name in columns:
-        text = F.col(f"`{name}`").cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.concat(*parts)
+def content_key(columns: list[str]) -> str:
+    """SQL text of a key that differs whenever any column differs; NULL is told from text by
+    its lack of a length."""
+    texts = [f"CAST(`{name}` AS STRING)" for name in columns]
+    return "concat(" + ", ".join(f"coalesce(concat(length({t}), ':', {t}), '-')" for t in texts) + ")"
 
 
 def with_key(
@@ -40,37 +38,38 @@ def with_key(
     repeats many times never lands in one task.
     """
     columns = columns or df.columns
+    kept = [f"`{c}`" for c in df.columns]
     if distinct:
-        rows = df.withColumn("_n", F.lit(1).cast("bigint")).withColumn("_run", F.lit(0).cast("bigint"))
+        rows = df.selectExpr("*", "1L AS _n", "0L AS _run")
     else:
-        counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
         rows = (
-            counted.withColumn(
-                "_run", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {COPIES_PER_ROW})"))
-            )
-            .withColumn("_n", F.expr(f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW})"))
-            .drop("_copies")
+            df.groupBy(*kept)
+            .agg(F.expr("count(1) AS _copies"))
+            .selectExpr("*", f"explode(sequence(0L, (_copies - 1) div {COPIES_PER_ROW})) AS _run")
+            .selectExpr("*", f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n")
         )
-    key = content_key(columns)
-    salted = F.when(F.col("_run") == 0, key).otherwise(F.concat(key, F.lit("#"), F.col("_run").cast("string")))
-    rows = rows.withColumn("_key", key).withColumn("_bucket", F.substring(F.md5(salted), 1, digits))
-
-    sizes = rows.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-
-    inside = Window.partitionBy("_bucket").orderBy("_key", "_run")
-    if distinct:
-        numbered = rows.withColumn("_last", F.row_number().over(inside).cast("bigint"))
-    else:
-        running = inside.rowsBetween(Window.unboundedPreceding, 0)
-        numbered = rows.withColumn("_last", F.sum("_n").over(running))
+    rows = rows.selectExpr("*", f"{content_key(columns)} AS _key").selectExpr(
+        *kept,
+        "_key",
+        "_run",
+        "_n",
+        f"substring(md5(CASE WHEN _run = 0 THEN _key ELSE concat(_key, '#', _run) END), 1, {digits}) AS _bucket",
+    )
+    sizes = rows.groupBy("_bucket").agg(F.expr("sum(_n) AS _size"))
+    offsets = sizes.selectExpr(
+        "_bucket",
+        """coalesce(sum(_size) OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS _offset""",
+    )
+    inside = "(PARTITION BY _bucket ORDER BY _key, _run ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    numbered = rows.selectExpr("*", f"{'count(1)' if distinct else 'sum(_n)'} OVER {inside} AS _last")
     # One row per bucket: the broadcast side is bounded by 16 ** digits.
     placed = numbered.join(F.broadcast(offsets), "_bucket")
-    base = F.lit(after) if isinstance(after, int) else after
-    last = base + F.col("_offset") + F.col("_last")
+    if isinstance(after, int):
+        after = F.lit(after)
+    placed = placed.withColumn("_last", after + F.expr("_offset + _last"))
     if distinct:
-        value = last.cast(key_type)
+        value = f"CAST(_last AS {key_type})"
     else:
-        value = F.explode(F.sequence((last - F.col("_n") + 1).cast(key_type), last.cast(key_type)))
-    return placed.select(value.alias(name), *[F.col(f"`{c}`") for c in df.columns])
+        value = f"explode(sequence(CAST(_last - _n + 1 AS {key_type}), CAST(_last AS {key_type})))"
+    return placed.selectExpr(f"{value} AS `{name}`", *kept)

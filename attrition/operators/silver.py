@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from attrition import schemas
 from attrition.functions import cleansing as clean
+from attrition.functions.sql import aggregate
 
 # Integer kinds of the typed layer.
 _INTEGERS = {
@@ -18,37 +18,37 @@ _INTEGERS = {
 }
 
 
-def typed(name: str) -> Column:
-    raw = F.col(name)
+def typed(name: str) -> str:
+    raw = f"`{name}`"
     if name in schemas.FLAG_COLUMNS:
-        value = clean.yes_no(raw)
-    elif name in _INTEGERS:
-        value = clean.safe_int(raw, _INTEGERS[name])
-    elif name in ("latitude", "longitude"):
-        value = clean.safe_decimal(raw, 9, 6)
-    elif name == "monthly_charges":
-        value = clean.safe_decimal(raw, 10, 2)
-    elif name == "total_charges":
-        value = F.when(F.trim(raw) != "", clean.safe_decimal(raw, 10, 2))
-    elif name == "churn_reason":
-        value = clean.blank_to_null(raw)
-    else:
-        value = F.trim(raw)
-    return value.alias(name)
+        return clean.yes_no(raw)
+    if name in _INTEGERS:
+        return clean.safe_int(raw, _INTEGERS[name])
+    if name in ("latitude", "longitude"):
+        return clean.safe_decimal(raw, 9, 6)
+    if name == "monthly_charges":
+        return clean.safe_decimal(raw, 10, 2)
+    if name == "total_charges":
+        return f"CASE WHEN trim({raw}) <> '' THEN {clean.safe_decimal(raw, 10, 2)} END"
+    if name == "churn_reason":
+        return clean.blank_to_null(raw)
+    return f"trim({raw})"
 
 
 def build_silver(bronze: DataFrame, stamp: bool = True) -> DataFrame:
-    columns = [typed(name) for name in schemas.BRONZE_COLUMNS]
+    columns = [f"{typed(name)} AS `{name}`" for name in schemas.BRONZE_COLUMNS]
     if stamp:
-        columns.append(F.current_timestamp().alias("dwh_create_date"))
-    return bronze.select(*columns)
+        columns.append("current_timestamp() AS dwh_create_date")
+    return bronze.selectExpr(*columns)
 
 
 def load_profile(silver: DataFrame) -> DataFrame:
-    return silver.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("churn_label") == "Yes").alias("churners"),
-        F.count_if(F.col("total_charges").isNull()).alias("new_customers"),
-        F.min("monthly_charges").alias("min_monthly"),
-        F.max("monthly_charges").alias("max_monthly"),
+    return aggregate(
+        silver,
+        [],
+        row_count="count(1)",
+        churners="count_if(churn_label = 'Yes')",
+        new_customers="count_if(total_charges IS NULL)",
+        min_monthly="min(monthly_charges)",
+        max_monthly="max(monthly_charges)",
     )

@@ -2,209 +2,177 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions import derive
-from attrition.functions.rates import percent, ratio
+from attrition.functions.sql import aggregate, percent, ratio
 from attrition.operators.domains import over_domain
-from attrition.plans.kpis import addon_total, churned, known, service_counts, service_structs, total_of
+from attrition.plans.kpis import ADDON_TOTAL, CHURNED, known, service_rates, total_of
 
 TENURES = [label for label, _, _ in schemas.TENURE_BANDS]
 SCORES = [label for label, _, _ in schemas.SCORE_BANDS]
+TENURE = derive.tenure_band("tenure")
+COUNTS = {"total": "count(1)", "churned": f"count_if({CHURNED})"}
+ZIP = "coalesce(zip, '0')"
+RATE = f"{percent('churned', 'total')} AS rate"
 
 
-def _n() -> Column:
-    return F.count(F.lit(1))
-
-
-def _tenure() -> Column:
-    return derive.tenure_band(F.col("tenure"))
-
-
-def _with_rate(df: DataFrame) -> DataFrame:
-    return df.withColumn("rate", percent(F.col("churned"), F.col("total")))
-
-
-def _with_share(df: DataFrame, value: str) -> DataFrame:
+def share(value: str) -> str:
     """Percent of the whole; the total runs over the handful of domain rows."""
-    return df.withColumn("share", percent(F.col(value), F.sum(value).over(Window.partitionBy())))
+    return f"{percent(value, f'sum({value}) OVER ()')} AS share"
 
 
 def by_contract(rows: DataFrame) -> DataFrame:
-    out = over_domain(
-        rows, "contract", F.col("contract"), schemas.CONTRACTS, total=_n(), churned=F.count_if(churned())
-    )
-    return _with_rate(out)
+    return over_domain(rows, "contract", "contract", schemas.CONTRACTS, **COUNTS).selectExpr("*", RATE)
 
 
 def by_tenure(rows: DataFrame) -> DataFrame:
-    return _with_rate(over_domain(rows, "band", _tenure(), TENURES, total=_n(), churned=F.count_if(churned())))
+    return over_domain(rows, "band", TENURE, TENURES, **COUNTS).selectExpr("*", RATE)
 
 
 def by_payment(rows: DataFrame) -> DataFrame:
-    out = over_domain(rows, "pay", F.col("pay"), schemas.PAYMENTS, total=_n(), churned=F.count_if(churned()))
-    return _with_rate(out).withColumn("label", derive.short_payment(F.col("pay")))
+    out = over_domain(rows, "pay", "pay", schemas.PAYMENTS, **COUNTS)
+    return out.selectExpr("*", RATE, f"{derive.short_payment('pay')} AS label")
 
 
 def monthly_by_tenure(rows: DataFrame) -> DataFrame:
-    out = over_domain(rows, "band", _tenure(), TENURES, total=_n(), monthly=total_of("monthly"))
-    return out.select("band", ratio(F.col("monthly"), F.col("total")).alias("avg_monthly"))
+    out = over_domain(rows, "band", TENURE, TENURES, total="count(1)", monthly=total_of("monthly"))
+    return out.selectExpr("band", f"{ratio('monthly', 'total')} AS avg_monthly")
 
 
 def churn_status(rows: DataFrame) -> DataFrame:
-    status = F.when(churned(), "Churned").otherwise("Active")
-    out = over_domain(rows, "status", status, ["Active", "Churned"], total=_n())
-    return _with_share(out, "total")
+    status = f"CASE WHEN {CHURNED} THEN 'Churned' ELSE 'Active' END"
+    out = over_domain(rows, "status", status, ["Active", "Churned"], total="count(1)")
+    return out.selectExpr("*", share("total"))
 
 
 def internet_mix(rows: DataFrame) -> DataFrame:
-    tier = derive.internet_tier(F.col("internet"))
-    return _with_share(over_domain(rows, "internet", tier, ["Fiber optic", "DSL", "No"], total=_n()), "total")
+    tier = derive.internet_tier("internet")
+    return over_domain(rows, "internet", tier, ["Fiber optic", "DSL", "No"], total="count(1)").selectExpr(
+        "*", share("total")
+    )
 
 
-def group_sum(rows: DataFrame, key: Column, value: Column, name: str = "key") -> DataFrame:
-    return rows.groupBy(key.alias(name)).agg(F.sum(value).alias("total"))
+def group_sum(rows: DataFrame, key: str, value: str, name: str = "key") -> DataFrame:
+    return aggregate(rows, {name: key}, total=f"sum({value})")
 
 
 def top_reasons(rows: DataFrame, k: int = 10) -> DataFrame:
-    counted = group_sum(rows.filter(churned()), known("reason", "Unknown"), F.lit(1), "reason")
+    counted = group_sum(rows.filter(CHURNED), known("reason", "Unknown"), "1", "reason")
     return counted.orderBy(F.desc("total"), "reason").limit(k)
 
 
 def score_histogram(rows: DataFrame) -> DataFrame:
-    return over_domain(rows, "band", derive.score_bar(F.col("score")), SCORES, total=_n())
-
-
-def _services(rows: DataFrame) -> DataFrame:
-    return service_counts(rows).select(F.inline(service_structs()))
+    return over_domain(rows, "band", derive.score_bar("score"), SCORES, total="count(1)")
 
 
 def service_adoption(rows: DataFrame) -> DataFrame:
-    return _services(rows).select("service", "total")
+    return service_rates(rows).select("service", "total")
 
 
 def service_churn(rows: DataFrame) -> DataFrame:
-    return _services(rows).select("service", "total", "churned", "rate")
+    return service_rates(rows).select("service", "total", "churned", "rate")
 
 
 def category_subscriptions(rows: DataFrame) -> DataFrame:
     """Subscriptions, so a customer counts once per service held."""
-    out = _services(rows).groupBy("category").agg(F.sum("total").alias("subscriptions"))
-    return _with_share(out, "subscriptions")
+    out = aggregate(service_rates(rows), ["category"], subscriptions="sum(total)")
+    return out.selectExpr("*", share("subscriptions"))
 
 
 def addons_by_contract(rows: DataFrame) -> DataFrame:
     out = over_domain(
-        rows, "contract", F.col("contract"), schemas.CONTRACTS, total=_n(), addons=F.sum(addon_total())
+        rows, "contract", "contract", schemas.CONTRACTS, total="count(1)", addons=f"sum({ADDON_TOTAL})"
     )
-    return out.select("contract", ratio(F.col("addons"), F.col("total")).alias("avg_addons"))
+    return out.selectExpr("contract", f"{ratio('addons', 'total')} AS avg_addons")
 
 
 def revenue_by_contract(rows: DataFrame) -> DataFrame:
-    return over_domain(rows, "contract", F.col("contract"), schemas.CONTRACTS, monthly_revenue=total_of("monthly"))
+    return over_domain(rows, "contract", "contract", schemas.CONTRACTS, monthly_revenue=total_of("monthly"))
 
 
 def cltv_by_tenure(rows: DataFrame) -> DataFrame:
-    out = over_domain(rows, "band", _tenure(), TENURES, total=_n(), cltv=total_of("cltv"))
-    return out.select("band", ratio(F.col("cltv"), F.col("total")).alias("avg_cltv"))
+    out = over_domain(rows, "band", TENURE, TENURES, total="count(1)", cltv=total_of("cltv"))
+    return out.selectExpr("band", f"{ratio('cltv', 'total')} AS avg_cltv")
 
 
 def trajectory(rows: DataFrame) -> DataFrame:
     """Average monthly charge per tenure band, active next to churned."""
-    gone = churned()
     out = over_domain(
         rows,
         "band",
-        _tenure(),
+        TENURE,
         TENURES,
-        active_n=F.count_if(~gone),
-        active_sum=F.sum(F.when(~gone, F.col("monthly"))),
-        churned_n=F.count_if(gone),
-        churned_sum=F.sum(F.when(gone, F.col("monthly"))),
+        active_n=f"count_if(NOT {CHURNED})",
+        active_sum=f"sum(CASE WHEN NOT {CHURNED} THEN monthly END)",
+        churned_n=f"count_if({CHURNED})",
+        churned_sum=f"sum(CASE WHEN {CHURNED} THEN monthly END)",
     )
-    return out.select(
+    return out.selectExpr(
         "band",
-        ratio(F.col("active_sum"), F.col("active_n")).alias("active_avg_monthly"),
-        ratio(F.col("churned_sum"), F.col("churned_n")).alias("churned_avg_monthly"),
+        f"{ratio('active_sum', 'active_n')} AS active_avg_monthly",
+        f"{ratio('churned_sum', 'churned_n')} AS churned_avg_monthly",
     )
 
 
 def payment_mix(rows: DataFrame) -> DataFrame:
-    out = _with_share(over_domain(rows, "pay", F.col("pay"), schemas.PAYMENTS, total=_n()), "total")
-    return out.withColumn("label", derive.short_payment(F.col("pay")))
-
-
-def _zip() -> Column:
-    return F.coalesce("zip", F.lit("0"))
+    out = over_domain(rows, "pay", "pay", schemas.PAYMENTS, total="count(1)")
+    return out.selectExpr("*", share("total"), f"{derive.short_payment('pay')} AS label")
 
 
 def zip_centroids(rows: DataFrame) -> DataFrame:
     """Mean position of each zip; a missing coordinate counts as 0."""
-    return (
-        rows.groupBy(_zip().alias("zip"))
-        .agg(
-            F.min(F.nullif(F.col("city"), F.lit(""))).alias("city"),
-            F.min(F.nullif(F.col("state"), F.lit(""))).alias("state"),
-            total_of("lat").alias("lat"),
-            total_of("lng").alias("lng"),
-            _n().alias("n"),
-            F.count_if(churned()).alias("churned"),
-            total_of("cltv").alias("cltv"),
-            total_of("monthly").alias("revenue"),
-        )
-        .select(
-            "zip",
-            F.coalesce("city", F.lit("?")).alias("city"),
-            F.coalesce("state", F.lit("CA")).alias("state"),
-            ratio(F.col("lat"), F.col("n")).alias("lat"),
-            ratio(F.col("lng"), F.col("n")).alias("lng"),
-            "n",
-            "churned",
-            percent(F.col("churned"), F.col("n")).alias("rate"),
-            ratio(F.col("cltv"), F.col("n")).alias("avg_cltv"),
-            "revenue",
-        )
+    sums = aggregate(
+        rows,
+        {"zip": ZIP},
+        city="coalesce(min(nullif(city, '')), '?')",
+        state="coalesce(min(nullif(state, '')), 'CA')",
+        lat=total_of("lat"),
+        lng=total_of("lng"),
+        n="count(1)",
+        churned=f"count_if({CHURNED})",
+        cltv=total_of("cltv"),
+        revenue=total_of("monthly"),
+    )
+    return sums.selectExpr(
+        "zip",
+        "city",
+        "state",
+        f"{ratio('lat', 'n')} AS lat",
+        f"{ratio('lng', 'n')} AS lng",
+        "n",
+        "churned",
+        f"{percent('churned', 'n')} AS rate",
+        f"{ratio('cltv', 'n')} AS avg_cltv",
+        "revenue",
     )
 
 
 def with_radius(zips: DataFrame, sizes: DataFrame) -> DataFrame:
     """Bubble radius against the largest ``n`` of ``sizes``, a scalar subquery rather than a join."""
     largest = sizes.agg(F.max("n")).scalar()
-    return zips.withColumn("radius", 6 + 16 * F.sqrt(F.col("n").cast("double") / largest.cast("double")))
+    scaled = zips.withColumn("_largest", largest)
+    return scaled.selectExpr(*zips.columns, "6 + 16 * sqrt(CAST(n AS DOUBLE) / CAST(_largest AS DOUBLE)) AS radius")
 
 
 def zip_map(rows: DataFrame) -> DataFrame:
-    sizes = rows.groupBy(_zip().alias("zip")).agg(_n().alias("n"))
-    zips = with_radius(zip_centroids(rows), sizes)
-    return zips.withColumn("level", derive.dot_level(F.col("rate")))
+    sizes = aggregate(rows, {"zip": ZIP}, n="count(1)")
+    return with_radius(zip_centroids(rows), sizes).selectExpr("*", f"{derive.dot_level('rate')} AS level")
 
 
 def map_bounds(rows: DataFrame) -> DataFrame:
     """Corners around the zip centroids; all NULL without rows."""
-    return zip_centroids(rows).agg(
-        F.min("lat").alias("south"), F.min("lng").alias("west"), F.max("lat").alias("north"), F.max("lng").alias("east")
-    )
+    return aggregate(zip_centroids(rows), [], south="min(lat)", west="min(lng)", north="max(lat)", east="max(lng)")
 
 
 def top_cities(rows: DataFrame, k: int = 10) -> DataFrame:
-    cities = rows.groupBy(known("city", "Unknown").alias("city")).agg(
-        _n().alias("total"), F.count_if(churned()).alias("churned")
-    )
-    top = cities.orderBy(F.desc("total"), "city").limit(k)
-    return top.select("city", "total", percent(F.col("churned"), F.col("total")).alias("rate"))
+    cities = aggregate(rows, {"city": known("city", "Unknown")}, **COUNTS)
+    return cities.orderBy(F.desc("total"), "city").limit(k).selectExpr("city", "total", RATE)
 
 
 def top_zips(rows: DataFrame, k: int = 10) -> DataFrame:
-    zips = rows.groupBy(_zip().alias("zip")).agg(
-        F.coalesce(F.min(F.nullif(F.col("city"), F.lit(""))), F.lit("?")).alias("city"),
-        _n().alias("total"),
-        F.count_if(churned()).alias("churned"),
-    )
+    zips = aggregate(rows, {"zip": ZIP}, city="coalesce(min(nullif(city, '')), '?')", **COUNTS)
     top = zips.orderBy(F.desc("total"), "zip").limit(k)
-    return top.select(
-        F.concat_ws(" · ", "zip", "city").alias("label"),
-        "total",
-        percent(F.col("churned"), F.col("total")).alias("rate"),
-    )
+    return top.selectExpr("concat_ws(' · ', zip, city) AS label", "total", RATE)

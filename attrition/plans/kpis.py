@@ -7,52 +7,45 @@ single-row combine; top-1 values come from ``min`` over ordered structs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from attrition import schemas
-from attrition.functions.derive import feed_subscribed
-from attrition.functions.rates import percent, ratio
+from attrition.functions.derive import FEED_SUBSCRIBED
+from attrition.functions.sql import aggregate, percent, quote, ratio
 
 ADDONS = [name for _, name, category, _ in schemas.SERVICES if category == "Add-on"]
+CHURNED = "coalesce(churn = 'Yes', false)"
+ADDON_TOTAL = "(" + " + ".join(f"CAST({FEED_SUBSCRIBED[name]} AS INT)" for name in ADDONS) + ")"
 
 
-def churned() -> Column:
-    return F.coalesce(F.col("churn") == "Yes", F.lit(False))
-
-
-def known(name: str, missing: str) -> Column:
+def known(name: str, missing: str) -> str:
     """Text, or ``missing`` where it is NULL or empty."""
-    return F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(missing))
-
+    return f"coalesce(nullif({name}, ''), {quote(missing)})"
 
-def total_of(name: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0))
 
-
-def addon_total() -> Column:
-    tests = feed_subscribed()
-    return sum((tests[name].cast("int") for name in ADDONS[1:]), tests[ADDONS[0]].cast("int"))
+def total_of(name: str) -> str:
+    return f"coalesce(sum({name}), 0)"
 
 
 def overview_by(rows: DataFrame, *keys: str) -> DataFrame:
     """The overview set for each group, or one row without keys."""
-    sums = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(churned()).alias("churners"),
-        total_of("monthly").alias("monthly_revenue"),
-        total_of("cltv").alias("_cltv"),
-        total_of("total").alias("lifetime_revenue"),
+    sums = aggregate(
+        rows,
+        list(keys),
+        total="count(1)",
+        churners=f"count_if({CHURNED})",
+        monthly_revenue=total_of("monthly"),
+        _cltv=total_of("cltv"),
+        lifetime_revenue=total_of("total"),
     )
-    n = F.col("total")
-    return sums.select(
+    return sums.selectExpr(
         *keys,
         "total",
         "churners",
-        percent(F.col("churners"), n).alias("churn_rate"),
+        f"{percent('churners', 'total')} AS churn_rate",
         "monthly_revenue",
-        ratio(F.col("monthly_revenue"), n).alias("avg_monthly"),
-        ratio(F.col("_cltv"), n).alias("avg_cltv"),
+        f"{ratio('monthly_revenue', 'total')} AS avg_monthly",
+        f"{ratio('_cltv', 'total')} AS avg_cltv",
         "lifetime_revenue",
     )
 
@@ -62,187 +55,169 @@ def kpi_overview(rows: DataFrame) -> DataFrame:
 
 
 def kpi_churn(rows: DataFrame, threshold: int = 70) -> DataFrame:
-    by_reason = (
-        rows.withColumn("_reason", F.when(churned(), known("reason", "Unknown")))
-        .groupBy("_reason")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(churned()).alias("gone"),
-            total_of("score").alias("score"),
-            F.count_if(~churned() & (F.col("score") >= threshold)).alias("risky"),
-            F.sum(F.when(churned(), F.col("monthly"))).alias("at_risk"),
-        )
+    by_reason = aggregate(
+        rows,
+        {"reason": f"CASE WHEN {CHURNED} THEN {known('reason', 'Unknown')} END"},
+        n="count(1)",
+        gone=f"count_if({CHURNED})",
+        score="sum(score)",
+        risky=f"count_if(NOT {CHURNED} AND score >= {threshold})",
+        at_risk=f"sum(CASE WHEN {CHURNED} THEN monthly END)",
     )
-    top = F.min(F.when(F.col("_reason").isNotNull(), F.struct((-F.col("gone")).alias("rank"), "_reason", "gone")))
-    sums = by_reason.agg(
-        total_of("n").alias("n"),
-        total_of("gone").alias("gone"),
-        total_of("score").alias("score"),
-        total_of("risky").alias("risky"),
-        total_of("at_risk").alias("at_risk"),
-        top.alias("top"),
+    sums = aggregate(
+        by_reason,
+        [],
+        total=total_of("n"),
+        lost=total_of("gone"),
+        scores=total_of("score"),
+        high_risk_active=total_of("risky"),
+        revenue_at_risk=total_of("at_risk"),
+        top="min(CASE WHEN reason IS NOT NULL THEN struct(-gone AS rank, reason, gone) END)",
     )
-    return sums.select(
-        F.col("gone").alias("churned"),
-        (F.col("n") - F.col("gone")).alias("active"),
-        percent(F.col("gone"), F.col("n")).alias("churn_rate"),
-        ratio(F.col("score"), F.col("n")).alias("avg_score"),
-        F.col("risky").alias("high_risk_active"),
-        F.col("at_risk").alias("revenue_at_risk"),
-        F.col("top._reason").alias("top_reason"),
-        F.col("top.gone").alias("top_reason_count"),
+    return sums.selectExpr(
+        "lost AS churned",
+        "total - lost AS active",
+        f"{percent('lost', 'total')} AS churn_rate",
+        f"{ratio('scores', 'total')} AS avg_score",
+        "high_risk_active",
+        "revenue_at_risk",
+        "top.reason AS top_reason",
+        "top.gone AS top_reason_count",
     )
 
 
-def service_counts(rows: DataFrame) -> DataFrame:
-    """Holders and churned holders of each service as one row: eighteen conditional counts, no unpivot."""
-    out = [F.count(F.lit(1)).alias("n")]
-    for position, hit in enumerate(feed_subscribed().values()):
-        out += [F.count_if(hit).alias(f"n{position}"), F.count_if(hit & churned()).alias(f"gone{position}")]
-    return rows.agg(*out)
-
-
-def service_structs() -> Column:
-    """The one row of ``service_counts`` as an array, in catalogue order."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(position).alias("pos"),
-                F.lit(name).alias("service"),
-                F.lit(category).alias("category"),
-                F.col(f"n{position}").alias("total"),
-                F.col(f"gone{position}").alias("churned"),
-                percent(F.col(f"gone{position}"), F.col(f"n{position}")).alias("rate"),
-            )
-            for position, (_, name, category, _) in enumerate(schemas.SERVICES)
-        ]
+# Holders and churned holders of each service: eighteen conditional counts, no unpivot.
+SERVICE_COUNTS = {
+    name: text
+    for position, hit in enumerate(FEED_SUBSCRIBED.values())
+    for name, text in (
+        (f"n{position}", f"count_if({hit})"),
+        (f"gone{position}", f"count_if({hit} AND {CHURNED})"),
     )
+}
+
+# Those counts as an array of structs, in catalogue order.
+SERVICE_STRUCTS = "array({})".format(
+    ", ".join(
+        f"struct({position} AS pos, {quote(name)} AS service, {quote(category)} AS category, n{position} AS total, "
+        f"gone{position} AS churned, {percent(f'gone{position}', f'n{position}')} AS rate)"
+        for position, (_, name, category, _) in enumerate(schemas.SERVICES)
+    )
+)
 
 
-def worst_service(services: Column) -> Column:
+def worst_service(services: str) -> str:
     """Highest churn rate; the first in the catalogue on a tie."""
-    return F.array_min(
-        F.transform(
-            services,
-            lambda s: F.struct((-s["rate"]).alias("rank"), s["pos"].alias("pos"), s["service"], s["rate"], s["total"]),
-        )
-    )
+    return f"array_min(transform({services}, s -> struct(-s.rate AS rank, s.pos AS tie, s.service, s.rate, s.total)))"
 
 
-def best_service(services: Column) -> Column:
+def best_service(services: str) -> str:
     """Lowest churn rate; the last in the catalogue on a tie."""
-    return F.array_min(
-        F.transform(
-            services,
-            lambda s: F.struct(s["rate"].alias("rank"), (-s["pos"]).alias("pos"), s["service"], s["rate"], s["total"]),
-        )
-    )
+    return f"array_min(transform({services}, s -> struct(s.rate AS rank, -s.pos AS tie, s.service, s.rate, s.total)))"
+
+
+def service_rates(rows: DataFrame) -> DataFrame:
+    """One row per service: holders, churned holders, rate."""
+    return aggregate(rows, [], **SERVICE_COUNTS).selectExpr(f"inline({SERVICE_STRUCTS})")
 
 
 def kpi_services(rows: DataFrame) -> DataFrame:
-    tests = feed_subscribed()
-    counts = [F.count(F.lit(1)).alias("n"), F.sum(addon_total()).alias("addons")]
-    for position, hit in enumerate(tests.values()):
-        counts += [F.count_if(hit).alias(f"n{position}"), F.count_if(hit & churned()).alias(f"gone{position}")]
-    counts += [
-        F.count_if(tests["Streaming TV"] | tests["Streaming Movies"]).alias("stream"),
-        F.count_if(addon_total() > 0).alias("suite"),
-    ]
-    one = rows.agg(*counts).withColumn("services", service_structs())
-    one = one.withColumn("best", best_service(F.col("services"))).withColumn("worst", worst_service(F.col("services")))
-    n = F.col("n")
-    return one.select(
-        F.aggregate("services", F.lit(0).cast("bigint"), lambda acc, s: acc + s["total"]).alias("subscriptions"),
-        ratio(F.coalesce("addons", F.lit(0)), n).alias("avg_addons"),
-        F.col("best.service").alias("best_service"),
-        F.col("best.rate").alias("best_rate"),
-        F.col("best.total").alias("best_n"),
-        F.col("worst.service").alias("worst_service"),
-        F.col("worst.rate").alias("worst_rate"),
-        F.col("worst.total").alias("worst_n"),
-        percent(F.col("stream"), n).alias("streaming_pct"),
-        F.col("stream").alias("streaming_n"),
-        percent(F.col("suite"), n).alias("suite_pct"),
-        F.col("suite").alias("suite_n"),
+    one = aggregate(
+        rows,
+        [],
+        n="count(1)",
+        addons=total_of(ADDON_TOTAL),
+        stream=f"count_if({FEED_SUBSCRIBED['Streaming TV']} OR {FEED_SUBSCRIBED['Streaming Movies']})",
+        suite=f"count_if({ADDON_TOTAL} > 0)",
+        **SERVICE_COUNTS,
+    ).selectExpr("n", "addons", "stream", "suite", f"{SERVICE_STRUCTS} AS services")
+    ranked = one.selectExpr("*", f"{best_service('services')} AS best", f"{worst_service('services')} AS worst")
+    return ranked.selectExpr(
+        "aggregate(services, 0L, (acc, s) -> acc + s.total) AS subscriptions",
+        f"{ratio('addons', 'n')} AS avg_addons",
+        "best.service AS best_service",
+        "best.rate AS best_rate",
+        "best.total AS best_n",
+        "worst.service AS worst_service",
+        "worst.rate AS worst_rate",
+        "worst.total AS worst_n",
+        f"{percent('stream', 'n')} AS streaming_pct",
+        "stream AS streaming_n",
+        f"{percent('suite', 'n')} AS suite_pct",
+        "suite AS suite_n",
     )
 
 
 def kpi_revenue(rows: DataFrame) -> DataFrame:
-    sums = [
-        F.count(F.lit(1)).alias("n"),
-        total_of("monthly").alias("monthly_revenue"),
-        total_of("total").alias("lifetime_revenue"),
-        total_of("cltv").alias("cltv"),
-    ]
-    ranked = []
+    sums, ranked = {}, []
     for position, name in enumerate(schemas.CONTRACTS):
-        here = F.col("contract") == name
-        revenue, count = F.sum(F.when(here, F.col("monthly"))), F.count_if(here)
-        sums += [F.coalesce(revenue, F.lit(0)).alias(f"rev{position}"), count.alias(f"cnt{position}")]
+        here = f"contract = {quote(name)}"
+        sums[f"rev{position}"] = f"coalesce(sum(CASE WHEN {here} THEN monthly END), 0)"
+        sums[f"cnt{position}"] = f"count_if({here})"
         ranked.append(
-            F.struct(
-                (-F.col(f"rev{position}")).alias("rank"),
-                F.lit(position).alias("pos"),
-                F.lit(name).alias("contract"),
-                F.col(f"rev{position}").alias("revenue"),
-                F.col(f"cnt{position}").alias("n"),
-            )
+            f"struct(-rev{position} AS rank, {position} AS pos, {quote(name)} AS contract, "
+            f"rev{position} AS revenue, cnt{position} AS n)"
         )
-    one = rows.agg(*sums).withColumn("top", F.array_min(F.array(*ranked)))
-    avg_monthly, avg_cltv = ratio(F.col("monthly_revenue"), F.col("n")), ratio(F.col("cltv"), F.col("n"))
-    return one.select(
+    one = aggregate(
+        rows,
+        [],
+        n="count(1)",
+        monthly_revenue=total_of("monthly"),
+        lifetime_revenue=total_of("total"),
+        cltv=total_of("cltv"),
+        **sums,
+    ).selectExpr(
+        "monthly_revenue",
+        "lifetime_revenue",
+        f"{ratio('monthly_revenue', 'n')} AS avg_monthly",
+        f"{ratio('cltv', 'n')} AS avg_cltv",
+        f"array_min(array({', '.join(ranked)})) AS top",
+    )
+    return one.selectExpr(
         "monthly_revenue",
         "lifetime_revenue",
-        avg_monthly.alias("avg_monthly"),
-        avg_cltv.alias("avg_cltv"),
-        F.col("top.contract").alias("top_contract"),
-        F.col("top.revenue").alias("top_contract_revenue"),
-        F.col("top.n").alias("top_contract_n"),
-        F.when(avg_monthly > 0, avg_cltv / avg_monthly).otherwise(0.0).alias("cltv_multiple"),
+        "avg_monthly",
+        "avg_cltv",
+        "top.contract AS top_contract",
+        "top.revenue AS top_contract_revenue",
+        "top.n AS top_contract_n",
+        "CASE WHEN avg_monthly > 0 THEN avg_cltv / avg_monthly ELSE 0D END AS cltv_multiple",
     )
 
 
 def kpi_geography(rows: DataFrame, base: int = 10) -> DataFrame:
     """Three groupings from one scan: places are counted together first, then apart."""
-    places = rows.groupBy("state", "city", "zip").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(churned()).alias("gone")
-    )
-
-    def part(kind: str, key: Column, named: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), key.alias("key"), named.alias("named"))
-
-    parts = F.array(
-        part("state", known("state", ""), known("state", "") != ""),
-        part("city", known("city", "Unknown"), known("city", "") != ""),
-        part("zip", F.coalesce("zip", F.lit("0")), F.lit(True)),
-    )
-    keyed = (
-        places.select(F.explode(parts).alias("p"), "n", "gone")
-        .groupBy("p.kind", "p.key")
-        .agg(F.sum("n").alias("n"), F.sum("gone").alias("gone"), F.max("p.named").alias("named"))
-        .withColumn("rate", percent(F.col("gone"), F.col("n")))
+    places = aggregate(rows, ["state", "city", "zip"], n="count(1)", gone=f"count_if({CHURNED})")
+    parts = ", ".join(
+        [
+            f"struct('state' AS kind, {known('state', '')} AS key, {known('state', '')} <> '' AS named)",
+            f"struct('city' AS kind, {known('city', 'Unknown')} AS key, {known('city', '')} <> '' AS named)",
+            "struct('zip' AS kind, coalesce(zip, '0') AS key, true AS named)",
+        ]
     )
-    kind, n, rate = F.col("kind"), F.col("n"), F.col("rate")
-    biggest = F.struct((-n).alias("rank"), "key", "n", "rate")
-    hottest = F.struct((-rate).alias("rank"), (-n).alias("size"), "key", "n", "rate")
-    one = keyed.agg(
-        F.count_if((kind == "state") & F.col("named")).alias("states"),
-        F.count_if((kind == "city") & F.col("named")).alias("cities"),
-        F.count_if(kind == "zip").alias("zips"),
-        F.min(F.when(kind == "city", biggest)).alias("city"),
-        F.min(F.when(kind == "zip", biggest)).alias("zip"),
-        F.min(F.when((kind == "city") & (n >= base), hottest)).alias("hot"),
+    listed = places.selectExpr("n", "gone", f"inline(array({parts}))")
+    keyed = aggregate(listed, ["kind", "key"], n="sum(n)", gone="sum(gone)", named="max(named)")
+    keyed = keyed.selectExpr("*", f"{percent('gone', 'n')} AS rate")
+    one = aggregate(
+        keyed,
+        [],
+        states="count_if(kind = 'state' AND named)",
+        cities="count_if(kind = 'city' AND named)",
+        zips="count_if(kind = 'zip')",
+        top_city="min(CASE WHEN kind = 'city' THEN struct(-n AS rank, key, n, rate) END)",
+        top_zip="min(CASE WHEN kind = 'zip' THEN struct(-n AS rank, key, n, rate) END)",
+        hot=f"min(CASE WHEN kind = 'city' AND n >= {base} THEN struct(-rate AS rank, -n AS size, key, n, rate) END)",
     )
-    return one.select(
+    return one.selectExpr(
         "states",
         "cities",
         "zips",
-        F.col("city.key").alias("top_city"),
-        F.col("city.n").alias("top_city_n"),
-        F.col("zip.key").alias("top_zip"),
-        F.col("zip.n").alias("top_zip_n"),
-        F.col("zip.rate").alias("top_zip_rate"),
-        F.col("hot.key").alias("hot_city"),
-        F.col("hot.n").alias("hot_city_n"),
-        F.col("hot.rate").alias("hot_city_rate"),
+        "top_city.key AS top_city",
+        "top_city.n AS top_city_n",
+        "top_zip.key AS top_zip",
+        "top_zip.n AS top_zip_n",
+        "top_zip.rate AS top_zip_rate",
+        "hot.key AS hot_city",
+        "hot.n AS hot_city_n",
+        "hot.rate AS hot_city_rate",
     )

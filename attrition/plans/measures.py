@@ -8,74 +8,69 @@ service it holds, and a customer counts once per service or category.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
-from attrition.functions.rates import ratio
+from attrition.functions.sql import aggregate, quote, ratio
 from attrition.operators.filters import filter_model, minimum_base, service_mask
 
 SERVICE_FIELDS = ("ServiceName", "ServiceCategory")
 
 
-def _gone() -> Column:
-    return F.col("ChurnLabel") == "Yes"
+GONE = "ChurnLabel = 'Yes'"
 
 
-def _active() -> Column:
-    return F.col("ChurnLabel") == "No"
-
-
-def _sums(threshold: int) -> dict[str, Column]:
+def _sums(threshold: int) -> dict[str, str]:
     """The additive building blocks."""
-    risky = _active() & (F.col("ChurnScore") >= threshold)
+    risky = f"ChurnLabel = 'No' AND ChurnScore >= {int(threshold)}"
     sums = {
-        "n": F.count(F.lit(1)),
-        "active": F.count_if(_active()),
-        "gone": F.count_if(_gone()),
-        "risky": F.count_if(risky),
-        "score": F.sum(F.col("ChurnScore").cast("bigint")),
-        "score_n": F.count("ChurnScore"),
-        "monthly": F.sum("MonthlyCharges"),
-        "monthly_n": F.count("MonthlyCharges"),
-        "monthly_gone": F.sum(F.when(_gone(), F.col("MonthlyCharges"))),
-        "monthly_risky": F.sum(F.when(risky, F.col("MonthlyCharges"))),
-        "lifetime": F.sum("TotalCharges"),
-        "lifetime_gone": F.sum(F.when(_gone(), F.col("TotalCharges"))),
-        "cltv": F.sum(F.col("CLTV").cast("bigint")),
-        "cltv_n": F.count("CLTV"),
-        "cltv_gone": F.sum(F.when(_gone(), F.col("CLTV").cast("bigint"))),
-        "tenure": F.sum(F.col("TenureMonths").cast("bigint")),
-        "tenure_n": F.count("TenureMonths"),
-        "tenure_gone": F.sum(F.when(_gone(), F.col("TenureMonths").cast("bigint"))),
-        "tenure_gone_n": F.count(F.when(_gone(), F.col("TenureMonths"))),
-        "addons": F.sum(F.col("addon_count").cast("bigint")),
-        "addons_n": F.count("addon_count"),
+        "n": "count(1)",
+        "active": "count_if(ChurnLabel = 'No')",
+        "gone": f"count_if({GONE})",
+        "risky": f"count_if({risky})",
+        "score": "sum(ChurnScore)",
+        "score_n": "count(ChurnScore)",
+        "monthly": "sum(MonthlyCharges)",
+        "monthly_n": "count(MonthlyCharges)",
+        "monthly_gone": f"sum(MonthlyCharges) FILTER (WHERE {GONE})",
+        "monthly_risky": f"sum(MonthlyCharges) FILTER (WHERE {risky})",
+        "lifetime": "sum(TotalCharges)",
+        "lifetime_gone": f"sum(TotalCharges) FILTER (WHERE {GONE})",
+        "cltv": "sum(CLTV)",
+        "cltv_n": "count(CLTV)",
+        "cltv_gone": f"sum(CLTV) FILTER (WHERE {GONE})",
+        "tenure": "sum(TenureMonths)",
+        "tenure_n": "count(TenureMonths)",
+        "tenure_gone": f"sum(TenureMonths) FILTER (WHERE {GONE})",
+        "tenure_gone_n": f"count(TenureMonths) FILTER (WHERE {GONE})",
+        "addons": "sum(addon_count)",
+        "addons_n": "count(addon_count)",
     }
     for position, name in enumerate(schemas.CONTRACTS):
-        here = F.col("ContractType") == name
-        sums[f"contract{position}_n"] = F.count_if(here)
-        sums[f"contract{position}_gone"] = F.count_if(here & _gone())
+        here = f"ContractType = {quote(name)}"
+        sums[f"contract{position}_n"] = f"count_if({here})"
+        sums[f"contract{position}_gone"] = f"count_if({here} AND {GONE})"
     return sums
 
 
-def _mean(total: str, count: str) -> tuple[list[str], Callable]:
+def _mean(total: str, count: str) -> tuple[list[str], str]:
     """NULL, not 0, where there is nothing to average."""
-    return [total, count], lambda s: F.try_divide(s(total).cast("double"), s(count).cast("double"))
+    return [total, count], f"try_divide(CAST({total} AS DOUBLE), CAST({count} AS DOUBLE))"
 
 
-def _rate(part: str, whole: str) -> tuple[list[str], Callable]:
-    return [part, whole], lambda s: ratio(s(part), s(whole))
+def _rate(part: str, whole: str) -> tuple[list[str], str]:
+    return [part, whole], ratio(part, whole)
 
 
-def _count(name: str) -> tuple[list[str], Callable]:
-    return [name], lambda s: s(name)
+def _count(name: str) -> tuple[list[str], str]:
+    return [name], name
 
 
-def _money(name: str) -> tuple[list[str], Callable]:
-    return [name], lambda s: F.coalesce(s(name), F.lit(0))
+def _money(name: str) -> tuple[list[str], str]:
+    return [name], f"coalesce({name}, 0)"
 
 
 # Measure -> (sums it needs, formula).
@@ -172,24 +167,27 @@ FOLDERS = {
 MEASURES = [name for names in FOLDERS.values() for name in names]
 
 
-def credited_services(allowed: int, fields: Sequence[str]) -> Column:
-    """The services (or categories) of ``ServiceMask`` as structs, each listed once."""
+def holds(bits: int) -> str:
+    return f"ServiceMask & {bits} <> 0"
+
+
+def credited_services(allowed: int, fields: Sequence[str]) -> str:
+    """The services (or categories) of ``ServiceMask`` as an array of structs, each listed once."""
     entries = []
     if "ServiceName" in fields:
         for key, name, category, _ in schemas.SERVICES:
             if allowed >> (key - 1) & 1:
-                entries.append((1 << (key - 1), name, category))
+                entries.append((1 << (key - 1), {"ServiceName": name, "ServiceCategory": category}))
     else:
         for category in schemas.CATEGORIES:
             bits = allowed & service_mask(categories=[category])
             if bits:
-                entries.append((bits, None, category))
+                entries.append((bits, {"ServiceCategory": category}))
     held = []
-    for bits, name, category in entries:
-        labels = {"ServiceName": name, "ServiceCategory": category}
-        item = F.struct(*[F.lit(labels[field]).alias(field) for field in SERVICE_FIELDS if field in fields])
-        held.append(F.when(F.col("ServiceMask").bitwiseAND(F.lit(bits)) != 0, item))
-    return F.array_compact(F.array(*held))
+    for bits, labels in entries:
+        item = ", ".join(f"{quote(labels[field])} AS {field}" for field in SERVICE_FIELDS if field in fields)
+        held.append(f"CASE WHEN {holds(bits)} THEN struct({item}) END")
+    return f"array_compact(array({', '.join(held)}))"
 
 
 def sums_by(
@@ -199,10 +197,10 @@ def sums_by(
     spec = spec or {}
     columns = _sums(threshold)
     rows = filter_model(model, spec)
-    aggregates = [columns[name].alias(name) for name in names]
+    wanted = {name: columns[name] for name in names}
     service_by = [field for field in by if field in SERVICE_FIELDS]
     if not service_by:
-        return rows.groupBy(*by).agg(*aggregates)
+        return aggregate(rows, list(by), **wanted)
 
     def listed(field):
         value = spec.get(field)
@@ -210,13 +208,13 @@ def sums_by(
 
     allowed = service_mask(listed("ServiceName"), listed("ServiceCategory"))
     plain = [field for field in by if field not in SERVICE_FIELDS]
-    combined = rows.groupBy(*plain, "ServiceMask").agg(*aggregates)
-    credited = combined.select(*plain, *names, F.inline(credited_services(allowed, service_by)))
-    return credited.groupBy(*by).agg(*[F.sum(name).alias(name) for name in names])
+    combined = aggregate(rows, [*plain, "ServiceMask"], **wanted)
+    credited = combined.selectExpr(*plain, *names, f"inline({credited_services(allowed, service_by)})")
+    return aggregate(credited, list(by), **{name: f"sum({name})" for name in names})
 
 
 def _project(sums: DataFrame, by: Sequence[str], formulas: dict) -> DataFrame:
-    return sums.select(*by, *[formula(F.col).alias(name) for name, (_, formula) in formulas.items()])
+    return sums.selectExpr(*by, *[f"{formula} AS {name}" for name, (_, formula) in formulas.items()])
 
 
 def _needed(formulas: dict) -> list[str]:
@@ -224,23 +222,21 @@ def _needed(formulas: dict) -> list[str]:
 
 
 def _join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach columns by group, NULL groups included; without groups both sides are one row."""
+    """Attach columns by group, NULL groups included; without groups the right side is one
+    row and comes in as a scalar subquery."""
     if not by:
-        one = F.lit(1)
-        joined = left.withColumn("_one", one).join(F.broadcast(right.withColumn("_one", one)), "_one", "left")
-        return joined.drop("_one")
-    other = right.select(*[F.col(c).alias(f"_{c}" if c in by else c) for c in right.columns])
-    condition = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        row = right.select(F.struct(*right.columns)).scalar()
+        return left.withColumn("_row", row).selectExpr(*left.columns, *[f"_row.{name}" for name in right.columns])
+    other = right.selectExpr(*[f"{c} AS _{c}" if c in by else c for c in right.columns])
+    condition = F.expr(" AND ".join(f"{c} <=> _{c}" for c in by))
     return left.join(other, condition, "left").drop(*[f"_{c}" for c in by])
 
 
 def _reasons(model, by, spec, threshold) -> DataFrame:
     """Most frequent reason per group; the alphabetically last one on a tie."""
-    counted = sums_by(model.filter(_gone()), [*by, "ChurnReason"], ["n"], spec, threshold)
-    top = F.max(F.struct("n", "ChurnReason"))
-    return counted.groupBy(*by).agg(top.alias("_top")).select(
-        *by, F.col("_top.ChurnReason").alias(REASON[0]), F.col("_top.n").alias(REASON[1])
-    )
+    counted = sums_by(model.filter(GONE), [*by, "ChurnReason"], ["n"], spec, threshold)
+    top = aggregate(counted, by, _top="max(struct(n, ChurnReason))")
+    return top.selectExpr(*by, f"_top.ChurnReason AS {REASON[0]}", f"_top.n AS {REASON[1]}")
 
 
 def _retention(model, by, spec, threshold) -> DataFrame:
@@ -253,22 +249,17 @@ def _retention(model, by, spec, threshold) -> DataFrame:
     entries = []
     for key, name, _, _ in schemas.SERVICES:
         if allowed >> (key - 1) & 1:
-            held = F.col("ServiceMask").bitwiseAND(F.lit(1 << (key - 1))) != 0
-            entries.append(
-                F.struct(
-                    F.lit(name).alias("service"),
-                    F.when(held, F.col("n")).otherwise(0).alias("held"),
-                    F.when(held, F.col("gone")).otherwise(0).alias("left"),
-                )
-            )
-    rates = (
-        combined.select(*by, F.inline(F.array(*entries)))
-        .groupBy(*by, "service")
-        .agg(ratio(F.sum("left"), F.sum("held")).alias("rate"))
-    )
-    return rates.groupBy(*by).agg(
-        F.max(F.struct((-F.col("rate")).alias("r"), "service"))["service"].alias(RETENTION[0]),
-        F.max(F.struct(F.col("rate").alias("r"), "service"))["service"].alias(RETENTION[1]),
+            held = holds(1 << (key - 1))
+            entries.append(f"struct({quote(name)} AS service, if({held}, n, 0) AS held, if({held}, gone, 0) AS lost)")
+    listed = combined.selectExpr(*by, f"inline(array({', '.join(entries)}))")
+    rates = aggregate(listed, [*by, "service"], rate=ratio("sum(lost)", "sum(held)"))
+    return aggregate(
+        rates,
+        by,
+        **{
+            RETENTION[0]: "max(struct(-rate AS rank, service)).service",
+            RETENTION[1]: "max(struct(rate, service)).service",
+        },
     )
 
 
@@ -277,10 +268,8 @@ def _places(model, by, spec, threshold, name) -> DataFrame:
     column, base = PLACES[name]
     grouped = sums_by(model, [*by, column], ["n", "gone"], spec, threshold)
     sized = minimum_base(grouped, "n", base)
-    top = F.max(F.struct(ratio(F.col("gone"), F.col("n")).alias("rate"), column))
-    return sized.groupBy(*by).agg(top.alias("_top")).select(
-        *by, F.col(f"_top.{column}").alias(name), F.col("_top.rate").alias(f"{name}_value")
-    )
+    top = aggregate(sized, by, _top=f"max(struct({ratio('gone', 'n')} AS rate, {column}))")
+    return top.selectExpr(*by, f"_top.{column} AS {name}", f"_top.rate AS {name}_value")
 
 
 def evaluate(
@@ -313,5 +302,5 @@ def evaluate(
     for name in PLACES:
         if name in measures or f"{name}_value" in measures:
             out = _join(out, _places(model, by, spec, threshold, name), by)
-    counted = F.coalesce(REASON[1], F.lit(0)).alias(REASON[1])
-    return out.select(*by, *[counted if name == REASON[1] else F.col(name) for name in measures])
+    counted = f"coalesce({REASON[1]}, 0) AS {REASON[1]}"
+    return out.selectExpr(*by, *[counted if name == REASON[1] else name for name in measures])

@@ -7,14 +7,21 @@ so they are neither shuffled nor grouped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition import schemas
-from attrition.functions.derive import feed_subscribed
-from attrition.functions.rates import percent, ratio
+from attrition.functions.sql import aggregate, percent, quote, ratio
 from attrition.operators.domains import literal_table
-from attrition.plans.kpis import best_service, churned, known, service_structs, total_of, worst_service
+from attrition.plans.kpis import (
+    CHURNED,
+    SERVICE_COUNTS,
+    SERVICE_STRUCTS,
+    best_service,
+    known,
+    total_of,
+    worst_service,
+)
 
 # Intent -> pattern searched in the lower-cased question, in answer order.
 INTENTS = {
@@ -44,168 +51,157 @@ def suggested_questions(spark: SparkSession) -> DataFrame:
     return literal_table(spark, ["id", "question"], list(enumerate(SUGGESTED, start=1)))
 
 
-def intent_bits(question: Column) -> Column:
-    text = F.lower(question)
-    bits = [F.when(text.rlike(pattern), 1 << position).otherwise(0) for position, pattern in enumerate(INTENTS.values())]
-    return sum(bits[1:], bits[0])
+def intent_bits(question: str) -> str:
+    """SQL text of the bit set; patterns hold neither quotes nor backslashes."""
+    return " + ".join(
+        f"if(lower({question}) RLIKE '{pattern}', {1 << position}, 0)"
+        for position, pattern in enumerate(INTENTS.values())
+    )
 
 
 def tag_intents(questions: DataFrame) -> DataFrame:
     """Adds the intents of each question, or the fallback when no pattern matches."""
-    bits = F.col("_bits")
-    named = [F.when(bits.bitwiseAND(F.lit(1 << p)) != 0, F.lit(name)) for p, name in enumerate(INTENTS)]
-    tagged = questions.withColumn("_bits", intent_bits(F.col("question")))
-    names = F.when(bits == 0, F.array(F.lit(FALLBACK))).otherwise(F.array_compact(F.array(*named)))
-    return tagged.withColumn("intents", names).drop("_bits")
+    tagged = questions.selectExpr("*", f"{intent_bits('question')} AS _bits")
+    hits = ", ".join(f"CASE WHEN _bits & {1 << p} <> 0 THEN '{name}' END" for p, name in enumerate(INTENTS))
+    names = f"if(_bits = 0, array('{FALLBACK}'), array_compact(array({hits}))) AS intents"
+    return tagged.selectExpr(*questions.columns, names)
 
 
 def explode_intents(questions: DataFrame) -> DataFrame:
-    tagged = tag_intents(questions)
-    rest = [c for c in tagged.columns if c != "intents"]
-    return tagged.select(*rest, F.posexplode("intents").alias("position", "intent"))
-
-
-def _ranked(rank: Column, tie: Column, contract: Column) -> Column:
-    return F.struct(rank.alias("rank"), tie.alias("tie"), contract["name"], contract["rate"])
+    return tag_intents(questions).selectExpr(*questions.columns, "posexplode(intents) AS (position, intent)")
 
 
 def figures(rows: DataFrame) -> DataFrame:
     """Every number an answer may quote, as one row."""
-    sums = [
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(churned()).alias("gone"),
-        total_of("monthly").alias("monthly"),
-        total_of("cltv").alias("cltv"),
-        F.coalesce(F.sum(F.when(churned(), F.col("monthly"))), F.lit(0)).alias("at_risk"),
-        F.count_if(~churned() & (F.col("score") >= 70)).alias("high_risk"),
-    ]
+    sums, contracts = {}, []
     for position, name in enumerate(schemas.CONTRACTS):
-        here = F.col("contract") == name
-        sums += [F.count_if(here).alias(f"c{position}"), F.count_if(here & churned()).alias(f"cgone{position}")]
-    for position, hit in enumerate(feed_subscribed().values()):
-        sums += [F.count_if(hit).alias(f"n{position}"), F.count_if(hit & churned()).alias(f"gone{position}")]
-    contracts = F.array(
-        *[
-            F.struct(
-                percent(F.col(f"cgone{position}"), F.col(f"c{position}")).alias("rate"),
-                F.lit(position).alias("pos"),
-                F.lit(name).alias("name"),
-            )
-            for position, name in enumerate(schemas.CONTRACTS)
-        ]
+        here = f"contract = {quote(name)}"
+        sums[f"c{position}"] = f"count_if({here})"
+        sums[f"cgone{position}"] = f"count_if({here} AND {CHURNED})"
+        rate = percent(f"cgone{position}", f"c{position}")
+        contracts.append(f"struct({rate} AS rate, {position} AS pos, {quote(name)} AS name)")
+    base = aggregate(
+        rows,
+        [],
+        total="count(1)",
+        gone=f"count_if({CHURNED})",
+        monthly=total_of("monthly"),
+        cltv=total_of("cltv"),
+        at_risk=f"coalesce(sum(CASE WHEN {CHURNED} THEN monthly END), 0)",
+        high_risk=f"count_if(NOT {CHURNED} AND score >= 70)",
+        **sums,
+        **SERVICE_COUNTS,
     )
-    services = service_structs()
-    base = rows.agg(*sums).select(
+    rated = base.selectExpr(
         "total",
         "gone",
-        percent(F.col("gone"), F.col("total")).alias("rate"),
-        ratio(F.col("monthly"), F.col("total")).alias("avg_monthly"),
-        ratio(F.col("cltv"), F.col("total")).alias("avg_cltv"),
-        F.col("at_risk").cast("double").alias("at_risk"),
+        f"{percent('gone', 'total')} AS rate",
+        f"{ratio('monthly', 'total')} AS avg_monthly",
+        f"{ratio('cltv', 'total')} AS avg_cltv",
+        "CAST(at_risk AS DOUBLE) AS at_risk",
         "high_risk",
-        F.array_min(F.transform(contracts, lambda c: _ranked(-c["rate"], c["pos"], c))).alias("high"),
-        F.array_min(F.transform(contracts, lambda c: _ranked(c["rate"], -c["pos"], c))).alias("low"),
-        worst_service(services).alias("worst"),
-        best_service(services).alias("best"),
-        F.lit(1).alias("_one"),
+        f"array({', '.join(contracts)}) AS contracts",
+        f"{SERVICE_STRUCTS} AS services",
     )
-    counted = rows.filter(churned()).groupBy(known("reason", "Unknown").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = rated.selectExpr(
+        "* EXCEPT (contracts, services)",
+        "array_min(transform(contracts, c -> struct(-c.rate AS rank, c.pos AS tie, c.name, c.rate))) AS high",
+        "array_min(transform(contracts, c -> struct(c.rate AS rank, -c.pos AS tie, c.name, c.rate))) AS low",
+        f"{worst_service('services')} AS worst",
+        f"{best_service('services')} AS best",
+    )
+    counted = aggregate(rows.filter(CHURNED), {"reason": known("reason", "Unknown")}, n="count(1)")
     leading = counted.orderBy(F.desc("n"), "reason").limit(3)
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), "reason", "n")))
-    top = leading.agg(ordered.alias("reasons")).withColumn("_one", F.lit(1))
-    # Both sides are a single row.
-    return base.join(F.broadcast(top), "_one").drop("_one")
+    top = leading.agg(F.expr("array_sort(collect_list(struct(-n AS rank, reason, n)))")).scalar()
+    return ranked.withColumn("reasons", top)
 
 
-def _whole(value: Column) -> Column:
-    return F.format_number(value.cast("bigint"), 0)
+def _whole(value: str) -> str:
+    return f"format_number(CAST({value} AS BIGINT), 0)"
 
 
-def _dollars(value: Column) -> Column:
-    return F.concat(F.lit("$"), _whole(F.floor(value + 0.5)))
+def _dollars(value: str) -> str:
+    return f"concat('$', {_whole(f'floor({value} + 0.5D)')})"
 
 
-def _pct(value: Column) -> Column:
-    return F.concat(F.format_number(F.round(value, 2), 2), F.lit("%"))
+def _pct(value: str) -> str:
+    return f"concat(format_number(round({value}, 2), 2), '%')"
 
 
-def _text(template: str, *values: Column) -> Column:
+def _text(template: str, *values: str) -> str:
     """Fills each ``{}`` of the template."""
     pieces = template.split("{}")
-    parts = [F.lit(pieces[0])]
-    for value, piece in zip(values, pieces[1:]):
-        parts += [value, F.lit(piece)]
-    return F.concat(*parts)
+    parts = [quote(pieces[0])]
+    for value, piece in zip(values, pieces[1:], strict=True):
+        parts += [value, quote(piece)]
+    return f"concat({', '.join(parts)})"
 
 
 def answer_lines(facts: DataFrame) -> DataFrame:
     """(bit, position, line) for every line an intent contributes."""
-    total, gone, rate = F.col("total"), F.col("gone"), F.col("rate")
-    reasons = F.col("reasons")
-    first = F.get(reasons, F.lit(0))
-    listed = F.transform(reasons, lambda r: F.concat(r["reason"], F.lit(" ("), _whole(r["n"]), F.lit(")")))
-    has_reason = F.size(reasons) > 0
+    first = "get(reasons, 0)"
+    leading = f"array_join(transform(reasons, r -> concat(r.reason, ' (', {_whole('r.n')}, ')')), ' · ')"
+    cause = f"if(size(reasons) > 0, {_text('top reason **{}**', f'{first}.reason')}, 'no churners in view')"
     lines = [
         (
             0,
             _text(
                 "Overall churn rate in the current view is **{}** ({} of {} customers churned).",
-                _pct(rate),
-                _whole(gone),
-                _whole(total),
+                _pct("rate"),
+                _whole("gone"),
+                _whole("total"),
             ),
         ),
         (
             1,
             _text(
                 "Top churn reason: **{}** ({} churners).",
-                F.coalesce(first["reason"], F.lit("n/a")),
-                F.coalesce(_whole(first["n"]), F.lit("0")),
+                f"coalesce({first}.reason, 'n/a')",
+                f"coalesce({_whole(f'{first}.n')}, '0')",
             ),
         ),
-        (1, F.when(F.size(reasons) > 1, _text("Top 3 reasons: {}.", F.array_join(listed, " · ")))),
+        (1, f"CASE WHEN size(reasons) > 1 THEN {_text('Top 3 reasons: {}.', leading)} END"),
         (
             2,
             _text(
                 "Highest-churn contract: **{}** at **{}**; lowest: **{}** at **{}**.",
-                F.col("high.name"),
-                _pct(F.col("high.rate")),
-                F.col("low.name"),
-                _pct(F.col("low.rate")),
+                "high.name",
+                _pct("high.rate"),
+                "low.name",
+                _pct("low.rate"),
             ),
         ),
         (
             3,
             _text(
                 "Highest-churn service: **{}** at **{}**; best retention: **{}** at **{}**.",
-                F.col("worst.service"),
-                _pct(F.col("worst.rate")),
-                F.col("best.service"),
-                _pct(F.col("best.rate")),
+                "worst.service",
+                _pct("worst.rate"),
+                "best.service",
+                _pct("best.rate"),
             ),
         ),
         (
             4,
             _text(
                 "Average monthly charge is **{}** and average CLTV is **{}**.",
-                _dollars(F.col("avg_monthly")),
-                _dollars(F.col("avg_cltv")),
+                _dollars("avg_monthly"),
+                _dollars("avg_cltv"),
             ),
         ),
         (
             5,
             _text(
-                "Revenue at risk is **{}** per month (churned customers' recurring charges).",
-                _dollars(F.col("at_risk")),
+                "Revenue at risk is **{}** per month (churned customers' recurring charges).", _dollars("at_risk")
             ),
         ),
         (
             6,
             _text(
                 "Current view contains **{}** customers — **{}** churned, **{}** active.",
-                _whole(total),
-                _whole(gone),
-                _whole(total - gone),
+                _whole("total"),
+                _whole("gone"),
+                _whole("total - gone"),
             ),
         ),
         (
@@ -213,47 +209,34 @@ def answer_lines(facts: DataFrame) -> DataFrame:
             _text(
                 "**{}** currently-active customers are high-risk (churn score ≥ 70)"
                 " and should be prioritized for retention.",
-                _whole(F.col("high_risk")),
+                _whole("high_risk"),
             ),
         ),
+        (8, _text("Analysis of {} customers: churn rate **{}**, {}.", _whole("total"), _pct("rate"), cause)),
         (
             8,
-            _text(
-                "Analysis of {} customers: churn rate **{}**, {}.",
-                _whole(total),
-                _pct(rate),
-                F.when(has_reason, _text("top reason **{}**", first["reason"])).otherwise("no churners in view"),
-            ),
+            quote('Try: "overall churn rate", "top churn reasons", "which contract churns the most", "revenue at risk".'),
         ),
-        (
-            8,
-            F.lit(
-                'Try: "overall churn rate", "top churn reasons", "which contract churns the most", "revenue at risk".'
-            ),
-        ),
-    ]
-    structs = [
-        F.struct(F.lit(bit).alias("bit"), F.lit(position).alias("position"), line.alias("line"))
-        for position, (bit, line) in enumerate(lines)
     ]
-    return facts.select(F.inline(F.array(*structs))).filter(F.col("line").isNotNull())
+    structs = ", ".join(
+        f"struct({bit} AS bit, {position} AS position, {line} AS line)" for position, (bit, line) in enumerate(lines)
+    )
+    return facts.selectExpr(f"inline(array({structs}))").filter("line IS NOT NULL")
 
 
 def answers(rows: DataFrame) -> DataFrame:
     """The answer text for each of the 256 bit sets."""
-    spark = rows.sparkSession
-    bits = F.array(*[F.when(F.col("id").bitwiseAND(F.lit(1 << p)) != 0, F.lit(p)) for p in range(len(INTENTS))])
-    sets = spark.range(1 << len(INTENTS)).select(
-        F.col("id").cast("int").alias("_bits"),
-        F.explode(F.when(F.col("id") == 0, F.array(F.lit(len(INTENTS)))).otherwise(F.array_compact(bits))).alias("bit"),
+    none = len(INTENTS)
+    bits = f"filter(sequence(0, {none - 1}), b -> shiftright(id, b) & 1 = 1)"
+    sets = rows.sparkSession.range(1 << none).selectExpr(
+        "CAST(id AS INT) AS _bits", f"explode(if(id = 0, array({none}), {bits})) AS bit"
     )
     lines = sets.join(F.broadcast(answer_lines(figures(rows))), "bit")
-    ordered = F.array_sort(F.collect_list(F.struct("position", "line")))
-    text = F.array_join(F.transform(ordered, lambda entry: entry["line"]), "\n")
-    return lines.groupBy("_bits").agg(text.alias("answer"))
+    ordered = "array_sort(collect_list(struct(position, line)))"
+    return aggregate(lines, ["_bits"], answer=f"array_join(transform({ordered}, e -> e.line), '\\n')")
 
 
 def answer_questions(questions: DataFrame, rows: DataFrame) -> DataFrame:
-    tagged = questions.withColumn("_bits", intent_bits(F.col("question")))
+    tagged = questions.selectExpr("*", f"{intent_bits('question')} AS _bits")
     # 256 rows at most, whatever the data.
     return tagged.join(F.broadcast(answers(rows)), "_bits", "left").drop("_bits")

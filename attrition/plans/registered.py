@@ -66,13 +66,13 @@ def present(df: DataFrame) -> DataFrame:
     """Decimals as doubles and small integers as bigint, for comparison with other engines."""
     columns = []
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
+        column = f"`{field.name}`"
         if isinstance(field.dataType, (DecimalType, FloatType)):
-            column = column.cast("double")
+            column = f"CAST({column} AS DOUBLE) AS {column}"
         elif isinstance(field.dataType, (ByteType, ShortType, IntegerType)):
-            column = column.cast("bigint")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            column = f"CAST({column} AS BIGINT) AS {column}"
+        columns.append(column)
+    return df.selectExpr(*columns)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -112,7 +112,7 @@ def bulk_write(w: Warehouse) -> DataFrame:
 
 def one_line_text(w: Warehouse) -> DataFrame:
     turns = w.spark.read.parquet(f"{w.source}/conversations.parquet")
-    return turns.select("conv_id", "turn", "role", cleansing.one_line(F.col("text")).alias("text"))
+    return turns.selectExpr("conv_id", "turn", "role", f"{cleansing.one_line('text')} AS text")
 
 
 def feed_sink(w: Warehouse) -> DataFrame:
@@ -179,8 +179,8 @@ def facts_reload(w: Warehouse) -> DataFrame:
 
 
 def service_flags(w: Warehouse) -> DataFrame:
-    flags = derive.feed_subscribed()
-    return w["feed"].select("id", *[hit.alias(name.lower().replace(" ", "_")) for name, hit in flags.items()])
+    flags = derive.FEED_SUBSCRIBED
+    return w["feed"].selectExpr("id", *[f"{hit} AS {name.lower().replace(' ', '_')}" for name, hit in flags.items()])
 
 
 def service_categories(w: Warehouse) -> DataFrame:
@@ -189,9 +189,9 @@ def service_categories(w: Warehouse) -> DataFrame:
 
 
 def city_status(w: Warehouse) -> DataFrame:
-    rate = F.col("churn_rate")
     rates = evaluate(w["model"], ["churn_rate"], ["City"])
-    return rates.withColumn("status", derive.rate_status(rate)).withColumn("arrow", derive.rate_arrow(rate))
+    status, arrow = derive.rate_status("churn_rate"), derive.rate_arrow("churn_rate")
+    return rates.selectExpr("*", f"{status} AS status", f"{arrow} AS arrow")
 
 
 # Filters.
@@ -335,12 +335,10 @@ def _model(build: Callable[[DataFrame], DataFrame]) -> Callable[[Warehouse], Dat
     return _on_layer("model", build)
 
 
-def _column(layer: str, key: str, name: str, derived: Callable[[], Column]) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: w[layer].select(key, derived().alias(name))
+def _column(layer: str, key: str, name: str, derived: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: w[layer].selectExpr(key, f"{derived} AS {name}")
 
 
-_C = F.col
-
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "b1_read_raw": read_raw,
     "b2_snake_headers": lambda w: landing.snake_headers(raw_headers(w["bronze"])),
@@ -386,10 +384,10 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v7_missing_values": lambda w: checks.missing_values(tables(w, STAR)),
     "v7_contract_gaps": _on_layer("silver", checks.contract_gaps),
     "v8_reconcile": lambda w: checks.reconcile(checks.layer_counts(tables(w, COUNTED_LAYERS)), EXPECTED_ROWS),
-    "d1_internet_tier": _column("feed", "id", "tier", lambda: derive.internet_tier(_C("internet"))),
+    "d1_internet_tier": _column("feed", "id", "tier", derive.internet_tier("internet")),
     "d2_is_subscribed": service_flags,
-    "d3_tenure_band": _column("feed", "id", "band", lambda: derive.tenure_band(_C("tenure"))),
-    "d4_score_band": _column("feed", "id", "band", lambda: derive.score_band(_C("score"))),
+    "d3_tenure_band": _column("feed", "id", "band", derive.tenure_band("tenure")),
+    "d4_score_band": _column("feed", "id", "band", derive.score_band("score")),
     "d5_tenure_bucket": _on_layer(
         "fact_churn", lambda f: gold.with_derived(f).select("ChurnKey", "TenureBucket", "TenureBucketOrder")
     ),
@@ -401,12 +399,12 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     ).select("CustomerKey", "addon_count"),
     "d8_service_category": service_categories,
     "d9_rate_status": city_status,
-    "d10_score_status": _column("fact_churn", "ChurnKey", "status", lambda: derive.score_status(_C("ChurnScore"))),
+    "d10_score_status": _column("fact_churn", "ChurnKey", "status", derive.score_status("ChurnScore")),
     "d11_dot_level": _feed(
-        lambda r: charts.zip_centroids(r).select("zip", derive.dot_level(_C("rate")).alias("level"))
+        lambda r: charts.zip_centroids(r).selectExpr("zip", f"{derive.dot_level('rate')} AS level")
     ),
     "d12_bubble_radius": _feed(lambda r: charts.zip_map(r).select("zip", "n", "radius")),
-    "d13_payment_label": _column("feed", "id", "label", lambda: derive.short_payment(_C("pay"))),
+    "d13_payment_label": _column("feed", "id", "label", derive.short_payment("pay")),
     "f1_cross_filter": _feed(lambda r: filters.apply_filters(r, FEED_FILTER).select("id", "churn", "monthly")),
     "f2_filter_without": _feed(
         lambda r: filters.apply_filters(r, FEED_FILTER, without="contract").select("id", "contract")
@@ -452,7 +450,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "c18_map_bounds": _feed(charts.map_bounds),
     "c19_top_cities": _feed(charts.top_cities),
     "c20_top_zips": _feed(charts.top_zips),
-    "c21_group_sum": _feed(lambda r: charts.group_sum(r, _C("state"), _C("monthly"), "state")),
+    "c21_group_sum": _feed(lambda r: charts.group_sum(r, "state", "monthly", "state")),
     "p0a_overview_cards": _model(visuals.overview_cards),
     "p0b_churn_cards": _model(visuals.churn_cards),
     "p0c_services_cards": _model(visuals.services_cards),

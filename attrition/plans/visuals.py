@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions.derive import rate_arrow, rate_status, score_status
-from attrition.functions.rates import ratio
+from attrition.functions.sql import aggregate, named, ratio
 from attrition.operators.filters import minimum_base, service_mask
 from attrition.plans.measures import credited_services, evaluate, sums_by
 
 
 def _status(df: DataFrame, rate: str = "churn_rate") -> DataFrame:
-    return df.withColumn("status", rate_status(F.col(rate))).withColumn("arrow", rate_arrow(F.col(rate)))
+    return df.selectExpr("*", f"{rate_status(rate)} AS status", f"{rate_arrow(rate)} AS arrow")
 
 
 def _top(df: DataFrame, by: str, name: str, k: int = 10) -> DataFrame:
@@ -110,11 +110,8 @@ def top_reasons(model: DataFrame) -> DataFrame:
 
 def score_bands(model: DataFrame) -> DataFrame:
     counts = model.groupBy("ScoreBand", "ScoreBandOrder").pivot("ChurnLabel", ["No", "Yes"]).count()
-    return counts.select(
-        "ScoreBand",
-        "ScoreBandOrder",
-        F.coalesce("No", F.lit(0)).alias("active"),
-        F.coalesce("Yes", F.lit(0)).alias("churned"),
+    return counts.selectExpr(
+        "ScoreBand", "ScoreBandOrder", "coalesce(No, 0) AS active", "coalesce(Yes, 0) AS churned"
     ).orderBy("ScoreBandOrder")
 
 
@@ -139,29 +136,21 @@ def demographics(model: DataFrame) -> DataFrame:
     columns = ["Gender", "SeniorCitizen", "Partner", "Dependents"]
     cells = sums_by(model, columns, ["n", "gone"])
     keys = [F.col(c) for c in columns]
-    sets = cells.groupingSets([[key] for key in keys], *keys).agg(
-        F.sum("n").alias("total_customers"),
-        F.sum("gone").alias("churned_customers"),
-        *[F.grouping(c).alias(f"_{c}") for c in columns],
-    )
-    attribute, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for c in columns:
-        here = F.col(f"_{c}") == 0
-        attribute = F.when(here, F.lit(c)).otherwise(attribute)
-        value = F.when(here, F.col(c).cast("string")).otherwise(value)
-    return sets.select(
-        attribute.alias("attribute"),
-        value.alias("value"),
-        "total_customers",
-        "churned_customers",
-        ratio(F.col("churned_customers"), F.col("total_customers")).alias("churn_rate"),
+    flags = {f"_{c}": f"grouping({c})" for c in columns}
+    sums = {"total_customers": "sum(n)", "churned_customers": "sum(gone)"}
+    sets = cells.groupingSets([[key] for key in keys], *keys).agg(*named(sums | flags))
+    return sets.selectExpr(
+        "CASE " + " ".join(f"WHEN _{c} = 0 THEN '{c}'" for c in columns) + " END AS attribute",
+        "CASE " + " ".join(f"WHEN _{c} = 0 THEN CAST({c} AS STRING)" for c in columns) + " END AS value",
+        *sums,
+        f"{ratio('churned_customers', 'total_customers')} AS churn_rate",
     )
 
 
 def payment_by_paperless(model: DataFrame) -> DataFrame:
     out = evaluate(model, ["total_customers", "churn_rate"], ["PaymentMethod", "PaperlessBilling"])
-    whole = F.sum("total_customers").over(Window.partitionBy("PaymentMethod"))
-    return out.withColumn("share", ratio(F.col("total_customers"), whole))
+    whole = "sum(total_customers) OVER (PARTITION BY PaymentMethod)"
+    return out.selectExpr("*", f"{ratio('total_customers', whole)} AS share")
 
 
 def decomposition(model: DataFrame) -> DataFrame:
@@ -172,20 +161,20 @@ def decomposition(model: DataFrame) -> DataFrame:
     combination is listed once for itself and once per category.
     """
     cells = sums_by(model, ["ContractType", "PaymentMethod", "ServiceMask"], ["n"])
-    whole = F.array(F.struct(F.lit("").alias("ServiceCategory")))
-    listed = F.concat(whole, credited_services(service_mask(), ["ServiceCategory"]))
-    rows = cells.select("ContractType", "PaymentMethod", "n", F.inline(listed))
+    listed = f"concat(array(struct('' AS ServiceCategory)), {credited_services(service_mask(), ['ServiceCategory'])})"
+    rows = cells.selectExpr("ContractType", "PaymentMethod", "n", f"inline({listed})")
     keys = ["ContractType", "PaymentMethod", "ServiceCategory"]
     rolled = rows.rollup(*keys).agg(
-        F.sum("n").alias("_listed"),
-        F.sum(F.when(F.col("ServiceCategory") == "", F.col("n"))).alias("_own"),
-        sum((F.grouping(key) for key in keys[1:]), F.grouping(keys[0])).alias("_open"),
+        *named(
+            {
+                "_listed": "sum(n)",
+                "_own": "sum(CASE WHEN ServiceCategory = '' THEN n END)",
+                "_open": " + ".join(f"grouping({key})" for key in keys),
+            }
+        )
     )
-    leaf = F.col("_open") == 0
-    return rolled.filter(~leaf | (F.col("ServiceCategory") != "")).select(
-        (3 - F.col("_open")).alias("level"),
-        *keys,
-        F.when(leaf, F.col("_listed")).otherwise(F.col("_own")).alias("total_customers"),
+    return rolled.filter("_open > 0 OR ServiceCategory <> ''").selectExpr(
+        "3 - _open AS level", *keys, "if(_open = 0, _listed, _own) AS total_customers"
     )
 
 
@@ -215,18 +204,19 @@ def service_contract_matrix(model: DataFrame) -> DataFrame:
     """Churn rate per service and contract with totals. The total row is every customer
     of the column, not the sum of its services, which share customers."""
     cells = sums_by(model, ["ContractType", "ServiceMask"], ["n", "gone"])
-    whole = F.array(F.struct(F.lit("Total").alias("ServiceName")))
-    listed = F.concat(whole, credited_services(service_mask(), ["ServiceName"]))
-    rows = cells.select("ContractType", "n", "gone", F.inline(listed))
-    cube = rows.cube("ServiceName", "ContractType").agg(
-        F.sum("n").alias("n"),
-        F.sum("gone").alias("gone"),
-        F.grouping("ServiceName").alias("_all_services"),
-        F.grouping("ContractType").alias("_all_contracts"),
-    )
-    column = F.when(F.col("_all_contracts") == 1, "All").otherwise(F.col("ContractType"))
-    rates = cube.filter(F.col("_all_services") == 0).select(
-        "ServiceName", column.alias("_column"), ratio(F.col("gone"), F.col("n")).alias("rate")
+    listed = f"concat(array(struct('Total' AS ServiceName)), {credited_services(service_mask(), ['ServiceName'])})"
+    rows = cells.selectExpr("ContractType", "n", "gone", f"inline({listed})")
+    sums = {
+        "n": "sum(n)",
+        "gone": "sum(gone)",
+        "_all_services": "grouping(ServiceName)",
+        "_all_contracts": "grouping(ContractType)",
+    }
+    cube = rows.cube("ServiceName", "ContractType").agg(*named(sums))
+    rates = cube.filter("_all_services = 0").selectExpr(
+        "ServiceName",
+        "if(_all_contracts = 1, 'All', ContractType) AS _column",
+        f"{ratio('gone', 'n')} AS rate",
     )
     wide = rates.groupBy("ServiceName").pivot("_column", [*schemas.CONTRACTS, "All"]).agg(F.first("rate"))
     return wide.toDF("ServiceName", "month_to_month", "one_year", "two_year", "total")
@@ -234,8 +224,7 @@ def service_contract_matrix(model: DataFrame) -> DataFrame:
 
 def addon_distribution(model: DataFrame) -> DataFrame:
     """Customers by premium add-ons held; those with none show as 0."""
-    filled = model.withColumn("addon_count", F.coalesce("addon_count", F.lit(0)))
-    return filled.groupBy("addon_count").agg(F.count(F.lit(1)).alias("total_customers"))
+    return aggregate(model, {"addon_count": "coalesce(addon_count, 0)"}, total_customers="count(1)")
 
 
 def adoption_vs_churn(model: DataFrame) -> DataFrame:
@@ -254,7 +243,8 @@ def revenue_share_by_payment(model: DataFrame) -> DataFrame:
     """The share's total is a scalar subquery, so no window gathers the groups."""
     out = evaluate(model, ["monthly_revenue"], ["PaymentMethod"])
     whole = model.agg(F.sum("MonthlyCharges")).scalar()
-    return out.withColumn("share", ratio(F.col("monthly_revenue"), whole))
+    shared = out.withColumn("_whole", whole)
+    return shared.selectExpr(*out.columns, f"{ratio('monthly_revenue', '_whole')} AS share")
 
 
 def cltv_by_contract(model: DataFrame) -> DataFrame:
@@ -269,14 +259,14 @@ def risk_by_reason(model: DataFrame) -> DataFrame:
 
 def score_vs_cltv(model: DataFrame) -> DataFrame:
     """One point per fact row: a projection, nothing gathered."""
-    return model.select(
+    return model.selectExpr(
         "ChurnKey",
         "ChurnScore",
         "CLTV",
         "ChurnLabel",
         "MonthlyCharges",
         "TenureMonths",
-        score_status(F.col("ChurnScore")).alias("score_status"),
+        f"{score_status('ChurnScore')} AS score_status",
     )
 
 

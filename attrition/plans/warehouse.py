@@ -42,6 +42,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, source: str, root: str):
         self.spark, self.source, self.root = spark, source, root
         self._paths: dict[str, str] = {}
+        self._frames: dict[str, DataFrame] = {}
         self.seconds: dict[str, float] = {}
 
     def adopt(self, other: Warehouse, layers: list[str]) -> None:
@@ -53,7 +54,9 @@ class Warehouse:
     def __getitem__(self, layer: str) -> DataFrame:
         if layer not in self._paths:
             self.build(layer)
-        return self.spark.read.parquet(self._paths[layer])
+        if layer not in self._frames:
+            self._frames[layer] = self.spark.read.parquet(self._paths[layer])
+        return self._frames[layer]
 
     def build(self, layer: str) -> None:
         frame = _BUILDERS[layer](self)
@@ -62,6 +65,7 @@ class Warehouse:
         landing.write_table(frame, path)
         self.seconds[layer] = time.monotonic() - start
         self._paths[layer] = path
+        self._frames.pop(layer, None)
 
     def build_all(self) -> None:
         """Full reload: dimensions before the facts that look their keys up."""

@@ -12,13 +12,13 @@ from attrition.functions.cleansing import bit, one_line
 def build_feed(silver: DataFrame) -> DataFrame:
     columns = []
     for alias, source in schemas.FEED_COLUMNS.items():
-        value = F.col(source)
+        value = source
         if source in schemas.FLAG_COLUMNS:
-            value = bit(value)
+            value = bit(source)
         elif source in schemas.TEXT_WIDTHS and alias != "id":
-            value = one_line(value)
-        columns.append(value.alias(alias))
-    return silver.select(*columns)
+            value = one_line(source)
+        columns.append(f"{value} AS {alias}")
+    return silver.selectExpr(*columns)
 
 
 def write_feed(feed: DataFrame, path: str) -> int:

@@ -6,9 +6,9 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from attrition.functions.cleansing import utf16_length
+from attrition.functions.sql import aggregate, named
 
 
 def read_raw(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
@@ -36,28 +36,20 @@ def snake_headers(df: DataFrame) -> DataFrame:
 
 
 def stringify(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{name}`").cast("string").alias(name) for name in df.columns])
+    return df.selectExpr(*[f"CAST(`{name}` AS STRING) AS `{name}`" for name in df.columns])
 
 
 def width_profile(df: DataFrame) -> DataFrame:
     """Longest text per column, at least 1, from a single aggregation."""
-    widths = df.agg(
-        *[
-            F.greatest(F.coalesce(F.max(utf16_length(F.col(f"`{name}`"))), F.lit(1)), F.lit(1))
-            .cast("bigint")
-            .alias(name)
-            for name in df.columns
-        ]
-    )
+    longest = {name: f"CAST(greatest(max({utf16_length(f'`{name}`')}), 1) AS BIGINT)" for name in df.columns}
+    widths = df.agg(*named(longest))
     return widths.unpivot([], [f"`{name}`" for name in df.columns], "column", "max_len")
 
 
 def landing_check(bronze: DataFrame) -> DataFrame:
     """Row and customer counts. Grouping by id first lets a hot id collapse before the shuffle."""
-    per_id = bronze.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_id.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"), F.count("customer_id").alias("distinct_customers")
-    )
+    per_id = aggregate(bronze, ["customer_id"], n="count(1)")
+    return aggregate(per_id, [], total_rows="coalesce(sum(n), 0)", distinct_customers="count(customer_id)")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
