@@ -141,6 +141,7 @@ def answer_lines(facts: DataFrame) -> DataFrame:
     """(bit, position, line) for every line an intent contributes."""
     first = "get(reasons, 0)"
     leading = f"array_join(transform(reasons, r -> concat(r.reason, ' (', {_whole('r.n')}, ')')), ' · ')"
+    # The sentences of the answers.
     cause = f"if(size(reasons) > 0, {_text('top reason **{}**', f'{first}.reason')}, 'no churners in view')"
     lines = [
         (

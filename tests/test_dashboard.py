@@ -2,7 +2,6 @@
 
 from decimal import Decimal
 
-import frames
 import pytest
 from frames import churn, feed, one, pairs
 from pyspark.sql import functions as F
