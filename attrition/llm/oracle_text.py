@@ -23,6 +23,57 @@ FROM keyed LEFT JOIN firsts USING (key)
 GROUP BY doc_id
 """
 
+WORDS = f"regexp_extract_all(translate(text, {ABC}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+OP5 = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce({WORDS}, []) AS words FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item_id, {WORDS} AS words FROM benchmark WHERE text IS NOT NULL
+), asked AS (
+  SELECT item_id, first, words[first:first + 12] AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS first FROM items WHERE len(words) > 0)
+), widths AS (
+  SELECT DISTINCT len(win) AS width FROM asked
+), grams AS (
+  SELECT doc_id, pos, width, words[pos:pos + width - 1] AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM docs) CROSS JOIN widths
+  WHERE pos + width - 1 <= len(words)
+), hits AS (
+  SELECT DISTINCT doc_id, pos, width, item_id FROM grams JOIN asked USING (win)
+), inside AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + width)) AS place FROM hits) GROUP BY doc_id
+), held AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+), places AS (
+  SELECT doc_id, words[pos] AS word, pos FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM docs)
+), totals AS (
+  SELECT word, count(*) AS n FROM places GROUP BY word
+), parts AS (
+  SELECT item_id, first, place, win[place] AS word, coalesce(n, 0) AS n
+  FROM (SELECT item_id, first, win, unnest(range(1, len(win) + 1)) AS place FROM asked) LEFT JOIN totals ON totals.word = win[place]
+), rarest AS (
+  SELECT item_id, first, arg_min(word, n * 100 + place) AS word, count(DISTINCT word) AS n_words
+  FROM parts GROUP BY item_id, first HAVING min(n) > 0
+), anchors AS (
+  SELECT item_id, first, n_words, doc_id, pos FROM rarest JOIN places USING (word)
+), near AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_near_items FROM (
+    SELECT a.doc_id, a.item_id, a.first, a.pos
+    FROM anchors a JOIN parts p ON a.item_id = p.item_id AND a.first = p.first
+    JOIN places q ON q.doc_id = a.doc_id AND q.word = p.word AND abs(q.pos - a.pos) <= 17
+    GROUP BY a.doc_id, a.item_id, a.first, a.pos, a.n_words HAVING count(DISTINCT p.word) = a.n_words
+  ) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated,
+       coalesce(n_near_items, 0) AS n_near_items
+FROM docs LEFT JOIN inside USING (doc_id) LEFT JOIN held USING (doc_id) LEFT JOIN near USING (doc_id)
+"""
+
 OP10 = f"""
 WITH parts AS (
   SELECT page_id, contains(url, '://') AS ok, substr(url, instr(url, '://') + 3) AS rest FROM pages
@@ -78,4 +129,4 @@ SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.5 THEN
 FROM shaped JOIN (SELECT host, shape, template, purity FROM named JOIN judged USING (host, parent, template)) USING (host, shape)
 """
 
-TEXTS = {"op2_line_dedup": OP2, "op10_url_filter": OP10}
+TEXTS = {"op2_line_dedup": OP2, "op5_decontaminate": OP5, "op10_url_filter": OP10}

@@ -2,25 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import line_dedup, oracle_text, url_filter
+from attrition.llm import decontaminate, line_dedup, oracle_text, secret_scan, token_store, url_filter
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _digest(spans: Column) -> Column:
+    """Spans as text: kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_documents(_table(spark, sf_dir, "documents"))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(secret_scan.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in secret_scan.BASE_KINDS],
+        F.sha2(_digest(base), 256).alias("base_sha256"),
+        _digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     applied = line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs))
     return applied.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.judged(found).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = token_store.new_target(spark)
+    token_store.write_tokens(_table(spark, sf_dir, "documents"), target, TOKENIZER)
+    return token_store.read_tokens(spark, target)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_dedup, op10_url_filter)}
+QUERIES = {
+    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op5_decontaminate, op8_token_store, op10_url_filter)
+}
 ORACLES = oracle_text.TEXTS
