@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import decontaminate, line_dedup, oracle_text, secret_scan, token_store, url_filter
+from attrition.llm import decontaminate, line_dedup, oracle_text, secret_scan, simhash, token_store, url_filter
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,6 +41,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applied.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found).select(
@@ -65,6 +71,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op5_decontaminate, op8_token_store, op10_url_filter)
+    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_simhash, op5_decontaminate, op8_token_store, op10_url_filter)
 }
 ORACLES = oracle_text.TEXTS
