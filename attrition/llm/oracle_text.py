@@ -129,4 +129,23 @@ SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.5 THEN
 FROM shaped JOIN (SELECT host, shape, template, purity FROM named JOIN judged USING (host, parent, template)) USING (host, shape)
 """
 
-TEXTS = {"op2_line_dedup": OP2, "op5_decontaminate": OP5, "op10_url_filter": OP10}
+OP9 = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
+  WHERE list_inner_product(x.v, y.v) / sqrt(list_inner_product(x.v, x.v) * list_inner_product(y.v, y.v)) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links,
+       min(reach.b) AS component_id, e.vec_id = min(reach.b) AS kept
+FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
+"""
+
+TEXTS = {"op9_vector_dedup": OP9, "op2_line_dedup": OP2, "op5_decontaminate": OP5, "op10_url_filter": OP10}

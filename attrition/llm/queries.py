@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import decontaminate, line_dedup, oracle_text, secret_scan, simhash, token_store, url_filter
+from attrition.llm import decontaminate, language_id, line_dedup, oracle_text, quality, secret_scan, simhash, token_store, url_filter, vector_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -47,6 +47,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.judged(found).select(
@@ -60,17 +64,25 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = token_store.new_target(spark)
     token_store.write_tokens(_table(spark, sf_dir, "documents"), target, TOKENIZER)
     return token_store.read_tokens(spark, target)
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_simhash, op5_decontaminate, op8_token_store, op10_url_filter)
+    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_simhash, op4_language_id, op5_decontaminate, op7_quality, op8_token_store, op9_vector_dedup, op10_url_filter)
 }
 ORACLES = oracle_text.TEXTS

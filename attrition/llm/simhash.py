@@ -72,7 +72,7 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
         F.col("fingerprint").bitwiseXOR(F.col("mask")).alias("variant"),
         *([] if inner == outer else [(F.bit_count("mask") <= inner).alias("inner")]),
     )
-    member = F.col("fingerprint") if inner == outer else F.when("inner", F.col("fingerprint"))
+    member = F.col("fingerprint") if inner == outer else F.when(F.col("inner"), F.col("fingerprint"))
     hub = F.min(member).over(Window.partitionBy("variant"))
     met = emitted.select("fingerprint", hub.alias("hub")).where("hub <> fingerprint")
     pairs = met.select(F.greatest("hub", "fingerprint").alias("a"), F.least("hub", "fingerprint").alias("b")).distinct()
