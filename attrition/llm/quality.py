@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attrition.llm.scratch import held_out
 
@@ -154,9 +155,15 @@ def votes(counts: np.ndarray, model: dict) -> np.ndarray:
     return np.clip(np.where((whole > 0) & counts.any(axis=1), share, model["prior"]), 0, 1)
 
 
-def score(docs: DataFrame, model: dict | None) -> DataFrame:
-    """``doc_id, score`` of every row's whole text; a text without features has the labels' share of 1, or 0.5 without a model."""
+def score(docs: DataFrame, model: dict | None, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``, the score of each row's whole text; a column of that name is replaced.
+
+    A text without features has the labels' share of 1, every text 0.5 without a model.
+    Rows are scored where they are: nothing is shuffled.
+    """
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
@@ -166,11 +173,11 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
                 if fitted is None:
                     found = np.full(part.num_rows, 0.5)
                 else:
-                    found = votes(np.stack([describe(t.as_py() or b"") for t in part.column(1)]), fitted)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], ["doc_id", "score"])
+                    texts = part.column(part.schema.get_field_index("text")).cast(pa.binary())
+                    found = votes(np.stack([describe(t.as_py() or b"") for t in texts]), fitted)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, name])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, score double")
+    return docs.mapInArrow(run, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -178,7 +185,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     Null and empty texts are scored too, repeated rows alike; an empty table gives no rows.
     """
-    found = score(docs, fit(docs, labels))
+    found = score(docs.select("doc_id", "text"), fit(docs, labels))
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )

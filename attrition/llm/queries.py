@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import decontaminate, language_id, line_dedup, oracle_text, quality, secret_scan, simhash, token_store, url_filter, vector_dedup
+from attrition.llm import decontaminate, language_id, line_dedup, mixing, oracle_text, quality, secret_scan, simhash, token_store, url_filter, vector_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -64,6 +64,34 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The mix that the query and the pipeline ask for: one crawl and two groups of smaller sources.
+DOMAIN = (
+    "CASE WHEN source = 'src0' THEN 'crawl' WHEN source IN ('src1', 'src2', 'src3', 'src4', 'src5') THEN 'reference'"
+    " WHEN source IS NOT NULL THEN 'forum' END"
+)
+WEIGHTS = {
+    ("crawl",): 3,
+    ("reference",): 4,
+    ("forum",): 5,
+    ("crawl", "en"): 5,
+    ("crawl", "de"): 2,
+    ("crawl", "fr"): 2,
+    ("reference", "en"): 4,
+    ("forum", "en"): 6,
+    ("forum", "fr"): 2,
+    ("reference", "en", "src1"): 3,
+    ("forum", "en", "src6"): 2,
+}
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, WEIGHTS, F.expr(DOMAIN), share=1.0, epochs=2, seed=42)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -83,6 +111,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_secret_scan, op2_line_dedup, op3_simhash, op4_language_id, op5_decontaminate, op7_quality, op8_token_store, op9_vector_dedup, op10_url_filter)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_line_dedup,
+        op3_simhash,
+        op4_language_id,
+        op5_decontaminate,
+        op6_mixing,
+        op7_quality,
+        op8_token_store,
+        op9_vector_dedup,
+        op10_url_filter,
+    )
 }
 ORACLES = oracle_text.TEXTS

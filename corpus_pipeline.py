@@ -1,5 +1,77 @@
-"""Placeholder until the stages are in."""
-STAGES = []
+"""From raw documents to token files: each stage works on all rows the one before kept.
+
+Stages take the table before them and return its columns; the last returns the
+tokens' place of every document it wrote. ``doc_id`` names a document: rows that
+share one share its verdict, and after the second stage there is one row for
+each. A null id is an id like others. Empty tables pass through.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from attrition.llm import decontaminate, quality, simhash, token_store
+from attrition.llm.queries import TOKENIZER, mixed
+from attrition.llm.scratch import store
+
+
+def _by_id(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``marks`` on equal, or both null, ids."""
+    marks = marks.withColumnRenamed("doc_id", "_doc_id")
+    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["_doc_id"]), how).drop("_doc_id")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier accepts."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model, "_score").where(F.col("_score") >= quality.THRESHOLD).drop("_score")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    found = simhash.near_duplicates(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
+    rows = _by_id(docs, kept, "left_semi").withColumn("_row", F.row_number().over(same))
+    return rows.where("_row = 1").drop("_row")
+
+
+def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the contamination rule clears."""
+    found = decontaminate.find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _by_id(docs, decontaminate.judged(found).where("contaminated").select("doc_id"), "left_anti")
+
+
+def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many rows of a document as epochs take it; one that a last epoch takes only in part is taken whole."""
+    taken = mixed(docs).withColumn("_times", F.col("copies") + (F.col("prefix_tokens") > 0).cast("long"))
+    times = taken.groupBy("doc_id").agg(F.max("_times").alias("_times")).where("_times > 0")
+    rows = _by_id(docs, times, "inner").withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    return rows.select(docs.columns)
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' ids in bit-plane files, and where each document's are."""
+    target = token_store.new_target(spark)
+    token_store.write_tokens(docs, target, TOKENIZER)
+    return token_store.read_tokens(spark, target)
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("simhash near-dedup", one_of_each),
+    ("benchmark decontamination", clean_of_benchmark),
+    ("mixing to target weights", to_weights),
+    ("token files", token_files),
+]
+# Neither a classifier, nor XXH64, nor a tokenizer can be had in SQL: tests compare with a plain version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's rows are written as Parquet and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
