@@ -18,14 +18,14 @@ from attrition.llm.scratch import store
 
 def _by_id(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     """``docs`` joined with ``marks`` on equal, or both null, ids."""
-    marks = marks.withColumnRenamed("doc_id", "_doc_id")
-    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["_doc_id"]), how).drop("_doc_id")
+    marks = marks.withColumnRenamed("doc_id", "__mark_id")
+    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["__mark_id"]), how).drop("__mark_id")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts."""
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, "_score").where(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    return quality.score(docs, model, "__score").where(F.col("__score") >= quality.THRESHOLD).drop("__score")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
-    rows = _by_id(docs, kept, "left_semi").withColumn("_row", F.row_number().over(same))
-    return rows.where("_row = 1").drop("_row")
+    rows = _by_id(docs, kept, "left_semi").withColumn("__row", F.row_number().over(same))
+    return rows.where("__row = 1").drop("__row")
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +45,9 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many rows of a document as epochs take it; one that a last epoch takes only in part is taken whole."""
-    taken = mixed(docs).withColumn("_times", F.col("copies") + (F.col("prefix_tokens") > 0).cast("long"))
-    times = taken.groupBy("doc_id").agg(F.max("_times").alias("_times")).where("_times > 0")
-    rows = _by_id(docs, times, "inner").withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+    taken = mixed(docs).withColumn("__times", F.col("copies") + (F.col("prefix_tokens") > 0).cast("long"))
+    times = taken.groupBy("doc_id").agg(F.max("__times").alias("__times")).where("__times > 0")
+    rows = _by_id(docs, times, "inner").withColumn("__epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
     return rows.select(docs.columns)
 
 
