@@ -74,12 +74,12 @@ def duplicate_keys(tables: dict[str, DataFrame], keys: dict[str, list[str]] = PR
     return _union(found)
 
 
-def orphan_rows(tables: dict[str, DataFrame]) -> DataFrame:
+def orphan_rows(tables: dict[str, DataFrame], keys: list[tuple[str, str, str]] = FOREIGN_KEYS) -> DataFrame:
     """Child rows without a parent. Children collapse to one row per key before the join."""
     found = []
-    for child, column, parent in FOREIGN_KEYS:
-        keys = aggregate(tables[child], [column], n="count(1)").filter(f"{column} IS NOT NULL")
-        lost = aggregate(keys.join(tables[parent], column, "left_anti"), [], orphans="coalesce(sum(n), 0)")
+    for child, column, parent in keys:
+        rows = aggregate(tables[child], [column], n="count(1)").filter(f"{column} IS NOT NULL")
+        lost = aggregate(rows.join(tables[parent], column, "left_anti"), [], orphans="coalesce(sum(n), 0)")
         found.append(lost.selectExpr(f"'{child}' AS table", f"'{column}' AS column", f"'{parent}' AS parent", "orphans"))
     return _union(found)
 
@@ -89,14 +89,14 @@ def _per_column(df: DataFrame, tests: dict[str, str], label: str) -> DataFrame:
     return one.unpivot([], [f"`{name}`" for name in tests], "column", label)
 
 
-def missing_values(tables: dict[str, DataFrame]) -> DataFrame:
+def missing_values(tables: dict[str, DataFrame], required: dict[str, list[str]] = REQUIRED) -> DataFrame:
     """NULLs in required columns, one pass per table."""
     return _union(
         [
             _per_column(tables[name], {c: f"{c} IS NULL" for c in columns}, "nulls").select(
                 F.lit(name).alias("table"), "column", "nulls"
             )
-            for name, columns in REQUIRED.items()
+            for name, columns in required.items()
         ]
     )
 
@@ -130,7 +130,33 @@ def too_wide(silver: DataFrame) -> DataFrame:
 
 
 def require_clean(report: DataFrame, column: str) -> None:
-    """Raise when a report shows a violation; reports hold one row per rule."""
-    bad = report.filter(F.col(column) > 0).limit(20).collect()
+    """Raise when a report shows a violation; reports hold one row per rule, so all of them are shown."""
+    bad = report.filter(F.col(column) > 0).collect()
     if bad:
         raise ValueError("expectations failed: " + "; ".join(str(row.asDict()) for row in bad))
+
+
+def verify(layer: str, tables: dict[str, DataFrame]) -> None:
+    """Raise if a written layer breaks a constraint of its table: required values, primary and foreign keys."""
+    if layer == "silver":
+        require_clean(missing_ids(tables["silver"]), "missing_ids")
+        require_clean(contract_gaps(tables["silver"]), "nulls")
+    if layer in PRIMARY_KEYS:
+        require_clean(missing_values({layer: tables[layer]}, {layer: REQUIRED[layer]}), "nulls")
+        require_clean(duplicate_keys({layer: tables[layer]}, {layer: PRIMARY_KEYS[layer]}), "repeated_keys")
+    children = [key for key in FOREIGN_KEYS if key[0] == layer]
+    if children:
+        require_clean(orphan_rows(tables, children), "orphans")
+
+
+def load_loss(silver: DataFrame, fact_churn: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Facts the typed rows call for, one for each dimension row of their customer, next to those there are."""
+    spark = silver.sparkSession
+    rows = aggregate(silver, ["customer_id"], n="count(1)")
+    held = aggregate(dim_customer, ["CustomerID"], d="count(1)")
+    due = rows.join(held, F.col("customer_id") == F.col("CustomerID"), "left").agg(
+        F.coalesce(F.sum(F.col("n") * F.coalesce("d", F.lit(1))), F.lit(0)).alias("due")
+    )
+    facts = fact_churn.agg(F.count(F.lit(1)).alias("facts"))
+    counts = spark.range(1).select(due.scalar().alias("due"), facts.scalar().alias("facts"))
+    return counts.withColumn("lost", F.col("due") - F.col("facts"))

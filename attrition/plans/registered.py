@@ -93,8 +93,21 @@ def raw_headers(bronze: DataFrame) -> DataFrame:
 
 def read_raw(w: Warehouse) -> DataFrame:
     path = scratch(w.spark, "raw")
-    writer = w["bronze"].write.option("header", "true").option("escape", '"')
+    _write_csv(w["bronze"], path)
+    return landing.read_raw(w.spark, path)
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    writer = df.write.option("header", "true").option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+
+
+def read_raw_cells(w: Warehouse) -> DataFrame:
+    """Free text with quotes, commas, line ends and blanks at the edges, through a text file and back."""
+    path = scratch(w.spark, "cells")
+    turns = w.spark.read.parquet(f"{w.source}/conversations.parquet")
+    cell = """concat(' said "', role, '", then:\n', coalesce(text, ''), ',"" ')"""
+    _write_csv(turns.selectExpr("CAST(conv_id AS STRING) AS conv_id", "CAST(turn AS STRING) AS turn", f"{cell} AS cell"), path)
     return landing.read_raw(w.spark, path)
 
 
@@ -266,7 +279,7 @@ def answered_suggestions(w: Warehouse) -> DataFrame:
 
 
 def _number() -> Column:
-    return F.substring("customer_id", 2, 9).cast("bigint")
+    return F.expr("CAST(substring(customer_id, 2) AS BIGINT)")
 
 
 def before_batch(w: Warehouse) -> DataFrame:
@@ -341,6 +354,7 @@ def _column(layer: str, key: str, name: str, derived: str) -> Callable[[Warehous
 
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "b1_read_raw": read_raw,
+    "b1_read_raw_cells": read_raw_cells,
     "b2_snake_headers": lambda w: landing.snake_headers(raw_headers(w["bronze"])),
     "b3_width_profile": _on_layer("bronze", landing.width_profile),
     "b4_stringify": stringified,
@@ -383,6 +397,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v6_orphan_rows": lambda w: checks.orphan_rows(tables(w, STAR)),
     "v7_missing_values": lambda w: checks.missing_values(tables(w, STAR)),
     "v7_contract_gaps": _on_layer("silver", checks.contract_gaps),
+    "v7_load_loss": lambda w: checks.load_loss(w["silver"], w["fact_churn"], w["dim_customer"]),
     "v8_reconcile": lambda w: checks.reconcile(checks.layer_counts(tables(w, COUNTED_LAYERS)), EXPECTED_ROWS),
     "d1_internet_tier": _column("feed", "id", "tier", derive.internet_tier("internet")),
     "d2_is_subscribed": service_flags,

@@ -10,7 +10,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.operators import gold, silver
+from attrition.operators import checks, gold, silver
 from attrition.session import shared_dir
 from attrition.sources import feed, landing, subscribers
 
@@ -66,6 +66,8 @@ class Warehouse:
         self.seconds[layer] = time.monotonic() - start
         self._paths[layer] = path
         self._frames.pop(layer, None)
+        parents = {parent for child, _, parent in checks.FOREIGN_KEYS if child == layer}
+        checks.verify(layer, {name: self[name] for name in [layer, *sorted(parents)]})
 
     def build_all(self) -> None:
         """Full reload: dimensions before the facts that look their keys up."""

@@ -11,10 +11,16 @@ from attrition.functions.cleansing import utf16_length
 from attrition.functions.sql import aggregate, named
 
 
-def read_raw(spark: SparkSession, path: str, kind: str = "csv") -> DataFrame:
-    """One header row plus data rows, every column text and blank cells NULL; or a parquet table as is."""
+def read_raw(spark: SparkSession, path: str, kind: str = "csv", multiline: bool = True) -> DataFrame:
+    """One header row plus data rows, every column text and blank cells NULL; or a parquet table as is.
+
+    A quote inside a quoted cell is doubled, as spreadsheets write it. With ``multiline`` a
+    cell may hold line ends; such a file is read by one task, so a large landing should
+    be many files, or be read with ``multiline=False`` where no cell holds one.
+    """
     if kind == "csv":
-        return spark.read.csv(path, header=True, inferSchema=False)
+        reader = spark.read.option("header", "true").option("quote", '"').option("escape", '"')
+        return reader.option("multiLine", multiline).option("inferSchema", "false").csv(path)
     return spark.read.format(kind).load(path)
 
 

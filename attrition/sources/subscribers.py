@@ -27,9 +27,9 @@ base AS (
     o.o_orderpriority AS pri, COALESCE(h.bits, 0) AS bits,
     LEAST(72, 24020 - (year(o.o_orderdate) * 12 + month(o.o_orderdate))) AS ten,
     1825 + (CAST(ROUND(o.o_totalprice * 100) AS BIGINT) % 10051) AS cents,
-    (o.o_orderkey * 7919 + 104729) % 100 AS h,
-    (o.o_orderkey * 104729 + 7919) % 1009 AS h2,
-    (o.o_orderkey * 31 + 7) % 20 AS cb
+    (o.o_orderkey % 100 * 7919 + 104729) % 100 AS h,
+    (o.o_orderkey % 1009 * 104729 + 7919) % 1009 AS h2,
+    (o.o_orderkey % 20 * 31 + 7) % 20 AS cb
   FROM {orders} o
   LEFT JOIN held h ON h.l_orderkey = o.o_orderkey
   JOIN place p ON o.o_custkey = p.c_custkey
@@ -42,7 +42,7 @@ sub AS (
   FROM base
 )
 SELECT
-  'S' || lpad(CAST(k AS STRING), 9, '0') AS customer_id,
+  'S' || lpad(CAST(k AS STRING), greatest(9, length(CAST(k AS STRING))), '0') AS customer_id,
   '1' AS `count`,
   rname AS country,
   nname AS state,

@@ -1,5 +1,6 @@
 """DuckDB text of the medallion layers, shared as a CTE prefix by every oracle."""
 
+# Column names of the typed layer.
 TEXT = [
     "country", "state", "city", "zip_code", "lat_long", "gender", "multiple_lines", "internet_service",
     "online_security", "online_backup", "device_protection", "tech_support", "streaming_tv", "streaming_movies",
@@ -25,7 +26,7 @@ base AS (SELECT o.o_orderkey k, c.c_custkey ck, n.n_name nname, r.r_name rname,
  JOIN region r ON n.n_regionkey=r.r_regionkey LEFT JOIN svc ON svc.l_orderkey=o.o_orderkey),
 b2 AS (SELECT *, CASE WHEN cb<11 THEN 'Month-to-month' WHEN cb<15 THEN 'One year' ELSE 'Two year' END con,
   CASE WHEN h < CASE WHEN cb<11 THEN 43 WHEN cb<15 THEN 11 ELSE 3 END THEN 1 ELSE 0 END cv FROM base),
-b3 AS (SELECT 'S' || LPAD(CAST(k AS VARCHAR),9,'0') customer_id, '1' "count", rname country, nname state,
+b3 AS (SELECT 'S' || CASE WHEN k < 1000000000 THEN LPAD(CAST(k AS VARCHAR),9,'0') ELSE CAST(k AS VARCHAR) END customer_id, '1' "count", rname country, nname state,
  nname || '/C' || CAST(ck % 20 AS VARCHAR) city, LPAD(CAST(ck % 100000 AS VARCHAR),5,'0') zip_code,
  CAST(CAST(32 + ck % 10 AS DECIMAL(9,6)) AS VARCHAR) latitude,
  CAST(CAST(-124 + ck % 9 AS DECIMAL(9,6)) AS VARCHAR) longitude,
@@ -120,6 +121,7 @@ def content(columns: list[str]) -> str:
     return " || ".join(parts)
 
 
+# Columns of the star tables.
 CUSTOMER = ["CustomerID", "Gender", "SeniorCitizen", "Partner", "Dependents", "Country", "State", "City", "ZipCode",
             "Latitude", "Longitude"]
 CONTRACT = ["ContractType", "PaperlessBilling", "PaymentMethod"]

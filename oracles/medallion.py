@@ -2,6 +2,7 @@
 
 from oracles.layers import CONTRACT, CUSTOMER, TEXT, content, integer, one_line  # noqa: F401
 
+# Columns of the feed.
 FEED_OUT = """id, gender, CAST(senior AS BIGINT) AS senior, CAST(partner AS BIGINT) AS partner,
  CAST(dep AS BIGINT) AS dep, CAST(tenure AS BIGINT) AS tenure, CAST(phone AS BIGINT) AS phone, mlines, internet, osec,
  oback, dprot, tech, stv, smov, contract, CAST(paper AS BIGINT) AS paper, pay, CAST(monthly AS DOUBLE) AS monthly,
@@ -16,6 +17,7 @@ FLAGS = "senior_citizen, partner, dependents, phone_service, paperless_billing"
 PROFILE = """count(*) AS row_count, count(*) FILTER (churn_label = 'Yes') AS churners,
  count(*) FILTER (total_charges IS NULL) AS new_customers, CAST(min(monthly_charges) AS DOUBLE) AS min_monthly,
  CAST(max(monthly_charges) AS DOUBLE) AS max_monthly"""
+# Declared widths.
 WIDTHS = {
     "customer_id": 10, "country": 50, "state": 50, "city": 100, "zip_code": 10, "lat_long": 50, "gender": 10,
     "multiple_lines": 20, "internet_service": 20, "online_security": 20, "online_backup": 20,
@@ -55,7 +57,7 @@ def orphans(child: str, column: str, parent: str) -> str:
 _PAIR = content(["o_custkey", "o_orderpriority"])
 _LINE = content(["l_returnflag", "l_linestatus"])
 
-NUMBERED = """, numbered AS (SELECT *, CAST(substr(customer_id, 2, 9) AS BIGINT) AS n FROM silver),
+NUMBERED = """, numbered AS (SELECT *, CAST(substr(customer_id, 2) AS BIGINT) AS n FROM silver),
 after_batch AS (SELECT * EXCLUDE (city, cltv), CASE WHEN n % 7 = 0 THEN 'Moved' ELSE city END AS city,
  CAST(CASE WHEN n % 7 = 0 THEN cltv + 3 ELSE cltv END AS BIGINT) AS cltv,
  CAST(CASE WHEN n % 7 = 0 THEN 3 ELSE 1 END AS BIGINT) AS version FROM numbered)
@@ -69,6 +71,8 @@ TEXTS = {
     # A blank cell of a text file lands as NULL.
     "b1_read_raw": """SELECT * REPLACE (nullif(total_charges, '') AS total_charges,
  nullif(churn_reason, '') AS churn_reason) FROM bronze""",
+    "b1_read_raw_cells": """SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn,
+ ' said "' || role || '", then:' || chr(10) || coalesce(text, '') || ',"" ' AS cell FROM conversations""",
     "b2_snake_headers": "SELECT * FROM bronze",
     "b3_width_profile": """SELECT "column", CAST(greatest(w, 1) AS BIGINT) AS max_len FROM
  (UNPIVOT (SELECT max(length(COLUMNS(*))) FROM bronze) ON COLUMNS(*) INTO NAME "column" VALUE w)""",
@@ -154,6 +158,8 @@ TEXTS = {
             for c in ["contract", "paperless_billing", "payment_method"]
         ]
     ),
+    "v7_load_loss": """SELECT (SELECT count(*) FROM silver s LEFT JOIN dim_customer c ON s.customer_id = c.CustomerID) AS due,
+ (SELECT count(*) FROM fact_churn) AS facts, 0::BIGINT AS lost""",
     "v8_reconcile": f""", actual AS ({counts(["bronze", "silver", *STAR])}),
 wanted(layer, expected) AS (VALUES ('dim_customer', 7043), ('dim_contract', 24), ('dim_service', 9),
  ('fact_customer_service', 29202), ('fact_churn', 7043))

@@ -129,9 +129,15 @@ def test_two_addresses_fan_out(spark):
     assert t["dim_customer"].count() == 2 and t["fact_churn"].count() == 4
 
 
-def test_null_contract_is_reported_not_dropped_silently(spark):
+def test_null_contract_or_id_stops_the_load(spark):
     t = frames.star(spark, frames.ids([dict(contract=None), {}]))
-    assert t["fact_churn"].count() == 1
+    with pytest.raises(ValueError, match="contract"):
+        checks.verify("silver", t)
+    with pytest.raises(ValueError, match="ContractType"):
+        checks.verify("dim_contract", t)
+    with pytest.raises(ValueError, match="missing_ids"):
+        checks.verify("silver", {"silver": frames.silver(spark, [dict(customer_id=None), {}])})
+    assert frames.one(checks.load_loss(t["silver"], t["fact_churn"], t["dim_customer"])) == dict(due=2, facts=1, lost=1)
     gaps = frames.pairs(checks.contract_gaps(t["silver"]), "column", "nulls")
     assert gaps == {"contract": 1, "paperless_billing": 0, "payment_method": 0}
     missing = {(r.table, r.column): r.nulls for r in checks.missing_values(t).collect()}
@@ -229,3 +235,54 @@ def test_rebuild_gives_identical_gold(spark):
     first, again = frames.star(spark, rows), frames.star(spark, list(reversed(rows)))
     for name in ("dim_customer", "dim_contract", "fact_churn", "fact_customer_service"):
         assert sorted(map(str, first[name].collect())) == sorted(map(str, again[name].collect()))
+
+
+def test_repeated_bridge_rows_and_orphans_stop_the_load(spark):
+    t = frames.star(spark, [{}, {}])
+    checks.verify("dim_customer", t)
+    checks.verify("fact_churn", t)
+    with pytest.raises(ValueError, match="repeated_keys"):
+        checks.verify("fact_customer_service", t)
+    t["dim_customer"] = t["dim_customer"].limit(0)
+    with pytest.raises(ValueError, match="orphans"):
+        checks.verify("fact_churn", t)
+
+
+def test_every_broken_rule_is_shown(spark):
+    report = spark.range(30).selectExpr("id AS rule", "1 AS nulls")
+    with pytest.raises(ValueError) as error:
+        checks.require_clean(report, "nulls")
+    assert str(error.value).count("'rule'") == 30
+
+
+def test_build_stops_at_the_broken_layer(spark, tmp_path, sf_dir, monkeypatch):
+    from attrition.plans import warehouse
+
+    broken = dict(warehouse._BUILDERS)
+    broken["silver"] = lambda w: frames.silver(spark, frames.ids([dict(payment_method=None), {}]))
+    monkeypatch.setattr(warehouse, "_BUILDERS", broken)
+    w = warehouse.Warehouse(spark, sf_dir, str(tmp_path))
+    with pytest.raises(ValueError, match="payment_method"):
+        w["model"]
+
+
+@pytest.mark.parametrize("shift", [10**9, 10**18])
+def test_long_order_keys_stay_whole(spark, tmp_path, sf_dir, shift):
+    from attrition.sources import subscribers
+
+    for name in subscribers.INPUT_TABLES:
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        keys = {c: F.col(c) + shift for c in table.columns if c in ("o_orderkey", "l_orderkey")}
+        table.withColumns(keys).write.parquet(f"{tmp_path}/{name}.parquet")
+    bronze = subscribers.read_bronze(spark, str(tmp_path))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    assert bronze.select("customer_id").distinct().count() == bronze.count() == orders
+    assert {len(r.customer_id) for r in bronze.select("customer_id").collect()} == {len(str(shift)) + 1}
+
+
+def test_raw_cells_keep_quotes_commas_and_line_ends(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n"say ""hi"", now","two\nlines"\n,"x"\n')
+    assert [tuple(r) for r in landing.read_raw(spark, str(tmp_path / "x.csv")).collect()] == [
+        ('say "hi", now', "two\nlines"),
+        (None, "x"),
+    ]
