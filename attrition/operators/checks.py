@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition import schemas
+from attrition.functions import derive
 from attrition.functions.cleansing import utf16_length
 from attrition.functions.sql import aggregate, named
 from attrition.operators.domains import literal_table
@@ -107,9 +108,26 @@ def contract_gaps(silver: DataFrame) -> DataFrame:
     return _per_column(silver, {c: f"{c} IS NULL" for c in columns}, "nulls")
 
 
-def reconcile(actual: DataFrame, expected: dict[str, int]) -> DataFrame:
+def expected_counts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rows each star table should have, counted on the layers before it in one pass each."""
+    customer = ", ".join(schemas.CUSTOMER_ATTRIBUTES.values())
+    contract = ", ".join(schemas.CONTRACT_ATTRIBUTES.values())
+    held = " + ".join(f"CAST(coalesce({hit}, false) AS INT)" for hit in derive.subscribed().values())
+    counted = {
+        "dim_customer": f"count(DISTINCT struct({customer}))",
+        "dim_contract": f"count(DISTINCT struct({contract}))",
+        "fact_customer_service": f"coalesce(sum({held}), 0)",
+    }
+    spark = silver.sparkSession
+    typed = silver.agg(*named(counted)).unpivot([], list(counted), "layer", "expected")
+    landed = bronze.agg(F.count(F.lit(1)).alias("fact_churn")).unpivot([], ["fact_churn"], "layer", "expected")
+    catalogue = literal_table(spark, ["layer", "expected"], [("dim_service", len(schemas.SERVICES))])
+    return _union([typed, landed, catalogue.selectExpr("layer", "CAST(expected AS BIGINT) AS expected")])
+
+
+def reconcile(actual: DataFrame, expected: DataFrame) -> DataFrame:
     """Expected next to actual row counts; a table on one side only shows NULL on the other."""
-    wanted = literal_table(actual.sparkSession, ["layer", "expected"], list(expected.items()))
+    wanted = expected
     joined = wanted.join(actual, "layer", "full_outer")
     return joined.select(
         "layer",

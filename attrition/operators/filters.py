@@ -138,15 +138,19 @@ def threshold_sweep(model: DataFrame) -> DataFrame:
     )
 
 
+# Partition column of the stored model: the state after "=", so that a blank state is a value like others.
+PARTITION = "StatePart"
+
+
 def visible_rows(rows: DataFrame, entitlements: DataFrame, user: str, state: str = "State") -> DataFrame:
     """Row-level access: ``Executive`` sees all rows, ``Regional`` the listed states, others none."""
-    mine = entitlements.filter(F.col("user") == user)
-    return rows.sparkSession.sql(
-        f"""SELECT * FROM {{rows}} WHERE EXISTS (SELECT 1 FROM {{mine}} WHERE role = 'Executive')
-            OR {state} IN (SELECT state FROM {{mine}} WHERE role = 'Regional')""",
-        rows=rows,
-        mine=mine,
-    )
+    mine = entitlements.filter(F.col("user") == user).select("role", "state").distinct().collect()  # one user's grants
+    if any(r["role"] == "Executive" for r in mine):
+        return rows
+    states = sorted(r["state"] for r in mine if r["role"] == "Regional" and r["state"] is not None)
+    seen = rows.filter(F.col(state).isin(states))
+    # A stored model is partitioned by this: only the folders of the listed states are read.
+    return seen.filter(F.col(PARTITION).isin([f"={name}" for name in states])) if PARTITION in rows.columns else seen
 
 
 def access_summary(model: DataFrame, entitlements: DataFrame) -> DataFrame:
@@ -194,13 +198,18 @@ def service_mask(names: list[str] | None = None, categories: list[str] | None =
     return mask
 
 
+def plain_spec(spec: dict | None) -> dict[str, list]:
+    """Filters as lists of values; ``All`` and None, alone or as a list, filter nothing. An empty list lets nothing pass."""
+    listed = {field: value if isinstance(value, list) else [value] for field, value in (spec or {}).items()}
+    return {field: values for field, values in listed.items() if ALL not in values and values != [None]}
+
+
 def filter_model(model: DataFrame, spec: dict, without: tuple[str, ...] = ()) -> DataFrame:
     """Slicers of the semantic model; a value may be one or a list. Service fields keep a
     customer who holds any matching service, once."""
     services = {}
-    for field, value in spec.items():
-        values = value if isinstance(value, list) else [value]
-        if field in without or values == [ALL]:
+    for field, values in plain_spec(spec).items():
+        if field in without:
             continue
         if field in ("ServiceName", "ServiceCategory"):
             services[field] = values

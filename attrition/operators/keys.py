@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Copies of one row that are numbered together; part of the rule that decides key values.
 COPIES_PER_ROW = 10_000
 
 
@@ -48,12 +49,13 @@ def with_key(
             .selectExpr("*", f"explode(sequence(0L, (_copies - 1) div {COPIES_PER_ROW})) AS _run")
             .selectExpr("*", f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n")
         )
-    rows = rows.selectExpr("*", f"{content_key(columns)} AS _key").selectExpr(
+    # The content text decides the bucket and is dropped: only the columns themselves are shuffled and sorted.
+    key = content_key(columns)
+    rows = rows.selectExpr(
         *kept,
-        "_key",
         "_run",
         "_n",
-        f"substring(md5(CASE WHEN _run = 0 THEN _key ELSE concat(_key, '#', _run) END), 1, {digits}) AS _bucket",
+        f"substring(md5(CASE WHEN _run = 0 THEN {key} ELSE concat({key}, '#', _run) END), 1, {digits}) AS _bucket",
     )
     sizes = rows.groupBy("_bucket").agg(F.expr("sum(_n) AS _size"))
     offsets = sizes.selectExpr(
@@ -61,7 +63,8 @@ def with_key(
         """coalesce(sum(_size) OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
         AS _offset""",
     )
-    inside = "(PARTITION BY _bucket ORDER BY _key, _run ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    order = ", ".join(f"`{c}`" for c in columns)
+    inside = f"(PARTITION BY _bucket ORDER BY {order}, _run ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     numbered = rows.selectExpr("*", f"{'count(1)' if distinct else 'sum(_n)'} OVER {inside} AS _last")
     # One row per bucket: the broadcast side is bounded by 16 ** digits.
     placed = numbered.join(F.broadcast(offsets), "_bucket")

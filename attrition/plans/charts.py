@@ -124,17 +124,12 @@ def payment_mix(rows: DataFrame) -> DataFrame:
 
 def zip_centroids(rows: DataFrame) -> DataFrame:
     """Mean position of each zip; a missing coordinate counts as 0."""
+    # By place first, which hashes; the smallest names are then taken from few rows.
+    sums = {"lat": total_of("lat"), "lng": total_of("lng"), "n": "count(1)", "churned": f"count_if({CHURNED})"}
+    sums |= {"cltv": total_of("cltv"), "revenue": total_of("monthly")}
+    places = aggregate(rows, {"zip": ZIP, "city": "nullif(city, '')", "state": "nullif(state, '')"}, **sums)
     sums = aggregate(
-        rows,
-        {"zip": ZIP},
-        city="coalesce(min(nullif(city, '')), '?')",
-        state="coalesce(min(nullif(state, '')), 'CA')",
-        lat=total_of("lat"),
-        lng=total_of("lng"),
-        n="count(1)",
-        churned=f"count_if({CHURNED})",
-        cltv=total_of("cltv"),
-        revenue=total_of("monthly"),
+        places, ["zip"], city="coalesce(min(city), '?')", state="coalesce(min(state), 'CA')", **{x: f"sum({x})" for x in sums}
     )
     return sums.selectExpr(
         "zip",
@@ -150,16 +145,14 @@ def zip_centroids(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_radius(zips: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Bubble radius against the largest ``n`` of ``sizes``, a scalar subquery rather than a join."""
-    largest = sizes.agg(F.max("n")).scalar()
-    scaled = zips.withColumn("_largest", largest)
-    return scaled.selectExpr(*zips.columns, "6 + 16 * sqrt(CAST(n AS DOUBLE) / CAST(_largest AS DOUBLE)) AS radius")
+def with_radius(zips: DataFrame) -> DataFrame:
+    """Bubble radius against the largest ``n``. The window sees one row for each zip code, of
+    which five digits allow a hundred thousand; the rows beneath are read once."""
+    return zips.selectExpr("*", "6 + 16 * sqrt(CAST(n AS DOUBLE) / CAST(max(n) OVER () AS DOUBLE)) AS radius")
 
 
 def zip_map(rows: DataFrame) -> DataFrame:
-    sizes = aggregate(rows, {"zip": ZIP}, n="count(1)")
-    return with_radius(zip_centroids(rows), sizes).selectExpr("*", f"{derive.dot_level('rate')} AS level")
+    return with_radius(zip_centroids(rows)).selectExpr("*", f"{derive.dot_level('rate')} AS level")
 
 
 def map_bounds(rows: DataFrame) -> DataFrame:
@@ -173,6 +166,7 @@ def top_cities(rows: DataFrame, k: int = 10) -> DataFrame:
 
 
 def top_zips(rows: DataFrame, k: int = 10) -> DataFrame:
-    zips = aggregate(rows, {"zip": ZIP}, city="coalesce(min(nullif(city, '')), '?')", **COUNTS)
+    places = aggregate(rows, {"zip": ZIP, "city": "nullif(city, '')"}, **COUNTS)
+    zips = aggregate(places, ["zip"], city="coalesce(min(city), '?')", **{x: f"sum({x})" for x in COUNTS})
     top = zips.orderBy(F.desc("total"), "zip").limit(k)
     return top.selectExpr("concat_ws(' · ', zip, city) AS label", "total", RATE)

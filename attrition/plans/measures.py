@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from attrition import schemas
 from attrition.functions.sql import aggregate, quote, ratio
-from attrition.operators.filters import filter_model, minimum_base, service_mask
+from attrition.operators.filters import filter_model, plain_spec, service_mask
 
 SERVICE_FIELDS = ("ServiceName", "ServiceCategory")
 
@@ -183,38 +183,38 @@ def credited_services(allowed: int, fields: Sequence[str]) -> str:
             bits = allowed & service_mask(categories=[category])
             if bits:
                 entries.append((bits, {"ServiceCategory": category}))
+    shown = [field for field in SERVICE_FIELDS if field in fields]
     held = []
     for bits, labels in entries:
-        item = ", ".join(f"{quote(labels[field])} AS {field}" for field in SERVICE_FIELDS if field in fields)
+        item = ", ".join(f"{quote(labels[field])} AS {field}" for field in shown)
         held.append(f"CASE WHEN {holds(bits)} THEN struct({item}) END")
-    return f"array_compact(array({', '.join(held)}))"
+    kind = f"ARRAY<STRUCT<{', '.join(f'{field}: STRING' for field in shown)}>>"
+    return f"array_compact(CAST(array({', '.join(held)}) AS {kind}))"
 
 
 def sums_by(
     model: DataFrame, by: Sequence[str], names: Sequence[str], spec: dict | None = None, threshold: int = 70
 ) -> DataFrame:
     """The named sums for each group of ``by``, which may hold service fields."""
-    spec = spec or {}
+    spec = plain_spec(spec)
     columns = _sums(threshold)
     rows = filter_model(model, spec)
+    by = list(dict.fromkeys(by))
     wanted = {name: columns[name] for name in names}
     service_by = [field for field in by if field in SERVICE_FIELDS]
     if not service_by:
-        return aggregate(rows, list(by), **wanted)
-
-    def listed(field):
-        value = spec.get(field)
-        return None if value in (None, "All") else value if isinstance(value, list) else [value]
-
-    allowed = service_mask(listed("ServiceName"), listed("ServiceCategory"))
+        return aggregate(rows, by, **wanted)
+    allowed = service_mask(spec.get("ServiceName"), spec.get("ServiceCategory"))
     plain = [field for field in by if field not in SERVICE_FIELDS]
     combined = aggregate(rows, [*plain, "ServiceMask"], **wanted)
     credited = combined.selectExpr(*plain, *names, f"inline({credited_services(allowed, service_by)})")
-    return aggregate(credited, list(by), **{name: f"sum({name})" for name in names})
+    return aggregate(credited, by, **{name: f"sum({name})" for name in names})
 
 
-def _project(sums: DataFrame, by: Sequence[str], formulas: dict) -> DataFrame:
-    return sums.selectExpr(*by, *[f"{formula} AS {name}" for name, (_, formula) in formulas.items()])
+def _rolled(names: Sequence[str]) -> dict[str, str]:
+    """Sums of finer sums; counts of nothing are 0."""
+    texts = _sums(0)
+    return {x: f"coalesce(sum({x}), 0)" if texts[x].startswith("count") else f"sum({x})" for x in names}
 
 
 def _needed(formulas: dict) -> list[str]:
@@ -232,44 +232,79 @@ def _join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     return left.join(other, condition, "left").drop(*[f"_{c}" for c in by])
 
 
-def _reasons(model, by, spec, threshold) -> DataFrame:
+def _reasons(model, by, spec, threshold, carry) -> DataFrame:
     """Most frequent reason per group; the alphabetically last one on a tie."""
-    counted = sums_by(model.filter(GONE), [*by, "ChurnReason"], ["n"], spec, threshold)
-    top = aggregate(counted, by, _top="max(struct(n, ChurnReason))")
-    return top.selectExpr(*by, f"_top.ChurnReason AS {REASON[0]}", f"_top.n AS {REASON[1]}")
-
-
-def _retention(model, by, spec, threshold) -> DataFrame:
-    """Services with the lowest and highest churn rate; a service nobody holds has rate 0."""
-    if any(field in SERVICE_FIELDS for field in by):
-        raise ValueError("best and worst service cannot be grouped by service")
-    names = spec.get("ServiceName"), spec.get("ServiceCategory")
-    allowed = service_mask(*[v if isinstance(v, list) or v is None else [v] for v in names])
-    combined = sums_by(model, [*by, "ServiceMask"], ["n", "gone"], spec, threshold)
+    fine = sums_by(model, [*by, "ChurnReason"], dict.fromkeys([*carry, "gone"]), spec, threshold)
+    top = aggregate(fine, by, **_rolled(carry), _top="max(struct(gone, ChurnReason)) FILTER (WHERE gone > 0)")
+    return top.selectExpr(*by, *carry, f"_top.ChurnReason AS {REASON[0]}", f"_top.gone AS {REASON[1]}")
+
+
+def _retention(model, by, spec, threshold, carry) -> DataFrame:
+    """Services with the lowest and highest churn rate; a service nobody holds has rate 0.
+
+    Grouped by a service field, the services that compete are those of the group. Besides
+    one entry for each service, a combination has one without, which carries the sums
+    of its customers; grouping by service cannot carry any.
+    """
+    service_by = [field for field in by if field in SERVICE_FIELDS]
+    plain = [field for field in by if field not in SERVICE_FIELDS]
+    allowed = service_mask(spec.get("ServiceName"), spec.get("ServiceCategory"))
+    combined = sums_by(model, [*plain, "ServiceMask"], dict.fromkeys([*carry, "n", "gone"]), spec, threshold)
     entries = []
-    for key, name, _, _ in schemas.SERVICES:
+    for key, name, category, _ in schemas.SERVICES:
         if allowed >> (key - 1) & 1:
             held = holds(1 << (key - 1))
-            entries.append(f"struct({quote(name)} AS service, if({held}, n, 0) AS held, if({held}, gone, 0) AS lost)")
-    listed = combined.selectExpr(*by, f"inline(array({', '.join(entries)}))")
-    rates = aggregate(listed, [*by, "service"], rate=ratio("sum(lost)", "sum(held)"))
+            labels = {"ServiceName": name, "ServiceCategory": category}
+            fields = [f"{quote(name)} AS service", f"if({held}, n, 0) AS held", f"if({held}, gone, 0) AS lost"]
+            fields += [f"{quote(labels[field])} AS {field}" for field in service_by]
+            entries.append(f"struct({', '.join([*fields, *[f'if(false, {x}, NULL) AS {x}_all' for x in carry]])})")
+    if carry:
+        fields = ["CAST(NULL AS STRING) AS service", "0L AS held", "0L AS lost"]
+        entries.append(f"struct({', '.join([*fields, *[f'{x} AS {x}_all' for x in carry]])})")
+    if not entries:
+        return combined.selectExpr(*plain, *[f"'' AS {x}" for x in [*service_by, *RETENTION]]).filter("false")
+    listed = combined.selectExpr(*plain, f"inline(array({', '.join(entries)}))")
+    rates = aggregate(
+        listed, [*by, "service"], rate=ratio("sum(lost)", "sum(held)"), **{x: f"sum({x}_all)" for x in carry}
+    )
     return aggregate(
         rates,
         by,
+        **_rolled(carry),
         **{
-            RETENTION[0]: "max(struct(-rate AS rank, service)).service",
-            RETENTION[1]: "max(struct(rate, service)).service",
+            RETENTION[0]: "(max(struct(-rate AS rank, service)) FILTER (WHERE service IS NOT NULL)).service",
+            RETENTION[1]: "(max(struct(rate, service)) FILTER (WHERE service IS NOT NULL)).service",
         },
     )
 
 
-def _places(model, by, spec, threshold, name) -> DataFrame:
+def _places(model, by, spec, threshold, carry, name) -> DataFrame:
     """The place with the highest churn rate among those of a minimum size."""
     column, base = PLACES[name]
-    grouped = sums_by(model, [*by, column], ["n", "gone"], spec, threshold)
-    sized = minimum_base(grouped, "n", base)
-    top = aggregate(sized, by, _top=f"max(struct({ratio('gone', 'n')} AS rate, {column}))")
-    return top.selectExpr(*by, f"_top.{column} AS {name}", f"_top.rate AS {name}_value")
+    fine = sums_by(model, [*by, column], dict.fromkeys([*carry, "n", "gone"]), spec, threshold)
+    best = f"max(struct({ratio('gone', 'n')} AS rate, {column})) FILTER (WHERE n >= {base})"
+    top = aggregate(fine, by, **_rolled(carry), _top=best)
+    return top.selectExpr(*by, *carry, f"_top.{column} AS {name}", f"_top.rate AS {name}_value")
+
+
+def _contracts(model, by, spec, threshold, carry, formulas) -> DataFrame:
+    """Rates of each contract, whatever contract the group or the filter names.
+
+    One pass by group and contract without the contract filter: the rates are sums over
+    all contracts of a group, the carried sums those of the contracts that pass.
+    """
+    others = [field for field in by if field != "ContractType"]
+    open_spec = {field: values for field, values in spec.items() if field != "ContractType"}
+    needed = _needed(formulas)
+    fine = sums_by(model, [*by, "ContractType"], dict.fromkeys([*carry, *needed]), open_spec, threshold)
+    # Without other groups this window sees one row for each contract.
+    over = f"OVER (PARTITION BY {', '.join(others)})" if others else "OVER ()"
+    opened = fine.selectExpr("*", *[f"sum({x}) {over} AS _{x}" for x in needed])
+    if "ContractType" in spec:
+        opened = opened.filter(F.col("ContractType").isin(spec["ContractType"]))
+    found = aggregate(opened, by, **_rolled(carry), **{f"_{x}": f"max(_{x})" for x in needed})
+    renamed = found.selectExpr(*by, *carry, *[f"_{x} AS {x}" for x in needed if x not in carry])
+    return renamed.selectExpr(*by, *carry, *[f"{formula} AS {name}" for name, (_, formula) in formulas.items()])
 
 
 def evaluate(
@@ -280,27 +315,39 @@ def evaluate(
     threshold: int = 70,
 ) -> DataFrame:
     """The measures for each group of ``by`` under the filters of ``spec``."""
-    spec, by = spec or {}, list(by)
+    spec, by = plain_spec(spec), list(by)
     unknown = [name for name in measures if name not in MEASURES]
     if unknown:
         raise ValueError(f"unknown measures: {', '.join(unknown)}")
-    plain = {name: PLAIN[name] for name in measures if name in PLAIN}
-    # The group list comes from the rows of the context even when only derived measures are asked for.
-    needed = _needed(plain) or ["n"]
-    out = _project(sums_by(model, by, needed, spec, threshold), by, plain)
-
+    formulas = {name: PLAIN[name] for name in measures if name in PLAIN}
     contract = {name: CONTRACT_RATES[name] for name in measures if name in CONTRACT_RATES}
-    if contract:
-        open_by = [field for field in by if field != "ContractType"]
-        open_spec = {field: value for field, value in spec.items() if field != "ContractType"}
-        sums = sums_by(model, open_by, _needed(contract), open_spec, threshold)
-        out = _join(out, _project(sums, open_by, contract), open_by)
+    parts = []
+    if contract and ("ContractType" in by or "ContractType" in spec):
+        parts.append(lambda carry: _contracts(model, by, spec, threshold, carry, contract))
+    else:
+        formulas |= contract
     if any(name in REASON for name in measures):
-        out = _join(out, _reasons(model, by, spec, threshold), by)
+        parts.append(lambda carry: _reasons(model, by, spec, threshold, carry))
+    for place in PLACES:
+        if place in measures or f"{place}_value" in measures:
+            parts.append(lambda carry, place=place: _places(model, by, spec, threshold, carry, place))
     if any(name in RETENTION for name in measures):
-        out = _join(out, _retention(model, by, spec, threshold), by)
-    for name in PLACES:
-        if name in measures or f"{name}_value" in measures:
-            out = _join(out, _places(model, by, spec, threshold, name), by)
+        parts.append(lambda carry: _retention(model, by, spec, threshold, carry))
+
+    # The groups come from the rows of the context, and so do the plain sums: the first finer
+    # aggregate carries both, unless it credits services.
+    needed = _needed(formulas) or ["n"]
+    services = any(field in SERVICE_FIELDS for field in by)
+    if not parts or (services and len(parts) == 1 and any(name in RETENTION for name in measures)):
+        sums = sums_by(model, by, needed, spec, threshold)
+    else:
+        sums = parts.pop(0)(needed)
+    out = sums.selectExpr(
+        *by,
+        *[name for name in sums.columns if name in MEASURES],
+        *[f"{formula} AS {name}" for name, (_, formula) in formulas.items()],
+    )
+    for part in parts:
+        out = _join(out, part([]), by)
     counted = f"coalesce({REASON[1]}, 0) AS {REASON[1]}"
     return out.selectExpr(*by, *[counted if name == REASON[1] else name for name in measures])

@@ -15,7 +15,7 @@ from attrition.operators import checks, filters, gold, incremental, silver
 from attrition.operators.domains import literal_table
 from attrition.operators.keys import with_key
 from attrition.plans import charts, kpis, questions, visuals
-from attrition.plans.measures import FOLDERS, MEASURES, evaluate
+from attrition.plans.measures import FOLDERS, MEASURES, RETENTION, evaluate
 from attrition.plans.warehouse import LAYERS, Warehouse, open_warehouse
 from attrition.session import shared_dir
 from attrition.sources import feed as feeds
@@ -34,14 +34,6 @@ MODEL_FILTER = {
     "ServiceCategory": "Add-on",
     "PaymentMethod": "All",
 }
-# Row counts the reference data set is documented with.
-EXPECTED_ROWS = {
-    "dim_customer": 7043,
-    "dim_contract": 24,
-    "dim_service": 9,
-    "fact_customer_service": 29202,
-    "fact_churn": 7043,
-}
 COUNTED_LAYERS = [
     "bronze",
     "silver",
@@ -116,11 +108,11 @@ def stringified(w: Warehouse) -> DataFrame:
 
 
 def bulk_write(w: Warehouse) -> DataFrame:
-    """Written twice: the second write replaces the first."""
+    """Written twice: the second write replaces the first; what is there is read back."""
     path = scratch(w.spark, "bulk")
     for _ in range(2):
         landing.write_table(landing.stringify(w["bronze"]), path)
-    return landing.landing_check(w.spark.read.parquet(path))
+    return w.spark.read.parquet(path)
 
 
 def one_line_text(w: Warehouse) -> DataFrame:
@@ -150,15 +142,15 @@ def silver_reload(w: Warehouse) -> DataFrame:
     path = scratch(w.spark, "silver")
     for _ in range(2):
         landing.write_table(silver.build_silver(w["bronze"]), path, "overwrite")
-    return silver.load_profile(w.spark.read.parquet(path))
+    return w.spark.read.parquet(path).drop("dwh_create_date")
 
 
 def silver_if_empty(w: Warehouse) -> DataFrame:
     """The first load writes, the second finds rows and leaves them."""
     path = scratch(w.spark, "silver")
     wrote = [landing.write_table(silver.build_silver(w["bronze"]), path, "if_empty") for _ in range(2)]
-    profile = silver.load_profile(w.spark.read.parquet(path))
-    return profile.withColumn("first_wrote", F.lit(wrote[0])).withColumn("second_wrote", F.lit(wrote[1]))
+    rows = w.spark.read.parquet(path).drop("dwh_create_date")
+    return rows.withColumn("first_wrote", F.lit(wrote[0])).withColumn("second_wrote", F.lit(wrote[1]))
 
 
 # Star schema.
@@ -175,17 +167,21 @@ def keyed_copies(w: Warehouse) -> DataFrame:
     return with_key(lines.select("l_returnflag", "l_linestatus"), "row_key")
 
 
+_RELOADED = ["CustomerID", "City", "ContractType", "PaymentMethod", "TenureMonths", "ChurnScore", "ChurnLabel", "ServiceMask"]
+
+
 def full_reload(w: Warehouse) -> DataFrame:
+    """Every layer built anew, seen through the last one."""
     fresh = Warehouse(w.spark, w.source, scratch(w.spark, "reload"))
     fresh.build_all()
-    return checks.layer_counts(tables(fresh, COUNTED_LAYERS))
+    return fresh["model"].select("ChurnKey", "CustomerKey", *_RELOADED)
 
 
 def facts_reload(w: Warehouse) -> DataFrame:
     fresh = Warehouse(w.spark, w.source, scratch(w.spark, "facts"))
     fresh.adopt(w, [layer for layer in LAYERS if layer in ("silver", "dim_customer", "dim_contract", "dim_service")])
     fresh.reload_facts()
-    return checks.layer_counts(tables(fresh, ["fact_customer_service", "fact_churn"]))
+    return fresh["model"].select("ChurnKey", "CustomerKey", *_RELOADED)
 
 
 # Derived columns.
@@ -398,7 +394,9 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v7_missing_values": lambda w: checks.missing_values(tables(w, STAR)),
     "v7_contract_gaps": _on_layer("silver", checks.contract_gaps),
     "v7_load_loss": lambda w: checks.load_loss(w["silver"], w["fact_churn"], w["dim_customer"]),
-    "v8_reconcile": lambda w: checks.reconcile(checks.layer_counts(tables(w, COUNTED_LAYERS)), EXPECTED_ROWS),
+    "v8_reconcile": lambda w: checks.reconcile(
+        checks.layer_counts(tables(w, COUNTED_LAYERS)), checks.expected_counts(w["bronze"], w["silver"])
+    ),
     "d1_internet_tier": _column("feed", "id", "tier", derive.internet_tier("internet")),
     "d2_is_subscribed": service_flags,
     "d3_tenure_band": _column("feed", "id", "band", derive.tenure_band("tenure")),
@@ -537,6 +535,13 @@ for _folder, _names in FOLDERS.items():
     for _name in _names:
         _position += 1
         QUERIES[f"m{_position}_{_name}"] = _measure(_name, measure_grouping(_name, _folder))
+# Contexts that name services in every way: all of them, none, and one of a group's own.
+QUERIES["m_retention_all_services"] = _model(
+    lambda m: evaluate(m, RETENTION, spec={"ServiceCategory": "All", "ServiceName": ["All"]})
+)
+QUERIES["m_retention_by_service"] = _model(lambda m: evaluate(m, RETENTION, ["ServiceName"]))
+QUERIES["m_retention_by_category"] = _model(lambda m: evaluate(m, [*RETENTION, "service_customers"], ["ServiceCategory"]))
+QUERIES["m_no_services"] = _model(lambda m: evaluate(m, ["service_customers"], ["ServiceName"], {"ServiceCategory": []}))
 QUERIES["m_all_total"] = _model(lambda m: evaluate(m, MEASURES))
 QUERIES["m_all_by_state_filtered"] = _model(lambda m: evaluate(m, MEASURES, ["State"], MODEL_FILTER, threshold=60))
 

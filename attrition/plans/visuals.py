@@ -16,9 +16,10 @@ def _status(df: DataFrame, rate: str = "churn_rate") -> DataFrame:
     return df.selectExpr("*", f"{rate_status(rate)} AS status", f"{rate_arrow(rate)} AS arrow")
 
 
-def _top(df: DataFrame, by: str, name: str, k: int = 10) -> DataFrame:
-    """Highest ``k``; the smaller name first on a tie."""
-    return df.orderBy(F.desc(by), F.asc_nulls_last(name)).limit(k)
+def _top(df: DataFrame, by: str, k: int = 10) -> DataFrame:
+    """Highest ``k`` and all that tie with the last of them. Each task keeps its own highest
+    before the ranks are given, so few rows meet."""
+    return df.selectExpr("*", f"rank() OVER (ORDER BY {by} DESC) AS _rank").filter(f"_rank <= {k}").drop("_rank")
 
 
 # Card rows.
@@ -105,7 +106,7 @@ def tenure_buckets(model: DataFrame) -> DataFrame:
 
 def top_reasons(model: DataFrame) -> DataFrame:
     counted = evaluate(model, ["churned_customers"], ["ChurnReason"])
-    return _top(minimum_base(counted, "churned_customers", 1), "churned_customers", "ChurnReason")
+    return _top(minimum_base(counted, "churned_customers", 1), "churned_customers")
 
 
 def score_bands(model: DataFrame) -> DataFrame:
@@ -254,7 +255,7 @@ def cltv_by_contract(model: DataFrame) -> DataFrame:
 def risk_by_reason(model: DataFrame) -> DataFrame:
     out = evaluate(model, ["revenue_at_risk", "churned_customers"], ["ChurnReason"])
     held = minimum_base(out, "churned_customers", 1).drop("churned_customers")
-    return _top(held, "revenue_at_risk", "ChurnReason")
+    return _top(held, "revenue_at_risk")
 
 
 def score_vs_cltv(model: DataFrame) -> DataFrame:
@@ -271,7 +272,7 @@ def score_vs_cltv(model: DataFrame) -> DataFrame:
 
 
 def top_zips_by_revenue(model: DataFrame) -> DataFrame:
-    return _top(evaluate(model, ["monthly_revenue", "geo_churn_rate"], ["ZipCode"]), "monthly_revenue", "ZipCode")
+    return _top(evaluate(model, ["monthly_revenue", "geo_churn_rate"], ["ZipCode"]), "monthly_revenue")
 
 
 # Geography page.
@@ -292,12 +293,12 @@ def city_table(model: DataFrame) -> DataFrame:
 
 
 def top_cities_by_churned(model: DataFrame) -> DataFrame:
-    return _top(evaluate(model, ["churned_customers", "geo_churn_rate"], ["City"]), "churned_customers", "City")
+    return _top(evaluate(model, ["churned_customers", "geo_churn_rate"], ["City"]), "churned_customers")
 
 
 def top_zips_by_rate(model: DataFrame, base: int = 3) -> DataFrame:
     sized = minimum_base(evaluate(model, ["geo_customers", "geo_churn_rate"], ["ZipCode"]), "geo_customers", base)
-    return _top(sized, "geo_churn_rate", "ZipCode")
+    return _top(sized, "geo_churn_rate")
 
 
 def city_quadrant(model: DataFrame) -> DataFrame:

@@ -6,11 +6,14 @@ import glob
 import hashlib
 import os
 import time
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators import checks, gold, silver
+from attrition.operators.filters import PARTITION
 from attrition.session import shared_dir
 from attrition.sources import feed, landing, subscribers
 
@@ -26,9 +29,13 @@ _BUILDERS = {
     "fact_customer_service": lambda w: gold.build_fact_customer_service(w["keyed"], w["dim_service"]),
     "fact_churn": lambda w: gold.build_fact_churn(w["keyed"], w["dim_contract"]),
     "profile": lambda w: gold.build_customer_profile(w["dim_customer"], w["fact_customer_service"]),
-    "model": lambda w: gold.build_model(w["fact_churn"], w["dim_contract"], w["profile"]),
+    "model": lambda w: gold.build_model(w["fact_churn"], w["dim_contract"], w["profile"]).selectExpr(
+        "*", f"concat('=', State) AS {PARTITION}"
+    ),
 }
 LAYERS = list(_BUILDERS)
+# Row-level access reads the folders of the states a user may see.
+PARTITIONED = {"model": PARTITION}
 FACTS = ["keyed", "fact_customer_service", "fact_churn", "profile", "model"]
 
 
@@ -36,7 +43,9 @@ class Warehouse:
     """Tables under ``root``; a layer is built when first asked for and then read back.
 
     Reading a written table cuts the lineage, survives lost executors, gives the
-    optimizer real sizes to choose broadcasts by, and lets scans prune columns.
+    optimizer real sizes to choose broadcasts by, and lets scans prune columns. A layer
+    counts as stored once its constraints hold and its entry in ``<root>/stored`` is
+    written, so another session, or a later one, takes it over and never half of it.
     """
 
     def __init__(self, spark: SparkSession, source: str, root: str):
@@ -52,22 +61,45 @@ class Warehouse:
             self._paths[layer] = other._paths[layer]
 
     def __getitem__(self, layer: str) -> DataFrame:
+        if layer not in self._paths and (path := self._stored(layer)):
+            self._paths[layer] = path
         if layer not in self._paths:
             self.build(layer)
         if layer not in self._frames:
             self._frames[layer] = self.spark.read.parquet(self._paths[layer])
         return self._frames[layer]
 
+    def _stored(self, layer: str) -> str | None:
+        try:
+            entries = self.spark.read.schema("path string").json(f"{self.root}/stored/{layer}").collect()  # one a build
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return max((row["path"] for row in entries), default=None)
+
     def build(self, layer: str) -> None:
         frame = _BUILDERS[layer](self)
         start = time.monotonic()
-        path = f"{self.root}/{layer}"
-        landing.write_table(frame, path)
+        path = f"{self.root}/{layer}-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        landing.write_table(frame, path, by=PARTITIONED.get(layer))
         self.seconds[layer] = time.monotonic() - start
         self._paths[layer] = path
         self._frames.pop(layer, None)
         parents = {parent for child, _, parent in checks.FOREIGN_KEYS if child == layer}
-        checks.verify(layer, {name: self[name] for name in [layer, *sorted(parents)]})
+        try:
+            checks.verify(layer, {name: self[name] for name in [layer, *sorted(parents)]})
+        except ValueError:
+            del self._paths[layer]
+            raise
+        entry = self.spark.range(1).select(F.lit(path).alias("path"))
+        entry.write.mode("append").json(f"{self.root}/stored/{layer}")
+
+    def remove(self) -> None:
+        """Delete all layers from the store."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._paths, self._frames = {}, {}
 
     def build_all(self) -> None:
         """Full reload: dimensions before the facts that look their keys up."""
@@ -99,11 +131,25 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.md5(text.encode()).hexdigest()[:12]
 
 
+def _code_mark() -> str:
+    """Changes with the code that builds the layers, so that no session takes over an older code's."""
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    digest = hashlib.md5()
+    for folder in ("", "functions", "operators", "plans", "sources"):
+        for name in sorted(glob.glob(os.path.join(package, folder, "*.py"))):
+            with open(name, "rb") as file:
+                digest.update(file.read())
+    return digest.hexdigest()[:12]
+
+
 def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The session's warehouse over ``sf_dir``, rebuilt when the input files change."""
-    app = spark.sparkContext.applicationId
-    key = (app, sf_dir, _fingerprint(spark, sf_dir))
+    """The warehouse over ``sf_dir``, named by its input files and the code: layers another
+    session has stored are read, changed inputs get a warehouse of their own.
+
+    The input files are listed each time; keep the result to ask many questions of one load.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
     if key not in _OPEN:
-        name = hashlib.md5(repr(key).encode()).hexdigest()[:12]
-        _OPEN[key] = Warehouse(spark, sf_dir, f"{shared_dir(spark)}/attrition/{app}/{name}")
+        name = hashlib.md5(repr(key[1:]).encode()).hexdigest()[:12]
+        _OPEN[key] = Warehouse(spark, sf_dir, f"{shared_dir(spark)}/attrition/{_code_mark()}-{name}")
     return _OPEN[key]

@@ -58,10 +58,12 @@ def landing_check(bronze: DataFrame) -> DataFrame:
     return aggregate(per_id, [], total_rows="coalesce(sum(n), 0)", distinct_customers="count(customer_id)")
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> bool:
     """Write parquet. ``overwrite`` replaces, ``if_empty`` writes only where nothing is yet.
 
-    Returns whether anything was written; errors are raised, never only reported.
+    ``by`` makes a folder for each value of a column; rows are dealt so that a frequent value
+    is written by several tasks. Returns whether anything was written; errors are raised,
+    never only reported.
     """
     if mode == "if_empty":
         try:
@@ -72,5 +74,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
                 raise
     elif mode != "overwrite":
         raise ValueError(f"unknown mode {mode!r}")
-    df.write.mode("overwrite").parquet(path)
+    if by:
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return True

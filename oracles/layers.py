@@ -131,7 +131,8 @@ FACT = ["CustomerKey", "ContractKey", "TenureMonths", "MonthlyCharges", "TotalCh
 
 def keyed(name: str, source: str, columns: list[str]) -> str:
     k = content(columns)
-    return f"row_number() OVER (ORDER BY substr(md5({k}),1,4), {k}) AS {name}, {', '.join(columns)} FROM {source}"
+    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
+    return f"row_number() OVER (ORDER BY substr(md5({k}),1,4), {order}) AS {name}, {', '.join(columns)} FROM {source}"
 
 
 GOLD = f"""

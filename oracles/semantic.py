@@ -173,6 +173,19 @@ for _position, _name in enumerate(MEASURES, start=1):
 
 _KEEP = """Gender = 'Female' AND CustomerKey IN
  (SELECT CustomerKey FROM bridge WHERE ServiceCategory = 'Add-on')"""
+TEXTS["m_retention_all_services"] = select(["best_retention_service", "worst_retention_service"])
+TEXTS["m_retention_by_service"] = """SELECT DISTINCT ServiceName, ServiceName AS best_retention_service,
+ ServiceName AS worst_retention_service FROM bridge JOIN fact_churn USING (CustomerKey)"""
+TEXTS["m_retention_by_category"] = f""", rates AS (SELECT d.ServiceCategory, d.ServiceName,
+ coalesce(CAST(count(*) FILTER ({YES}) AS DOUBLE) / nullif(count(ChurnKey), 0), 0) AS rate
+ FROM dim_service d LEFT JOIN bridge b USING (ServiceKey) LEFT JOIN fact_churn f ON f.CustomerKey = b.CustomerKey GROUP BY ALL)
+SELECT ServiceCategory,
+ (SELECT ServiceName FROM rates r WHERE r.ServiceCategory = g.ServiceCategory ORDER BY rate, ServiceName DESC LIMIT 1)
+  AS best_retention_service,
+ (SELECT ServiceName FROM rates r WHERE r.ServiceCategory = g.ServiceCategory ORDER BY rate DESC, ServiceName DESC LIMIT 1)
+  AS worst_retention_service, count(DISTINCT ChurnKey) AS service_customers
+FROM bridge g JOIN fact_churn USING (CustomerKey) GROUP BY ServiceCategory"""
+TEXTS["m_no_services"] = "SELECT '' AS ServiceName, 0::BIGINT AS service_customers WHERE false"
 TEXTS["m_all_total"] = select(MEASURES)
 TEXTS["m_all_by_state_filtered"] = (
     f""", opened AS (SELECT * FROM model WHERE {_KEEP}),
@@ -258,7 +271,7 @@ TEXTS |= {
     "p3_churn_by_contract": carded(select(["churn_rate", "churned_customers", "total_customers"], ["ContractType"])),
     "p4_tenure_buckets": bucketed(["total_customers", "churn_rate", "churned_customers"]),
     "p5_top_reasons": f"""SELECT ChurnReason, {rows()} AS churned_customers FROM model WHERE {YES}
- GROUP BY ChurnReason ORDER BY 2 DESC, 1 NULLS LAST LIMIT 10""",
+ GROUP BY ChurnReason QUALIFY rank() OVER (ORDER BY churned_customers DESC) <= 10""",
     "p6_score_bands": f"""SELECT ScoreBand, CAST(ScoreBandOrder AS BIGINT) AS ScoreBandOrder, {rows(NO)} AS active,
  {rows(YES)} AS churned FROM model GROUP BY ScoreBand, ScoreBandOrder""",
     "p7_revenue_by_payment": select(["monthly_revenue"], ["PaymentMethod"]),
@@ -297,13 +310,13 @@ UNION ALL SELECT 3, ContractType, PaymentMethod, ServiceCategory, count(DISTINCT
  FROM model GROUP BY PaymentMethod""",
     "p22_cltv_by_contract": select(["avg_cltv", "lifetime_revenue"], ["ContractType"]),
     "p23_risk_by_reason": f"""SELECT ChurnReason, {money('MonthlyCharges')} AS revenue_at_risk FROM model
- WHERE {YES} GROUP BY ChurnReason ORDER BY 2 DESC, 1 NULLS LAST LIMIT 10""",
+ WHERE {YES} GROUP BY ChurnReason QUALIFY rank() OVER (ORDER BY revenue_at_risk DESC) <= 10""",
     "p24_score_vs_cltv": """SELECT ChurnKey, CAST(ChurnScore AS BIGINT) AS ChurnScore, CAST(CLTV AS BIGINT) AS CLTV,
  ChurnLabel, CAST(MonthlyCharges AS DOUBLE) AS MonthlyCharges, CAST(TenureMonths AS BIGINT) AS TenureMonths,
  CASE WHEN ChurnScore < 50 THEN 'green' WHEN ChurnScore < 70 THEN 'amber' WHEN ChurnScore < 85 THEN 'orange'
  WHEN ChurnScore >= 85 THEN 'red' END AS score_status FROM fact_churn""",
     "p25_top_zips_by_revenue": select(["monthly_revenue", "geo_churn_rate"], ["ZipCode"])
-    + " ORDER BY monthly_revenue DESC, ZipCode LIMIT 10",
+    + " QUALIFY rank() OVER (ORDER BY monthly_revenue DESC) <= 10",
     "p26_map_points": """SELECT CAST(Latitude AS DOUBLE) AS Latitude, CAST(Longitude AS DOUBLE) AS Longitude,
  geo_customers, geo_churn_rate, geo_revenue_at_risk FROM ("""
     + select(["geo_customers", "geo_churn_rate", "geo_revenue_at_risk"], ["Latitude", "Longitude"])
@@ -311,9 +324,9 @@ UNION ALL SELECT 3, ContractType, PaymentMethod, ServiceCategory, count(DISTINCT
     "p26_map_states": select(["geo_customers", "geo_churn_rate"], ["State"]),
     "p27_city_table": select(_GEO, ["City", "ZipCode"]),
     "p28_top_cities_by_churned": select(["churned_customers", "geo_churn_rate"], ["City"])
-    + " ORDER BY churned_customers DESC, City LIMIT 10",
+    + " QUALIFY rank() OVER (ORDER BY churned_customers DESC) <= 10",
     "p29_top_zips_by_rate": select(["geo_customers", "geo_churn_rate"], ["ZipCode"])
-    + " HAVING count(*) >= 3 ORDER BY geo_churn_rate DESC, ZipCode LIMIT 10",
+    + " HAVING count(*) >= 3 QUALIFY rank() OVER (ORDER BY geo_churn_rate DESC) <= 10",
     "p30_city_quadrant": select(["geo_customers", "geo_churn_rate", "geo_high_risk"], ["City"]),
     "p31_tooltip_contract": select(_TOOLTIP, ["ContractType"]),
     "p31_tooltip_service": f"{BY_SERVICE} {select(_TOOLTIP, ['ServiceName'], 'held')}",

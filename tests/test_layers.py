@@ -159,7 +159,7 @@ def test_orphans(spark):
 
 def test_reconcile_shows_both_sides(spark):
     actual = checks.layer_counts({"a": spark.range(2), "b": spark.range(3)})
-    got = {r.layer: (r.expected, r.actual, r.matches) for r in checks.reconcile(actual, {"a": 2, "c": 1}).collect()}
+    got = {r.layer: (r.expected, r.actual, r.matches) for r in checks.reconcile(actual, spark.createDataFrame([("a", 2), ("c", 1)], "layer string, expected long")).collect()}
     assert got == {"a": (2, 2, True), "b": (None, 3, False), "c": (1, None, False)}
 
 

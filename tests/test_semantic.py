@@ -75,8 +75,43 @@ def test_retention_services(spark):
     # Every service but phone and internet is at 0 %, and the last name wins a tie.
     assert row["best_retention_service"] == "Tech Support"
     assert row["worst_retention_service"] == "Phone Service"
-    with pytest.raises(ValueError):
-        evaluate(model(spark, rows), ["best_retention_service"], ["ServiceName"])
+    names = ["best_retention_service", "worst_retention_service"]
+    by_service = evaluate(model(spark, rows), names, ["ServiceName"]).collect()
+    assert all(r.best_retention_service == r.worst_retention_service == r.ServiceName for r in by_service)
+    by_category = {r.ServiceCategory: tuple(r)[1:] for r in evaluate(model(spark, rows), names, ["ServiceCategory"]).collect()}
+    assert by_category["Add-on"] == ("Tech Support", "Tech Support") and len(by_category) == 3
+
+
+@pytest.mark.parametrize("everything", ["All", ["All"], None])
+def test_all_services_pass(spark, everything):
+    m = model(spark, ids([gone(), dict(online_security="Yes")]))
+    for names, by in ((MEASURES, []), (["service_customers"], ["ServiceName"]), (["best_retention_service"], ["ServiceCategory"])):
+        spec = {"ServiceCategory": everything, "ServiceName": everything, "ContractType": everything}
+        assert evaluate(m, names, by, spec).collect() == evaluate(m, names, by).collect()
+
+
+def test_no_service_passes(spark):
+    m = model(spark, ids([gone(), dict(online_security="Yes")]))
+    for names, by in ((["service_customers"], ["ServiceName"]), (["best_retention_service"], ["ServiceCategory"]), (MEASURES, ["State"])):
+        assert evaluate(m, names, by, {"ServiceCategory": []}).count() == 0
+    assert one(evaluate(m, ["total_customers", "best_retention_service"], spec={"ServiceName": []})) == dict(
+        total_customers=0, best_retention_service=None
+    )
+
+
+def test_each_single_measure_is_one_scan(spark, tmp_path):
+    model(spark, ids([gone(), {}])).write.parquet(str(tmp_path / "m"))
+    m = spark.read.parquet(str(tmp_path / "m"))
+    for name in MEASURES:
+        for by in ([], ["ContractType"], ["State"]):
+            plan = evaluate(m, [name], by)._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan parquet") == 1, (name, by)
+
+
+def test_top_n_keeps_all_ties(spark):
+    rows = ids([gone(city=f"C{i:02}") for i in range(14)] + [gone(city="Most")])
+    top = visuals.top_cities_by_churned(model(spark, [*rows, gone(customer_id="X", city="Most")]))
+    assert top.count() == 15
 
 
 def test_place_minimums(spark):
