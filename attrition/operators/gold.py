@@ -11,17 +11,17 @@ from attrition.functions.sql import quote
 from attrition.operators.keys import with_key
 
 
-def _renamed(silver: DataFrame, mapping: dict[str, str]) -> DataFrame:
+def renamed(silver: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return silver.selectExpr(*[f"{source} AS {target}" for target, source in mapping.items()])
 
 
 def build_dim_customer(silver: DataFrame) -> DataFrame:
-    rows = _renamed(silver, schemas.CUSTOMER_ATTRIBUTES).distinct()
+    rows = renamed(silver, schemas.CUSTOMER_ATTRIBUTES).distinct()
     return with_key(rows, "CustomerKey", distinct=True)
 
 
 def build_dim_contract(silver: DataFrame) -> DataFrame:
-    rows = _renamed(silver, schemas.CONTRACT_ATTRIBUTES).distinct()
+    rows = renamed(silver, schemas.CONTRACT_ATTRIBUTES).distinct()
     return with_key(rows, "ContractKey", distinct=True, key_type="int")
 
 

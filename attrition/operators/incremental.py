@@ -2,37 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition import schemas
+from attrition.operators import gold
 from attrition.operators.keys import with_key
 
 
 def latest_versions(changes: DataFrame, key: str, sequence: str) -> DataFrame:
     """One row per key, the highest sequence; equal sequences are settled by content.
 
-    ``max`` of a struct combines map-side, so a key with many versions stays cheap.
+    The highest sequence of a key is a hash aggregate of two columns; whole rows are
+    only compared where a key has that sequence more than once.
     """
+    best = changes.groupBy(F.col(key).alias("_key")).agg(F.max(sequence).alias("_best"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(sequence).eqNullSafe(F.col("_best"))
+    kept = changes.join(best, same).select(*changes.columns)
+    tied = kept.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key")
+    alike = F.col(key).eqNullSafe(F.col("_key"))
     rest = [c for c in changes.columns if c not in (key, sequence)]
-    best = changes.groupBy(key).agg(F.max(F.struct(sequence, *rest)).alias("_best"))
-    return best.select(key, "_best.*").select(*changes.columns)
+    settled = kept.join(tied, alike, "left_semi").groupBy(key).agg(F.max(F.struct(sequence, *rest)).alias("_best"))
+    return kept.join(tied, alike, "left_anti").unionByName(settled.select(key, "_best.*").select(*changes.columns))
 
 
 def apply_latest(current: DataFrame, latest: DataFrame, key: str, sequence: str) -> DataFrame:
     """``current`` with one change per key applied. A change older than what is stored is
-    ignored, so a batch that arrives twice or late does no harm.
+    ignored, so a batch that arrives twice or late does no harm. Columns that changes do
+    not have stay as they are, and are NULL in new rows.
 
     Every join has the changes on the side that may be broadcast: while they are
     small, ``current`` is scanned twice (once for its keys only) and never shuffled.
     """
-    offered = latest.select(key, F.struct(*current.columns).alias("_new"))
+    given = [name for name in current.columns if name in latest.columns]
+    offered = latest.select(key, F.struct(*given).alias("_new"))
     take = F.col("_new").isNotNull() & F.coalesce(F.col(f"_new.{sequence}") >= F.col(sequence), F.lit(True))
     updated = current.join(offered, key, "left").select(
-        *[F.when(take, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name) for name in current.columns]
+        *[F.when(take, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c) for c in current.columns]
     )
     seen = current.select(key).join(latest.select(key), key, "left_semi")
-    arriving = latest.join(seen, key, "left_anti").select(*current.columns)
+    new = latest.join(seen, key, "left_anti")
+    kinds = {field.name: field.dataType for field in current.schema}
+    arriving = new.select(*[F.col(c) if c in given else F.lit(None).cast(kinds[c]).alias(c) for c in current.columns])
     return updated.unionByName(arriving)
 
 
@@ -42,12 +53,59 @@ def upsert(current: DataFrame, changes: DataFrame, key: str = "customer_id", seq
 
 def upsert_dim_customer(dim_customer: DataFrame, changed: DataFrame) -> DataFrame:
     """Dimension after a batch of one row per customer id: known customers keep their key and
-    take the new attributes, new ones are numbered after the highest key."""
+    take the new attributes, new ones are numbered after the highest key.
+
+    The ids of the batch find their rows first, so what is compared afterwards is as small as the batch.
+    """
     attributes = changed.select(*[F.col(s).alias(t) for t, s in schemas.CUSTOMER_ATTRIBUTES.items()])
-    known = dim_customer.select("CustomerKey", "CustomerID")
+    ids = attributes.select("CustomerID")
+    known = dim_customer.select("CustomerKey", "CustomerID").join(ids, "CustomerID", "left_semi")
     updated = attributes.join(known, "CustomerID").select(*dim_customer.columns)
-    untouched = dim_customer.join(attributes.select("CustomerID"), "CustomerID", "left_anti")
+    untouched = dim_customer.join(ids, "CustomerID", "left_anti")
     arriving = attributes.join(known.select("CustomerID"), "CustomerID", "left_anti")
     highest = dim_customer.agg(F.coalesce(F.max("CustomerKey"), F.lit(0))).scalar()
     added = with_key(arriving, "CustomerKey", distinct=True, after=highest)
     return untouched.select(*dim_customer.columns).unionByName(updated).unionByName(added)
+
+
+def upsert_dim_contract(dim_contract: DataFrame, changed: DataFrame) -> DataFrame:
+    """Contract combinations the batch brings in are numbered after the highest key; none goes."""
+    offered = changed.select(*[F.col(s).alias(t) for t, s in schemas.CONTRACT_ATTRIBUTES.items()]).distinct()
+    names = list(schemas.CONTRACT_ATTRIBUTES)
+    new = offered.join(dim_contract, names, "left_anti")
+    highest = dim_contract.agg(F.coalesce(F.max("ContractKey"), F.lit(0))).scalar()
+    added = with_key(new, "ContractKey", distinct=True, after=highest, key_type="int")
+    return dim_contract.unionByName(added)
+
+
+def keyed_changes(changed: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Changed rows with the customer key of the dimension after the batch."""
+    ids = changed.select(F.col("customer_id").alias("CustomerID"))
+    return gold.key_subscribers(changed, dim_customer.join(ids, "CustomerID", "left_semi"))
+
+
+def upsert_fact_churn(fact_churn: DataFrame, keyed: DataFrame, dim_contract: DataFrame) -> DataFrame:
+    """Facts after a batch: those of changed customers are replaced, all others stay untouched.
+
+    A customer's new facts take over the keys of the old ones, in order; what is left over
+    is numbered after the highest key. ``keyed`` is the batch with customer keys (``keyed_changes``),
+    ``dim_contract`` the dimension after it. The stored facts meet only the batch's keys.
+    """
+    new = gold.fact_rows(keyed, dim_contract)
+    customers = keyed.select("CustomerKey").distinct()
+    untouched = fact_churn.join(customers, "CustomerKey", "left_anti")
+    mine = Window.partitionBy("CustomerKey")
+    old = fact_churn.join(customers, "CustomerKey", "left_semi").select("CustomerKey", "ChurnKey")
+    old = old.withColumn("_place", F.row_number().over(mine.orderBy("ChurnKey")))
+    content = [c for c in new.columns if c != "CustomerKey"]
+    placed = new.withColumn("_place", F.row_number().over(mine.orderBy(*content))).join(old, ["CustomerKey", "_place"], "left")
+    highest = fact_churn.agg(F.coalesce(F.max("ChurnKey"), F.lit(0))).scalar()
+    added = with_key(placed.filter("ChurnKey IS NULL").select(*new.columns), "ChurnKey", after=highest)
+    kept = placed.filter("ChurnKey IS NOT NULL")
+    return untouched.select(*fact_churn.columns).unionByName(kept.select(*fact_churn.columns)).unionByName(added)
+
+
+def upsert_bridge(bridge: DataFrame, keyed: DataFrame, dim_service: DataFrame) -> DataFrame:
+    """Held services after a batch: those of changed customers are replaced."""
+    untouched = bridge.join(keyed.select("CustomerKey").distinct(), "CustomerKey", "left_anti")
+    return untouched.unionByName(gold.build_fact_customer_service(keyed, dim_service))

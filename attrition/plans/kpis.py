@@ -27,9 +27,9 @@ def total_of(name: str) -> str:
     return f"coalesce(sum({name}), 0)"
 
 
-def overview_by(rows: DataFrame, *keys: str) -> DataFrame:
-    """The overview set for each group, or one row without keys."""
-    sums = aggregate(
+def overview_sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """What the overview set is made of, additive over groups."""
+    return aggregate(
         rows,
         list(keys),
         total="count(1)",
@@ -38,6 +38,20 @@ def overview_by(rows: DataFrame, *keys: str) -> DataFrame:
         _cltv=total_of("cltv"),
         lifetime_revenue=total_of("total"),
     )
+
+
+def merge_overview(sums: DataFrame) -> DataFrame:
+    """The sums of all groups together."""
+    names = ["total", "churners", "monthly_revenue", "_cltv", "lifetime_revenue"]
+    return aggregate(sums, [], **{name: total_of(name) for name in names})
+
+
+def overview_by(rows: DataFrame, *keys: str) -> DataFrame:
+    """The overview set for each group, or one row without keys."""
+    return overview_from(overview_sums(rows, *keys), *keys)
+
+
+def overview_from(sums: DataFrame, *keys: str) -> DataFrame:
     return sums.selectExpr(
         *keys,
         "total",

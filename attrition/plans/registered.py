@@ -310,6 +310,49 @@ def upserted_dimension(w: Warehouse) -> DataFrame:
     return after.select("CustomerKey", "CustomerID", "City")
 
 
+def _upserted_star(w: Warehouse) -> dict[str, DataFrame]:
+    """Star tables of the earlier customers, stored, then brought up to date with the batch."""
+    path = scratch(w.spark, "star")
+    before = before_batch(w)
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        landing.write_table(df, f"{path}/{name}")
+        return w.spark.read.parquet(f"{path}/{name}")
+
+    customers, contracts = stored("customers", gold.build_dim_customer(before)), stored("contracts", gold.build_dim_contract(before))
+    keyed = stored("keyed", gold.key_subscribers(before, customers))
+    facts = stored("facts", gold.build_fact_churn(keyed, contracts))
+    bridge = stored("bridge", gold.build_fact_customer_service(keyed, w["dim_service"]))
+
+    changed = incremental.latest_versions(batch(w).filter(F.col("version") > 0), "customer_id", "version")
+    changed = stored("changed", changed)
+    customers = stored("customers_after", incremental.upsert_dim_customer(customers, changed))
+    contracts = stored("contracts_after", incremental.upsert_dim_contract(contracts, changed))
+    arrived = stored("keyed_changes", incremental.keyed_changes(changed, customers))
+    return {
+        "customers": customers,
+        "contracts": contracts,
+        "facts_before": facts,
+        "facts": incremental.upsert_fact_churn(facts, arrived, contracts),
+        "bridge": incremental.upsert_bridge(bridge, arrived, w["dim_service"]),
+    }
+
+
+def upserted_facts(w: Warehouse) -> DataFrame:
+    """Facts after the batch by their natural keys, and whether a key is the one from before."""
+    star = _upserted_star(w)
+    earlier = star["facts_before"].select("CustomerKey", F.col("ChurnKey").alias("_before"))
+    facts = star["facts"].join(earlier, "CustomerKey", "left").join(star["customers"], "CustomerKey")
+    facts = facts.join(star["contracts"], "ContractKey")
+    kept = (F.col("_before").isNull() | (F.col("_before") == F.col("ChurnKey"))).alias("key_kept")
+    return facts.select("CustomerID", "City", *schemas.CONTRACT_ATTRIBUTES, "TenureMonths", "CLTV", "ChurnLabel", kept)
+
+
+def upserted_bridge(w: Warehouse) -> DataFrame:
+    star = _upserted_star(w)
+    return star["bridge"].join(star["customers"], "CustomerKey").select("CustomerID", "ServiceKey")
+
+
 def _streamed(w: Warehouse) -> str:
     root = scratch(w.spark, "stream")
     before, later = before_batch(w), batch(w)
@@ -328,6 +371,12 @@ def streamed(w: Warehouse) -> DataFrame:
     return rows.select("customer_id", "city", "cltv", "version")
 
 
+def streamed_gold(w: Warehouse) -> DataFrame:
+    """The wide model the stream has arrived at."""
+    rows = refresh.read_model(w.spark, _streamed(w))
+    return rows.select("CustomerID", "City", *schemas.CONTRACT_ATTRIBUTES, "CLTV", "ChurnLabel", "ServiceMask")
+
+
 def streamed_kpis(w: Warehouse) -> DataFrame:
     return refresh.read_kpis(w.spark, _streamed(w)).select("batch", "total", "churners", "avg_cltv")
 
@@ -508,6 +557,9 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q3_suggested_questions": answered_suggestions,
     "r1_upsert": upserted,
     "r1_upsert_dimension": upserted_dimension,
+    "r1_upsert_facts": upserted_facts,
+    "r1_upsert_bridge": upserted_bridge,
+    "r2_stream_gold": streamed_gold,
     "r2_stream_upsert": streamed,
     "r2_stream_kpis": streamed_kpis,
 }

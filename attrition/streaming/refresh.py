@@ -1,8 +1,10 @@
-"""Customer upserts from arriving files, with a KPI refresh after every batch.
+"""Customer upserts from arriving files, through to star tables and KPIs after every batch.
 
-Each micro-batch writes a whole snapshot under its own batch number and only then
-a ledger entry that makes it current. A batch that runs again starts from the
-snapshot before it and overwrites its own output, so a retry changes nothing.
+The typed rows are kept in hash buckets of the customer id. A micro-batch reads and
+rewrites only the buckets it touches, under its own batch number, and then writes a
+ledger that says which batch holds each bucket; readers follow the latest ledger. A
+batch that runs again starts from the ledger before it and overwrites its own output,
+so a retry changes nothing. Buckets that neither of the last two ledgers names are removed.
 """
 
 from __future__ import annotations
@@ -13,29 +15,88 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from attrition import schemas
+from attrition.operators import gold
 from attrition.operators.checks import require_clean
-from attrition.operators.incremental import apply_latest, latest_versions
-from attrition.plans.kpis import kpi_overview
+from attrition.operators.incremental import apply_latest, latest_versions, upsert_dim_contract
+from attrition.operators.keys import with_key
+from attrition.plans.kpis import merge_overview, overview_from, overview_sums
 from attrition.sources.feed import build_feed
 
+# Fixed for a root: its first ledger records it.
+BUCKETS = 64
+KEY = "CustomerKey"
 
-def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+
+def _ledgers(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        ledger = spark.read.parquet(f"{root}/ledger")
+        return spark.read.parquet(f"{root}/ledger")
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
+
+
+def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    ledger = _ledgers(spark, root)
+    if ledger is None:
+        return None
     if before is not None:
         ledger = ledger.filter(F.col("batch") < before)
     return ledger.agg(F.max("batch")).first()[0]
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
+def _entries(spark: SparkSession, root: str, version: int | None) -> list[dict]:
+    """One entry for each bucket: its holder, the holder of the contracts, the highest customer key."""
+    if version is None:
+        return [{"bucket": b, "holder": None, "contracts": None, "highest": 0} for b in range(BUCKETS)]
+    rows = spark.read.parquet(f"{root}/ledger/batch={version}").collect()
+    return sorted((row.asDict() for row in rows), key=lambda row: row["bucket"])
+
+
+def _paths(root: str, entries: list[dict]) -> list[str]:
+    return [f"{root}/state/batch={e['holder']}/bucket={e['bucket']}" for e in entries if e["holder"] is not None]
+
+
+def _bucket(key: str, count: int) -> str:
+    return f"CAST(pmod(xxhash64({key}), {count}) AS INT)"
+
+
+def _state(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise ValueError(f"no snapshot under {root}")
-    return spark.read.parquet(f"{root}/snapshot/batch={version}")
+    paths = _paths(root, _entries(spark, root, version))
+    if not paths:
+        raise ValueError(f"nothing has arrived under {root}")
+    return spark.read.parquet(*paths)
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    return _state(spark, root).drop(KEY)
+
+
+def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The star tables of the latest batch. A customer has one typed row, so its fact takes the
+    customer's key; all tables but the contracts are projections of the state."""
+    state = _state(spark, root)
+    contracts = _entries(spark, root, current_version(spark, root))[0]["contracts"]
+    dim_contract = spark.read.parquet(f"{root}/contracts/batch={contracts}")
+    dim_service = gold.build_dim_service(spark)
+    return {
+        "dim_customer": gold.renamed(state, {KEY: KEY} | schemas.CUSTOMER_ATTRIBUTES),
+        "dim_contract": dim_contract,
+        "dim_service": dim_service,
+        "fact_churn": gold.fact_rows(state, dim_contract).withColumn("ChurnKey", F.col(KEY)),
+        "fact_customer_service": gold.build_fact_customer_service(state, dim_service),
+    }
+
+
+def read_model(spark: SparkSession, root: str) -> DataFrame:
+    """The wide model over the latest star tables, for measures and visuals."""
+    star = read_gold(spark, root)
+    profile = gold.build_customer_profile(star["dim_customer"], star["fact_customer_service"])
+    return gold.build_model(star["fact_churn"], star["dim_contract"], profile)
 
 
 def read_kpis(spark: SparkSession, root: str) -> DataFrame:
@@ -45,21 +106,61 @@ def read_kpis(spark: SparkSession, root: str) -> DataFrame:
 
 def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, sequence: str) -> None:
     spark = batch.sparkSession
-    # Stored first: a small batch is then known to be small and the snapshot is not shuffled for it.
+    version = current_version(spark, root, before=batch_id)
+    entries = _entries(spark, root, version)
+    # Stored first: a small batch is then known to be small and the state is not shuffled for it.
     changes = f"{root}/changes/batch={batch_id}"
     latest_versions(batch, key, sequence).write.mode("overwrite").parquet(changes)
-    latest = spark.read.parquet(changes)
+    latest = spark.read.schema(batch.schema).parquet(changes)
     require_clean(latest.agg(F.count_if(F.col(key).isNull()).alias("missing_ids")), "missing_ids")
-    version = current_version(spark, root, before=batch_id)
-    merged = latest
-    if version is not None:
-        merged = apply_latest(spark.read.parquet(f"{root}/snapshot/batch={version}"), latest, key, sequence)
-    target = f"{root}/snapshot/batch={batch_id}"
-    merged.write.mode("overwrite").parquet(target)
-    kpi_overview(build_feed(spark.read.parquet(target))).write.mode("overwrite").parquet(f"{root}/kpi/batch={batch_id}")
-    spark.range(1).select(F.lit("done").alias("state")).write.mode("overwrite").parquet(
-        f"{root}/ledger/batch={batch_id}"
-    )
+
+    in_bucket = _bucket(key, len(entries))
+    touched = {row["b"] for row in latest.selectExpr(f"{in_bucket} AS b").distinct().collect()}  # at most every bucket
+    highest = max(e["highest"] for e in entries)
+    paths = _paths(root, [e for e in entries if e["bucket"] in touched])
+    merged = latest.withColumn(KEY, F.lit(None).cast("bigint"))
+    if paths:
+        merged = apply_latest(spark.read.parquet(*paths), latest, key, sequence)
+    new = with_key(merged.filter(f"{KEY} IS NULL").drop(KEY), KEY, distinct=True, after=highest)
+    rows = merged.filter(f"{KEY} IS NOT NULL").unionByName(new).selectExpr("*", f"{in_bucket} AS bucket")
+    target = f"{root}/state/batch={batch_id}"
+    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
+    written = spark.read.schema(rows.schema).parquet(target)
+
+    contracts = entries[0]["contracts"]
+    stored = spark.read.parquet(f"{root}/contracts/batch={contracts}") if contracts is not None else None
+    dim_contract = gold.build_dim_contract(latest) if stored is None else upsert_dim_contract(stored, latest)
+    dim_contract.write.mode("overwrite").parquet(f"{root}/contracts/batch={batch_id}")
+
+    # KPIs add up over buckets: only those of the touched ones are computed anew.
+    feed = build_feed(written.drop("bucket")).withColumn("bucket", F.expr(_bucket("id", len(entries))))
+    overview_sums(feed, "bucket").write.mode("overwrite").parquet(f"{root}/sums/batch={batch_id}")
+    top = written.agg(F.max(KEY)).first()[0] or 0
+    ledger = [
+        (e["bucket"], batch_id if e["bucket"] in touched else e["holder"], batch_id, max(highest, top)) for e in entries
+    ]
+    held = spark.createDataFrame(ledger, "bucket int, holder bigint, contracts bigint, highest bigint")
+    sums = spark.read.parquet(f"{root}/sums").withColumn("holder", F.col("batch").cast("bigint")).drop("batch")
+    overview = overview_from(merge_overview(sums.join(F.broadcast(held), ["bucket", "holder"])))
+    overview.write.mode("overwrite").parquet(f"{root}/kpi/batch={batch_id}")
+    held.coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id}")
+    _remove_superseded(spark, root, version, entries)
+
+
+def _remove_superseded(spark: SparkSession, root: str, version: int | None, entries: list[dict]) -> None:
+    """Delete what the ledger before ``version`` named and ``version`` no longer does."""
+    earlier = current_version(spark, root, before=version) if version is not None else None
+    if earlier is None:
+        return
+    old = _entries(spark, root, earlier)
+    now = set(_paths(root, entries))
+    gone = [path for path in _paths(root, old) if path not in now]
+    if old[0]["contracts"] != entries[0]["contracts"]:
+        gone.append(f"{root}/contracts/batch={old[0]['contracts']}")
+    gone.append(f"{root}/changes/batch={earlier}")
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def refresh_stream(
@@ -71,7 +172,10 @@ def refresh_stream(
     sequence: str = "version",
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Take in every file that has arrived and stop."""
+    """Take in every file that has arrived and stop.
+
+    ``files_per_batch`` bounds a micro-batch, and with it how many buckets one rewrites at once.
+    """
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(arriving)
     return (
         source.writeStream.foreachBatch(lambda batch, batch_id: apply_batch(batch, batch_id, root, key, sequence))

@@ -184,6 +184,15 @@ keys AS (
  SELECT (SELECT count(*) FROM earlier) + row_number() OVER (ORDER BY substr(md5({_CUSTOMER_KEY}),1,4),
   {_ORDER}), CustomerID FROM arriving)
 SELECT k.CustomerKey, k.CustomerID, a.city AS City FROM keys k JOIN after_batch a ON a.customer_id = k.CustomerID""",
+    "r1_upsert_facts": NUMBERED + """SELECT customer_id AS CustomerID, city AS City, contract AS ContractType,
+ paperless_billing AS PaperlessBilling, payment_method AS PaymentMethod, CAST(tenure_months AS BIGINT) AS TenureMonths,
+ cltv AS CLTV, churn_label AS ChurnLabel, true AS key_kept FROM after_batch""",
+    "r1_upsert_bridge": """SELECT u.customer_id AS CustomerID, CAST(s.ServiceKey AS BIGINT) AS ServiceKey
+ FROM unpivoted u JOIN dim_service s ON s.ServiceName = u.ServiceName""",
+    "r2_stream_gold": NUMBERED + """SELECT customer_id AS CustomerID, a.city AS City, contract AS ContractType,
+ paperless_billing AS PaperlessBilling, payment_method AS PaymentMethod, cltv AS CLTV, churn_label AS ChurnLabel,
+ coalesce((SELECT bit_or(1::BIGINT << (s.ServiceKey - 1)) FROM unpivoted u JOIN dim_service s ON s.ServiceName = u.ServiceName
+  WHERE u.customer_id = a.customer_id), 0) AS ServiceMask FROM after_batch a""",
     "r2_stream_upsert": NUMBERED + "SELECT customer_id, city, cltv, version FROM after_batch",
     "r2_stream_kpis": NUMBERED
     + """SELECT CAST(0 AS BIGINT) AS batch, count(*) AS total, count(*) FILTER (churn_label = 'Yes') AS churners,

@@ -2,7 +2,7 @@ import frames
 import pytest
 from pyspark.sql import functions as F
 
-from attrition.operators import gold, incremental
+from attrition.operators import checks, gold, incremental
 from attrition.streaming import refresh
 
 
@@ -68,11 +68,70 @@ def test_stream(spark, tmp_path):
     rows = {r.customer_id: r.city for r in refresh.read_current(spark, root).collect()}
     assert rows == {"S0": "Town", "S1": "Moved", "S9": "Town"}
     assert frames.pairs(refresh.read_kpis(spark, root), "batch", "total") == {0: 2, 1: 3, 2: 3}
-    # A batch that runs again starts from the snapshot before it.
+    # A batch that runs again starts from the state before it.
     again = streamed(spark, [dict(customer_id="S9", city="Again")], 3)
-    refresh.apply_batch(again, 1, root, "customer_id", "version")
-    redone = spark.read.parquet(f"{root}/snapshot/batch=1")
-    assert {r.customer_id: r.city for r in redone.collect()} == {"S0": "Town", "S1": "Town", "S9": "Again"}
+    refresh.apply_batch(again, 2, root, "customer_id", "version")
+    rows = {r.customer_id: r.city for r in refresh.read_current(spark, root).collect()}
+    assert rows == {"S0": "Town", "S1": "Moved", "S9": "Again"}
+
+
+def test_stream_reaches_gold_and_rewrites_only_touched_buckets(spark, tmp_path):
+    root = str(tmp_path)
+    run(spark, root, streamed(spark, frames.ids([{} for _ in range(40)]), 1))
+
+    def files():
+        return {str(p): p.stat().st_mtime_ns for p in tmp_path.glob("state/batch=*/bucket=*/*.parquet")}
+
+    before = files()
+    keys = frames.pairs(refresh.read_gold(spark, root)["dim_customer"], "CustomerID", "CustomerKey")
+    assert sorted(keys.values()) == list(range(1, 41))
+    run(spark, root, streamed(spark, [dict(customer_id="S3", contract="Two year", tech_support="Yes")], 2))
+    run(spark, root, streamed(spark, [dict(customer_id="N1")], 2))
+    after = files()
+    gone = set(before) - set(after)
+    assert len({p.split("bucket=")[1].split("/")[0] for p in gone}) <= 1  # the first batch's copy of one bucket
+    assert all(after[p] == before[p] for p in before if p in after) and len(before) - len(gone) > len(gone)
+    star = refresh.read_gold(spark, root)
+    now = frames.pairs(star["dim_customer"], "CustomerID", "CustomerKey")
+    assert now == keys | {"N1": 41}
+    checks.verify("fact_churn", star)
+    checks.verify("fact_customer_service", star)
+    row = frames.one(refresh.read_model(spark, root).filter("CustomerID = 'S3'"))
+    assert row["ContractType"] == "Two year" and row["ServiceMask"] >> 6 & 1
+    assert frames.pairs(refresh.read_kpis(spark, root), "batch", "total") == {0: 40, 1: 40, 2: 41}
+
+
+def test_facts_and_bridge_of_changed_customers_are_replaced(spark):
+    rows = frames.ids([dict(city=f"C{i}") for i in range(6)])
+    t = frames.star(spark, rows)
+    changed = frames.silver(spark, [dict(customer_id="S2", contract="One year", phone_service="No"), dict(customer_id="N")]).cache()
+    customers = incremental.upsert_dim_customer(t["dim_customer"], changed).cache()
+    contracts = incremental.upsert_dim_contract(t["dim_contract"], changed).cache()
+    keyed = incremental.keyed_changes(changed, customers).cache()
+    facts = incremental.upsert_fact_churn(t["fact_churn"], keyed, contracts).cache()
+    bridge = incremental.upsert_bridge(t["fact_customer_service"], keyed, t["dim_service"]).cache()
+    after = {"dim_customer": customers, "dim_contract": contracts, "dim_service": t["dim_service"]}
+    after |= {"fact_churn": facts, "fact_customer_service": bridge}
+    for layer in after:
+        checks.verify(layer, after)
+    old, new = (frames.pairs(f, "CustomerKey", "ChurnKey") for f in (t["fact_churn"], facts))
+    assert {c: new[c] for c in old} == old and len(new) == 7 and max(new.values()) == 7
+    merged = [r for r in rows if r["customer_id"] != "S2"]
+    merged += [dict(customer_id="S2", contract="One year", phone_service="No"), dict(customer_id="N")]
+    again = frames.star(spark, merged)
+
+    def seen(star):
+        held = star["fact_customer_service"].join(star["dim_customer"], "CustomerKey").select("CustomerID", "ServiceKey")
+        told = star["fact_churn"].join(star["dim_customer"], "CustomerKey").join(star["dim_contract"], "ContractKey")
+        return sorted(held.collect()), sorted(map(str, told.drop("ChurnKey", "CustomerKey", "ContractKey").collect()))
+
+    assert seen(after) == seen(again)
+
+
+def test_equal_versions_are_settled_by_content(spark):
+    batch = versions(spark, [("a", 2, "x"), ("a", 2, "y"), ("a", 1, "z"), ("b", None, "n"), (None, 1, "q")])
+    got = sorted(map(tuple, incremental.latest_versions(batch, "customer_id", "version").collect()), key=str)
+    assert got == [("a", 2, "y"), ("b", None, "n"), (None, 1, "q")]
 
 
 def test_batch_without_ids_is_refused(spark, tmp_path):
