@@ -46,7 +46,12 @@ def with_key(
         rows = (
             df.groupBy(*kept)
             .agg(F.expr("count(1) AS _copies"))
-            .selectExpr("*", f"explode(sequence(0L, (_copies - 1) div {COPIES_PER_ROW})) AS _run")
+            # Runs are listed in two steps, so that no array grows with the copies of a row.
+            .selectExpr("*", f"(_copies - 1) div {COPIES_PER_ROW} AS _runs")
+            .selectExpr("*", f"explode(sequence(0L, _runs div {COPIES_PER_ROW})) AS _lot")
+            .selectExpr(
+                "*", f"explode(sequence(_lot * {COPIES_PER_ROW}, least((_lot + 1) * {COPIES_PER_ROW} - 1, _runs))) AS _run"
+            )
             .selectExpr("*", f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n")
         )
     # The content text decides the bucket and is dropped: only the columns themselves are shuffled and sorted.
