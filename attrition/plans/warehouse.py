@@ -115,20 +115,28 @@ class Warehouse:
 _OPEN: dict[tuple, Warehouse] = {}
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
-    """Changes when an input file is added, replaced or removed."""
+_SEEN: dict[tuple, str] = {}
+
+
+def _fingerprint(spark: SparkSession, sf_dir: str, refresh: bool) -> str:
+    """Changes when an input file is added, replaced or removed.
+
+    Files of a local folder are looked at each time. Listing a remote store takes a job, so
+    that is done once in an application, or when asked for.
+    """
     paths = [f"{sf_dir}/{name}.parquet" for name in subscribers.INPUT_TABLES]
     if all(os.path.exists(path) for path in paths):
         stats = []
         for path in paths:
             files = [path] if os.path.isfile(path) else glob.glob(f"{path}/**/*.parquet", recursive=True)
             stats += [(name, os.stat(name).st_size, os.stat(name).st_mtime_ns) for name in sorted(files)]
-        text = repr(stats)
-    else:
+        return hashlib.md5(repr(stats).encode()).hexdigest()[:12]
+    place = spark.sparkContext.applicationId, sf_dir
+    if refresh or place not in _SEEN:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
         marks = files.agg(F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)")))
-        text = repr(marks.first()[0])
-    return hashlib.md5(text.encode()).hexdigest()[:12]
+        _SEEN[place] = hashlib.md5(repr(marks.first()[0]).encode()).hexdigest()[:12]
+    return _SEEN[place]
 
 
 def _code_mark() -> str:
@@ -142,13 +150,13 @@ def _code_mark() -> str:
     return digest.hexdigest()[:12]
 
 
-def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def open_warehouse(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Warehouse:
     """The warehouse over ``sf_dir``, named by its input files and the code: layers another
     session has stored are read, changed inputs get a warehouse of their own.
 
-    The input files are listed each time; keep the result to ask many questions of one load.
+    ``refresh`` looks at a remote store's files again; see ``_fingerprint``.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir, refresh))
     if key not in _OPEN:
         name = hashlib.md5(repr(key[1:]).encode()).hexdigest()[:12]
         _OPEN[key] = Warehouse(spark, sf_dir, f"{shared_dir(spark)}/attrition/{_code_mark()}-{name}")
