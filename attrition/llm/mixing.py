@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from attrition.llm.scratch import store
 
 # Documents of a leaf that are put in order together, on average.
-BUCKET_DOCS = 4096
+BUCKET_DOCS = 1024
 UNKNOWN = "unknown"
 
 
@@ -63,20 +63,15 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...],
 
     The tree has a row for each leaf, not for each document; children of one node meet in one window.
     """
-    down = leaves.agg((F.sum("tokens") * epochs).alias("most"), budget.alias("asked")).select(
-        F.lit(0).alias("root"), F.least("most", "asked").alias("budget")
-    )
-    parent = ["root"]
-    rooted = leaves.withColumn("root", F.lit(0))
+    whole = leaves.agg(F.least(F.sum("tokens") * epochs, budget).alias("budget"))
+    down = None
     for depth, name in enumerate(levels):
         path = levels[: depth + 1]
-        nodes = rooted.groupBy("root", *path).agg((F.sum("tokens") * epochs).alias("capacity"))
-        nodes = nodes.withColumn("weight", weight_of(path, weights)).where("weight > 0").join(down, parent)
-        granted = share_out(nodes, parent, name)
-        parent = ["root", *path]
-        down = granted.select(*parent, F.col("granted").alias("budget"))
-    return leaves.join(down.drop("root").withColumnRenamed("budget", "granted"), levels, "left").withColumn(
-        "granted", F.coalesce("granted", F.lit(0)).cast("long")
+        nodes = leaves.groupBy(*path).agg((F.sum("tokens") * epochs).alias("capacity"))
+        nodes = nodes.withColumn("weight", weight_of(path, weights)).where("weight > 0")
+        nodes = nodes.withColumn("budget", whole.scalar()) if down is None else nodes.join(down, path[:-1])
+        down = share_out(nodes, path[:-1], name).select(*path, F.col("granted").alias("budget"))
+    return leaves.join(down.withColumnRenamed("budget", "granted"), levels, "left").withColumn(        "granted", F.coalesce("granted", F.lit(0)).cast("long")
     )
 
 
