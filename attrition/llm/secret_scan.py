@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import contextlib
 import json
 import re
 from collections.abc import Iterator
@@ -16,6 +17,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from attrition.llm.scratch import text_rows
+
 # Fixed by the contract: kinds in this order, their patterns and least lengths.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -32,8 +35,8 @@ DER_BASE64 = re.compile(rf"M(?:[A-H]{_B}CAQ[AE]|I[E-H]{_B}AgE[AB]|I[I-L]{_B}{_B}
 DER_HEX = re.compile(r"30(?:[0-7][0-9a-f]|81[0-9a-f]{2}|82[0-9a-f]{4})02010[01]", re.IGNORECASE)
 OPENSSH = b"openssh-key-v1\0"
 OPENSSH_BASE64, OPENSSH_HEX = "b3BlbnNzaC1rZXktdjEA", OPENSSH.hex()
-PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]{6,})\.(eyJ[A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
+PEM = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ ){0,4}PRIVATE KEY)-----")
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{6,})\.(eyJ[A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
 # Bytes of a signature by the algorithm's name; RS and PS signatures are as long as the key.
 SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "ES256K": 64, "EdDSA": 64}
 KEY_SIZES = {128, 192, 256, 384, 512, 1024}
@@ -176,13 +179,13 @@ def _openssh(text: str) -> Iterator[tuple[str, int, int]]:
     for mark, run, decode, per in ((OPENSSH_BASE64, OPENSSH_RUN, base64.b64decode, 4 / 3), (OPENSSH_HEX, HEX_RUN, bytes.fromhex, 2)):
         at = text.find(mark)
         while at >= 0:
-            body = re.sub(r"\r?\n", "", run.match(text, at).group())
-            body = body[: len(body) // 4 * 4]
-            try:
-                size = openssh_length(decode(body))
-            except ValueError:
-                size = None
-            end = at + len(mark)
+            end, size = at + len(mark), None
+            # The cipher's name is short: a look at its length spares reading a long run for each mark in it.
+            name = re.sub(r"\r?\n", "", run.match(text, at, at + 80).group())[:40]
+            if int.from_bytes(decode(name)[len(OPENSSH) : len(OPENSSH) + 4], "big") <= 64:
+                body = re.sub(r"\r?\n", "", run.match(text, at).group())
+                with contextlib.suppress(ValueError):
+                    size = openssh_length(decode(body[: len(body) // 4 * 4]))
             if size:
                 found = _gather(text, at, -int(-size * per // 1), BASE64_RUN if per < 2 else HEX_RUN)
                 if found:
@@ -192,27 +195,24 @@ def _openssh(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 def _pem(text: str) -> Iterator[tuple[str, int, int]]:
-    done = 0
+    opened = None
     for hit in PEM.finditer(text):
-        if hit.start() < done:
-            continue
-        tail = f"-----END {hit.group(1)}-----"
-        end = text.find(tail, hit.end())
-        if end < 0:
+        if hit.group(1) == "BEGIN":
+            opened = hit
             continue
-        body = text[hit.end() : end]
-        if "-----BEGIN" in body:
+        begun, opened = opened, None
+        if begun is None or begun.group(2) != hit.group(2):
             continue
+        body = text[begun.end() : hit.start()]
         heads = re.match(r"\s*(?:[A-Za-z-]+: [^\n]*\n)*", body).group()
         try:
             data = base64.b64decode(re.sub(r"\s+", "", body[len(heads) :]), validate=True)
         except binascii.Error:
             continue
         locked = "ENCRYPTED" in heads and len(data) >= 16 and len(data) % 8 == 0
-        wrapped = hit.group(1).startswith("ENCRYPTED") and _is_wrapped(data)
+        wrapped = hit.group(2).startswith("ENCRYPTED") and _is_wrapped(data)
         if locked or wrapped or private_key(data) or (data.startswith(OPENSSH) and openssh_length(data) == len(data)):
-            done = end + len(tail)
-            yield "pem", hit.start(), done
+            yield "pem", begun.start(), hit.end()
 
 
 def _is_wrapped(data: bytes) -> bool:
@@ -272,4 +272,5 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     null id are scanned like others. Each row is judged alone, so nothing is shuffled.
     """
     picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"`{text_col}` AS text")
+    text_rows(docs.sparkSession)
     return picked.mapInArrow(_scan_batches, SCHEMA)
