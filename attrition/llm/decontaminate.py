@@ -18,12 +18,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.scratch import store
+from attrition.llm.scratch import store, text_rows
 
 # Characters of benchmark text in one broadcast block.
 BLOCK_CHARS = 8_000_000
 # A segment is closed at this many postings or word positions.
-SEGMENT_POSTINGS, SEGMENT_WORDS = 2_000_000, 8_000_000
+SEGMENT_POSTINGS, SEGMENT_WORDS = 1_000_000, 2_000_000
 
 # Bytes that separate words: 00-2F, 3A-60 and 7B-7F without A-Z, which are lower-cased.
 _WORDS = bytes(
@@ -70,6 +70,7 @@ def build_index(docs: DataFrame, vocabulary: dict[bytes, int], gap: int, id_col:
             yield _segment(f"{part}-{number}", terms, places, docs_in)
 
     picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text")
+    text_rows(docs.sparkSession)
     return picked.mapInArrow(index, INDEX)
 
 
@@ -168,8 +169,8 @@ def find_matches(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                yield _search_segment(row, sent, reach)
+            for at in range(batch.num_rows):
+                yield _search_segment(batch.slice(at, 1).to_pylist()[0], sent, reach)
 
     return index.mapInArrow(search, MATCHES)
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.scratch import held_out
+from attrition.llm.scratch import held_out, text_rows
 
 # Hash buckets of n-grams; with MAX_LANGUAGES rows of float32 the model stays under 128 MB.
 BITS, MAX_LANGUAGES = 15, 1024
@@ -76,6 +76,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, log priors and log probabilities from all rows with id, text and language that are not held out."""
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
+    text_rows(docs.sparkSession)
     counted = known.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long")
     summed = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = summed.toArrow()  # at most one row for each cell of the matrix
@@ -137,6 +138,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array(sure)], ["doc_id", "lang_pred", "score"])
 
     picked = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
+    text_rows(docs.sparkSession)
     return picked.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 

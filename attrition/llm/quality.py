@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attrition.llm.scratch import held_out
+from attrition.llm.scratch import held_out, text_rows
 
 # Labelled rows the classifier is fitted on, for each label; its vectors are broadcast.
 SAMPLE = 2000
@@ -177,6 +177,7 @@ def score(docs: DataFrame, model: dict | None, name: str = "score") -> DataFrame
                     found = votes(np.stack([describe(t.as_py() or b"") for t in texts]), fitted)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, name])
 
+    text_rows(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -13,6 +13,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The six ASCII white-space characters, U+0020 and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
 
+TEXT_ROWS, _BATCH = 500, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def folder(spark: SparkSession) -> str:
     """Where this application's intermediate tables are written; see ``release``."""
@@ -36,6 +38,16 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def text_rows(spark: SparkSession) -> None:
+    """Send at most TEXT_ROWS rows to Python at once from now on, if the session allows more.
+
+    Rows here are whole documents, and a batch is held by the JVM, by Arrow and by
+    Python at the same time.
+    """
+    if not 0 < int(spark.conf.get(_BATCH)) <= TEXT_ROWS:
+        spark.conf.set(_BATCH, str(TEXT_ROWS))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

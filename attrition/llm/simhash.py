@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.llm.components import components
-from attrition.llm.scratch import store
+from attrition.llm.scratch import store, text_rows
 
 # Shingles hashed at once, so that a very long text needs no more memory than a short one's.
 BLOCK = 1 << 16
@@ -49,6 +49,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fingerprint"])
 
     picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text")
+    text_rows(docs.sparkSession)
     return picked.mapInArrow(run, "doc_id long, fingerprint long")
 
 

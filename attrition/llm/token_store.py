@@ -29,14 +29,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.scratch import folder
+from attrition.llm.scratch import folder, text_rows
 
 MAGIC, HEAD = b"PLN1", struct.Struct("<4sBBHIQ")
 BLOCK_IDS = 65536
 # A segment is closed at the end of the document that brings it to this many ids.
 SEGMENT_IDS = 1 << 19
-# Entries of a worker's word memo before it is emptied, and bytes of text looked up at once.
-MEMO_WORDS, GROUP_BYTES = 1_200_000, 4_000_000
+# Entries of a worker's word memo, of which the earlier half, with the frequent words, stays when
+# it is full; bytes of text looked up at once.
+MEMO_WORDS, GROUP_BYTES = 700_000, 2_000_000
 
 SEGMENTS = "part int, segment int, before long, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
@@ -120,12 +121,16 @@ class Encoder:
             names = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(names.values()) + 1, bool)
             self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.number: dict[bytes, int] = defaultdict(count().__next__)
         self.starts, self.sizes, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
+    def _forget(self) -> None:
+        """Keep the words met first."""
+        n = len(self.number) // 2
+        self.number = defaultdict(count(n).__next__, islice(self.number.items(), n))
+        self.flat = self.flat[: self.starts[n]].copy()
+        self.starts, self.sizes = self.starts[:n].copy(), self.sizes[:n].copy()
+
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -265,6 +270,7 @@ def write_tokens(
     """
     picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text", f"xxhash64(`{text_col}`) AS tie")
     ordered = picked.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
+    text_rows(docs.sparkSession)
     # The segments are compressed already.
     ordered.mapInArrow(_segments(tokenizer, end_id, plane), SEGMENTS).write.option("compression", "none").parquet(f"{target}/tokens")
     spark = docs.sparkSession
@@ -289,7 +295,8 @@ def read_tokens(spark, source: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 data = memoryview(read_segment(row["payload"]).astype("<u4").tobytes())
                 ends = np.cumsum(row["lengths"])
                 if 4 * (int(ends[-1]) if len(ends) else 0) != len(data):

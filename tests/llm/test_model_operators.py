@@ -133,6 +133,17 @@ def test_memo_gives_what_the_tokenizer_gives():
         assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_memo_is_bounded_and_stays_right(monkeypatch):
+    monkeypatch.setattr(token_store, "MEMO_WORDS", 50)
+    encoder = token_store.Encoder(TOKENIZER)
+    plain_tokenizer = Tokenizer.from_file(TOKENIZER)
+    for i in range(12):
+        texts = [f"word{i}a common, text{j * i} x{i}. common." for j in range(20)]
+        found = encoder.encode([t.encode() for t in texts], b"")
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.number) < 50 + 20 * 4
+
+
 def test_a_tokenizer_that_keeps_blanks_is_used_whole():
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoder = token_store.Encoder(path)
