@@ -67,9 +67,19 @@ def present(df: DataFrame) -> DataFrame:
     return df.selectExpr(*columns)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/attrition/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors can reach."""
-    return f"{shared_dir(spark)}/attrition/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:8]}"
+    """A fresh folder that all executors can reach; ``clear_scratch`` removes them."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application's queries wrote on the way; call it once their results are taken."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tables(w: Warehouse, names: list[str]) -> dict[str, DataFrame]:

@@ -105,3 +105,13 @@ class FakeSession:
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(FakeSession)
+
+
+def test_scratch_is_removed(spark, sf_dir):
+    import os
+
+    registered.run("b5_bulk_write", spark, sf_dir).count()
+    root = registered._scratch_root(spark)
+    assert os.listdir(root)
+    registered.clear_scratch(spark)
+    assert not os.path.exists(root)
