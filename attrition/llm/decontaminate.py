@@ -10,7 +10,7 @@ sent to the segments in blocks of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +42,13 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_WORDS).split() if text else []
 
 
-def build_index(docs: DataFrame, vocabulary: dict[bytes, int], gap: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(
+    docs: DataFrame, vocabulary: dict[bytes, int], gap: int, id_col: str = "doc_id", text_col: str = "text", keys: Sequence[str] = ()
+) -> DataFrame:
     """Index segments of ``docs``; only terms of ``vocabulary`` get postings.
 
     Positions run on over a segment's documents, with ``gap`` unused ones between two,
-    so no match reaches from one document into the next.
+    so no match reaches from one document into the next. ``keys`` are long columns kept for each document.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -55,38 +57,38 @@ def build_index(docs: DataFrame, vocabulary: dict[bytes, int], gap: int, id_col:
         part, number = TaskContext.get().partitionId(), 0
         terms, places, docs_in, at, count = [], [], [], 0, 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc, text, *own in zip(batch.column(0).to_pylist(), batch.column(1), *(c.to_pylist() for c in batch.columns[2:])):
                 words = words_of(text.as_py())
                 ids = np.fromiter((term_of(w, -1) for w in words), np.int32, len(words))
                 known = np.flatnonzero(ids >= 0)
                 terms.append(ids[known])
                 places.append(known + at)
-                docs_in.append((doc, at, len(words)))
+                docs_in.append((doc, at, len(words), *own))
                 at, count = at + len(words) + gap, count + len(known)
                 if count >= SEGMENT_POSTINGS or at >= SEGMENT_WORDS:
-                    yield _segment(f"{part}-{number}", terms, places, docs_in)
+                    yield _segment(f"{part}-{number}", terms, places, docs_in, keys)
                     terms, places, docs_in, at, count, number = [], [], [], 0, 0, number + 1
         if docs_in:
-            yield _segment(f"{part}-{number}", terms, places, docs_in)
+            yield _segment(f"{part}-{number}", terms, places, docs_in, keys)
 
-    picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text")
+    picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text", *[f"`{k}`" for k in keys])
     text_rows(docs.sparkSession)
-    return picked.mapInArrow(index, INDEX)
+    return picked.mapInArrow(index, ", ".join([INDEX, *(f"`{k}` array<long>" for k in keys)]))
 
 
-def _segment(name: str, terms: list, places: list, docs_in: list) -> pa.RecordBatch:
+def _segment(name: str, terms: list, places: list, docs_in: list, keys: Sequence[str] = ()) -> pa.RecordBatch:
     term, place = np.concatenate(terms), np.concatenate(places).astype(np.int32)
     order = np.argsort(term, kind="stable")
     distinct, sizes = np.unique(term, return_counts=True)
-    ids, starts, words = zip(*docs_in)
+    by_doc = zip(*docs_in)  # ids, starts, words, keys
     columns = [
         pa.array([name]),
         pa.array([distinct.tolist()], pa.list_(pa.int32())),
         pa.array([sizes.tolist()], pa.list_(pa.int32())),
         pa.array([place[order].tobytes()], pa.binary()),
-        *(pa.array([list(x)], pa.list_(pa.int64())) for x in (ids, starts, words)),
+        *(pa.array([list(x)], pa.list_(pa.int64())) for x in by_doc),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["segment", "terms", "sizes", "postings", "doc_ids", "starts", "words"])
+    return pa.RecordBatch.from_arrays(columns, ["segment", "terms", "sizes", "postings", "doc_ids", "starts", "words", *keys])
 
 
 def windows_of(items: list[tuple[str, np.ndarray]], width: int) -> dict[tuple[int, ...], list[str]]:
@@ -127,9 +129,15 @@ def near_places(window: list[tuple[int, int]], lists: dict[int, np.ndarray], rea
 
 
 def find_matches(
-    docs: DataFrame, benchmark: DataFrame, width: int = 13, slop: int = 5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    width: int = 13,
+    slop: int = 5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, n_words, hits, items, near_items`` for every row of ``docs``.
+    """``doc_id, n_words, hits, items, near_items`` and ``keys`` (long columns) for every row of ``docs``.
 
     ``hits`` are the runs of word positions inside an occurrence of a benchmark window,
     ``items`` the ids (as text, sorted) of benchmark items with an occurring window, and
@@ -153,7 +161,7 @@ def find_matches(
         parts.append(items)
 
     reach = width - 1 + slop
-    index = store(build_index(docs, vocabulary, reach + 1, id_col, text_col), "postings")
+    index = store(build_index(docs, vocabulary, reach + 1, id_col, text_col, keys), "postings")
     sizes = index.select(F.explode(F.arrays_zip("terms", "sizes")).alias("x")).groupBy("x.terms").agg(F.sum("x.sizes").alias("n"))
     total = np.zeros(len(vocabulary), np.int64)
     for row in sizes.toLocalIterator():  # at most one row for each benchmark term
@@ -170,12 +178,12 @@ def find_matches(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                yield _search_segment(batch.slice(at, 1).to_pylist()[0], sent, reach)
+                yield _search_segment(batch.slice(at, 1).to_pylist()[0], sent, reach, keys)
 
-    return index.mapInArrow(search, MATCHES)
+    return index.mapInArrow(search, ", ".join([MATCHES, *(f"`{k}` long" for k in keys)]))
 
 
-def _search_segment(row: dict, sent: list, reach: int) -> pa.RecordBatch:
+def _search_segment(row: dict, sent: list, reach: int, keys: Sequence[str] = ()) -> pa.RecordBatch:
     starts, words = np.array(row["starts"], np.int64), np.array(row["words"], np.int64)
     flat = np.frombuffer(row["postings"], np.int32).astype(np.int64)
     lists = dict(zip(row["terms"], np.split(flat, np.cumsum(row["sizes"])[:-1]) if row["sizes"] else []))
@@ -206,8 +214,9 @@ def _search_segment(row: dict, sent: list, reach: int) -> pa.RecordBatch:
         pa.array(words),
         pa.array(hits, pa.list_(span)),
         *(pa.array([sorted(found.get(i, ())) for i in range(len(starts))], pa.list_(pa.string())) for found in (exact, near)),
+        *(pa.array(row[k], pa.int64()) for k in keys),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "hits", "items", "near_items"])
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "hits", "items", "near_items", *keys])
 
 
 def judged(matches: DataFrame) -> DataFrame:

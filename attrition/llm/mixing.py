@@ -9,6 +9,8 @@ passes, and a prefix of one more in an order drawn from the seed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,9 +77,10 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...],
     )
 
 
-def draw(seed: int, epoch: Column, doc_id: Column) -> Column:
-    """A document's place in an epoch: 60 bits of a hash."""
-    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def draw(seed: int, epoch: Column, doc_id: Column, keys: Sequence[str] = ()) -> Column:
+    """A document's place in an epoch: 60 bits of a hash of its id or, without one, of its ``keys``."""
+    name = F.coalesce(doc_id.cast("string"), F.concat_ws(":", *keys) if keys else F.lit(""))
+    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
@@ -88,20 +91,21 @@ def mix(
     share: float = 1.0,
     epochs: int = 2,
     seed: int = 42,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, domain, lang, source, tokens, copies, prefix_tokens`` of every row of ``docs(doc_id, text, lang, source)``.
+    """``doc_id, domain, lang, source, tokens, copies, prefix_tokens`` and ``keys`` of every row of ``docs(doc_id, text, lang, source)``.
 
     The budget is ``share`` of all tokens (white-space words), and a leaf can be passed
     ``epochs`` times at most. ``copies`` are a document's whole passes, ``prefix_tokens`` how
     many of its first tokens the last, partial pass takes. Null domains, languages and sources
     are the branch ``unknown``; nodes of weight 0 get nothing; texts without words
-    count no tokens. Rows with one id follow each other, shorter ones first. An empty
-    table gives no rows.
+    count no tokens. Rows with one id follow each other, shorter ones first, then by ``keys``
+    (long columns); rows without an id are drawn by these. An empty table gives no rows.
     """
     levels = ["domain", "lang", "source"]
     named = docs.withColumn("domain", domain)
     tokens = store(
-        named.select("doc_id", *[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in levels], word_count(F.col("text")).alias("tokens")), "mix-tokens"
+        named.select("doc_id", *keys, *[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in levels], word_count(F.col("text")).alias("tokens")), "mix-tokens"
     )
     leaves = tokens.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
     asked = F.floor(F.sum("tokens") * F.lit(share))
@@ -116,13 +120,13 @@ def mix(
         "mix-plan",
     )
     # The order of a leaf is cut into buckets by hash, so that no task has to order a whole leaf.
-    drawn = tokens.join(plan, levels).withColumn("draw", draw(seed, F.col("copies"), F.col("doc_id")))
+    drawn = tokens.join(plan, levels).withColumn("draw", draw(seed, F.col("copies"), F.col("doc_id"), keys))
     drawn = store(drawn.withColumn("bucket", F.expr("shiftright(shiftright(draw, 30) * buckets, 30)")), "mix-drawn")
     sums = drawn.groupBy(*levels, "bucket").agg(F.sum("tokens").alias("in_bucket"))
     up_to = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*levels, "bucket", F.coalesce(F.sum("in_bucket").over(up_to), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(*levels, "bucket").orderBy("draw", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*levels, "bucket").orderBy("draw", "doc_id", "tokens", *keys).rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("start") + F.coalesce(F.sum("tokens").over(inside), F.lit(0))
     placed = drawn.join(starts, [*levels, "bucket"]).withColumn("before", before)
     prefix = F.greatest(F.lit(0), F.least("tokens", F.col("rest") - F.col("before")))
-    return placed.select("doc_id", *levels, "tokens", F.col("copies").cast("long"), prefix.cast("long").alias("prefix_tokens"))
+    return placed.select("doc_id", *keys, *levels, "tokens", F.col("copies").cast("long"), prefix.cast("long").alias("prefix_tokens"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +86,8 @@ WEIGHTS = {
 }
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix(docs, WEIGHTS, F.expr(DOMAIN), share=1.0, epochs=2, seed=42)
+def mixed(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return mixing.mix(docs, WEIGHTS, F.expr(DOMAIN), share=1.0, epochs=2, seed=42, keys=keys)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ size of the ball, whatever the corpus holds, and copies were collapsed before.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -40,17 +40,20 @@ def fingerprint(text: bytes | None, words_in: int, seed: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > total).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (a signed long) of every row's whole text; null texts have no words."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", keys: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id, fingerprint`` (a signed long) of every row's whole text, and its ``keys`` (long columns); null texts have no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], ["doc_id", "fingerprint"])
+            columns = [batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *keys])
 
-    picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text")
+    picked = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS doc_id", f"CAST(`{text_col}` AS BINARY) AS text", *[f"`{k}`" for k in keys])
     text_rows(docs.sparkSession)
-    return picked.mapInArrow(run, "doc_id long, fingerprint long")
+    return picked.mapInArrow(run, ", ".join(["doc_id long", "fingerprint long", *(f"`{k}` long" for k in keys)]))
 
 
 def masks(radius: int) -> list[int]:
@@ -80,6 +83,24 @@ def links(distinct: DataFrame, radius: int) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
+def _rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """``fingerprint, first_doc, root`` of ``distinct(fingerprint, first_doc)``; a component's fingerprints have one root."""
+    found = components(links(distinct, radius))
+    joined = distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    return store(joined.select("fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+
+
+def first_rows(docs: DataFrame, keys: Sequence[str], shingle: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
+    """``doc_id`` and ``keys`` of one row of each component: the smallest id, nulls last, then the smallest keys.
+
+    A minimum for each fingerprint, then one for each root: both combine map-side, so no group meets in one task.
+    """
+    prints = store(fingerprints(docs, shingle, seed, keys=keys), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *keys)
+    distinct = store(prints.groupBy("fingerprint").agg(F.min(row).alias("first_doc")), "distinct")
+    return _rooted(distinct, radius).groupBy("root").agg(F.min("first_doc").alias("first")).select("first.doc_id", *[f"first.{k}" for k in keys])
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -92,13 +113,7 @@ def near_duplicates(
     """
     prints = store(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
     distinct = store(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_doc")), "distinct")
-    found = components(links(distinct, radius))
-    rooted = store(
-        distinct.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-            "fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root")
-        ),
-        "rooted",
-    )
+    rooted = _rooted(distinct, radius)
     named = store(rooted.groupBy("root").agg(F.min("first_doc").alias("component_id")), "named")
     classes = store(rooted.join(named, "root").select("fingerprint", "component_id"), "classes")
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")

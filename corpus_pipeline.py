@@ -1,25 +1,34 @@
 """From raw documents to token files: each stage works on all rows the one before kept.
 
 Stages take the table before them and return its columns; the last returns the
-tokens' place of every document it wrote. ``doc_id`` names a document: rows that
-share one share its verdict, and after the second stage there is one row for
-each. A null id is an id like others. Empty tables pass through.
+tokens' place of every document it wrote. A verdict is on a row, named by ``doc_id``
+and two hashes of its text: different texts that share an id, or have none, are
+judged apart, and only near duplicates and exact copies are dropped as such. Empty
+tables pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.llm import decontaminate, quality, simhash, token_store
 from attrition.llm.queries import TOKENIZER, mixed
-from attrition.llm.scratch import store
+from attrition.llm.scratch import VERSION, store, versioned
 
 
-def _by_id(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """``docs`` joined with ``marks`` on equal, or both null, ids."""
-    marks = marks.withColumnRenamed("doc_id", "__mark_id")
-    return docs.join(marks, docs["doc_id"].eqNullSafe(marks["__mark_id"]), how).drop("__mark_id")
+# A hash of all columns, for rows that differ in others than id and text.
+ROW = "__row"
+
+
+def _by_row(docs: DataFrame, marks: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """``docs`` joined with ``marks`` on equal, or both null, ids and equal ``keys``."""
+    others = [c for c in marks.columns if c.startswith("__") and c not in keys]
+    marks = marks.select(F.col("doc_id").alias("__mark_id"), *[F.col(k).alias(f"__mark{k}") for k in keys], *others)
+    same = docs["doc_id"].eqNullSafe(marks["__mark_id"])
+    for key in keys:
+        same = same & (docs[key] == marks[f"__mark{key}"])
+    return docs.join(marks, same, how)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,25 +38,26 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.xxhash64(*docs.columns))
-    rows = _by_id(docs, kept, "left_semi").withColumn("__row", F.row_number().over(same))
-    return rows.where("__row = 1").drop("__row")
+    """One row of each group of near duplicates: the smallest id, nulls last, then the smallest hashes of its text and its columns."""
+    named = versioned(docs).withColumn(ROW, F.xxhash64(*docs.columns))
+    rows = _by_row(named, simhash.first_rows(named, [*VERSION, ROW]), [*VERSION, ROW], "left_semi")
+    return rows.dropDuplicates(["doc_id", *VERSION, ROW]).select(docs.columns)
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule clears."""
-    found = decontaminate.find_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _by_id(docs, decontaminate.judged(found).where("contaminated").select("doc_id"), "left_anti")
+    named = versioned(docs)
+    found = decontaminate.find_matches(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keys=VERSION)
+    return _by_row(named, decontaminate.judged(found).where("contaminated"), VERSION, "left_anti").select(docs.columns)
 
 
 def to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many rows of a document as epochs take it; one that a last epoch takes only in part is taken whole."""
-    taken = mixed(docs).withColumn("__times", F.col("copies") + (F.col("prefix_tokens") > 0).cast("long"))
-    times = taken.groupBy("doc_id").agg(F.max("__times").alias("__times")).where("__times > 0")
-    rows = _by_id(docs, times, "inner").withColumn("__epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
+    named = versioned(docs).withColumn(ROW, F.xxhash64(*docs.columns))
+    keys = [*VERSION, ROW]
+    taken = mixed(named, keys).withColumn("__times", F.col("copies") + (F.col("prefix_tokens") > 0).cast("long"))
+    times = taken.groupBy("doc_id", *keys).agg(F.max("__times").alias("__times")).where("__times > 0")
+    rows = _by_row(named, times, keys, "inner").withColumn("__epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__times"))))
     return rows.select(docs.columns)
 
 

@@ -89,6 +89,29 @@ def test_one_row_of_each_group_stays(spark, sf_dir):
     assert len(out) == len(set(out)) and 28 in out and 34 not in out
 
 
+def test_rows_that_share_an_id_or_have_none_are_judged_apart(spark, sf_dir):
+    texts = [" ".join(f"{name}{i}" for i in range(600)) for name in ("a", "b", "c", "d", "e")]
+    ids = [7, 7, None, None, None, None, 9, 7]
+    some = [*texts, texts[4], texts[4] + " tail", texts[0]]
+    docs = spark.createDataFrame([(i, t, "en", "src0", None, "k", 0.5) for i, t in zip(ids, some)], plain.DOCS).repartition(3)
+    kept = sorted(rows(corpus_pipeline.one_of_each(spark, docs, sf_dir)), key=lambda r: r[1])
+    assert kept == [(7, texts[0]), (7, texts[1]), (None, texts[2]), (None, texts[3]), (9, texts[4] + " tail")]
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 100").first().text
+    apart = spark.createDataFrame([(i, t, "en", "src0", None, "k", 0.5) for i in (7, None) for t in (texts[0], item, texts[1])], plain.DOCS)
+    clean = rows(corpus_pipeline.clean_of_benchmark(spark, apart, sf_dir))
+    assert sorted(clean, key=str) == sorted([(i, t) for i in (7, None) for t in texts[:2]], key=str)
+
+
+def test_epochs_are_those_of_the_row(spark, sf_dir):
+    texts = [f"word{i} " * (5 + i % 7) for i in range(40)]
+    docs = spark.createDataFrame([(None, t, "en", f"src{i % 9}", None, "k", 0.5) for i, t in enumerate(texts)], plain.DOCS)
+    named = corpus_pipeline.versioned(docs).withColumn(corpus_pipeline.ROW, F.xxhash64(*docs.columns))
+    keys = [*corpus_pipeline.VERSION, corpus_pipeline.ROW]
+    want = {r[corpus_pipeline.VERSION[0]]: r.copies + (r.prefix_tokens > 0) for r in queries.mixed(named, keys).collect()}
+    out = corpus_pipeline.versioned(corpus_pipeline.to_weights(spark, docs, sf_dir)).groupBy(corpus_pipeline.VERSION[0]).count().collect()
+    assert {r[0]: r[1] for r in out} == {v: n for v, n in want.items() if n} and len(set(want.values())) > 1
+
+
 def test_weights_reach_the_mix(spark):
     assert mixing.weight_of(["domain"], queries.WEIGHTS) is not None
     assert F.expr(queries.DOMAIN) is not None
