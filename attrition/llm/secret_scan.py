@@ -12,7 +12,8 @@ import binascii
 import contextlib
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,9 +34,20 @@ KINDS = BASE_KINDS + ADDED_KINDS
 _B = "[A-Za-z0-9+/]"
 DER_BASE64 = re.compile(rf"M(?:[A-H]{_B}CAQ[AE]|I[E-H]{_B}AgE[AB]|I[I-L]{_B}{_B}[AQgw]IB[AQ])")
 DER_HEX = re.compile(r"30(?:[0-7][0-9a-f]|81[0-9a-f]{2}|82[0-9a-f]{4})02010[01]", re.IGNORECASE)
+# A SEQUENCE that begins with a SEQUENCE of an OBJECT IDENTIFIER, as encrypted PKCS #8 keys do.
+_QUAD = "[AEIMQUYcgkosw048]"
+LOCKED_BASE64 = re.compile(
+    rf"M(?:[A-H]{_QUAD}w[A-Za-f][AQgw]Y|I[GH]{_B}M(?:[A-H]{_QUAD}G|I[GH]{_B}B)|I[I-L]{_B}{_B}[DTjz](?:[AB]{_B}Bg|CB{_B}[AQgw]Y))"
+)
+LOCKED_HEX = re.compile(
+    r"30(?:[0-7][0-9a-f]|81[0-9a-f]{2}|82[0-9a-f]{4})30(?:[0-7][0-9a-f]|81[0-9a-f]{2})06", re.IGNORECASE
+)
+# Password-based encryption of PKCS #5 and PKCS #12; a hash with its algorithm has the same structure.
+LOCKS = (b"\x2a\x86\x48\x86\xf7\x0d\x01\x05", b"\x2a\x86\x48\x86\xf7\x0d\x01\x0c\x01")
 OPENSSH = b"openssh-key-v1\0"
 OPENSSH_BASE64, OPENSSH_HEX = "b3BlbnNzaC1rZXktdjEA", OPENSSH.hex()
 PEM = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ ){0,4}PRIVATE KEY)-----")
+PEM_BASE64 = "LS0tLS1CRUdJTi"  # "-----BEGIN " encoded once more
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{6,})\.(eyJ[A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
 # Bytes of a signature by the algorithm's name; RS and PS signatures are as long as the key.
 SIGNATURE = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "ES256K": 64, "EdDSA": 64}
@@ -74,7 +86,7 @@ def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]]:
 
 
 def private_key(data: bytes) -> bool:
-    """Whether ``data`` is one whole RSA, EC or PKCS #8 private key."""
+    """Whether ``data`` is one whole RSA, DSA, EC or PKCS #8 private key."""
     try:
         tag, start, end = _element(data, 0, len(data))
         if tag != 0x30 or end != len(data):
@@ -86,6 +98,9 @@ def private_key(data: bytes) -> bool:
         if tags == [0x02] * 9:
             widths = [p[2] - p[1] for p in parts]
             return widths[1] >= 64 and widths[4] < widths[1] and widths[5] < widths[1]
+        if tags == [0x02] * 6:
+            p, q, g, y, x = (b - a for _, a, b in parts[1:])
+            return data[parts[0][1]] == 0 and p >= 64 and 20 <= q <= 33 and g <= p and y <= p and x <= q
         if tags[1:3] == [0x30, 0x04] and all(t in (0xA0, 0xA1, 0x81) for t in tags[3:]):
             algorithm = _elements(data, parts[1][1], parts[1][2])
             return bool(algorithm) and algorithm[0][0] == 0x06 and parts[2][2] - parts[2][1] >= 16
@@ -143,9 +158,12 @@ def _gather(text: str, start: int, count: int, alphabet: re.Pattern) -> tuple[st
     return "".join(pieces), at
 
 
-LINE_END = re.compile(r"[ \t]*\r?\n[ \t]*")
+# Real line ends, and those written out in a string, also in one that is quoted again.
+_EOL = r"(?:\r?\n|(?:\\{1,4}r)?\\{1,4}n)"
+ESCAPED_END, EOL, LINE_END = re.compile(r"(?:\\{1,4}r)?\\{1,4}n"), re.compile(_EOL), re.compile(rf"[ \t]*{_EOL}[ \t]*")
 BASE64_RUN, HEX_RUN = re.compile(r"[A-Za-z0-9+/]+"), re.compile(r"[0-9A-Fa-f]+")
-OPENSSH_RUN = re.compile(r"[A-Za-z0-9+/]+(?:\r?\n[A-Za-z0-9+/]+)*")
+OPENSSH_RUN = re.compile(rf"{_B}+(?:{_EOL}{_B}+)*")
+BASE64_LINES = re.compile(rf"{_B}+(?:{LINE_END.pattern}{_B}+)*")
 
 
 def _declared(data: bytes) -> int:
@@ -155,22 +173,27 @@ def _declared(data: bytes) -> int:
 
 
 def _der(text: str) -> Iterator[tuple[str, int, int]]:
+    yield from _encoded(text, DER_BASE64, DER_HEX, private_key)
+    yield from _encoded(text, LOCKED_BASE64, LOCKED_HEX, _is_locked)
+
+
+def _encoded(text: str, in_base64: re.Pattern, in_hex: re.Pattern, confirm: Callable[[bytes], bool]) -> Iterator[tuple[str, int, int]]:
     done = 0
-    for hit in DER_BASE64.finditer(text):
+    for hit in in_base64.finditer(text):
         if hit.start() < done:
             continue
         size = _declared(base64.b64decode(hit.group()[:8].ljust(8, "A")))
         found = _gather(text, hit.start(), -(-size * 4 // 3), BASE64_RUN)
-        if found and private_key(base64.b64decode(found[0] + "A" * (-len(found[0]) % 4))[:size]):
+        if found and confirm(base64.b64decode(found[0] + "A" * (-len(found[0]) % 4))[:size]):
             done = found[1] + len(re.match("={0,2}", text[found[1] : found[1] + 2]).group())
             yield "der", hit.start(), done
     done = 0
-    for hit in DER_HEX.finditer(text):
+    for hit in in_hex.finditer(text):
         if hit.start() < done:
             continue
         size = _declared(bytes.fromhex(hit.group()))
         found = _gather(text, hit.start(), 2 * size, HEX_RUN)
-        if found and private_key(bytes.fromhex(found[0])):
+        if found and confirm(bytes.fromhex(found[0])):
             done = found[1]
             yield "der", hit.start(), done
 
@@ -181,9 +204,9 @@ def _openssh(text: str) -> Iterator[tuple[str, int, int]]:
         while at >= 0:
             end, size = at + len(mark), None
             # The cipher's name is short: a look at its length spares reading a long run for each mark in it.
-            name = re.sub(r"\r?\n", "", run.match(text, at, at + 80).group())[:40]
+            name = EOL.sub("", run.match(text, at, at + 80).group())[:40]
             if int.from_bytes(decode(name)[len(OPENSSH) : len(OPENSSH) + 4], "big") <= 64:
-                body = re.sub(r"\r?\n", "", run.match(text, at).group())
+                body = EOL.sub("", run.match(text, at).group())
                 with contextlib.suppress(ValueError):
                     size = openssh_length(decode(body[: len(body) // 4 * 4]))
             if size:
@@ -203,7 +226,7 @@ def _pem(text: str) -> Iterator[tuple[str, int, int]]:
         begun, opened = opened, None
         if begun is None or begun.group(2) != hit.group(2):
             continue
-        body = text[begun.end() : hit.start()]
+        body = ESCAPED_END.sub("\n", text[begun.end() : hit.start()])
         heads = re.match(r"\s*(?:[A-Za-z-]+: [^\n]*\n)*", body).group()
         try:
             data = base64.b64decode(re.sub(r"\s+", "", body[len(heads) :]), validate=True)
@@ -215,6 +238,45 @@ def _pem(text: str) -> Iterator[tuple[str, int, int]]:
             yield "pem", begun.start(), hit.end()
 
 
+def _pem_again(text: str) -> Iterator[tuple[str, int, int]]:
+    """Blocks in base64 text that begins with an encoded block's first mark."""
+    at = text.find(PEM_BASE64)
+    while at >= 0:
+        run = BASE64_LINES.match(text, at)
+        offsets, places = [0], [at]  # each line's first character without and with the line ends
+        for line in LINE_END.finditer(text, at, run.end()):
+            offsets.append(offsets[-1] + line.start() - places[-1])
+            places.append(line.end())
+        code, first, tried = LINE_END.sub("", run.group()), 0, set()
+        while first >= 0 and len(tried) < 4:
+            if first % 4 not in tried:
+                tried.add(first % 4)
+                part = code[first:]
+                inner = base64.b64decode(part + "A" * (-len(part) % 4)).decode("latin-1")
+                for _, a, b in _pem(inner):
+                    b += len(re.match(r"(?:\r?\n)?", inner[b : b + 2]).group())
+                    begin, last = first + a * 4 // 3, first - (-b * 4 // 3) - 1
+                    if last >= len(code):
+                        continue
+                    begin, last = (places[(n := bisect_right(offsets, x) - 1)] + x - offsets[n] for x in (begin, last))
+                    yield "pem", begin, last + 1 + len(re.match("={0,2}", text[last + 1 : last + 3]).group())
+            first = code.find(PEM_BASE64, first + 1)
+        at = text.find(PEM_BASE64, run.end())
+
+
+def _is_locked(data: bytes) -> bool:
+    """An encrypted PKCS #8 key by its algorithm."""
+    if not _is_wrapped(data):
+        return False
+    try:
+        _, start, end = _element(data, 0, len(data))
+        _, start, end = _element(data, start, end)
+        tag, start, end = _element(data, start, end)
+    except Malformed:
+        return False
+    return tag == 0x06 and data[start:end].startswith(LOCKS)
+
+
 def _is_wrapped(data: bytes) -> bool:
     """An encrypted PKCS #8 key: an algorithm and an octet string."""
     try:
@@ -249,6 +311,8 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     spans += [("hex", *m.span()) for m in HEX.finditer(text)]
     if "-----BEGIN" in text:
         spans += _pem(text)
+    if PEM_BASE64 in text:
+        spans += _pem_again(text)
     blocks = [s for s in spans if s[0] == "pem"]
     inside = [*_der(text), *_openssh(text)]
     spans += [s for s in inside if not any(b[1] <= s[1] < b[2] for b in blocks)]
