@@ -66,11 +66,14 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...],
     The tree has a row for each leaf, not for each document; children of one node meet in one window.
     """
     whole = leaves.agg(F.least(F.sum("tokens") * epochs, budget).alias("budget"))
+    live = leaves
+    for depth in range(len(levels)):  # a leaf below a weight of 0 gets nothing, so it is no capacity of its ancestors
+        live = live.where(weight_of(levels[: depth + 1], weights) > 0)
     down = None
     for depth, name in enumerate(levels):
         path = levels[: depth + 1]
-        nodes = leaves.groupBy(*path).agg((F.sum("tokens") * epochs).alias("capacity"))
-        nodes = nodes.withColumn("weight", weight_of(path, weights)).where("weight > 0")
+        nodes = live.groupBy(*path).agg((F.sum("tokens") * epochs).alias("capacity"))
+        nodes = nodes.withColumn("weight", weight_of(path, weights))
         nodes = nodes.withColumn("budget", whole.scalar()) if down is None else nodes.join(down, path[:-1])
         down = share_out(nodes, path[:-1], name).select(*path, F.col("granted").alias("budget"))
     return leaves.join(down.withColumnRenamed("budget", "granted"), levels, "left").withColumn(        "granted", F.coalesce("granted", F.lit(0)).cast("long")

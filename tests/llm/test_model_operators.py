@@ -99,6 +99,15 @@ def test_shortage_goes_to_siblings_before_ancestors(spark):
     assert {r.source: r.granted for r in short.collect()} == {"x": 10, "y": 100, "z": 90}
 
 
+@pytest.mark.parametrize("nothing", [("a",), ("a", "x"), ("a", "x", "s")])
+def test_a_branch_of_weight_0_leaves_its_share_to_others(spark, nothing):
+    levels = ["domain", "lang", "source"]
+    leaves = spark.createDataFrame([("a", "x", "s", 80), ("a", "y", "s", 20), ("b", "x", "s", 100)], "domain string, lang string, source string, tokens long")
+    found = {tuple(r)[:3]: r.granted for r in mixing.budgets(leaves, levels, {nothing: 0}, F.lit(100).cast("long"), 1).collect()}
+    left = 0 if nothing == ("a",) else 20
+    assert found == {("a", "x", "s"): 0, ("a", "y", "s"): left, ("b", "x", "s"): 100 - left}
+
+
 def test_mix_order_does_not_depend_on_buckets(spark, monkeypatch):
     rows = [(i, " ".join(["w"] * (1 + i % 7)), "en", "s") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
