@@ -79,6 +79,11 @@ def read_segment(data: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, "<u4")
 
 
+def _splitter(spec: dict) -> dict:
+    splitters = spec.get("pre_tokenizer") or {}
+    return splitters.get("pretokenizers", [splitters])[0]
+
+
 def splits_at_blanks(spec: dict) -> bool:
     """Whether a tokenizer lower-cases and treats the stretches between white space apart.
 
@@ -86,8 +91,7 @@ def splits_at_blanks(spec: dict) -> bool:
     """
     normalizers = spec.get("normalizer") or {}
     steps = normalizers.get("normalizers", [normalizers])
-    splitters = spec.get("pre_tokenizer") or {}
-    first = splitters.get("pretokenizers", [splitters])[0]
+    first = _splitter(spec)
     if not any(s.get("type") == "Lowercase" for s in steps) or any(s.get("type") not in ("NFC", "Replace", "Lowercase") for s in steps):
         return False
     if any(s["type"] == "Replace" and (s["pattern"], s["content"]) != ({"Regex": "\\s+"}, " ") for s in steps):
@@ -114,6 +118,7 @@ class Encoder:
         mark = self._plain("|")
         self.mark = mark[0] if len(mark) == 1 else None
         self.by_word = self.mark is not None and splits_at_blanks(spec)
+        self.pattern = regex.compile(_splitter(spec)["pattern"].get("Regex", ".")) if self.by_word else None
         # Ids that end a word, where the model marks them.
         suffix = spec["model"].get("end_of_word_suffix")
         self.ends = None
@@ -164,12 +169,18 @@ class Encoder:
         """Words numbered from ``known`` on, in that order."""
         return list(islice(reversed(self.number), len(self.number) - known))[::-1]
 
+    def _apart(self, core: bytes, stops: bytes) -> bool:
+        """Whether the tokenizer cuts a word of ASCII letters and stops between them, and both parts as if alone."""
+        letters, marks = core.decode(), stops.decode()
+        alone = [m.group() for part in (letters, marks) for m in self.pattern.finditer(part)]
+        return alone == [m.group() for m in self.pattern.finditer(letters + marks)]
+
     def _learn(self, known: int) -> None:
         """Encode the words numbered from ``known`` on, many to a call."""
         tails = {}
         for word in self._fresh(known):
             core = word.rstrip(b".,")
-            if core != word and core.isalpha():  # letters, then stops: two pieces for the tokenizer
+            if core != word and core.isalpha() and self._apart(core, word[len(core) :]):  # letters, then stops
                 tails[word] = self.number[core], self.number[word[len(core) :]]
         fresh = self._fresh(known)
         new = [w for w in fresh if w not in tails]

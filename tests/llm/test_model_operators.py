@@ -10,7 +10,7 @@ from attrition.llm import language_id, mixing, quality, token_store, url_filter,
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -160,6 +160,21 @@ def test_a_tokenizer_that_keeps_blanks_is_used_whole():
     assert np.frombuffer(encoder.encode(["a  b\nc".encode()], b"")[0], "<u4").tolist() == Tokenizer.from_file(path).encode("a  b\nc").ids
 
 
+@pytest.mark.parametrize("pattern", [r"\S+", r"[a-z]{1,3}\.?|[^\sa-z]", r"[a-z]+(?=\.)|[a-z]|[^\sa-z]+", r"[a-z]+|[.,]+|[^\sa-z.,]"])
+def test_stops_are_cut_off_only_where_the_tokenizer_does(tmp_path, pattern):
+    words = ["hello", "hello.", "hello.,", "h", "hel", "lo", "lo.", "lo.,", "a", "a.", ".", ",", ".,", "|", "[UNK]"]
+    tokenizer = Tokenizer(models.WordLevel({w: i for i, w in enumerate(words)}, unk_token="[UNK]"))
+    tokenizer.normalizer = normalizers.Lowercase()
+    tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+    path = str(tmp_path / "words.json")
+    tokenizer.save(path)
+    encoder = token_store.Encoder(path)
+    assert encoder.by_word
+    texts = ["Hello. hello hello., a. other. lo. a., . ., hello,"] * 2
+    found = [np.frombuffer(f, "<u4").tolist() for f in encoder.encode([t.encode() for t in texts], b"")]
+    assert found == [tokenizer.encode(t).ids for t in texts]
+
+
 @pytest.mark.parametrize("plane", [8, 1])
 def test_token_files(spark, odd, plane):
     docs = odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
