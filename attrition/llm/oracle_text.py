@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from attrition.llm.oracle_mixing import OP6
+from attrition.llm.oracle_prints import OP11, OP13
 
 ABC = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -150,4 +151,12 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id) AS n_links,
 FROM embeddings e JOIN reach ON reach.a = e.vec_id GROUP BY e.vec_id
 """
 
-TEXTS = {"op6_mixing": OP6, "op9_vector_dedup": OP9, "op2_line_dedup": OP2, "op5_decontaminate": OP5, "op10_url_filter": OP10}
+TEXTS = {
+    "op2_line_dedup": OP2,
+    "op5_decontaminate": OP5,
+    "op6_mixing": OP6,
+    "op9_vector_dedup": OP9,
+    "op10_url_filter": OP10,
+    "op11_imatch": OP11,
+    "op13_prefix_trie": OP13,
+}

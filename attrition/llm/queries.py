@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import decontaminate, language_id, line_dedup, mixing, oracle_text, quality, secret_scan, simhash, token_store, url_filter, vector_dedup
+from attrition.llm import (
+    decontaminate,
+    imatch,
+    language_id,
+    line_dedup,
+    mixing,
+    oracle_text,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    token_store,
+    url_filter,
+    vector_dedup,
+    whitening,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -112,6 +127,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op11_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.edited_prints(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -125,6 +152,9 @@ QUERIES = {
         op8_token_store,
         op9_vector_dedup,
         op10_url_filter,
+        op11_imatch,
+        op12_whitening,
+        op13_prefix_trie,
     )
 }
 ORACLES = oracle_text.TEXTS

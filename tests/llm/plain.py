@@ -131,3 +131,47 @@ def tokens(docs: list[tuple], tokenizer) -> dict:
 
 def sha(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def trie(rows: list[tuple], shared_of: int = 100, shared_turns: int = 5) -> set[tuple]:
+    """Nodes of the trie of (conv_id, turn, role, text) as rows of the operator; turns do not tie."""
+    own: dict[int, list] = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    for turns in own.values():
+        turns.sort(key=lambda t: t[:2])
+    whole = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % (shared_turns + 1)
+        base = conv - (conv % shared_of if conv >= 0 else -(-conv % shared_of))
+        whole[conv] = tuple(t[2:] for t in [*own.get(base, [])[:h], *turns[h:]])
+    members: dict[tuple, list[int]] = {}
+    for conv in sorted(whole):
+        for depth in range(len(whole[conv]) + 1):
+            members.setdefault(whole[conv][:depth], []).append(conv)
+    children, leaves, saved = ({node: 0 for node in members} for _ in range(3))
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, convs in members.items():
+        for depth in range(len(node) + 1):
+            saved[node[:depth]] += (len(convs) - 1) * len(node[-1][1]) if node else 0
+            leaves[node[:depth]] += children[node] == 0
+    found = set()
+    for node, convs in members.items():
+        ends = ",".join(str(c) for c in convs if whole[c] == node)
+        parent = members[node[:-1]][0] if node else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        found.add((convs[0], len(node), parent, len(convs), children[node], leaves[node], saved[node], digest))
+    return found
+
+
+def whitened(vectors: list, wanted: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Explained shares, deviations and whitened rows of equally long vectors, by numpy's eigenvalues; components in either sign."""
+    x = np.floor(np.array(vectors, np.float64) * 256)
+    fit = np.unique(x, axis=0)
+    values, axes = np.linalg.eigh(np.cov(fit.T, bias=True).reshape(x.shape[1], -1))
+    values, axes = values[::-1][:wanted], axes[:, ::-1][:, :wanted]
+    deviations = [sum((len(fit) * int(a) - int(s)) ** 2 for a, s in zip(row, fit.sum(axis=0))) for row in x]
+    return values / np.cov(fit.T, bias=True).trace(), np.array(deviations, object), (x - fit.mean(axis=0)) @ axes / np.sqrt(values)

@@ -22,7 +22,7 @@ def test_query(spark, sf_dir, con, name):
 
 def test_all_are_registered():
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def rows(df):
