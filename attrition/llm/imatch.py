@@ -15,7 +15,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.scratch import VERSION, ascii_lower, store, versioned
+from attrition.llm.scratch import ascii_lower, store
 
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The band: terms in at least 1 of RAREST and at most 1 of COMMONEST documents.
@@ -28,7 +28,8 @@ RANGES = [(0, 2, 32), (64, 8, 8), (128, 16, 4), (192, 32, 2)]
 SUBSETS = sum(n for _, n, _ in RANGES)
 # What a subset without kept terms has in place of its hash, which is the hash of no text.
 EMPTY, NO_TERMS = "-", hashlib.md5(b"").hexdigest()[:8]
-KEY = ["doc_id", *VERSION]
+# Two hashes of id and text, never null: they name a row, and exact repeats share them.
+KEY = ["row1", "row2"]
 
 
 def words(text: Column) -> Column:
@@ -82,14 +83,9 @@ def with_kept(rows: DataFrame, lexicon: DataFrame, text: str, name: str, keys: l
         return rows.withColumn(name, F.array_intersect(ordered, marked))
     opened = F.array(*[F.struct(F.lit(k).alias("subset"), F.lit(m).cast("long").alias("term")) for k, m in enumerate(marks())])
     terms = rows.select(*keys, F.explode(numbers(F.col(text))).alias("term")).join(lexicon, "term")
-    kept = terms.groupBy(*keys).agg(F.collect_set(F.struct("subset", "term")).alias("found"))
-    theirs = kept.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], "found")
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__{i}"))
-    joined = rows.join(theirs, same, "left").drop(*[f"__{i}" for i in range(len(keys))])
-    found = F.coalesce("found", F.slice(opened, 1, 0))
-    return joined.withColumn(name, F.sort_array(F.concat(found, opened))["term"]).drop("found")
+    found = terms.groupBy(*keys).agg(F.collect_set(F.struct("subset", "term")).alias("found"))
+    joined = rows.join(found, keys, "left")
+    return joined.withColumn(name, F.sort_array(F.concat(F.coalesce("found", F.slice(opened, 1, 0)), opened))["term"]).drop("found")
 
 
 def fingerprint(kept: Column, text: Column) -> Column:
@@ -115,22 +111,18 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def next_rows(rows: DataFrame) -> DataFrame:
-    """The key of each of ``rows(doc_id, version, n_chars, copies)`` with ``before``, the row that has it as its next.
+    """The key of each of ``rows(doc_id, row1, row2, n_chars, copies)`` with ``before``, the row that has it as its next.
 
-    Rows go by falling id, nulls last, then by the hashes of their texts; the first follows the last.
+    Rows go by falling id, nulls last, then by their hashes; the first follows the last.
     Ranges are numbered apart, and only the first and last row of each meets the others.
     """
-    row = F.struct(*KEY, "n_chars", "copies")
-    ranged = store(
-        rows.repartitionByRange(F.col("doc_id").desc_nulls_last(), *VERSION).withColumn("part", F.spark_partition_id()), "ranged"
-    )
-    order = [F.col("doc_id").desc_nulls_last(), *VERSION]
+    order, row = [F.col("doc_id").desc_nulls_last(), *KEY], F.struct("doc_id", *KEY, "n_chars", "copies")
+    ranged = store(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ranged")
     inside = ranged.withColumn("before", F.lag(row).over(Window.partitionBy("part").orderBy(*order)))
     # One row for each range; null ids come last in a range.
-    last = ranged.groupBy("part").agg(F.max_by(row, F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), *VERSION)).alias("last"))
-    parts = Window.orderBy("part")
-    ends = last.select("part", F.coalesce(F.lag("last").over(parts), F.max_by("last", "part").over(Window.partitionBy())).alias("end"))
-    return inside.join(ends, "part").select(*KEY, F.coalesce("before", "end").alias("before"))
+    last = ranged.groupBy("part").agg(F.max_by(row, F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), *KEY)).alias("last"))
+    ends = F.coalesce(F.lag("last").over(Window.orderBy("part")), F.max_by("last", "part").over(Window.partitionBy()))
+    return inside.join(last.select("part", ends.alias("end")), "part").select(*KEY, F.coalesce("before", "end").alias("before"))
 
 
 def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LEXICON_TERMS) -> DataFrame:
@@ -144,28 +136,23 @@ def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lexicon = build_lexicon(given)
-    named = with_kept(versioned(given), lexicon, "text", "kept", KEY, limit)
-    named = named.select(*KEY, "text", fingerprint(F.col("kept"), F.col("text")).alias("fingerprint"))
-    sizes = versioned(given).groupBy(*KEY, F.char_length("text").alias("n_chars")).agg(F.count("*").alias("copies"))
+    no_id = F.col("doc_id").isNull()
+    named = given.withColumns({"row1": F.xxhash64(no_id, "doc_id", "text"), "row2": F.xxhash64(F.lit(7), "text", no_id, "doc_id")})
+    sizes = named.groupBy("doc_id", *KEY, F.char_length("text").alias("n_chars")).agg(F.count("*").alias("copies"))
     follow = store(next_rows(sizes), "followers")
 
-    # Copies of a row meet before any text is compared; texts are shuffled once by row, and what an edit takes of them once more.
-    texts = named.groupBy(*KEY).agg(F.first("text").alias("text"), F.first("fingerprint").alias("fingerprint"))
-
-    def same(left: list[Column], right: list[Column]) -> Column:
-        return left[0].eqNullSafe(right[0]) & (left[1] == right[1]) & (left[2] == right[2])
-
-    theirs = texts.select(*[F.col(k).alias(f"_{k}") for k in KEY], "text", "fingerprint")
-    heads = theirs.join(follow, same([F.col(f"_{k}") for k in KEY], [F.col(k) for k in KEY])).select(
-        *[F.col(f"before.{k}").alias(f"to_{k}") for k in KEY],
-        "before.copies",
-        "before.n_chars",
+    # Copies of a row meet before texts are compared. Whole texts are shuffled once, by row, and what an edit takes of them once more.
+    texts = named.groupBy(*KEY).agg(F.first("text").alias("text"))
+    theirs = with_kept(texts.join(follow, KEY), lexicon, "text", "kept", KEY, limit)
+    heads = theirs.select(
+        "before.*",
         F.expr("substring(text, 1, CAST(before.n_chars div 2 AS INT))").alias("head"),
-        F.col("fingerprint").alias("next_fingerprint"),
+        fingerprint(F.col("kept"), F.col("text")).alias("next_fingerprint"),
     )
-    met = texts.join(heads, same([F.col(k) for k in KEY], [F.col(f"to_{k}") for k in KEY]))
-    met = met.withColumn("edited", F.concat(F.expr("substring(text, 1, CAST(n_chars - n_chars div 2 AS INT))"), "head"))
-    met = with_kept(met.select(*KEY, "copies", "n_chars", "fingerprint", "next_fingerprint", "edited"), lexicon, "edited", "kept", KEY, limit)
+    met = with_kept(texts.join(heads, KEY), lexicon, "text", "kept", KEY, limit)
+    met = met.withColumn("fingerprint", fingerprint(F.col("kept"), F.col("text")))
+    met = met.withColumn("edited", F.concat(F.expr("substring(text, 1, CAST(n_chars - n_chars div 2 AS INT))"), "head")).drop("text", "head", "kept")
+    met = with_kept(met, lexicon, "edited", "kept", KEY, limit)
     done = met.select(
         "doc_id",
         "copies",
