@@ -142,15 +142,27 @@ def threshold_sweep(model: DataFrame) -> DataFrame:
 PARTITION = "StatePart"
 
 
+def rows_by_user(rows: DataFrame, entitlements: DataFrame, state: str = "State") -> DataFrame:
+    """Row-level access of all users in one job: each with the rows it may see. ``Executive`` sees all, ``Regional`` the listed states.
+
+    Grants are joined, never fetched. A stored model is partitioned by PARTITION, and the join prunes
+    its folders to those that some of the users may see.
+    """
+    place = PARTITION if PARTITION in rows.columns else state
+    named = F.concat(F.lit("="), "state") if place == PARTITION else F.col("state")
+    regional = entitlements.filter("role = 'Regional' AND state IS NOT NULL").select("user", named.alias("_place"))
+    # As many places as there are folders; rows without one are seen by executives only.
+    everywhere, all_seeing = rows.agg(F.collect_set(place)).scalar(), entitlements.filter("role = 'Executive'")
+    executive = all_seeing.select("user", F.explode(everywhere).alias("_place"))
+    allowed = regional.union(executive).distinct()
+    placed = rows.join(allowed, rows[place] == allowed["_place"]).drop("_place")
+    users = F.explode(all_seeing.agg(F.collect_set("user")).scalar())
+    return placed.unionByName(rows.filter(F.col(place).isNull()).withColumn("user", users))
+
+
 def visible_rows(rows: DataFrame, entitlements: DataFrame, user: str, state: str = "State") -> DataFrame:
-    """Row-level access: ``Executive`` sees all rows, ``Regional`` the listed states, others none."""
-    mine = entitlements.filter(F.col("user") == user).select("role", "state").distinct().collect()  # one user's grants
-    if any(r["role"] == "Executive" for r in mine):
-        return rows
-    states = sorted(r["state"] for r in mine if r["role"] == "Regional" and r["state"] is not None)
-    seen = rows.filter(F.col(state).isin(states))
-    # A stored model is partitioned by this: only the folders of the listed states are read.
-    return seen.filter(F.col(PARTITION).isin([f"={name}" for name in states])) if PARTITION in rows.columns else seen
+    """The rows one user may see."""
+    return rows_by_user(rows, entitlements.filter(F.col("user") == user), state).select(rows.columns)
 
 
 def access_summary(model: DataFrame, entitlements: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +16,7 @@ from attrition.operators.keys import with_key
 from attrition.plans import charts, kpis, questions, visuals
 from attrition.plans.measures import FOLDERS, MEASURES, RETENTION, evaluate
 from attrition.plans.warehouse import LAYERS, Warehouse, open_warehouse
-from attrition.session import shared_dir
+from attrition.session import clear_scratch, kept, scratch  # noqa: F401
 from attrition.sources import feed as feeds
 from attrition.sources import landing
 from attrition.sources.subscribers import read_questions
@@ -67,21 +66,6 @@ def present(df: DataFrame) -> DataFrame:
     return df.selectExpr(*columns)
 
 
-def _scratch_root(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/attrition/{spark.sparkContext.applicationId}"
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all executors can reach; ``clear_scratch`` removes them."""
-    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what this application's queries wrote on the way; call it once their results are taken."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def tables(w: Warehouse, names: list[str]) -> dict[str, DataFrame]:
     return {name: w[name] for name in names}
 
@@ -113,6 +97,17 @@ def read_raw_cells(w: Warehouse) -> DataFrame:
     return landing.read_raw(w.spark, path)
 
 
+def _ragged(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """Records of text files some of which have a cell too many or too few: those read, and those rejected."""
+    path = scratch(w.spark, "ragged")
+    more = "CASE WHEN n % 50 = 0 THEN ',extra' ELSE '' END"
+    less = "CASE WHEN n % 70 = 0 AND n % 50 <> 0 THEN customer_id ELSE concat_ws(',', customer_id, gender, contract) END"
+    rows = w["bronze"].withColumn("n", _number())
+    rows.selectExpr(f"concat({less}, {more}) AS value").write.text(path)
+    read = landing.read_raw(w.spark, path, multiline=False, names=["customer_id", "gender", "contract"], rejects=f"{path}-rejects")
+    return read, w.spark.read.parquet(f"{path}-rejects")
+
+
 def stringified(w: Warehouse) -> DataFrame:
     return landing.stringify(w.spark.read.parquet(f"{w.source}/customer.parquet"))
 
@@ -250,15 +245,20 @@ def entitlements(spark: SparkSession) -> DataFrame:
 
 
 def regional_rows(w: Warehouse) -> DataFrame:
-    seen = filters.visible_rows(w["model"], entitlements(w.spark), "ben")
+    seen = filters.visible_rows(w["model"], kept(entitlements(w.spark), "grants"), "ben")
     return seen.select("ChurnKey", "State", "ChurnLabel")
 
 
 def executive_rows(w: Warehouse) -> DataFrame:
-    seen = filters.visible_rows(w["model"], entitlements(w.spark), "ana")
+    seen = filters.visible_rows(w["model"], kept(entitlements(w.spark), "grants"), "ana")
     return seen.select("ChurnKey", "State", "ChurnLabel")
 
 
+def rows_by_user(w: Warehouse) -> DataFrame:
+    """All users' rows in one job."""
+    return filters.rows_by_user(w["model"], kept(entitlements(w.spark), "grants")).select("user", "ChurnKey", "State")
+
+
 def sized_cities(w: Warehouse) -> DataFrame:
     cities = evaluate(w["model"], ["geo_customers", "geo_churn_rate"], ["City"])
     return filters.minimum_base(cities, "geo_customers", 10)
@@ -306,89 +306,112 @@ def batch(w: Warehouse) -> DataFrame:
     return arriving.unionByName(second).unionByName(third).unionByName(stale)
 
 
+def deletes(w: Warehouse) -> DataFrame:
+    """Every thirteenth customer goes; deletes from before what is stored of every seventeenth, and of unknown customers, do nothing."""
+    rows = w["silver"].drop("dwh_create_date").withColumn("operation", F.lit("delete"))
+    last = rows.filter(_number() % 13 == 0).withColumn("version", F.lit(4))
+    stale = rows.filter(_number() % 17 == 0).withColumn("version", F.lit(0))
+    unknown = last.withColumn("customer_id", F.expr("concat('S9', substring(customer_id, 2))"))
+    return last.unionByName(stale).unionByName(unknown)
+
+
+def batch_with_deletes(w: Warehouse) -> DataFrame:
+    return batch(w).withColumn("operation", F.lit(None).cast("string")).unionByName(deletes(w))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
+    """One change a customer, written, of those that are not from before what is stored."""
+    return kept(incremental.latest_versions(rows.filter(F.col("version") > 0), "customer_id", "version"), "latest")
+
+
 def upserted(w: Warehouse) -> DataFrame:
     after = incremental.upsert(before_batch(w), batch(w))
     return after.select("customer_id", "city", "cltv", "version")
 
 
-def upserted_dimension(w: Warehouse) -> DataFrame:
-    """The stored dimension of the earlier customers, brought up to date with the batch."""
-    path = scratch(w.spark, "dim")
-    landing.write_table(gold.build_dim_customer(before_batch(w)), path)
-    changed = incremental.latest_versions(batch(w).filter(F.col("version") > 0), "customer_id", "version")
-    after = incremental.upsert_dim_customer(w.spark.read.parquet(path), changed)
-    return after.select("CustomerKey", "CustomerID", "City")
+def deleted(w: Warehouse) -> DataFrame:
+    after = incremental.upsert(before_batch(w), batch_with_deletes(w))
+    return after.select("customer_id", "city", "cltv", "version")
 
 
-def _upserted_star(w: Warehouse) -> dict[str, DataFrame]:
-    """Star tables of the earlier customers, stored, then brought up to date with the batch."""
-    path = scratch(w.spark, "star")
-    before = before_batch(w)
+def changes_made(w: Warehouse) -> DataFrame:
+    latest = kept(incremental.latest_versions(batch_with_deletes(w), "customer_id", "version"), "latest")
+    return incremental.change_feed(before_batch(w), latest, "customer_id", "version")
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        landing.write_table(df, f"{path}/{name}")
-        return w.spark.read.parquet(f"{path}/{name}")
 
-    customers, contracts = stored("customers", gold.build_dim_customer(before)), stored("contracts", gold.build_dim_contract(before))
-    keyed = stored("keyed", gold.key_subscribers(before, customers))
-    facts = stored("facts", gold.build_fact_churn(keyed, contracts))
-    bridge = stored("bridge", gold.build_fact_customer_service(keyed, w["dim_service"]))
+def _dimension_after(w: Warehouse, changes: DataFrame) -> DataFrame:
+    """The stored dimension of the earlier customers, brought up to date with a batch."""
+    dim_customer = kept(gold.build_dim_customer(before_batch(w)), "dim")
+    after = incremental.upsert_dim_customer(dim_customer, _latest(changes))
+    return after.select("CustomerKey", "CustomerID", "City")
+
 
-    changed = incremental.latest_versions(batch(w).filter(F.col("version") > 0), "customer_id", "version")
-    changed = stored("changed", changed)
-    customers = stored("customers_after", incremental.upsert_dim_customer(customers, changed))
-    contracts = stored("contracts_after", incremental.upsert_dim_contract(contracts, changed))
-    arrived = stored("keyed_changes", incremental.keyed_changes(changed, customers))
+def _star_after(w: Warehouse, changes: DataFrame) -> dict[str, DataFrame]:
+    """Star tables of the earlier customers, stored, then brought up to date with a batch."""
+    before = before_batch(w)
+    customers, contracts = kept(gold.build_dim_customer(before), "customers"), kept(gold.build_dim_contract(before), "contracts")
+    keyed = kept(gold.key_subscribers(before, customers), "keyed")
+    facts = kept(gold.build_fact_churn(keyed, contracts), "facts")
+    bridge = kept(gold.build_fact_customer_service(keyed, w["dim_service"]), "bridge")
+
+    changed = _latest(changes)
+    gone = kept(incremental.deleted_keys(changed, customers), "gone")
+    customers = kept(incremental.upsert_dim_customer(customers, changed), "customers")
+    contracts = kept(incremental.upsert_dim_contract(contracts, changed), "contracts")
+    arrived = kept(incremental.keyed_changes(changed, customers), "arrived")
     return {
         "customers": customers,
         "contracts": contracts,
         "facts_before": facts,
-        "facts": incremental.upsert_fact_churn(facts, arrived, contracts),
-        "bridge": incremental.upsert_bridge(bridge, arrived, w["dim_service"]),
+        "facts": incremental.upsert_fact_churn(facts, arrived, contracts, gone),
+        "bridge": incremental.upsert_bridge(bridge, arrived, w["dim_service"], gone),
     }
 
 
-def upserted_facts(w: Warehouse) -> DataFrame:
-    """Facts after the batch by their natural keys, and whether a key is the one from before."""
-    star = _upserted_star(w)
+def _facts_after(w: Warehouse, changes: DataFrame) -> DataFrame:
+    """Facts after a batch by their natural keys, and whether a key is the one from before."""
+    star = _star_after(w, changes)
     earlier = star["facts_before"].select("CustomerKey", F.col("ChurnKey").alias("_before"))
     facts = star["facts"].join(earlier, "CustomerKey", "left").join(star["customers"], "CustomerKey")
     facts = facts.join(star["contracts"], "ContractKey")
-    kept = (F.col("_before").isNull() | (F.col("_before") == F.col("ChurnKey"))).alias("key_kept")
-    return facts.select("CustomerID", "City", *schemas.CONTRACT_ATTRIBUTES, "TenureMonths", "CLTV", "ChurnLabel", kept)
+    same = (F.col("_before").isNull() | (F.col("_before") == F.col("ChurnKey"))).alias("key_kept")
+    return facts.select("CustomerID", "City", *schemas.CONTRACT_ATTRIBUTES, "TenureMonths", "CLTV", "ChurnLabel", same)
 
 
-def upserted_bridge(w: Warehouse) -> DataFrame:
-    star = _upserted_star(w)
+def _bridge_after(w: Warehouse, changes: DataFrame) -> DataFrame:
+    star = _star_after(w, changes)
     return star["bridge"].join(star["customers"], "CustomerKey").select("CustomerID", "ServiceKey")
 
 
-def _streamed(w: Warehouse) -> str:
+def _streamed(w: Warehouse, later: DataFrame) -> str:
     root = scratch(w.spark, "stream")
-    before, later = before_batch(w), batch(w)
+    before = before_batch(w)
+    if "operation" in later.columns:
+        before = before.withColumn("operation", F.lit("upsert"))
     later = later.select(*before.columns)
-    progress = None
     for rows in (before, later, later):
         # Each drop of files is taken in by its own run; the last one is the same batch again.
         rows.write.mode("append").parquet(f"{root}/arriving")
-        progress = refresh.refresh_stream(w.spark, f"{root}/arriving", before.schema, root)
-        progress.awaitTermination()
+        refresh.refresh_stream(w.spark, f"{root}/arriving", before.schema, root).awaitTermination()
     return root
 
 
-def streamed(w: Warehouse) -> DataFrame:
-    rows = refresh.read_current(w.spark, _streamed(w))
-    return rows.select("customer_id", "city", "cltv", "version")
+def _streamed_rows(w: Warehouse, later: DataFrame) -> DataFrame:
+    return refresh.read_current(w.spark, _streamed(w, later)).select("customer_id", "city", "cltv", "version")
 
 
 def streamed_gold(w: Warehouse) -> DataFrame:
     """The wide model the stream has arrived at."""
-    rows = refresh.read_model(w.spark, _streamed(w))
+    rows = refresh.read_model(w.spark, _streamed(w, batch(w)))
     return rows.select("CustomerID", "City", *schemas.CONTRACT_ATTRIBUTES, "CLTV", "ChurnLabel", "ServiceMask")
 
 
-def streamed_kpis(w: Warehouse) -> DataFrame:
-    return refresh.read_kpis(w.spark, _streamed(w)).select("batch", "total", "churners", "avg_cltv")
+def _streamed_kpis(w: Warehouse, later: DataFrame) -> DataFrame:
+    return refresh.read_kpis(w.spark, _streamed(w, later)).select("batch", "total", "churners", "avg_cltv")
+
+
+def streamed_changes(w: Warehouse) -> DataFrame:
+    return refresh.read_changes(w.spark, _streamed(w, batch_with_deletes(w)))
 
 
 def _on_layer(layer: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[Warehouse], DataFrame]:
@@ -410,6 +433,8 @@ def _column(layer: str, key: str, name: str, derived: str) -> Callable[[Warehous
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "b1_read_raw": read_raw,
     "b1_read_raw_cells": read_raw_cells,
+    "b1_ragged_rows": lambda w: _ragged(w)[0],
+    "b1_ragged_rejects": lambda w: _ragged(w)[1].select("record"),
     "b2_snake_headers": lambda w: landing.snake_headers(raw_headers(w["bronze"])),
     "b3_width_profile": _on_layer("bronze", landing.width_profile),
     "b4_stringify": stringified,
@@ -448,7 +473,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "v1_layer_counts": lambda w: checks.layer_counts(tables(w, COUNTED_LAYERS)),
     "v2_wide_counts": lambda w: checks.wide_counts(tables(w, STAR)),
     "v4_churn_sanity": _on_layer("fact_churn", checks.churn_sanity),
-    "v5_duplicate_keys": lambda w: checks.duplicate_keys(tables(w, STAR)),
+    "v5_duplicate_keys": lambda w: checks.duplicate_keys(tables(w, STAR), profiles=checks.Profiles(tables(w, STAR), w["profile"])),
     "v6_orphan_rows": lambda w: checks.orphan_rows(tables(w, STAR)),
     "v7_missing_values": lambda w: checks.missing_values(tables(w, STAR)),
     "v7_contract_gaps": _on_layer("silver", checks.contract_gaps),
@@ -490,6 +515,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "f7_drill_through": _feed(lambda r: kpis.overview_by(r, "city", "zip")),
     "f8_regional_rows": regional_rows,
     "f8_executive_rows": executive_rows,
+    "f8_rows_by_user": rows_by_user,
     "f8_access_summary": lambda w: filters.access_summary(w["model"], entitlements(w.spark)),
     "f9_minimum_base": sized_cities,
     "k1_overview": _feed(kpis.kpi_overview),
@@ -566,12 +592,20 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q2_answer_questions": answered_questions,
     "q3_suggested_questions": answered_suggestions,
     "r1_upsert": upserted,
-    "r1_upsert_dimension": upserted_dimension,
-    "r1_upsert_facts": upserted_facts,
-    "r1_upsert_bridge": upserted_bridge,
+    "r1_upsert_dimension": lambda w: _dimension_after(w, batch(w)),
+    "r1_upsert_facts": lambda w: _facts_after(w, batch(w)),
+    "r1_upsert_bridge": lambda w: _bridge_after(w, batch(w)),
+    "r1_delete": deleted,
+    "r1_delete_dimension": lambda w: _dimension_after(w, batch_with_deletes(w)),
+    "r1_delete_facts": lambda w: _facts_after(w, batch_with_deletes(w)),
+    "r1_delete_bridge": lambda w: _bridge_after(w, batch_with_deletes(w)),
+    "r1_changes": changes_made,
     "r2_stream_gold": streamed_gold,
-    "r2_stream_upsert": streamed,
-    "r2_stream_kpis": streamed_kpis,
+    "r2_stream_upsert": lambda w: _streamed_rows(w, batch(w)),
+    "r2_stream_kpis": lambda w: _streamed_kpis(w, batch(w)),
+    "r2_stream_delete": lambda w: _streamed_rows(w, batch_with_deletes(w)),
+    "r2_stream_delete_kpis": lambda w: _streamed_kpis(w, batch_with_deletes(w)),
+    "r2_stream_changes": streamed_changes,
 }
 
 # The grouping each measure is registered under, by report page.

@@ -9,12 +9,12 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from attrition.operators import checks, gold, silver
 from attrition.operators.filters import PARTITION
-from attrition.session import shared_dir
+from attrition.session import delete, shared_dir
 from attrition.sources import feed, landing, subscribers
 
 # Each layer, in load order, from the layers it reads.
@@ -53,6 +53,7 @@ class Warehouse:
         self._paths: dict[str, str] = {}
         self._frames: dict[str, DataFrame] = {}
         self.seconds: dict[str, float] = {}
+        self._profiles = checks.Profiles(self)
 
     def adopt(self, other: Warehouse, layers: list[str]) -> None:
         """Read these layers from where another warehouse stored them."""
@@ -82,13 +83,17 @@ class Warehouse:
         frame = _BUILDERS[layer](self)
         start = time.monotonic()
         path = f"{self.root}/{layer}-{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        # Nulls of required columns are counted on the way; what is left to check are keys.
+        required, nulls = checks.required_columns(layer), Observation()
+        if required:
+            frame = frame.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
         landing.write_table(frame, path, by=PARTITIONED.get(layer))
         self.seconds[layer] = time.monotonic() - start
         self._paths[layer] = path
         self._frames.pop(layer, None)
-        parents = {parent for child, _, parent in checks.FOREIGN_KEYS if child == layer}
+        self._profiles.forget(layer)
         try:
-            checks.verify(layer, {name: self[name] for name in [layer, *sorted(parents)]})
+            checks.verify(layer, self, nulls.get if required else {}, self._profiles)
         except ValueError:
             del self._paths[layer]
             raise
@@ -97,8 +102,7 @@ class Warehouse:
 
     def remove(self) -> None:
         """Delete all layers from the store."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.root)
         self._paths, self._frames = {}, {}
 
     def build_all(self) -> None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
 
@@ -45,3 +46,30 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="attrition-")
     return _LOCAL_SCRATCH[app]
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    """Remove a file or folder of any store Spark can reach."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/attrition/{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder that all executors can reach; ``clear_scratch`` removes them."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote on the way; call it once results are taken."""
+    delete(spark, scratch_root(spark))
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: worked out once, and of known size to later joins."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

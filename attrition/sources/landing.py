@@ -6,22 +6,43 @@ import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from attrition.functions.cleansing import utf16_length
 from attrition.functions.sql import aggregate, named
+from attrition.session import kept
 
 
-def read_raw(spark: SparkSession, path: str, kind: str = "csv", multiline: bool = True) -> DataFrame:
+MALFORMED = "_malformed"
+
+
+def read_raw(
+    spark: SparkSession, path: str, kind: str = "csv", multiline: bool = True, names: list[str] | None = None, rejects: str | None = None
+) -> DataFrame:
     """One header row plus data rows, every column text and blank cells NULL; or a parquet table as is.
 
-    A quote inside a quoted cell is doubled, as spreadsheets write it. With ``multiline`` a
-    cell may hold line ends; such a file is read by one task, so a large landing should
+    A quote inside a quoted cell is doubled, as spreadsheets write it. A record with more or fewer cells than the header
+    stops the load and is named in the error; with ``rejects`` such records go, as text, to a table there and the others are returned.
+    Files that name their columns otherwise than the first stop the load too. ``names`` stand for the header of files without one.
+    With ``multiline`` a cell may hold line ends; such a file is read by one task, so a large landing should
     be many files, or be read with ``multiline=False`` where no cell holds one.
     """
-    if kind == "csv":
-        reader = spark.read.option("header", "true").option("quote", '"').option("escape", '"')
-        return reader.option("multiLine", multiline).option("inferSchema", "false").csv(path)
-    return spark.read.format(kind).load(path)
+    if kind != "csv":
+        return spark.read.format(kind).load(path)
+    # Cells are counted in the whole record, also where only some columns are asked for.
+    options = {"header": str(names is None).lower(), "quote": '"', "escape": '"', "multiLine": str(multiline).lower(), "columnPruning": "false"}
+    if names is None:
+        names = spark.read.options(**options).option("inferSchema", "false").csv(path).columns
+    text = StructType([StructField(name, StringType()) for name in names])
+    reader = spark.read.options(**options).option("enforceSchema", "false")
+    if rejects is None:
+        return reader.option("mode", "FAILFAST").schema(text).csv(path)
+    marked = reader.option("columnNameOfCorruptRecord", MALFORMED).schema(text.add(MALFORMED, "string")).csv(path)
+    # Read once: a record's text is only there next to all its cells.
+    staged = kept(marked.withColumn("_file", F.col("_metadata.file_path")), "landed")
+    staged.filter(F.col(MALFORMED).isNotNull()).select("_file", F.col(MALFORMED).alias("record")).write.mode("overwrite").parquet(rejects)
+    return staged.filter(F.col(MALFORMED).isNull()).drop(MALFORMED, "_file")
 
 
 def snake_name(header: str, position: int) -> str:

@@ -1,14 +1,25 @@
-"""Customer upserts from arriving files, through to star tables and KPIs after every batch.
+"""Customer changes from arriving files, through to star tables and KPIs after every batch.
 
-The typed rows are kept in hash buckets of the customer id. A micro-batch reads and
-rewrites only the buckets it touches, under its own batch number, and then writes a
-ledger that says which batch holds each bucket; readers follow the latest ledger. A
-batch that runs again starts from the ledger before it and overwrites its own output,
-so a retry changes nothing. Buckets that neither of the last two ledgers names are removed.
+The typed rows are kept in hash buckets of the customer id. A micro-batch looks up the
+customers it names and writes one change file with what it makes of them; buckets
+are left alone. Readers lay the pending changes over the buckets. Change files of like
+size are merged, and a bucket takes its pending changes in once they are a share of its own
+rows, so each change is rewritten a bounded number of times, however large the state is.
+Buckets split one after the other as the state grows (linear hashing), so none outgrows ``bucket_rows`` by much.
+
+A deleted customer stays as a tombstone, which refuses changes from before the delete and keeps
+the surrogate key; readers do not see it.
+
+A batch ends by writing a ledger that names all files of the state; readers follow the
+latest. A batch that runs again starts from the ledger before it and overwrites its own
+output, so a retry changes nothing. Files that neither of the last two ledgers names are removed.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass, field
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,69 +29,157 @@ from pyspark.sql.types import StructType
 from attrition import schemas
 from attrition.operators import gold
 from attrition.operators.checks import require_clean
-from attrition.operators.incremental import apply_latest, latest_versions, upsert_dim_contract
+from attrition.operators.incremental import OPERATION, deleted, latest_versions, upsert_dim_contract
 from attrition.operators.keys import with_key
 from attrition.plans.kpis import merge_overview, overview_from, overview_sums
+from attrition.session import delete
 from attrition.sources.feed import build_feed
 
-# Fixed for a root: its first ledger records it.
-BUCKETS = 64
-KEY = "CustomerKey"
+# Customers of a bucket before it is split, and the share of a bucket's rows that may be pending.
+BUCKET_ROWS, FOLD_SHARE = 1_000_000, 0.25
+# Batches after which their KPI rows are put into one file.
+HISTORY = 16
+KEY, GONE, BATCH = "CustomerKey", "_deleted", "_batch"
+# What KPI rows are made of; fixed types, as sums of sums would grow wider from batch to batch.
+SUMS = {"total": "bigint", "churners": "bigint", "monthly_revenue": "decimal(38,2)", "_cltv": "bigint", "lifetime_revenue": "decimal(38,2)"}
+LEDGER = "kind string, number bigint, holder bigint, folded bigint, rows bigint, pending bigint"
 
 
-def _ledgers(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root}/ledger")
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
+@dataclass
+class Bucket:
+    holder: int | None = None  # the batch that wrote its rows
+    folded: int = -1  # changes up to this batch are among them
+    rows: int = 0
+    pending: int = 0
 
 
-def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    ledger = _ledgers(spark, root)
-    if ledger is None:
-        return None
-    if before is not None:
-        ledger = ledger.filter(F.col("batch") < before)
-    return ledger.agg(F.max("batch")).first()[0]
+@dataclass
+class Ledger:
+    """All files of the state after a batch. One entry a bucket, and change files, which double in size from each to the one before."""
 
+    version: int | None = None
+    buckets: list[Bucket] = field(default_factory=lambda: [Bucket()])
+    deltas: dict[int, int] = field(default_factory=dict)  # batch to rows
+    highest: int = 0  # customer key
+    customers: int = 0  # tombstones included
+    contracts: int | None = None
+    history: int = -1  # KPI rows up to this batch are in one file
 
-def _entries(spark: SparkSession, root: str, version: int | None) -> list[dict]:
-    """One entry for each bucket: its holder, the holder of the contracts, the highest customer key."""
-    if version is None:
-        return [{"bucket": b, "holder": None, "contracts": None, "highest": 0} for b in range(BUCKETS)]
-    rows = spark.read.parquet(f"{root}/ledger/batch={version}").collect()
-    return sorted((row.asDict() for row in rows), key=lambda row: row["bucket"])
+    def rows(self) -> list[tuple]:
+        listed = [("bucket", i, b.holder, b.folded, b.rows, b.pending) for i, b in enumerate(self.buckets)]
+        listed += [("delta", batch, None, None, rows, None) for batch, rows in self.deltas.items()]
+        return [*listed, *[(k, getattr(self, k), None, None, None, None) for k in ("highest", "customers", "contracts", "history")]]
+
+    def bucket_path(self, root: str, number: int) -> str:
+        return f"{root}/state/batch={self.buckets[number].holder}/bucket={number}"
+
+    def paths(self, root: str) -> set[str]:
+        held = {self.bucket_path(root, i) for i, b in enumerate(self.buckets) if b.holder is not None}
+        held |= {f"{root}/delta/batch={batch}" for batch in self.deltas}
+        if self.contracts is not None:
+            held.add(f"{root}/contracts/batch={self.contracts}")
+        if self.history >= 0:
+            held.add(f"{root}/kpi-history/upto={self.history}")
+        return held
 
 
-def _paths(root: str, entries: list[dict]) -> list[str]:
-    return [f"{root}/state/batch={e['holder']}/bucket={e['bucket']}" for e in entries if e["holder"] is not None]
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _bucket(key: str, count: int) -> str:
-    return f"CAST(pmod(xxhash64({key}), {count}) AS INT)"
+def _versions(spark: SparkSession, root: str, before: int | None = None) -> list[int]:
+    """Batches whose ledgers are there, rising; older ones than the last few are removed."""
+    try:
+        found = spark.read.schema(f"{LEDGER}, batch bigint").parquet(f"{root}/ledger").select("batch").distinct().collect()
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return []
+    return sorted(row["batch"] for row in found if before is None or row["batch"] < before)
 
 
-def _state(spark: SparkSession, root: str) -> DataFrame:
+def current_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    return max(_versions(spark, root, before), default=None)
+
+
+def read_ledger(spark: SparkSession, root: str, version: int | None) -> Ledger:
+    if version is None:
+        return Ledger()
+    found = Ledger(version=version)
+    buckets = {}
+    for row in spark.read.schema(LEDGER).parquet(f"{root}/ledger/batch={version}").collect():  # one a bucket
+        if row["kind"] == "bucket":
+            buckets[row["number"]] = Bucket(row["holder"], row["folded"], row["rows"], row["pending"])
+        elif row["kind"] == "delta":
+            found.deltas[row["number"]] = row["rows"]
+        else:
+            setattr(found, row["kind"], row["number"])
+    found.buckets = [buckets[i] for i in range(len(buckets))]
+    return found
+
+
+def bucket_of(key: str, count: int) -> str:
+    """Linear hashing: with ``count`` buckets the first ones are split already, the others not yet."""
+    whole = 1 << max(count - 1, 0).bit_length()
+    wide, narrow = (f"pmod(xxhash64({key}), {n})" for n in (whole, max(whole // 2, 1)))
+    return f"CAST(CASE WHEN {wide} < {count} THEN {wide} ELSE {narrow} END AS INT)"
+
+
+def origin(number: int, count: int) -> int:
+    """The bucket that held ``number``'s rows when there were ``count`` buckets."""
+    while number >= count:
+        number -= 1 << (number.bit_length() - 1)
+    return number
+
+
+def _pending(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None) -> DataFrame | None:
+    """The newest pending row of each customer, of some buckets or of all."""
+    if not ledger.deltas:
+        return None
+    rows = spark.read.parquet(*[f"{root}/delta/batch={batch}" for batch in ledger.deltas])
+    marks = [(i, b.folded) for i, b in enumerate(ledger.buckets) if b.pending and (only is None or i in only)]
+    folded = spark.createDataFrame(marks, "_bucket int, _folded bigint")  # at most every bucket
+    placed = rows.withColumn("_bucket", F.expr(bucket_of(key, len(ledger.buckets))))
+    open_rows = placed.join(F.broadcast(folded), "_bucket").filter(f"{BATCH} > _folded").drop("_bucket", "_folded")
+    rest = [c for c in open_rows.columns if c not in (key, BATCH)]
+    newest = open_rows.groupBy(key).agg(F.max(F.struct(BATCH, *rest)).alias("_row"))
+    return newest.select(key, "_row.*").select(*rows.columns)
+
+
+def _rows(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None, keys: DataFrame | None = None) -> DataFrame | None:
+    """Rows of the state, tombstones included: buckets with their pending changes laid over; ``keys`` are looked up in both."""
+    numbers = [i for i in range(len(ledger.buckets)) if only is None or i in only]
+    paths = [ledger.bucket_path(root, i) for i in numbers if ledger.buckets[i].holder is not None]
+    base = spark.read.parquet(*paths) if paths else None
+    pending = _pending(spark, root, ledger, key, only)
+    if keys is not None:
+        base, pending = (df if df is None else df.join(keys, key, "left_semi") for df in (base, pending))
+    if base is None:
+        return None if pending is None else pending.drop(BATCH)
+    if pending is None:
+        return base
+    return base.join(pending.select(key), key, "left_anti").unionByName(pending.drop(BATCH).select(*base.columns))
+
+
+def _state(spark: SparkSession, root: str, key: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise ValueError(f"no snapshot under {root}")
-    paths = _paths(root, _entries(spark, root, version))
-    if not paths:
+    rows = _rows(spark, root, read_ledger(spark, root, version), key)
+    if rows is None:
         raise ValueError(f"nothing has arrived under {root}")
-    return spark.read.parquet(*paths)
+    return rows.filter(f"NOT {GONE}").drop(GONE)
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return _state(spark, root).drop(KEY)
+def read_current(spark: SparkSession, root: str, key: str = "customer_id") -> DataFrame:
+    return _state(spark, root, key).drop(KEY)
 
 
-def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+def read_gold(spark: SparkSession, root: str, key: str = "customer_id") -> dict[str, DataFrame]:
     """The star tables of the latest batch. A customer has one typed row, so its fact takes the
     customer's key; all tables but the contracts are projections of the state."""
-    state = _state(spark, root)
-    contracts = _entries(spark, root, current_version(spark, root))[0]["contracts"]
+    state = _state(spark, root, key)
+    contracts = read_ledger(spark, root, current_version(spark, root)).contracts
     dim_contract = spark.read.parquet(f"{root}/contracts/batch={contracts}")
     dim_service = gold.build_dim_service(spark)
     return {
@@ -99,68 +198,176 @@ def read_model(spark: SparkSession, root: str) -> DataFrame:
     return gold.build_model(star["fact_churn"], star["dim_contract"], profile)
 
 
+def _kpi_sums(spark: SparkSession, root: str, history: int) -> DataFrame:
+    """What the overview of each batch is made of: one file of earlier batches, and one of each later batch."""
+    recent = spark.read.parquet(f"{root}/kpi").withColumn("batch", F.col("batch").cast("bigint")).filter(F.col("batch") > history)
+    if history < 0:
+        return recent
+    return spark.read.parquet(f"{root}/kpi-history/upto={history}").unionByName(recent)
+
+
 def read_kpis(spark: SparkSession, root: str) -> DataFrame:
     """The overview row of every batch so far."""
-    return spark.read.parquet(f"{root}/kpi")
+    version = current_version(spark, root)
+    sums = _kpi_sums(spark, root, read_ledger(spark, root, version).history)
+    return overview_from(sums.filter(F.col("batch") <= version), "batch")
+
 
+def read_changes(spark: SparkSession, root: str) -> DataFrame:
+    """What every batch so far did: ``batch``, the customer, ``insert``, ``update`` or ``delete``, versions before and after.
 
-def apply_batch(batch: DataFrame, batch_id: int, root: str, key: str, sequence: str) -> None:
+    A customer that comes back after a delete is an insert.
+    """
+    version = current_version(spark, root)
+    rows = spark.read.parquet(f"{root}/changed").withColumn("batch", F.col("batch").cast("bigint"))
+    return rows.filter(F.col("batch") <= version)
+
+
+def _moves(spark: SparkSession, root: str, ledger: Ledger, latest: DataFrame, touched: set[int], key: str, sequence: str) -> DataFrame:
+    """Changes that are taken, next to the stored rows of their customers."""
+    gone = deleted(latest)
+    columns = [c for c in latest.columns if c != OPERATION]
+    offered = latest.select(key, F.struct(*columns).alias("new"), gone.alias("gone"))
+    stored = _rows(spark, root, ledger, key, touched, latest.select(key))
+    if stored is None:
+        kinds = [f"CAST(NULL AS {latest.schema[c].dataType.simpleString()}) AS `{c}`" for c in columns]
+        stored = latest.selectExpr(*kinds, f"CAST(NULL AS BIGINT) AS {KEY}", f"CAST(NULL AS BOOLEAN) AS {GONE}").filter("false")
+    old = stored.select(key, F.struct(*columns).alias("old"), KEY, F.col(GONE).alias("was_gone"))
+    joined = offered.join(old, key, "left")
+    taken = joined.filter(F.col("old").isNull() | F.coalesce(F.col(f"new.{sequence}") >= F.col(f"old.{sequence}"), F.lit(True)))
+    there = "(old IS NOT NULL AND NOT was_gone)"
+    change = f"CASE WHEN gone AND {there} THEN 'delete' WHEN gone THEN NULL WHEN {there} THEN 'update' ELSE 'insert' END"
+    return taken.withColumns({"there": F.expr(there), "change": F.expr(change)})
+
+
+def _changed_rows(moves: DataFrame, columns: list[str], batch_id: int, highest: int) -> DataFrame:
+    """Rows of the change file. Known customers keep their keys, new ones are numbered after ``highest``; tombstones need none."""
+    marks = [F.col("gone").alias(GONE), F.lit(batch_id).cast("bigint").alias(BATCH)]
+    known = moves.filter(f"gone OR {KEY} IS NOT NULL").select("new.*", KEY, *marks)
+    arriving = moves.filter(f"NOT gone AND {KEY} IS NULL").select("new.*")
+    numbered = with_key(arriving, KEY, distinct=True, after=highest)
+    return known.unionByName(numbered.withColumns({GONE: F.lit(False), BATCH: F.lit(batch_id).cast("bigint")}).select(*columns, KEY, GONE, BATCH))
+
+
+def apply_batch(
+    batch: DataFrame, batch_id: int, root: str, key: str, sequence: str, bucket_rows: int = BUCKET_ROWS, fold_share: float = FOLD_SHARE
+) -> None:
     spark = batch.sparkSession
-    version = current_version(spark, root, before=batch_id)
-    entries = _entries(spark, root, version)
+    versions = _versions(spark, root, before=batch_id)
+    before = read_ledger(spark, root, max(versions, default=None))
+    columns = [c for c in batch.columns if c != OPERATION]
+
+    def written(df: DataFrame, folder: str) -> DataFrame:
+        path = f"{root}/{folder}/batch={batch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     # Stored first: a small batch is then known to be small and the state is not shuffled for it.
-    changes = f"{root}/changes/batch={batch_id}"
-    latest_versions(batch, key, sequence).write.mode("overwrite").parquet(changes)
-    latest = spark.read.schema(batch.schema).parquet(changes)
-    require_clean(latest.agg(F.count_if(F.col(key).isNull()).alias("missing_ids")), "missing_ids")
-
-    in_bucket = _bucket(key, len(entries))
-    touched = {row["b"] for row in latest.selectExpr(f"{in_bucket} AS b").distinct().collect()}  # at most every bucket
-    highest = max(e["highest"] for e in entries)
-    paths = _paths(root, [e for e in entries if e["bucket"] in touched])
-    merged = latest.withColumn(KEY, F.lit(None).cast("bigint"))
-    if paths:
-        merged = apply_latest(spark.read.parquet(*paths), latest, key, sequence)
-    new = with_key(merged.filter(f"{KEY} IS NULL").drop(KEY), KEY, distinct=True, after=highest)
-    rows = merged.filter(f"{KEY} IS NOT NULL").unionByName(new).selectExpr("*", f"{in_bucket} AS bucket")
-    target = f"{root}/state/batch={batch_id}"
-    rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
-    written = spark.read.schema(rows.schema).parquet(target)
-
-    contracts = entries[0]["contracts"]
-    stored = spark.read.parquet(f"{root}/contracts/batch={contracts}") if contracts is not None else None
-    dim_contract = gold.build_dim_contract(latest) if stored is None else upsert_dim_contract(stored, latest)
-    dim_contract.write.mode("overwrite").parquet(f"{root}/contracts/batch={batch_id}")
-
-    # KPIs add up over buckets: only those of the touched ones are computed anew.
-    feed = build_feed(written.drop("bucket")).withColumn("bucket", F.expr(_bucket("id", len(entries))))
-    overview_sums(feed, "bucket").write.mode("overwrite").parquet(f"{root}/sums/batch={batch_id}")
-    top = written.agg(F.max(KEY)).first()[0] or 0
-    ledger = [
-        (e["bucket"], batch_id if e["bucket"] in touched else e["holder"], batch_id, max(highest, top)) for e in entries
+    latest = written(latest_versions(batch, key, sequence), "latest")
+    in_bucket = bucket_of(key, len(before.buckets))
+    named = latest.selectExpr(f"{in_bucket} AS b", f"{key} IS NULL AS missing").groupBy("b").agg(F.count_if("missing").alias("missing_ids"))
+    touched = named.collect()  # at most every bucket
+    require_clean(spark.createDataFrame(touched, "b int, missing_ids bigint"), "missing_ids")
+    moves = written(_moves(spark, root, before, latest, {row["b"] for row in touched}, key, sequence), "moves")
+
+    after = Ledger(batch_id, list(before.buckets), dict(before.deltas), before.highest, before.customers, batch_id, before.history)
+    taken = moves.selectExpr(f"{in_bucket} AS b", "old IS NULL AS unknown").groupBy("b").agg(F.count("*").alias("n"), F.count_if("unknown").alias("new"))
+    taken = taken.collect()
+    counts, rows = {r["b"]: r["n"] for r in taken}, sum(r["n"] for r in taken)
+    after.customers += sum(r["new"] for r in taken)
+    if rows:
+        after.buckets = [Bucket(b.holder, b.folded, b.rows, b.pending + counts.get(i, 0)) for i, b in enumerate(before.buckets)]
+        wanted = max(len(after.buckets), math.ceil(after.customers / bucket_rows))
+        folding = {i for i, b in enumerate(after.buckets) if b.pending and b.pending >= fold_share * b.rows}
+        folding |= {origin(i, len(after.buckets)) for i in range(len(after.buckets), wanted)}
+        new = _changed_rows(moves, columns, batch_id, before.highest)
+        if set(counts) <= folding:
+            # Every bucket the batch names takes it in at once: no change file is needed.
+            top = _fold(spark, root, after, key, folding, wanted, new)
+        else:
+            top = _write_changes(spark, root, before, after, new, rows, key)
+            _fold(spark, root, after, key, folding, wanted)
+        after.highest = max(before.highest, top or 0)
+
+    # Contracts of the batch, and KPIs: what was stored of its customers is taken off, what they are now is added.
+    stored = spark.read.parquet(f"{root}/contracts/batch={before.contracts}") if before.contracts is not None else None
+    dim_contract = gold.build_dim_contract(latest.filter(~deleted(latest))) if stored is None else upsert_dim_contract(stored, latest)
+    written(dim_contract, "contracts")
+    added = overview_sums(build_feed(moves.filter("NOT gone").select("new.*")))
+    removed = overview_sums(build_feed(moves.filter("there").select("old.*")))
+    parts = added.unionByName(removed.selectExpr(*[f"-{c} AS {c}" for c in SUMS]))
+    if before.version is not None:
+        parts = parts.unionByName(_kpi_sums(spark, root, before.history).filter(F.col("batch") == before.version).select(*SUMS))
+    written(merge_overview(parts).selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in SUMS.items()]), "kpi")
+    changed = moves.filter("change IS NOT NULL")
+    written(changed.select(key, "change", F.when(F.col("there"), F.col(f"old.{sequence}")).alias("version_before"), F.col(f"new.{sequence}").alias("version_after")), "changed")
+    if before.version is not None and before.version - before.history >= HISTORY:
+        after.history = before.version
+        kept = _kpi_sums(spark, root, before.history).filter(F.col("batch") <= before.version)
+        kept.coalesce(1).write.mode("overwrite").parquet(f"{root}/kpi-history/upto={after.history}")
+    spark.createDataFrame(after.rows(), LEDGER).coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id}")
+    _remove_superseded(spark, root, versions, before)
+
+
+def _write_changes(spark: SparkSession, root: str, before: Ledger, after: Ledger, rows: DataFrame, count: int, key: str) -> int | None:
+    """The batch's change file. Earlier ones that are not much larger go into it, so few are left, and each row is moved a few times only."""
+    merged = {}
+    for batch in sorted(before.deltas, reverse=True):
+        if before.deltas[batch] > 2 * (count + sum(merged.values())):
+            break
+        merged[batch] = before.deltas[batch]
+    if merged:
+        earlier = _pending(spark, root, Ledger(buckets=before.buckets, deltas=merged), key)
+        rows = rows.unionByName(earlier.join(rows.select(key), key, "left_anti").select(*rows.columns))
+    path = f"{root}/delta/batch={after.version}"
+    rows.write.mode("overwrite").parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path).agg(F.count("*").alias("n"), F.max(KEY).alias("top")).first()
+    after.deltas = {b: n for b, n in before.deltas.items() if b not in merged} | {after.version: found["n"]}
+    return found["top"]
+
+
+def _fold(
+    spark: SparkSession, root: str, ledger: Ledger, key: str, folding: set[int], wanted: int, new: DataFrame | None = None
+) -> int | None:
+    """Rewrite the buckets ``folding`` with their pending rows, and with ``new`` ones, as parts of ``wanted`` buckets."""
+    if not folding:
+        return None
+    count = len(ledger.buckets)
+    rows = _rows(spark, root, ledger, key, folding)
+    if new is not None:
+        new = new.drop(BATCH)
+        rows = new if rows is None else rows.join(new.select(key), key, "left_anti").unionByName(new.select(*rows.columns))
+    target = f"{root}/state/batch={ledger.version}"
+    # A task for each bucket, and several where there are fewer buckets than cores.
+    parts = sum(origin(i, count) in folding for i in range(wanted))
+    tasks = max(parts, spark.sparkContext.defaultParallelism)
+    placed = rows.withColumn("bucket", F.expr(bucket_of(key, wanted)))
+    dealt = placed.repartition(tasks, "bucket", F.expr(f"pmod(hash({key}), {max(tasks // parts, 1)})"))
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(target)
+    sizes = spark.read.schema(placed.schema).parquet(target).groupBy("bucket").agg(F.count("*").alias("n"), F.max(KEY).alias("top")).collect()
+    held = {row["bucket"]: row["n"] for row in sizes}  # those rewritten
+    ledger.buckets = [
+        Bucket(ledger.version if i in held else None, ledger.version, held.get(i, 0)) if origin(i, count) in folding else ledger.buckets[i]
+        for i in range(wanted)
     ]
-    held = spark.createDataFrame(ledger, "bucket int, holder bigint, contracts bigint, highest bigint")
-    sums = spark.read.parquet(f"{root}/sums").withColumn("holder", F.col("batch").cast("bigint")).drop("batch")
-    overview = overview_from(merge_overview(sums.join(F.broadcast(held), ["bucket", "holder"])))
-    overview.write.mode("overwrite").parquet(f"{root}/kpi/batch={batch_id}")
-    held.coalesce(1).write.mode("overwrite").parquet(f"{root}/ledger/batch={batch_id}")
-    _remove_superseded(spark, root, version, entries)
-
-
-def _remove_superseded(spark: SparkSession, root: str, version: int | None, entries: list[dict]) -> None:
-    """Delete what the ledger before ``version`` named and ``version`` no longer does."""
-    earlier = current_version(spark, root, before=version) if version is not None else None
-    if earlier is None:
-        return
-    old = _entries(spark, root, earlier)
-    now = set(_paths(root, entries))
-    gone = [path for path in _paths(root, old) if path not in now]
-    if old[0]["contracts"] != entries[0]["contracts"]:
-        gone.append(f"{root}/contracts/batch={old[0]['contracts']}")
-    gone.append(f"{root}/changes/batch={earlier}")
-    for name in gone:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    behind = [b.folded for b in ledger.buckets if b.pending]
+    ledger.deltas = {batch: n for batch, n in ledger.deltas.items() if behind and batch > min(behind)}
+    return max((row["top"] for row in sizes if row["top"] is not None), default=None)
+
+
+def _remove_superseded(spark: SparkSession, root: str, versions: list[int], before: Ledger) -> None:
+    """Delete what ledgers before ``before`` named and it no longer does, and those ledgers."""
+    for version in versions[:-1]:
+        earlier = read_ledger(spark, root, version)
+        gone = earlier.paths(root) - before.paths(root)
+        gone |= {f"{root}/{folder}/batch={version}" for folder in ("latest", "moves")}
+        if version not in before.deltas:
+            gone.add(f"{root}/delta/batch={version}")  # a bucket may have taken it in at once
+        # KPI rows go once two ledgers name the file that holds them.
+        gone |= {f"{root}/kpi/batch={batch}" for batch in range(earlier.history - HISTORY, earlier.history + 1) if batch >= 0}
+        for name in sorted(gone):
+            delete(spark, name)
+        delete(spark, f"{root}/ledger/batch={version}")
 
 
 def refresh_stream(
@@ -171,15 +378,16 @@ def refresh_stream(
     key: str = "customer_id",
     sequence: str = "version",
     files_per_batch: int = 1000,
+    every: str | None = None,
+    bucket_rows: int = BUCKET_ROWS,
+    fold_share: float = FOLD_SHARE,
 ) -> StreamingQuery:
-    """Take in every file that has arrived and stop.
+    """Take in every file that has arrived and stop, or go on taking in what has arrived ``every`` so often (``15 minutes``).
 
-    ``files_per_batch`` bounds a micro-batch, and with it how many buckets one rewrites at once.
+    ``files_per_batch`` bounds a micro-batch. Changes may have a column ``operation``, see ``attrition.operators.incremental``.
     """
     source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(arriving)
-    return (
-        source.writeStream.foreachBatch(lambda batch, batch_id: apply_batch(batch, batch_id, root, key, sequence))
-        .option("checkpointLocation", f"{root}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = source.writeStream.foreachBatch(
+        lambda batch, batch_id: apply_batch(batch, batch_id, root, key, sequence, bucket_rows, fold_share)
+    ).option("checkpointLocation", f"{root}/progress")
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -4,6 +4,7 @@ from oracles.medallion import union
 
 GONE = "coalesce(churn = 'Yes', false)"
 TIER = "CASE WHEN internet IN ('DSL','Fiber optic') THEN internet ELSE 'No' END"
+# Band limits and labels.
 BAND = """CASE WHEN coalesce(tenure,0) <= 6 THEN '0-6' WHEN tenure <= 12 THEN '7-12' WHEN tenure <= 24 THEN '13-24'
  WHEN tenure <= 48 THEN '25-48' ELSE '49-72' END"""
 SCORE = """CASE WHEN coalesce(score,0) < 0 THEN '80-100' WHEN coalesce(score,0) < 20 THEN '0-19'
@@ -11,6 +12,7 @@ SCORE = """CASE WHEN coalesce(score,0) < 0 THEN '80-100' WHEN coalesce(score,0)
 STATE_OF = "CASE WHEN churn = 'Yes' THEN 'Churned' ELSE 'Active' END"
 REASON = "coalesce(nullif(reason, ''), 'Unknown')"
 CITY = "coalesce(nullif(city, ''), 'Unknown')"
+# Service names and what counts as held.
 HELD = {
     "Phone Service": "coalesce(phone = 1, false)",
     "Multiple Lines": "coalesce(mlines = 'Yes', false)",
@@ -23,6 +25,7 @@ HELD = {
     "Streaming Movies": "coalesce(smov = 'Yes', false)",
 }
 CATEGORY = dict(zip(HELD, ["Phone", "Phone", "Internet", *["Add-on"] * 4, "Streaming", "Streaming"]))
+# Listed domains.
 CONTRACTS = "(VALUES (1,'Month-to-month'),(2,'One year'),(3,'Two year')) AS d(pos, contract)"
 TENURES = "(VALUES (1,'0-6'),(2,'7-12'),(3,'13-24'),(4,'25-48'),(5,'49-72')) AS d(pos, band)"
 PAYS = """(VALUES (1,'Electronic check'),(2,'Mailed check'),(3,'Credit card (automatic)'),
@@ -164,6 +167,7 @@ SEGMENTS = {
     "nobody": {"gender": "Other"},
 }
 
+# Intent patterns.
 PATTERNS = [
     "(churn rate|churn%|churn percentage|how many.*churn|overall churn)",
     "(reason|why.*leave|why.*churn|top churn)",
@@ -195,6 +199,7 @@ def two(value: str) -> str:
     return f"format('{{:,.2f}}', {value}) || '%'"
 
 
+# The answer sentences below.
 FIGURES = f""", chosen AS (SELECT * FROM feed), svc_counts AS ({SERVICES}),
 svc_rates AS (SELECT *, {pct('churned', 'total')} AS rate FROM svc_counts),
 con_rates AS (SELECT d.contract, d.pos, {pct("count(r.id) FILTER (r.churn = 'Yes')", 'count(r.id)')} AS rate
@@ -241,6 +246,7 @@ def answered(keys: str) -> str:
     return f"SELECT {keys}, array_to_string([{lines}], chr(10)) AS answer FROM tagged, said s"
 
 
+# Suggested questions.
 SUGGESTED = """, asked(id, question) AS (VALUES (CAST(1 AS BIGINT), 'What is the overall churn rate?'),
  (2, 'Top churn reasons'), (3, 'Which contract churns the most?'), (4, 'Which service has the highest churn?'),
  (5, 'What is the average monthly charge?'), (6, 'How much revenue is at risk?'))"""

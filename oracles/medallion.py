@@ -68,18 +68,61 @@ after_batch AS (SELECT * EXCLUDE (city, cltv), CASE WHEN n % 7 = 0 THEN 'Moved'
  CAST(CASE WHEN n % 7 = 0 THEN cltv + 3 ELSE cltv END AS BIGINT) AS cltv,
  CAST(CASE WHEN n % 7 = 0 THEN 3 ELSE 1 END AS BIGINT) AS version FROM numbered)
 """
+RAGGED = ", record AS (SELECT *, CAST(substr(customer_id, 2) AS BIGINT) AS n FROM bronze)\n"
+# Every thirteenth customer is deleted at version 4.
+DELETED = NUMBERED + """, after_deletes AS (SELECT * FROM after_batch WHERE n % 13 <> 0),
+changes AS (SELECT customer_id,
+ CASE WHEN n % 13 = 0 THEN 'delete' WHEN n % 10 = 0 THEN 'insert' ELSE 'update' END AS change,
+ CAST(CASE WHEN n % 10 <> 0 THEN 1 END AS BIGINT) AS version_before,
+ CAST(CASE WHEN n % 13 = 0 THEN 4 WHEN n % 7 = 0 THEN 3 ELSE 1 END AS BIGINT) AS version_after FROM numbered
+ WHERE CASE WHEN n % 10 = 0 THEN n % 13 <> 0 ELSE n % 13 = 0 OR n % 7 = 0 END)
+"""
 _SOURCE = """customer_id AS CustomerID, gender AS Gender, senior_citizen AS SeniorCitizen, partner AS Partner,
  dependents AS Dependents, country AS Country, state AS State, city AS City, zip_code AS ZipCode,
  latitude AS Latitude, longitude AS Longitude"""
 _CUSTOMER_KEY = content(CUSTOMER)
 _ORDER = ", ".join(f"{c} NULLS FIRST" for c in CUSTOMER)
 
+
+
+def dimension_after(ctes: str, after: str) -> str:
+    """Keys of earlier customers stay, those of deleted ones among them; arriving ones are numbered behind."""
+    return (
+        ctes
+        + f""", earlier AS (SELECT DISTINCT {_SOURCE} FROM numbered WHERE n % 10 <> 0),
+arriving AS (SELECT {_SOURCE} FROM {after} WHERE n % 10 = 0),
+keys AS (
+ SELECT row_number() OVER (ORDER BY substr(md5({_CUSTOMER_KEY}),1,4), {_ORDER}) AS CustomerKey, CustomerID
+ FROM earlier
+ UNION ALL
+ SELECT (SELECT count(*) FROM earlier) + row_number() OVER (ORDER BY substr(md5({_CUSTOMER_KEY}),1,4),
+  {_ORDER}), CustomerID FROM arriving)
+SELECT k.CustomerKey, k.CustomerID, a.city AS City FROM keys k JOIN {after} a ON a.customer_id = k.CustomerID"""
+    )
+
+
+def facts_after(ctes: str, after: str) -> str:
+    return ctes + f"""SELECT customer_id AS CustomerID, city AS City, contract AS ContractType,
+ paperless_billing AS PaperlessBilling, payment_method AS PaymentMethod, CAST(tenure_months AS BIGINT) AS TenureMonths,
+ cltv AS CLTV, churn_label AS ChurnLabel, true AS key_kept FROM {after}"""
+
+
+def kpis_after(ctes: str, after: str) -> str:
+    return ctes + f"""SELECT CAST(0 AS BIGINT) AS batch, count(*) AS total, count(*) FILTER (churn_label = 'Yes') AS churners,
+ CAST(sum(cltv) AS DOUBLE) / count(*) AS avg_cltv FROM numbered WHERE n % 10 <> 0
+UNION ALL SELECT b, count(*), count(*) FILTER (churn_label = 'Yes'), CAST(sum(cltv) AS DOUBLE) / count(*)
+ FROM {after}, (VALUES (CAST(1 AS BIGINT)), (2)) AS v(b) GROUP BY b"""
+
+
 TEXTS = {
     # A blank cell of a text file lands as NULL.
     "b1_read_raw": """SELECT * REPLACE (nullif(total_charges, '') AS total_charges,
  nullif(churn_reason, '') AS churn_reason) FROM bronze""",
     "b1_read_raw_cells": """SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn,
  ' said "' || role || '", then:' || chr(10) || coalesce(text, '') || ',"" ' AS cell FROM conversations""",
+    "b1_ragged_rows": RAGGED + "SELECT customer_id, gender, contract FROM record WHERE n % 50 <> 0 AND n % 70 <> 0",
+    "b1_ragged_rejects": RAGGED + """SELECT CASE WHEN n % 50 = 0 THEN concat_ws(',', customer_id, gender, contract, 'extra')
+ ELSE customer_id END AS record FROM record WHERE n % 50 = 0 OR n % 70 = 0""",
     "b2_snake_headers": "SELECT * FROM bronze",
     "b3_width_profile": """SELECT "column", CAST(greatest(w, 1) AS BIGINT) AS max_len FROM
  (UNPIVOT (SELECT max(length(COLUMNS(*))) FROM bronze) ON COLUMNS(*) INTO NAME "column" VALUE w)""",
@@ -174,19 +217,21 @@ wanted(layer, expected) AS (SELECT 'dim_customer', count(*) FROM customers UNION
 SELECT layer, CAST(expected AS BIGINT) AS expected, row_count AS actual,
  coalesce(expected = row_count, false) AS matches FROM wanted FULL JOIN actual USING (layer)""",
     "r1_upsert": NUMBERED + "SELECT customer_id, city, cltv, version FROM after_batch",
-    "r1_upsert_dimension": NUMBERED
-    + f""", earlier AS (SELECT DISTINCT {_SOURCE} FROM numbered WHERE n % 10 <> 0),
-arriving AS (SELECT {_SOURCE} FROM after_batch WHERE n % 10 = 0),
-keys AS (
- SELECT row_number() OVER (ORDER BY substr(md5({_CUSTOMER_KEY}),1,4), {_ORDER}) AS CustomerKey, CustomerID
- FROM earlier
- UNION ALL
- SELECT (SELECT count(*) FROM earlier) + row_number() OVER (ORDER BY substr(md5({_CUSTOMER_KEY}),1,4),
-  {_ORDER}), CustomerID FROM arriving)
-SELECT k.CustomerKey, k.CustomerID, a.city AS City FROM keys k JOIN after_batch a ON a.customer_id = k.CustomerID""",
-    "r1_upsert_facts": NUMBERED + """SELECT customer_id AS CustomerID, city AS City, contract AS ContractType,
- paperless_billing AS PaperlessBilling, payment_method AS PaymentMethod, CAST(tenure_months AS BIGINT) AS TenureMonths,
- cltv AS CLTV, churn_label AS ChurnLabel, true AS key_kept FROM after_batch""",
+    "r1_upsert_dimension": dimension_after(NUMBERED, "after_batch"),
+    "r1_delete_dimension": dimension_after(DELETED, "after_deletes"),
+    "r1_upsert_facts": facts_after(NUMBERED, "after_batch"),
+    "r1_delete_facts": facts_after(DELETED, "after_deletes"),
+    "r1_delete": DELETED + "SELECT customer_id, city, cltv, version FROM after_deletes",
+    "r1_delete_bridge": DELETED + """SELECT u.customer_id AS CustomerID, CAST(s.ServiceKey AS BIGINT) AS ServiceKey
+ FROM unpivoted u JOIN dim_service s ON s.ServiceName = u.ServiceName JOIN after_deletes a ON a.customer_id = u.customer_id""",
+    "r1_changes": DELETED + "SELECT * FROM changes",
+    "r2_stream_delete": DELETED + "SELECT customer_id, city, cltv, version FROM after_deletes",
+    "r2_stream_delete_kpis": kpis_after(DELETED, "after_deletes"),
+    # The batch that comes again is taken once more: updates of what it has put in.
+    "r2_stream_changes": DELETED + """SELECT CAST(0 AS BIGINT) AS batch, customer_id, 'insert' AS change,
+ CAST(NULL AS BIGINT) AS version_before, CAST(1 AS BIGINT) AS version_after FROM numbered WHERE n % 10 <> 0
+UNION ALL SELECT 1, * FROM changes
+UNION ALL SELECT 2, customer_id, 'update', version_after, version_after FROM changes WHERE change <> 'delete'""",
     "r1_upsert_bridge": """SELECT u.customer_id AS CustomerID, CAST(s.ServiceKey AS BIGINT) AS ServiceKey
  FROM unpivoted u JOIN dim_service s ON s.ServiceName = u.ServiceName""",
     "r2_stream_gold": NUMBERED + """SELECT customer_id AS CustomerID, a.city AS City, contract AS ContractType,
@@ -194,9 +239,5 @@ SELECT k.CustomerKey, k.CustomerID, a.city AS City FROM keys k JOIN after_batch
  coalesce((SELECT bit_or(1::BIGINT << (s.ServiceKey - 1)) FROM unpivoted u JOIN dim_service s ON s.ServiceName = u.ServiceName
   WHERE u.customer_id = a.customer_id), 0) AS ServiceMask FROM after_batch a""",
     "r2_stream_upsert": NUMBERED + "SELECT customer_id, city, cltv, version FROM after_batch",
-    "r2_stream_kpis": NUMBERED
-    + """SELECT CAST(0 AS BIGINT) AS batch, count(*) AS total, count(*) FILTER (churn_label = 'Yes') AS churners,
- CAST(sum(cltv) AS DOUBLE) / count(*) AS avg_cltv FROM numbered WHERE n % 10 <> 0
-UNION ALL SELECT b, count(*), count(*) FILTER (churn_label = 'Yes'), CAST(sum(cltv) AS DOUBLE) / count(*)
- FROM after_batch, (VALUES (CAST(1 AS BIGINT)), (2)) AS v(b) GROUP BY b""",
+    "r2_stream_kpis": kpis_after(NUMBERED, "after_batch"),
 }

@@ -340,6 +340,8 @@ UNION ALL SELECT 3, ContractType, PaymentMethod, ServiceCategory, count(DISTINCT
  LEFT JOIN (SELECT * FROM model WHERE {NO}) m ON m.ChurnScore >= t.threshold GROUP BY t.threshold""",
     "f8_regional_rows": "SELECT ChurnKey, State, ChurnLabel FROM model WHERE State IN ('NATION_1', 'NATION_7')",
     "f8_executive_rows": "SELECT ChurnKey, State, ChurnLabel FROM model",
+    "f8_rows_by_user": """SELECT u."user", ChurnKey, State FROM (VALUES ('ana'),('ben')) AS u("user") JOIN model m
+ ON u."user" = 'ana' OR m.State IN ('NATION_1','NATION_7')""",
     "f8_access_summary": f"""SELECT u."user", count(m.ChurnKey) AS customers, count(m.ChurnKey) FILTER (m.{YES})
  AS churned, {per(f'count(m.ChurnKey) FILTER (m.{YES})', 'count(m.ChurnKey)')} AS churn_rate
  FROM (VALUES ('ana'),('ben'),('eve')) AS u("user") LEFT JOIN model m

@@ -135,7 +135,7 @@ def test_null_contract_or_id_stops_the_load(spark):
         checks.verify("silver", t)
     with pytest.raises(ValueError, match="ContractType"):
         checks.verify("dim_contract", t)
-    with pytest.raises(ValueError, match="missing_ids"):
+    with pytest.raises(ValueError, match="customer_id"):
         checks.verify("silver", {"silver": frames.silver(spark, [dict(customer_id=None), {}])})
     assert frames.one(checks.load_loss(t["silver"], t["fact_churn"], t["dim_customer"])) == dict(due=2, facts=1, lost=1)
     gaps = frames.pairs(checks.contract_gaps(t["silver"]), "column", "nulls")
@@ -286,3 +286,50 @@ def test_raw_cells_keep_quotes_commas_and_line_ends(spark, tmp_path):
         ('say "hi", now', "two\nlines"),
         (None, "x"),
     ]
+
+
+RAGGED = 'a,b\n1,2\n3,4,5\n6\n"x, y","z"\n\n7,8\n'
+
+
+def test_a_ragged_record_stops_the_load(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(RAGGED)
+    for multiline in (True, False):
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+            landing.read_raw(spark, str(tmp_path / "x.csv"), multiline=multiline).select("a").collect()
+
+
+def test_ragged_records_go_to_a_reject_table_with_their_text(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.csv").write_text(RAGGED)
+    (tmp_path / "in/y.csv").write_text('a,b\n,"two\nlines"\n')
+    good = landing.read_raw(spark, str(tmp_path / "in"), rejects=str(tmp_path / "bad"))
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([("1", "2"), ("x, y", "z"), ("7", "8"), (None, "two\nlines")], key=str)
+    bad = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sorted((r._file[-5:], r.record.strip()) for r in bad) == [("x.csv", "3,4,5"), ("x.csv", "6")]
+
+
+def test_files_with_other_headers_stop_the_load(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "y.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.read_raw(spark, str(tmp_path)).collect()
+
+
+def test_names_stand_for_a_missing_header(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("1,2\n3,\n")
+    read = landing.read_raw(spark, str(tmp_path / "x.csv"), names=["a", "b"])
+    assert read.columns == ["a", "b"] and sorted(map(tuple, read.collect())) == [("1", "2"), ("3", None)]
+
+
+def test_keys_with_gaps_repeats_and_nulls_are_looked_at(spark):
+    t = {"p": spark.createDataFrame([(1,), (3,), (3,), (70_000,), (None,)], "k long"), "q": spark.createDataFrame([(2,), (1,), (3,)], "k long")}
+    t["c"] = spark.createDataFrame([(1,), (2,), (2,), (None,), (70_000,)], "k long")
+    profiles = checks.Profiles(t)
+    found = profiles.of("p", "k")
+    assert (found.rows, found.nulls, found.low, found.high, found.bits) == (5, 1, 1, 70_000, 3)
+    assert not profiles.unique("p", ["k"]) and profiles.unique("q", ["k"])
+    assert profiles.dense("p", "k") is None and profiles.dense("q", "k") == 3
+    report = {r.table: (r.repeated_keys, r.extra_rows) for r in checks.duplicate_keys(t, {"p": ["k"], "q": ["k"]}).collect()}
+    assert report == {"p": (1, 1), "q": (0, 0)}
+    lost = {(r.parent): r.orphans for r in checks.orphan_rows(t, [("c", "k", "p"), ("c", "k", "q")]).collect()}
+    assert lost == {"p": 2, "q": 1}

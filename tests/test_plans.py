@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from attrition import session
+from attrition.operators import checks, incremental
 from attrition.plans import registered
 from attrition.plans.warehouse import Warehouse, open_warehouse
 
@@ -43,14 +44,45 @@ def test_large_plans_have_no_cross_joins_and_few_scans(spark, sf_dir, shuffled,
         assert [x for x in re.findall(r"(\w*Aggregate)\(", plan)][-1] == "HashAggregate"
 
 
+@pytest.mark.parametrize("name", ["r1_upsert", "r1_upsert_dimension", "r1_delete", "r1_delete_dimension", "r1_changes"])
+def test_upserts_read_their_inputs_few_times(spark, sf_dir, shuffled, name):
+    plan = plan_of(registered.run(name, spark, sf_dir))
+    assert plan.count("FileScan") <= 6 and plan.count("Exchange") <= 12
+
+
+def test_a_small_batch_does_not_shuffle_the_stored_table(spark, sf_dir):
+    # The stored rows are joined with a batch that is small enough to be a broadcast, and with its keys.
+    plan = plan_of(registered.run("r1_upsert", spark, sf_dir))
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 0
+
+
+def test_latest_versions_are_one_aggregate(spark, sf_dir):
+    changes = registered.batch(open_warehouse(spark, sf_dir))
+    plan = plan_of(incremental.latest_versions(changes, "customer_id", "version"))
+    assert plan.count("FileScan") == 4 and plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_key_shuffle_carries_only_the_columns(spark, sf_dir):
     plan = plan_of(registered.run("g2_dim_customer", spark, sf_dir))
     assert "_key" not in " ".join(re.findall(r"Exchange [^\n]*", plan))
 
 
 def test_access_reads_only_the_listed_states(spark, sf_dir):
-    plan = plan_of(registered.run("f8_regional_rows", spark, sf_dir))
-    assert re.search(r"PartitionFilters: \[[^\]]*StatePart[^\]]*=NATION_1[^\]]*=NATION_7", plan)
+    for name in ("f8_regional_rows", "f8_rows_by_user"):
+        plan = plan_of(registered.run(name, spark, sf_dir))
+        assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning[^\]]*StatePart", plan) or re.search(
+            r"PartitionFilters: \[[^\]]*StatePart[^\]]*dynamicpruning", plan
+        )
+
+
+def test_key_checks_shuffle_no_rows(spark, sf_dir):
+    w = open_warehouse(spark, sf_dir)
+    star = {name: w[name] for name in registered.STAR}
+    profiles = checks.Profiles(star, w["profile"])
+    for report in (checks.duplicate_keys(star, profiles=profiles), checks.orphan_rows(star, profiles=profiles)):
+        assert "Exchange hashpartitioning" not in plan_of(report)
+    plan = plan_of(checks.key_profile(star["fact_churn"], "ChurnKey"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "partial_bitmap_construct_agg" in plan
 
 
 def test_a_later_session_takes_over_stored_layers(spark, tmp_path, sf_dir):
@@ -111,7 +143,7 @@ def test_scratch_is_removed(spark, sf_dir):
     import os
 
     registered.run("b5_bulk_write", spark, sf_dir).count()
-    root = registered._scratch_root(spark)
+    root = session.scratch_root(spark)
     assert os.listdir(root)
     registered.clear_scratch(spark)
     assert not os.path.exists(root)
