@@ -64,7 +64,11 @@ def facet_counts(rows: DataFrame, spec: dict[str, str]) -> DataFrame:
     clean data. A combination counts for a field when no other field fails, that is,
     when its failures are at most its own.
     """
-    cells = aggregate(rows, FIELD_VALUES, n="count(1)")
+    return facets_from(aggregate(rows, FIELD_VALUES, n="count(1)"), spec)
+
+
+def facets_from(cells: DataFrame, spec: dict[str, str]) -> DataFrame:
+    """The counts from rows of all six fields and a number ``n``."""
     fails = {}
     for field in DOMAINS:
         wanted = spec.get(field, ALL)
@@ -79,7 +83,7 @@ def facet_counts(rows: DataFrame, spec: dict[str, str]) -> DataFrame:
     matched = cells.selectExpr("n", f"inline(array_compact(array({', '.join(pairs)})))")
     counted = aggregate(matched, ["field", "value"], n="sum(n)")
     listed_values = [(field, value) for field, values in DOMAINS.items() for value in values] + [("churn", ALL)]
-    domain = literal_table(rows.sparkSession, ["field", "value"], listed_values)
+    domain = literal_table(cells.sparkSession, ["field", "value"], listed_values)
     return domain.join(counted, ["field", "value"], "left").selectExpr("field", "value", "coalesce(n, 0) AS count")
 
 

@@ -69,7 +69,12 @@ def kpi_overview(rows: DataFrame) -> DataFrame:
 
 
 def kpi_churn(rows: DataFrame, threshold: int = 70) -> DataFrame:
-    by_reason = aggregate(
+    return churn_from(churn_sums(rows, threshold))
+
+
+def churn_sums(rows: DataFrame, threshold: int = 70) -> DataFrame:
+    """What the churn set is made of, by reason; active customers have none."""
+    return aggregate(
         rows,
         {"reason": f"CASE WHEN {CHURNED} THEN {known('reason', 'Unknown')} END"},
         n="count(1)",
@@ -78,6 +83,9 @@ def kpi_churn(rows: DataFrame, threshold: int = 70) -> DataFrame:
         risky=f"count_if(NOT {CHURNED} AND score >= {threshold})",
         at_risk=f"sum(CASE WHEN {CHURNED} THEN monthly END)",
     )
+
+
+def churn_from(by_reason: DataFrame) -> DataFrame:
     sums = aggregate(
         by_reason,
         [],
@@ -135,16 +143,24 @@ def service_rates(rows: DataFrame) -> DataFrame:
     return aggregate(rows, [], **SERVICE_COUNTS).selectExpr(f"inline({SERVICE_STRUCTS})")
 
 
+STREAMS = f"({FEED_SUBSCRIBED['Streaming TV']} OR {FEED_SUBSCRIBED['Streaming Movies']})"
+
+
 def kpi_services(rows: DataFrame) -> DataFrame:
-    one = aggregate(
+    sums = aggregate(
         rows,
         [],
         n="count(1)",
         addons=total_of(ADDON_TOTAL),
-        stream=f"count_if({FEED_SUBSCRIBED['Streaming TV']} OR {FEED_SUBSCRIBED['Streaming Movies']})",
+        stream=f"count_if({STREAMS})",
         suite=f"count_if({ADDON_TOTAL} > 0)",
         **SERVICE_COUNTS,
-    ).selectExpr("n", "addons", "stream", "suite", f"{SERVICE_STRUCTS} AS services")
+    )
+    return services_from(sums)
+
+
+def services_from(sums: DataFrame) -> DataFrame:
+    one = sums.selectExpr("n", "addons", "stream", "suite", f"{SERVICE_STRUCTS} AS services")
     ranked = one.selectExpr("*", f"{best_service('services')} AS best", f"{worst_service('services')} AS worst")
     return ranked.selectExpr(
         "aggregate(services, 0L, (acc, s) -> acc + s.total) AS subscriptions",
@@ -163,15 +179,11 @@ def kpi_services(rows: DataFrame) -> DataFrame:
 
 
 def kpi_revenue(rows: DataFrame) -> DataFrame:
-    sums, ranked = {}, []
+    sums = {}
     for position, name in enumerate(schemas.CONTRACTS):
         here = f"contract = {quote(name)}"
         sums[f"rev{position}"] = f"coalesce(sum(CASE WHEN {here} THEN monthly END), 0)"
         sums[f"cnt{position}"] = f"count_if({here})"
-        ranked.append(
-            f"struct(-rev{position} AS rank, {position} AS pos, {quote(name)} AS contract, "
-            f"rev{position} AS revenue, cnt{position} AS n)"
-        )
     one = aggregate(
         rows,
         [],
@@ -180,7 +192,16 @@ def kpi_revenue(rows: DataFrame) -> DataFrame:
         lifetime_revenue=total_of("total"),
         cltv=total_of("cltv"),
         **sums,
-    ).selectExpr(
+    )
+    return revenue_from(one)
+
+
+def revenue_from(sums: DataFrame) -> DataFrame:
+    ranked = [
+        f"struct(-rev{position} AS rank, {position} AS pos, {quote(name)} AS contract, rev{position} AS revenue, cnt{position} AS n)"
+        for position, name in enumerate(schemas.CONTRACTS)
+    ]
+    one = sums.selectExpr(
         "monthly_revenue",
         "lifetime_revenue",
         f"{ratio('monthly_revenue', 'n')} AS avg_monthly",
@@ -201,7 +222,10 @@ def kpi_revenue(rows: DataFrame) -> DataFrame:
 
 def kpi_geography(rows: DataFrame, base: int = 10) -> DataFrame:
     """Three groupings from one scan: places are counted together first, then apart."""
-    places = aggregate(rows, ["state", "city", "zip"], n="count(1)", gone=f"count_if({CHURNED})")
+    return geography_from(aggregate(rows, ["state", "city", "zip"], n="count(1)", gone=f"count_if({CHURNED})"), base)
+
+
+def geography_from(places: DataFrame, base: int = 10) -> DataFrame:
     parts = ", ".join(
         [
             f"struct('state' AS kind, {known('state', '')} AS key, {known('state', '')} <> '' AS named)",

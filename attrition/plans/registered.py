@@ -20,7 +20,7 @@ from attrition.session import clear_scratch, kept, scratch  # noqa: F401
 from attrition.sources import feed as feeds
 from attrition.sources import landing
 from attrition.sources.subscribers import read_questions
-from attrition.streaming import refresh
+from attrition.streaming import cells, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -383,8 +383,15 @@ def _bridge_after(w: Warehouse, changes: DataFrame) -> DataFrame:
     return star["bridge"].join(star["customers"], "CustomerKey").select("CustomerID", "ServiceKey")
 
 
+_STREAMS: dict[tuple, str] = {}
+
+
 def _streamed(w: Warehouse, later: DataFrame) -> str:
-    root = scratch(w.spark, "stream")
+    """Where a stream has taken in the earlier customers and the batch, twice; kept until scratch folders are cleared."""
+    place = (w.spark.sparkContext.applicationId, w.root, "operation" in later.columns)
+    if place in _STREAMS and refresh.current_version(w.spark, _STREAMS[place]) is not None:
+        return _STREAMS[place]
+    root = _STREAMS[place] = scratch(w.spark, "stream")
     before = before_batch(w)
     if "operation" in later.columns:
         before = before.withColumn("operation", F.lit("upsert"))
@@ -410,6 +417,11 @@ def _streamed_kpis(w: Warehouse, later: DataFrame) -> DataFrame:
     return refresh.read_kpis(w.spark, _streamed(w, later)).select("batch", "total", "churners", "avg_cltv")
 
 
+def _streamed_page(w: Warehouse, page: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A page over the cells that the stream keeps, after deletes."""
+    return page(refresh.read_cells(w.spark, _streamed(w, batch_with_deletes(w))))
+
+
 def streamed_changes(w: Warehouse) -> DataFrame:
     return refresh.read_changes(w.spark, _streamed(w, batch_with_deletes(w)))
 
@@ -606,6 +618,9 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "r2_stream_delete": lambda w: _streamed_rows(w, batch_with_deletes(w)),
     "r2_stream_delete_kpis": lambda w: _streamed_kpis(w, batch_with_deletes(w)),
     "r2_stream_changes": streamed_changes,
+    "r2_stream_churn_page": lambda w: _streamed_page(w, cells.kpi_churn),
+    "r2_stream_services_page": lambda w: _streamed_page(w, lambda c: cells.kpi_services(c, FEED_FILTER)),
+    "r2_stream_facets": lambda w: _streamed_page(w, lambda c: cells.facet_counts(c, FACET_FILTER)),
 }
 
 # The grouping each measure is registered under, by report page.

@@ -9,8 +9,9 @@ from attrition import schemas
 from attrition.functions.cleansing import bit, one_line
 
 
-def build_feed(silver: DataFrame) -> DataFrame:
-    columns = []
+def build_feed(silver: DataFrame, *keep: str) -> DataFrame:
+    """The feed's columns, behind those of ``keep``."""
+    columns = [*keep]
     for alias, source in schemas.FEED_COLUMNS.items():
         value = source
         if source in schemas.FLAG_COLUMNS:

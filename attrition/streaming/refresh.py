@@ -31,15 +31,18 @@ from attrition.operators import gold
 from attrition.operators.checks import require_clean
 from attrition.operators.incremental import OPERATION, deleted, latest_versions, upsert_dim_contract
 from attrition.operators.keys import with_key
-from attrition.plans.kpis import merge_overview, overview_from, overview_sums
+from attrition.plans.kpis import overview_from
 from attrition.session import delete
 from attrition.sources.feed import build_feed
+from attrition.streaming import cells
 
 # Customers of a bucket before it is split, and the share of a bucket's rows that may be pending.
 BUCKET_ROWS, FOLD_SHARE = 1_000_000, 0.25
 # Batches after which their KPI rows are put into one file.
 HISTORY = 16
 KEY, GONE, BATCH = "CustomerKey", "_deleted", "_batch"
+# Files with differences of cells, before they are put into one.
+CELL_FILES = 8
 # What KPI rows are made of; fixed types, as sums of sums would grow wider from batch to batch.
 SUMS = {"total": "bigint", "churners": "bigint", "monthly_revenue": "decimal(38,2)", "_cltv": "bigint", "lifetime_revenue": "decimal(38,2)"}
 LEDGER = "kind string, number bigint, holder bigint, folded bigint, rows bigint, pending bigint"
@@ -60,6 +63,7 @@ class Ledger:
     version: int | None = None
     buckets: list[Bucket] = field(default_factory=lambda: [Bucket()])
     deltas: dict[int, int] = field(default_factory=dict)  # batch to rows
+    cells: list[int] = field(default_factory=list)  # batches whose differences make up the cells
     highest: int = 0  # customer key
     customers: int = 0  # tombstones included
     contracts: int | None = None
@@ -68,6 +72,7 @@ class Ledger:
     def rows(self) -> list[tuple]:
         listed = [("bucket", i, b.holder, b.folded, b.rows, b.pending) for i, b in enumerate(self.buckets)]
         listed += [("delta", batch, None, None, rows, None) for batch, rows in self.deltas.items()]
+        listed += [("cells", batch, None, None, None, None) for batch in self.cells]
         return [*listed, *[(k, getattr(self, k), None, None, None, None) for k in ("highest", "customers", "contracts", "history")]]
 
     def bucket_path(self, root: str, number: int) -> str:
@@ -75,7 +80,7 @@ class Ledger:
 
     def paths(self, root: str) -> set[str]:
         held = {self.bucket_path(root, i) for i, b in enumerate(self.buckets) if b.holder is not None}
-        held |= {f"{root}/delta/batch={batch}" for batch in self.deltas}
+        held |= {f"{root}/delta/batch={batch}" for batch in self.deltas} | {f"{root}/cells/batch={batch}" for batch in self.cells}
         if self.contracts is not None:
             held.add(f"{root}/contracts/batch={self.contracts}")
         if self.history >= 0:
@@ -112,6 +117,8 @@ def read_ledger(spark: SparkSession, root: str, version: int | None) -> Ledger:
             buckets[row["number"]] = Bucket(row["holder"], row["folded"], row["rows"], row["pending"])
         elif row["kind"] == "delta":
             found.deltas[row["number"]] = row["rows"]
+        elif row["kind"] == "cells":
+            found.cells.append(row["number"])
         else:
             setattr(found, row["kind"], row["number"])
     found.buckets = [buckets[i] for i in range(len(buckets))]
@@ -213,6 +220,15 @@ def read_kpis(spark: SparkSession, root: str) -> DataFrame:
     return overview_from(sums.filter(F.col("batch") <= version), "batch")
 
 
+def _cells(spark: SparkSession, root: str, ledger: Ledger) -> DataFrame:
+    return spark.read.parquet(*[f"{root}/cells/batch={batch}" for batch in ledger.cells])
+
+
+def read_cells(spark: SparkSession, root: str) -> DataFrame:
+    """Additive cells of the latest batch, for the page KPIs and facet counts of ``attrition.streaming.cells``."""
+    return cells.merged(_cells(spark, root, read_ledger(spark, root, current_version(spark, root))))
+
+
 def read_changes(spark: SparkSession, root: str) -> DataFrame:
     """What every batch so far did: ``batch``, the customer, ``insert``, ``update`` or ``delete``, versions before and after.
 
@@ -270,7 +286,9 @@ def apply_batch(
     require_clean(spark.createDataFrame(touched, "b int, missing_ids bigint"), "missing_ids")
     moves = written(_moves(spark, root, before, latest, {row["b"] for row in touched}, key, sequence), "moves")
 
-    after = Ledger(batch_id, list(before.buckets), dict(before.deltas), before.highest, before.customers, batch_id, before.history)
+    after = Ledger(
+        batch_id, list(before.buckets), dict(before.deltas), [*before.cells, batch_id], before.highest, before.customers, batch_id, before.history
+    )
     taken = moves.selectExpr(f"{in_bucket} AS b", "old IS NULL AS unknown").groupBy("b").agg(F.count("*").alias("n"), F.count_if("unknown").alias("new"))
     taken = taken.collect()
     counts, rows = {r["b"]: r["n"] for r in taken}, sum(r["n"] for r in taken)
@@ -293,12 +311,15 @@ def apply_batch(
     stored = spark.read.parquet(f"{root}/contracts/batch={before.contracts}") if before.contracts is not None else None
     dim_contract = gold.build_dim_contract(latest.filter(~deleted(latest))) if stored is None else upsert_dim_contract(stored, latest)
     written(dim_contract, "contracts")
-    added = overview_sums(build_feed(moves.filter("NOT gone").select("new.*")))
-    removed = overview_sums(build_feed(moves.filter("there").select("old.*")))
-    parts = added.unionByName(removed.selectExpr(*[f"-{c} AS {c}" for c in SUMS]))
-    if before.version is not None:
-        parts = parts.unionByName(_kpi_sums(spark, root, before.history).filter(F.col("batch") == before.version).select(*SUMS))
-    written(merge_overview(parts).selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in SUMS.items()]), "kpi")
+    sides = "CASE WHEN NOT gone THEN struct(new AS row, 1 AS sign) END, CASE WHEN there THEN struct(old AS row, -1 AS sign) END"
+    signed = moves.selectExpr(f"inline(array_compact(array({sides})))").select("row.*", "sign")
+    differences = cells.differences(build_feed(signed, "sign"))
+    if len(before.cells) >= CELL_FILES:
+        differences = cells.merged(differences.unionByName(_cells(spark, root, before)))
+        after.cells = [batch_id]
+    written(differences, "cells")
+    overview = cells.overview_sums(_cells(spark, root, after))
+    written(overview.selectExpr(*[f"CAST({c} AS {kind}) AS {c}" for c, kind in SUMS.items()]), "kpi")
     changed = moves.filter("change IS NOT NULL")
     written(changed.select(key, "change", F.when(F.col("there"), F.col(f"old.{sequence}")).alias("version_before"), F.col(f"new.{sequence}").alias("version_after")), "changed")
     if before.version is not None and before.version - before.history >= HISTORY:

@@ -61,6 +61,11 @@ CHOSEN = ", chosen AS (SELECT * FROM feed)"
 FILTERED = f""", chosen AS (SELECT * FROM feed WHERE gender = 'Male' AND contract = 'Month-to-month'
  AND {TIER} = 'DSL' AND {BAND} = '49-72')"""
 
+# The feed after the batch with deletes: every thirteenth customer is gone, every seventh has moved.
+AFTER_DELETES = """, after_feed AS (SELECT * REPLACE (CASE WHEN n % 7 = 0 THEN cltv + 3 ELSE cltv END AS cltv,
+ CASE WHEN n % 7 = 0 THEN 'Moved' ELSE city END AS city)
+ FROM (SELECT *, CAST(substr(id, 2) AS BIGINT) AS n FROM feed) WHERE n % 13 <> 0)"""
+
 OVERVIEW = f"""count(*) AS total, count(*) FILTER ({GONE}) AS churners,
  {pct(f'count(*) FILTER ({GONE})', 'count(*)')} AS churn_rate,
  CAST(coalesce(sum(monthly), 0) AS DOUBLE) AS monthly_revenue, {per('sum(monthly)', 'count(*)')} AS avg_monthly,
@@ -288,6 +293,10 @@ TEXTS = {
     ),
     "f7_drill_through": f"SELECT city, zip, {OVERVIEW} FROM feed GROUP BY city, zip",
     **{name: CHOSEN + "\n" + body for name, body in K.items()},
+    "r2_stream_churn_page": AFTER_DELETES + ", chosen AS (SELECT * FROM after_feed)\n" + K["k2_churn"],
+    "r2_stream_services_page": AFTER_DELETES + FILTERED.replace("FROM feed", "FROM after_feed") + "\n" + K["k3_services"],
+    "r2_stream_facets": AFTER_DELETES
+    + facets({"gender": "Male", "contract": "Month-to-month", "pay": "Electronic check"}).replace("FROM feed", "FROM after_feed"),
     **{f"{name}_filtered": FILTERED + "\n" + body for name, body in K.items()},
     "c1_contract": over(CONTRACTS, "contract", "contract", f"{N} AS total, {CH} AS churned, {pct(CH, N)} AS rate"),
     "c2_tenure": over(TENURES, "band", BAND, f"{N} AS total, {CH} AS churned, {pct(CH, N)} AS rate"),

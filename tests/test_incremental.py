@@ -4,8 +4,10 @@ import frames
 import pytest
 from pyspark.sql import functions as F
 
-from attrition.operators import checks, gold, incremental
-from attrition.streaming import refresh
+from attrition.operators import checks, filters, gold, incremental
+from attrition.plans import kpis
+from attrition.sources.feed import build_feed
+from attrition.streaming import cells, refresh
 
 
 def versions(spark, rows):
@@ -186,6 +188,43 @@ def test_deletes_reach_the_star_and_stay_deleted(spark, tmp_path):
     assert kpis == {0: (9, 4), 1: (8, 4), 2: (8, 4), 3: (9, 4)}
 
 
+def test_pages_over_cells_equal_a_recomputation_after_every_batch(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(refresh, "CELL_FILES", 2)
+    some = [
+        frames.gone(churn_reason=None, city=None, tech_support="Yes"),
+        frames.gone(churn_reason="Price", contract="Two year", internet_service="No"),
+        dict(total_charges="", churn_score="90", streaming_tv="Yes", state="", zip_code=None),
+        dict(gender="Female", monthly_charges="x", tenure_months="30", online_security="Yes"),
+        dict(payment_method="Electronic check", contract="One year", cltv="7", phone_service="No"),
+    ]
+    batches = [
+        put(spark, frames.ids(some * 3), 1),
+        put(spark, [dict(customer_id="S0", city="Moved"), dict(customer_id="N", gender="Female")], 2).unionByName(gone(spark, [dict(customer_id="S1")], 2)),
+        put(spark, [frames.gone(customer_id="S2", churn_reason="Price"), dict(customer_id="S1", contract="Two year")], 3),
+        gone(spark, [dict(customer_id=f"S{i}") for i in range(5, 12)], 9),
+    ]
+    male = {"gender": "Male", "tenure": "0-6", "churn": "All"}
+
+    def rows(df):
+        return sorted(tuple(map(str, r)) for r in df.collect())
+
+    for i, batch in enumerate(batches):
+        refresh.apply_batch(batch, i, root, "customer_id", "version")
+        if i not in (1, 3):
+            continue
+        feed, held = build_feed(refresh.read_current(spark, root).drop("version")).cache(), refresh.read_cells(spark, root).cache()
+        for spec in ({}, male) if i == 3 else ({},):
+            for name in ("overview", "churn", "services", "revenue"):
+                want = getattr(kpis, f"kpi_{name}")(filters.apply_filters(feed, spec))
+                assert rows(getattr(cells, f"kpi_{name}")(held, spec)) == rows(want), (i, name)
+            assert rows(cells.facet_counts(held, spec)) == rows(filters.facet_counts(feed, spec))
+        assert rows(cells.kpi_geography(held, base=1)) == rows(kpis.kpi_geography(feed, base=1))
+        if i == 1:  # a batch writes the cells and places its customers were or are in
+            assert spark.read.parquet(f"{root}/cells/batch=1").filter("kind = 'cell'").count() <= 5
+    assert len(refresh.read_ledger(spark, root, 3).cells) <= 3
+
+
 def test_a_delete_comes_after_changes_of_its_version(spark):
     now = versions(spark, [("a", 1, "A"), ("b", 1, "B"), ("c", 9, "C")])
     rows = [("a", 2, "zzz", None), ("a", 2, "aaa", "delete"), ("b", 2, "B2", "Upsert"), ("c", 3, "", " DELETE "), ("d", 1, "D", "delete")]
@@ -197,8 +236,8 @@ def test_a_delete_comes_after_changes_of_its_version(spark):
 
 
 def test_files_stay_few_over_many_batches(spark, tmp_path, monkeypatch):
-    root, n = str(tmp_path), int(os.environ.get("TEST_BATCHES", "10"))
-    monkeypatch.setattr(refresh, "HISTORY", 4)
+    root, n = str(tmp_path), int(os.environ.get("TEST_BATCHES", "7"))
+    monkeypatch.setattr(refresh, "HISTORY", 2)
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
         refresh.apply_batch(customers(spark, 0, 2_000, 1), 0, root, "customer_id", "version", bucket_rows=500)
@@ -207,9 +246,9 @@ def test_files_stay_few_over_many_batches(spark, tmp_path, monkeypatch):
             refresh.apply_batch(batch, i, root, "customer_id", "version", bucket_rows=500)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
-    count = {folder: len(list(tmp_path.glob(f"{folder}/*"))) for folder in ("ledger", "kpi", "kpi-history", "delta", "latest", "moves", "contracts")}
+    count = {folder: len(list(tmp_path.glob(f"{folder}/*"))) for folder in ("ledger", "kpi", "kpi-history", "delta", "latest", "moves", "contracts", "cells")}
     assert count["ledger"] <= 3 and count["kpi"] <= 2 * refresh.HISTORY + 3 and count["kpi-history"] <= 3
-    assert count["delta"] <= 8 and max(count[f] for f in ("latest", "moves", "contracts")) <= 3
+    assert count["delta"] <= 8 and count["cells"] <= refresh.CELL_FILES + 3 and max(count[f] for f in ("latest", "moves", "contracts")) <= 3
     assert len(refresh.read_ledger(spark, root, n).deltas) <= 4
     cities = frames.pairs(refresh.read_current(spark, root).groupBy("city").count(), "city", "count")
     assert cities == {"Town": 2000 - 20 * n} | {f"C{i}": 20 for i in range(1, n + 1)}
