@@ -78,7 +78,7 @@ FROM docs LEFT JOIN inside USING (doc_id) LEFT JOIN held USING (doc_id) LEFT JOI
 """
 
 OP10 = f"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, contains(url, '://') AS ok, substr(url, instr(url, '://') + 3) AS rest FROM pages
 ), urls AS (
   SELECT page_id, CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), {ABC}) ELSE '' END AS host,
@@ -101,35 +101,39 @@ WITH parts AS (
   FROM urls LEFT JOIN best USING (host, path)
 ), leaves AS (
   SELECT host, shape, count(rule) AS n, count(*) FILTER (WHERE by_rule = 'block') AS b FROM shaped GROUP BY host, shape
-), steps AS (
-  SELECT host, shape, depth, shape[depth] AS name, array_to_string(shape[1:depth - 1], '/') AS above
-  FROM (SELECT *, generate_subscripts(shape, 1) AS depth FROM leaves)
-), wide AS (
-  SELECT host, depth, above FROM steps GROUP BY host, depth, above HAVING count(DISTINCT name) > 64
-), rebuilt AS (
-  SELECT host, shape, list(CASE WHEN wide.depth IS NOT NULL AND NOT starts_with(name, '*') THEN '*' ELSE name END ORDER BY depth) AS names
-  FROM steps LEFT JOIN wide USING (host, depth, above) GROUP BY host, shape
-), named AS (
-  SELECT host, shape, n, b, array_to_string(names, '/') AS template, array_to_string(names[1:len(names) - 1], '/') AS parent
-  FROM rebuilt JOIN leaves USING (host, shape)
-), templates AS (
-  SELECT host, parent, template, sum(n) AS n, sum(b) AS b FROM named GROUP BY ALL
+), grown AS (
+  SELECT host, shape, n, b, 0 AS depth, '' AS node FROM leaves
+  UNION ALL
+  SELECT host, shape, n, b, depth + 1, node || '/' || CASE WHEN kinds > 64 THEN '*' ELSE shape[depth + 1] END
+  FROM (SELECT *, count(DISTINCT shape[depth + 1]) OVER (PARTITION BY host, node) AS kinds FROM grown WHERE depth < len(shape))
+), nodes AS (
+  SELECT host, depth, node, sum(n) AS n, sum(b) AS b FROM grown GROUP BY host, depth, node
+), parents AS (
+  SELECT *, CASE WHEN depth > 0 THEN substr(node, 1, length(node) - length(string_split(node, '/')[-1]) - 1) END AS above FROM nodes
 ), sums AS (
-  SELECT *, sum(n) OVER (PARTITION BY host, parent) AS n_all, sum(b) OVER (PARTITION BY host, parent) AS b_all FROM templates
-), shares AS (
-  SELECT *, CASE WHEN n_all > 0 THEN b_all::DOUBLE / n_all::DOUBLE ELSE 0.0 END AS share FROM sums
-), branches AS (
-  SELECT *, CASE WHEN (b - n * share) * (b - n * share) <= 3.84::DOUBLE * n * share * (1 - share) THEN NULL ELSE template END AS branch FROM shares
+  SELECT host, depth, above, sum(n) AS n_all, sum(b) AS b_all FROM parents WHERE depth > 0 GROUP BY ALL
+), tested AS (
+  SELECT parents.*, n > 0 AND power(b - n * (b_all::DOUBLE / n_all::DOUBLE), 2)
+         <= 3.84::DOUBLE * n * (b_all::DOUBLE / n_all::DOUBLE) * (1 - b_all::DOUBLE / n_all::DOUBLE) AS same
+  FROM parents JOIN sums USING (host, depth, above)
 ), pools AS (
-  SELECT *, sum(n) OVER (PARTITION BY host, parent, branch) AS n_branch, sum(b) OVER (PARTITION BY host, parent, branch) AS b_branch FROM branches
+  SELECT host, depth, above, sum(n) AS n_pool, sum(b) AS b_pool FROM tested WHERE same GROUP BY ALL
+), branches AS (
+  SELECT host, depth, above, node, CASE WHEN same THEN n_pool ELSE n END AS n, CASE WHEN same THEN b_pool ELSE b END AS b
+  FROM tested LEFT JOIN pools USING (host, depth, above)
 ), judged AS (
-  SELECT host, parent, template,
-         (b_branch + 4.0::DOUBLE * ((b_all + 4.0::DOUBLE * 0.2::DOUBLE) / (n_all + 4.0::DOUBLE))) / (n_branch + 4.0::DOUBLE) AS purity
-  FROM pools
+  SELECT host, 0 AS depth, node, n, b, (t.b_sum - b + 0.8::DOUBLE) / (t.n_sum - n + 4.0::DOUBLE) AS outside
+  FROM nodes, (SELECT sum(n) AS n_sum, sum(b) AS b_sum FROM leaves) t WHERE depth = 0
+  UNION ALL
+  SELECT c.host, c.depth, c.node, c.n, c.b, (judged.b - c.b + 4.0::DOUBLE * outside) / (judged.n - c.n + 4.0::DOUBLE)
+  FROM judged JOIN branches c ON c.host = judged.host AND c.depth = judged.depth + 1 AND c.above = judged.node
+), ends AS (
+  SELECT grown.host, shape, substr(grown.node, 2) AS template, (judged.b + 4.0::DOUBLE * outside) / (judged.n + 4.0::DOUBLE) AS purity
+  FROM grown JOIN judged USING (host, depth, node) WHERE depth = len(shape)
 )
 SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN purity >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
        template, purity
-FROM shaped JOIN (SELECT host, shape, template, purity FROM named JOIN judged USING (host, parent, template)) USING (host, shape)
+FROM shaped JOIN ends USING (host, shape)
 """
 
 OP9 = """

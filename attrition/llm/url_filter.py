@@ -1,9 +1,10 @@
 """URL filter: a fixed rule list, and a path-template tree per host for what no rule names.
 
-Urls that a rule decides are the labels. Paths are generalised into templates,
-similar sibling templates are pooled, and a template is rejected by the
-smoothed share of blocked urls under it. Only DataFrame functions are used;
-pages are reduced to template counts before anything is compared.
+Urls that a rule decides are the labels. Paths are generalised into templates
+from the host down, every node of the tree counts the labels below it, similar
+sibling branches are pooled, and a template is rejected by the share of blocked
+urls of its branches, each smoothed towards the one above it. Only DataFrame
+functions are used; pages are reduced to template counts before anything is compared.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.llm.scratch import ascii_lower
+from attrition.llm.scratch import ascii_lower, store
 
 # (host, path, verdict), as the contract states them.
 RULES = [
@@ -70,8 +71,10 @@ def judge(
     A null url, or one without ``://``, has empty host and path, fits no rule and is
     judged as the template of the empty path. Rows that repeat a page stay as they are.
     ``purity`` is the blocked share of the template's branch, smoothed by ``weight`` rows
-    of its parent's share, which is itself smoothed towards ``prior``; branches without
-    labels are therefore allowed. An empty table gives no rows.
+    of the smoothed share of the rest of the branch above, and so on up to the host and to all
+    labels, which are smoothed towards ``prior``; each label counts at one level. A branch
+    without labels has the share of the one above it. Segments below ``max_depth`` are one
+    ``**``, so the rounds over the levels are bounded. An empty table gives no rows.
     """
     rules = RULES if rules is None else rules
     url = F.col("url")
@@ -84,7 +87,10 @@ def judge(
     counts = judged.groupBy("host", "shape").agg(
         F.count("rule").alias("labelled"), F.count(F.when(F.col("by_rule") == "block", 1)).alias("blocked")
     )
-    tree = purity(generalise(counts, max_children), weight, prior)
+    leaves = generalise(store(counts, "url-shapes"), max_children)
+    tree = leaves.join(purity(leaves, weight, prior), ["host", "node"]).select(
+        "host", "shape", F.substring("node", F.lit(2), F.char_length("node")).alias("template"), "purity"
+    )
     return judged.join(tree, ["host", "shape"], "left").select(
         "page_id",
         "host",
@@ -97,39 +103,55 @@ def judge(
 
 
 def generalise(counts: DataFrame, max_children: int) -> DataFrame:
-    """Positions below one prefix of a host with more than ``max_children`` names become wildcards."""
-    steps = counts.select("host", "shape", "labelled", "blocked", F.posexplode("shape").alias("at", "name")).withColumn(
-        "above", F.when(F.col("at") > 0, F.array_join(F.slice("shape", F.lit(1), F.greatest("at", F.lit(1))), "/")).otherwise("")
-    )
-    named = steps.select("host", "at", "above", "name").distinct()
-    wide = named.groupBy("host", "at", "above").agg(F.count("*").alias("names")).where(F.col("names") > max_children)
-    marked = steps.join(wide, ["host", "at", "above"], "left")
-    kept = F.when(F.col("names").isNotNull() & ~F.startswith("name", F.lit("*")), "*").otherwise(F.col("name"))
-    rebuilt = marked.groupBy("host", "shape", "labelled", "blocked").agg(F.sort_array(F.collect_list(F.struct("at", kept.alias("name")))).alias("path"))
-    names = F.col("path")["name"]
-    return rebuilt.select(
-        "host",
-        "shape",
-        "labelled",
-        "blocked",
-        F.array_join(names, "/").alias("template"),
-        F.array_join(F.slice(names, F.lit(1), F.size(names) - 1), "/").alias("parent"),
-    )
+    """``counts`` with ``node``, the shape's template after a slash for each segment.
+
+    Level by level, names below a prefix that has more than ``max_children`` of them become
+    wildcards, and the next level is counted below the prefixes that result. So a node has
+    ``max_children`` children at most.
+    """
+    depth = counts.agg(F.max(F.size("shape"))).first()[0] or 0
+    tree = counts.withColumn("node", F.lit(""))
+    for at in range(depth):
+        name = F.get("shape", F.lit(at))
+        named = tree.where(name.isNotNull()).select("host", "node", name.alias("name")).distinct()
+        wide = named.groupBy("host", "node").agg(F.count("*").alias("names")).where(F.col("names") > max_children)
+        wide = store(wide, "url-wide")
+        if wide.isEmpty():
+            kept = name
+        else:
+            tree, kept = tree.join(wide, ["host", "node"], "left"), F.when(F.col("names").isNotNull(), "*").otherwise(name)
+        tree = tree.withColumn("node", F.when(name.isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), kept))).drop("names")
+    return store(tree, "url-tree")
 
 
 def purity(leaves: DataFrame, weight: float, prior: float) -> DataFrame:
-    """Smoothed blocked share of each template after siblings that do not differ are pooled."""
-    whole = leaves.groupBy("host", "parent", "template").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
-    siblings = Window.partitionBy("host", "parent")
-    whole = whole.withColumns({"n_all": F.sum("n").over(siblings), "b_all": F.sum("b").over(siblings)})
-    share = F.when(F.col("n_all") > 0, F.col("b_all") / F.col("n_all")).otherwise(0.0)
+    """``host, node, purity`` of every template: its branches' pooled counts, folded from all labels down."""
+    whole = leaves.groupBy("host", "node").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
+    names = F.split(F.col("node"), "/", -1)  # begins with an empty name, the host
+    chain = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, F.lit(1), i), "/"))
+    steps = whole.select("host", F.col("node").alias("template"), "n", "b", F.posexplode(chain).alias("depth", "node"))
+
+    nodes = steps.groupBy("host", "depth", "node").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+    above = F.when(F.col("depth") > 0, F.regexp_replace("node", "/[^/]*$", "")).otherwise("")
+    siblings = Window.partitionBy("host", "depth", "above")
+    nodes = nodes.withColumn("above", above).withColumns({"n_all": F.sum("n").over(siblings), "b_all": F.sum("b").over(siblings)})
+    share = F.col("b_all") / F.nullif("n_all", F.lit(0))
     off = F.col("b") - F.col("n") * share
-    same = off * off <= SIMILAR * F.col("n") * share * (1 - share)
-    branch = F.when(same, F.lit(None).cast("string")).otherwise(F.col("template"))
-    pooled = Window.partitionBy("host", "parent", "branch")
-    whole = whole.withColumn("branch", branch).withColumns({"n_branch": F.sum("n").over(pooled), "b_branch": F.sum("b").over(pooled)})
-    above = (F.col("b_all") + weight * prior) / (F.col("n_all") + weight)
-    whole = whole.withColumn("purity", (F.col("b_branch") + weight * above) / (F.col("n_branch") + weight))
-    return leaves.select("host", "shape", "parent", "template").join(
-        whole.select("host", "parent", "template", "purity"), ["host", "parent", "template"]
-    ).select("host", "shape", "template", "purity")
+    same = (F.col("n") > 0) & (off * off <= SIMILAR * F.col("n") * share * (1 - share))
+    nodes = nodes.withColumn("same", F.coalesce(same, F.lit(False)))
+    pooled = {c: F.when(F.col("same"), F.sum(F.when(F.col("same"), F.col(c))).over(siblings)).otherwise(F.col(c)) for c in ("n", "b")}
+    branches = nodes.select("host", "depth", "node", pooled["n"].alias("n"), pooled["b"].alias("b"))
+
+    met = steps.select("host", "depth", "node", "template").join(branches, ["host", "depth", "node"])
+    lines = met.groupBy("host", "template").agg(F.sort_array(F.collect_list(F.struct("depth", "n", "b"))).alias("line"))
+    total = whole.agg(F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).alias("total"))
+    # From all labels down to the template, each label counts once: at the last branch of the line that holds it.
+    levels = F.concat(F.array("total"), F.transform("line", lambda x: F.struct(x["n"].alias("n"), x["b"].alias("b"))))
+    lines = lines.withColumn("total", total.scalar()).withColumn("levels", levels)
+
+    def own(level: Column, at: Column) -> Column:
+        below = F.get("levels", at + 1)
+        return F.struct(*[(level[c] - F.coalesce(below[c], F.lit(0))).alias(c) for c in ("n", "b")])
+
+    smooth = F.aggregate(F.transform("levels", own), F.lit(float(prior)), lambda p, x: (x["b"] + F.lit(weight) * p) / (x["n"] + F.lit(weight)))
+    return lines.select("host", F.col("template").alias("node"), smooth.alias("purity"))

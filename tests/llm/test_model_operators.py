@@ -282,3 +282,42 @@ def test_templates_learn_from_labelled_siblings(spark):
     assert found["/bad/15"] == (None, "block", "bad/*") and found["/good/15"] == (None, "allow", "good/*")
     many = spark.createDataFrame([(i, f"http://h/u/name{chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(100)], "page_id long, url string")
     assert {r.template for r in url_filter.judge(many).collect()} == {"u/*"}
+
+
+def test_shares_flow_from_grandparents_and_the_host(spark):
+    """Nothing below /bad/y is labelled, nor on the host `new`: each takes what is known above it."""
+    rules = [("h", f"/bad/x{i}/", "block") for i in range(8)] + [("h", f"/good/x{i}/", "allow") for i in range(9)]
+    urls = [f"http://h/{kind}/x{i}/p" for kind in ("bad", "good") for i in range(8)]
+    urls += ["http://h/good/x8/p", "http://h/bad/y/z/p", "http://h/good/y/z/p", "http://h/other", "http://new/bad/y"]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {(r.host, r.path): (r.verdict, r.purity) for r in url_filter.judge(table, rules).collect()}
+    everything = (8 + 4 * 0.2) / (17 + 4)
+    above_bad, above_good = 4 * 0.2 / (9 + 4), (8 + 4 * 0.2) / (8 + 4)  # the host without the branch itself
+    assert found["h", "/bad/y/z/p"] == ("block", pytest.approx((8 + 4 * above_bad) / (8 + 4)))
+    assert found["h", "/good/y/z/p"] == ("allow", pytest.approx(4 * above_good / (9 + 4)))
+    assert found["h", "/other"] == found["new", "/bad/y"] == ("allow", pytest.approx(everything))
+
+
+def test_similar_inner_branches_are_pooled(spark):
+    """Branches a and b differ little and share their counts; c differs and stays alone."""
+    says = {"a": "bbbbaaaa", "b": "bbbaaaaa", "c": "aaaaaaaaaaaaaaaaaaaaaaaa"}
+    rules = [("h", f"/{k}/x{i}/", "block" if v == "b" else "allow") for k, marks in says.items() for i, v in enumerate(marks)]
+    urls = [f"http://h{path}p" for _, path, _ in rules] + [f"http://h/{k}/y" for k in says]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.path: r.purity for r in url_filter.judge(table, rules, max_children=3).collect() if r.path.endswith("y")}
+    share = {k: v.count("b") / len(v) for k, v in says.items()}
+    n, b = 40, 7
+    alike = {k for k, v in says.items() if (share[k] - b / n) ** 2 * len(v) <= 3.84 * b / n * (1 - b / n)}
+    assert alike == {"b"}  # a is above the mean by more than chance, c below it
+    assert found["/a/y"] > found["/b/y"] > found["/c/y"]
+    even = [("h", f"/{k}/x{i}/", "block" if i < n else "allow") for k, n in (("a", 4), ("b", 3)) for i in range(8)]
+    table = spark.createDataFrame(list(enumerate(f"http://h{path}p" for _, path, _ in even)) + [(99, "http://h/b/y/q")], "page_id long, url string")
+    found = {r.path: r.purity for r in url_filter.judge(table, even).collect()}
+    assert found["/b/y/q"] == pytest.approx((7 + 4 * 0.2) / (16 + 4))
+
+
+def test_variable_segments_below_variable_ones(spark):
+    """Thousands of users with a few posts each are one template, as levels are generalised from the host down."""
+    urls = [f"http://h/user{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}/post{j}{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}" for i in range(100) for j in "xy"]
+    table = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert {r.template for r in url_filter.judge(table).collect()} == {"*/*"}
