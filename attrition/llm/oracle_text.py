@@ -122,8 +122,7 @@ WITH RECURSIVE parts AS (
   SELECT host, depth, above, node, CASE WHEN same THEN n_pool ELSE n END AS n, CASE WHEN same THEN b_pool ELSE b END AS b
   FROM tested LEFT JOIN pools USING (host, depth, above)
 ), judged AS (
-  SELECT host, 0 AS depth, node, n, b, (t.b_sum - b + 0.8::DOUBLE) / (t.n_sum - n + 4.0::DOUBLE) AS outside
-  FROM nodes, (SELECT sum(n) AS n_sum, sum(b) AS b_sum FROM leaves) t WHERE depth = 0
+  SELECT host, 0 AS depth, node, n, b, 0.2::DOUBLE AS outside FROM nodes WHERE depth = 0
   UNION ALL
   SELECT c.host, c.depth, c.node, c.n, c.b, (judged.b - c.b + 4.0::DOUBLE * outside) / (judged.n - c.n + 4.0::DOUBLE)
   FROM judged JOIN branches c ON c.host = judged.host AND c.depth = judged.depth + 1 AND c.above = judged.node

@@ -71,9 +71,10 @@ def judge(
     A null url, or one without ``://``, has empty host and path, fits no rule and is
     judged as the template of the empty path. Rows that repeat a page stay as they are.
     ``purity`` is the blocked share of the template's branch, smoothed by ``weight`` rows
-    of the smoothed share of the rest of the branch above, and so on up to the host and to all
-    labels, which are smoothed towards ``prior``; each label counts at one level. A branch
-    without labels has the share of the one above it. Segments below ``max_depth`` are one
+    of the smoothed share of the rest of the branch above, and so on up to the host, which is
+    smoothed towards ``prior``; each label counts at one level. A branch without labels has
+    the share of the one above it, and a host without labels the prior: the share of all
+    labels says which urls the rules are about, not how other hosts are. Segments below ``max_depth`` are one
     ``**``, so the rounds over the levels are bounded. An empty table gives no rows.
     """
     rules = RULES if rules is None else rules
@@ -125,7 +126,7 @@ def generalise(counts: DataFrame, max_children: int) -> DataFrame:
 
 
 def purity(leaves: DataFrame, weight: float, prior: float) -> DataFrame:
-    """``host, node, purity`` of every template: its branches' pooled counts, folded from all labels down."""
+    """``host, node, purity`` of every template: its branches' pooled counts, folded from the host down."""
     whole = leaves.groupBy("host", "node").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
     names = F.split(F.col("node"), "/", -1)  # begins with an empty name, the host
     chain = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, F.lit(1), i), "/"))
@@ -144,14 +145,11 @@ def purity(leaves: DataFrame, weight: float, prior: float) -> DataFrame:
 
     met = steps.select("host", "depth", "node", "template").join(branches, ["host", "depth", "node"])
     lines = met.groupBy("host", "template").agg(F.sort_array(F.collect_list(F.struct("depth", "n", "b"))).alias("line"))
-    total = whole.agg(F.struct(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).alias("total"))
-    # From all labels down to the template, each label counts once: at the last branch of the line that holds it.
-    levels = F.concat(F.array("total"), F.transform("line", lambda x: F.struct(x["n"].alias("n"), x["b"].alias("b"))))
-    lines = lines.withColumn("total", total.scalar()).withColumn("levels", levels)
+    # From the host down to the template, each label counts once: at the last branch of the line that holds it.
 
     def own(level: Column, at: Column) -> Column:
-        below = F.get("levels", at + 1)
+        below = F.get("line", at + 1)
         return F.struct(*[(level[c] - F.coalesce(below[c], F.lit(0))).alias(c) for c in ("n", "b")])
 
-    smooth = F.aggregate(F.transform("levels", own), F.lit(float(prior)), lambda p, x: (x["b"] + F.lit(weight) * p) / (x["n"] + F.lit(weight)))
+    smooth = F.aggregate(F.transform("line", own), F.lit(float(prior)), lambda p, x: (x["b"] + F.lit(weight) * p) / (x["n"] + F.lit(weight)))
     return lines.select("host", F.col("template").alias("node"), smooth.alias("purity"))
