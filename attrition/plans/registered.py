@@ -15,6 +15,7 @@ from attrition.operators.domains import literal_table
 from attrition.operators.keys import with_key
 from attrition.plans import charts, kpis, questions, visuals
 from attrition.plans.measures import FOLDERS, MEASURES, RETENTION, evaluate
+from attrition.plans.reload import PART, StateStore
 from attrition.plans.warehouse import LAYERS, Warehouse, open_warehouse
 from attrition.session import clear_scratch, kept, scratch  # noqa: F401
 from attrition.sources import feed as feeds
@@ -189,6 +190,16 @@ def facts_reload(w: Warehouse) -> DataFrame:
     return fresh["model"].select("ChurnKey", "CustomerKey", *_RELOADED)
 
 
+def changed_reload(w: Warehouse) -> DataFrame:
+    """All states loaded, then again after one state's scores changed and another state went: only the first is rebuilt."""
+    store = StateStore(w.spark, scratch(w.spark, "states"))
+    store.load(w["bronze"])
+    score = F.when(F.trim("state") == "NATION_1", F.expr("CAST(100 - CAST(churn_score AS INT) AS STRING)"))
+    rows = w["bronze"].filter("coalesce(trim(state), '') <> 'NATION_2'")
+    parts = store.load(rows.withColumn("churn_score", F.coalesce(score, "churn_score")))
+    return store["model"].select("ChurnKey", "CustomerKey", *_RELOADED, F.col(PART).isin(parts).alias("reloaded"))
+
+
 # Derived columns.
 
 
@@ -481,6 +492,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "g6_fact_customer_service": lambda w: gold.build_fact_customer_service(w["keyed"], w["dim_service"]),
     "g7_fact_churn": lambda w: gold.build_fact_churn(w["keyed"], w["dim_contract"]),
     "g8_full_reload": full_reload,
+    "g8_changed_reload": changed_reload,
     "g9_facts_reload": facts_reload,
     "v1_layer_counts": lambda w: checks.layer_counts(tables(w, COUNTED_LAYERS)),
     "v2_wide_counts": lambda w: checks.wide_counts(tables(w, STAR)),

@@ -143,7 +143,7 @@ def _fingerprint(spark: SparkSession, sf_dir: str, refresh: bool) -> str:
     return _SEEN[place]
 
 
-def _code_mark() -> str:
+def code_mark() -> str:
     """Changes with the code that builds the layers, so that no session takes over an older code's."""
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     digest = hashlib.md5()
@@ -163,5 +163,5 @@ def open_warehouse(spark: SparkSession, sf_dir: str, refresh: bool = False) -> W
     key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir, refresh))
     if key not in _OPEN:
         name = hashlib.md5(repr(key[1:]).encode()).hexdigest()[:12]
-        _OPEN[key] = Warehouse(spark, sf_dir, f"{shared_dir(spark)}/attrition/{_code_mark()}-{name}")
+        _OPEN[key] = Warehouse(spark, sf_dir, f"{shared_dir(spark)}/attrition/{code_mark()}-{name}")
     return _OPEN[key]

@@ -172,6 +172,8 @@ TEXTS = {
  CAST(ChurnScore AS BIGINT) AS ChurnScore, CAST(CLTV AS BIGINT) AS CLTV, CAST(ChurnValue AS BIGINT) AS ChurnValue,
  ChurnLabel, ChurnReason FROM fact_churn""",
     "g8_full_reload": RELOADED,
+    "g8_changed_reload": f"""SELECT * REPLACE (CASE WHEN reloaded THEN 100 - ChurnScore ELSE ChurnScore END AS ChurnScore)
+ FROM ({RELOADED.replace("SELECT", "SELECT State = 'NATION_1' AS reloaded,", 1)} WHERE State <> 'NATION_2')""",
     "g9_facts_reload": RELOADED,
     "v1_layer_counts": counts(["bronze", "silver", *STAR]),
     "v2_wide_counts": "SELECT " + ", ".join(f"(SELECT count(*) FROM {name}) AS {name}_rows" for name in STAR),
