@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from attrition.llm.scratch import BLANKS, ascii_lower, store
 
-# Lines are counted in this many hash buckets to find hot ones; a bucket is hot
-# from this share of all lines on, so at most HOT_SHARE buckets are hot.
-BUCKETS, HOT_SHARE = 65536, 1024
-# Parts by document into which the lines of a hot bucket are dealt.
-PARTS = 256
+# Lines are counted in this many hash buckets to find hot ones. A bucket is hot above HOT_ROWS
+# lines and HOT_TIMES the average bucket, so at most BUCKETS / HOT_TIMES are; it is dealt by
+# document into as many parts as it holds that number of lines.
+BUCKETS, HOT_ROWS, HOT_TIMES = 65536, 256, 4
 
 
 def split_lines(text: Column) -> Column:
@@ -48,14 +47,15 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "lines",
     )
 
-    # Hot buckets: at most BUCKETS rows are aggregated and HOT_SHARE numbers come back.
     bucket = F.pmod("h1", F.lit(BUCKETS))
-    sizes = hashed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    hot = [r["bucket"] for r in sizes.where(F.col("n") * HOT_SHARE > total).select("bucket").collect()]
-    part = F.when(bucket.isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))).otherwise(F.lit(-1)) if hot else F.lit(-1).cast("long")
-
-    ranged = hashed.withColumn("part", part.cast("long")).repartitionByRange("h1", "h2", "part")
+    sizes = store(hashed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")), "line-sizes")
+    most = sizes.agg(F.greatest(F.lit(HOT_ROWS), F.coalesce(F.ceil(F.sum("n") * HOT_TIMES / BUCKETS), F.lit(0))))
+    hot = sizes.withColumn("most", most.scalar()).where("n > most").select("bucket", F.ceil(F.col("n") / F.col("most")).alias("parts"))
+    hot = store(hot, "line-hot")  # BUCKETS / HOT_TIMES rows at most
+    dealt = hashed.withColumn("bucket", bucket).join(F.broadcast(hot), "bucket", "left").drop("bucket")
+    part = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("parts")), F.lit(-1))
+
+    ranged = dealt.withColumn("part", part.cast("long")).drop("parts").repartitionByRange("h1", "h2", "part")
     stream = Window.partitionBy("h1", "h2", "part").orderBy("doc_id", "pos")
     first = ranged.withColumn("first_doc", F.first("doc_id").over(stream))
     later = ~F.col("doc_id").eqNullSafe(F.col("first_doc"))

@@ -42,6 +42,17 @@ def test_line_dedup_hot_line(spark):
     assert found == plain.line_dedup(rows)
 
 
+@pytest.mark.parametrize("rows", [2, 50, 10**9])
+def test_line_dedup_parts_change_nothing(spark, monkeypatch, rows):
+    """Every bucket hot, some, or none: the same lines go."""
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", rows)
+    monkeypatch.setattr(line_dedup, "HOT_TIMES", 1)
+    docs = [(i, "\n".join(["the hottest line of all", f"a line of few {i % 7}", f"an own line {i}"])) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df)).collect()}
+    assert found == plain.line_dedup(docs)
+
+
 @pytest.mark.parametrize("radius", [2, 3])
 def test_simhash(spark, odd, radius):
     rows = distinct(plain.odd_documents())
