@@ -74,15 +74,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, log priors and log probabilities from all rows with id, text and language that are not held out."""
+    """Languages, log priors and log probabilities from all rows with id, text and language that are not held out.
+
+    More than MAX_LANGUAGES are refused with a ValueError before anything is counted, so what
+    comes to the driver is bounded by the matrix.
+    """
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
+    languages = known.agg(F.count_distinct("lang")).first()[0]
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"{languages} languages; the model is meant for {MAX_LANGUAGES} at most")
     text_rows(docs.sparkSession)
     counted = known.select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long")
     summed = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     table = summed.toArrow()  # at most one row for each cell of the matrix
     langs = sorted(set(table["lang"].to_pylist()))
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the model is meant for {MAX_LANGUAGES} at most")
     cells = np.zeros((len(langs), (1 << BITS) + 1))
     place = {lang: i for i, lang in enumerate(langs)}
     rows = np.array([place[x] for x in table["lang"].to_pylist()], np.int64)

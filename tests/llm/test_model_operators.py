@@ -36,6 +36,15 @@ def test_language_without_letters_or_learning(spark, odd):
     assert language_id.identify(odd.limit(0)).count() == 0
 
 
+def test_too_many_languages_are_refused_before_anything_is_gathered(spark, monkeypatch):
+    """Documents 2 to 9 are learned from but for those held out; two languages are one too many."""
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 1)
+    monkeypatch.setattr(language_id, "_count", None)
+    docs = spark.createDataFrame([(i, f"text {i}", "ab"[i % 2]) for i in range(2, 10)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="2 languages"):
+        language_id.train(docs)
+
+
 def test_language_scores_do_not_depend_on_pieces(monkeypatch):
     logs = np.log(np.random.default_rng(1).dirichlet(np.ones(1 << language_id.BITS), 3)).astype(np.float32)
     texts = ["ab cd " * 300, "x", "Zürich"]
