@@ -16,8 +16,7 @@ def renamed(silver: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def build_dim_customer(silver: DataFrame) -> DataFrame:
-    rows = renamed(silver, schemas.CUSTOMER_ATTRIBUTES).distinct()
-    return with_key(rows, "CustomerKey", distinct=True)
+    return with_key(renamed(silver, schemas.CUSTOMER_ATTRIBUTES), "CustomerKey", once=True)
 
 
 def build_dim_contract(silver: DataFrame) -> DataFrame:

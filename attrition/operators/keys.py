@@ -27,6 +27,7 @@ def with_key(
     columns: list[str] | None = None,
     *,
     distinct: bool = False,
+    once: bool = False,
     digits: int = 4,
     after: int | Column = 0,
     key_type: str = "bigint",
@@ -37,10 +38,19 @@ def with_key(
     a count (map-side), cut into runs of ``COPIES_PER_ROW`` that hash to buckets of
     their own, and only expanded once their key range is known, so a row that
     repeats many times never lands in one task.
+
+    With ``once`` copies of a row count as one. They meet in their bucket, so the rows are
+    shuffled a single time, and dealt, collapsed and numbered from there.
     """
     columns = columns or df.columns
     kept = [f"`{c}`" for c in df.columns]
-    if distinct:
+    # The content text decides the bucket and is dropped: only the columns themselves are shuffled and sorted.
+    key = content_key(columns)
+    if once:
+        bucket = f"substring(md5({key}), 1, {digits}) AS _bucket"
+        rows = df.selectExpr(*kept, bucket).repartition("_bucket").distinct().selectExpr("*", "1L AS _n", "0L AS _run")
+        distinct = True
+    elif distinct:
         rows = df.selectExpr("*", "1L AS _n", "0L AS _run")
     else:
         rows = (
@@ -54,14 +64,13 @@ def with_key(
             )
             .selectExpr("*", f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n")
         )
-    # The content text decides the bucket and is dropped: only the columns themselves are shuffled and sorted.
-    key = content_key(columns)
-    rows = rows.selectExpr(
-        *kept,
-        "_run",
-        "_n",
-        f"substring(md5(CASE WHEN _run = 0 THEN {key} ELSE concat({key}, '#', _run) END), 1, {digits}) AS _bucket",
-    )
+    if not once:
+        rows = rows.selectExpr(
+            *kept,
+            "_run",
+            "_n",
+            f"substring(md5(CASE WHEN _run = 0 THEN {key} ELSE concat({key}, '#', _run) END), 1, {digits}) AS _bucket",
+        )
     sizes = rows.groupBy("_bucket").agg(F.expr("sum(_n) AS _size"))
     offsets = sizes.selectExpr(
         "_bucket",
