@@ -19,9 +19,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -38,6 +39,8 @@ from attrition.streaming import cells
 
 # Customers of a bucket before it is split, and the share of a bucket's rows that may be pending.
 BUCKET_ROWS, FOLD_SHARE = 1_000_000, 0.25
+# Rows that one task sorts when a bucket is rewritten.
+TASK_ROWS = 50_000
 # Batches after which their KPI rows are put into one file.
 HISTORY = 16
 KEY, GONE, BATCH = "CustomerKey", "_deleted", "_batch"
@@ -139,18 +142,25 @@ def origin(number: int, count: int) -> int:
     return number
 
 
-def _pending(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None) -> DataFrame | None:
-    """The newest pending row of each customer, of some buckets or of all."""
+def _open_changes(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None) -> DataFrame | None:
+    """Rows of the change files that their buckets have not taken in yet, of some buckets or of all."""
     if not ledger.deltas:
         return None
     rows = spark.read.parquet(*[f"{root}/delta/batch={batch}" for batch in ledger.deltas])
     marks = [(i, b.folded) for i, b in enumerate(ledger.buckets) if b.pending and (only is None or i in only)]
     folded = spark.createDataFrame(marks, "_bucket int, _folded bigint")  # at most every bucket
     placed = rows.withColumn("_bucket", F.expr(bucket_of(key, len(ledger.buckets))))
-    open_rows = placed.join(F.broadcast(folded), "_bucket").filter(f"{BATCH} > _folded").drop("_bucket", "_folded")
+    return placed.join(F.broadcast(folded), "_bucket").filter(f"{BATCH} > _folded").select(*rows.columns)
+
+
+def _pending(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None) -> DataFrame | None:
+    """The newest pending row of each customer, of some buckets or of all."""
+    open_rows = _open_changes(spark, root, ledger, key, only)
+    if open_rows is None:
+        return None
     rest = [c for c in open_rows.columns if c not in (key, BATCH)]
     newest = open_rows.groupBy(key).agg(F.max(F.struct(BATCH, *rest)).alias("_row"))
-    return newest.select(key, "_row.*").select(*rows.columns)
+    return newest.select(key, "_row.*").select(*open_rows.columns)
 
 
 def _rows(spark: SparkSession, root: str, ledger: Ledger, key: str, only: set[int] | None = None, keys: DataFrame | None = None) -> DataFrame | None:
@@ -256,13 +266,16 @@ def _moves(spark: SparkSession, root: str, ledger: Ledger, latest: DataFrame, to
     return taken.withColumns({"there": F.expr(there), "change": F.expr(change)})
 
 
-def _changed_rows(moves: DataFrame, columns: list[str], batch_id: int, highest: int) -> DataFrame:
+def _changed_rows(moves: DataFrame, batch_id: int) -> DataFrame:
+    """What the batch makes of the customers it names; new ones, which are not ``GONE``, have no key yet."""
+    return moves.select("new.*", KEY, F.col("gone").alias(GONE), F.lit(batch_id).cast("bigint").alias(BATCH))
+
+
+def _numbered(rows: DataFrame, key: str, highest: int) -> DataFrame:
     """Rows of the change file. Known customers keep their keys, new ones are numbered after ``highest``; tombstones need none."""
-    marks = [F.col("gone").alias(GONE), F.lit(batch_id).cast("bigint").alias(BATCH)]
-    known = moves.filter(f"gone OR {KEY} IS NOT NULL").select("new.*", KEY, *marks)
-    arriving = moves.filter(f"NOT gone AND {KEY} IS NULL").select("new.*")
-    numbered = with_key(arriving, KEY, distinct=True, after=highest)
-    return known.unionByName(numbered.withColumns({GONE: F.lit(False), BATCH: F.lit(batch_id).cast("bigint")}).select(*columns, KEY, GONE, BATCH))
+    arriving = rows.filter(f"NOT {GONE} AND {KEY} IS NULL").drop(KEY)
+    numbered = with_key(arriving, KEY, [key], distinct=True, after=highest)
+    return rows.filter(f"{GONE} OR {KEY} IS NOT NULL").unionByName(numbered.select(*rows.columns))
 
 
 def apply_batch(
@@ -271,7 +284,6 @@ def apply_batch(
     spark = batch.sparkSession
     versions = _versions(spark, root, before=batch_id)
     before = read_ledger(spark, root, max(versions, default=None))
-    columns = [c for c in batch.columns if c != OPERATION]
 
     def written(df: DataFrame, folder: str) -> DataFrame:
         path = f"{root}/{folder}/batch={batch_id}"
@@ -298,12 +310,12 @@ def apply_batch(
         wanted = max(len(after.buckets), math.ceil(after.customers / bucket_rows))
         folding = {i for i, b in enumerate(after.buckets) if b.pending and b.pending >= fold_share * b.rows}
         folding |= {origin(i, len(after.buckets)) for i in range(len(after.buckets), wanted)}
-        new = _changed_rows(moves, columns, batch_id, before.highest)
+        new = _changed_rows(moves, batch_id)
         if set(counts) <= folding:
             # Every bucket the batch names takes it in at once: no change file is needed.
-            top = _fold(spark, root, after, key, folding, wanted, new)
+            top = _fold(spark, root, after, key, folding, wanted, new, before.highest)
         else:
-            top = _write_changes(spark, root, before, after, new, rows, key)
+            top = _write_changes(spark, root, before, after, _numbered(new, key, before.highest), rows, key)
             _fold(spark, root, after, key, folding, wanted)
         after.highest = max(before.highest, top or 0)
 
@@ -348,23 +360,45 @@ def _write_changes(spark: SparkSession, root: str, before: Ledger, after: Ledger
 
 
 def _fold(
-    spark: SparkSession, root: str, ledger: Ledger, key: str, folding: set[int], wanted: int, new: DataFrame | None = None
+    spark: SparkSession, root: str, ledger: Ledger, key: str, folding: set[int], wanted: int, new: DataFrame | None = None, highest: int = 0
 ) -> int | None:
-    """Rewrite the buckets ``folding`` with their pending rows, and with ``new`` ones, as parts of ``wanted`` buckets."""
+    """Rewrite the buckets ``folding`` with their pending rows, and with ``new`` ones, as parts of ``wanted`` buckets.
+
+    Stored, pending and new rows are dealt once: a task sorts its part of a bucket, keeps the newest row of a customer
+    and numbers new customers, after those of the parts before it.
+    """
     if not folding:
         return None
     count = len(ledger.buckets)
-    rows = _rows(spark, root, ledger, key, folding)
-    if new is not None:
-        new = new.drop(BATCH)
-        rows = new if rows is None else rows.join(new.select(key), key, "left_anti").unionByName(new.select(*rows.columns))
+    paths = [ledger.bucket_path(root, i) for i in sorted(folding) if ledger.buckets[i].holder is not None]
+    stored = spark.read.parquet(*paths).withColumn(BATCH, F.lit(-1).cast("bigint")) if paths else None
+    layers = [rows for rows in (stored, _open_changes(spark, root, ledger, key, folding), new) if rows is not None]
+    names = layers[-1].columns
+    rows = reduce(DataFrame.unionByName, [layer.select(*names) for layer in layers])
     target = f"{root}/state/batch={ledger.version}"
-    # A task for each bucket, and several where there are fewer buckets than cores.
+    # A task for each bucket, several where there are fewer buckets than cores or where a bucket is more than a task should sort.
     parts = sum(origin(i, count) in folding for i in range(wanted))
-    tasks = max(parts, spark.sparkContext.defaultParallelism)
-    placed = rows.withColumn("bucket", F.expr(bucket_of(key, wanted)))
-    dealt = placed.repartition(tasks, "bucket", F.expr(f"pmod(hash({key}), {max(tasks // parts, 1)})"))
-    dealt.write.mode("overwrite").partitionBy("bucket").parquet(target)
+    held = sum(ledger.buckets[i].rows + ledger.buckets[i].pending for i in folding)
+    splits = max(spark.sparkContext.defaultParallelism // parts, math.ceil(held / parts / TASK_ROWS), 1)
+    place = {"bucket": F.expr(bucket_of(key, wanted)), "_part": F.expr(f"pmod(hash({key}), {splits})")}
+    dealt = rows.withColumns(place).repartition(max(parts * splits, spark.sparkContext.defaultParallelism), "bucket", "_part")
+    newest = Window.partitionBy("bucket", "_part", key).orderBy(F.desc(BATCH))
+    last = dealt.withColumn("_age", F.row_number().over(newest)).filter("_age = 1").drop("_age", BATCH)
+    if new is not None:
+        arrives = f"{KEY} IS NULL AND NOT {GONE}"
+        sizes = new.filter(arrives).withColumns(place).groupBy("bucket", "_part").agg(F.count("*").alias("_size"))
+        offsets = sizes.selectExpr(
+            "bucket",
+            "_part",
+            """coalesce(sum(_size) OVER (ORDER BY bucket, _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _offset""",
+        )
+        inside = f"(PARTITION BY bucket, _part ORDER BY {key} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        last = last.withColumn("_place", F.expr(f"count_if({arrives}) OVER {inside}"))
+        # One row a part of a bucket.
+        last = last.join(F.broadcast(offsets), ["bucket", "_part"], "left")
+        last = last.withColumn(KEY, F.expr(f"CASE WHEN {arrives} THEN {highest}L + _offset + _place ELSE {KEY} END"))
+    placed = last.select(*[c for c in names if c != BATCH], "bucket")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(target)
     sizes = spark.read.schema(placed.schema).parquet(target).groupBy("bucket").agg(F.count("*").alias("n"), F.max(KEY).alias("top")).collect()
     held = {row["bucket"]: row["n"] for row in sizes}  # those rewritten
     ledger.buckets = [

@@ -331,3 +331,15 @@ def test_batch_without_ids_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="missing_ids"):
         refresh.apply_batch(bad, 0, str(tmp_path), "customer_id", "version")
     assert refresh.current_version(spark, str(tmp_path)) is None
+
+
+def test_a_large_bucket_is_rewritten_by_many_tasks_with_dense_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(refresh, "TASK_ROWS", 20)
+    root = str(tmp_path)
+    refresh.apply_batch(customers(spark, 0, 600, 1), 0, root, "customer_id", "version")
+    assert len(files(tmp_path, "state")) > spark.sparkContext.defaultParallelism
+    first = frames.pairs(refresh.read_gold(spark, root)["dim_customer"], "CustomerID", "CustomerKey")
+    assert sorted(first.values()) == list(range(1, 601))
+    refresh.apply_batch(customers(spark, 300, 900, 2), 1, root, "customer_id", "version")
+    second = frames.pairs(refresh.read_gold(spark, root)["dim_customer"], "CustomerID", "CustomerKey")
+    assert {k: second[k] for k in first} == first and sorted(second.values()) == list(range(1, 901))
