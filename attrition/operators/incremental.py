@@ -34,10 +34,11 @@ def live(changes: DataFrame) -> DataFrame:
 def latest_versions(changes: DataFrame, key: str, sequence: str) -> DataFrame:
     """One row per key, the highest sequence; equal sequences are settled by content, and a delete comes after all of them.
 
-    A single aggregate, which keeps one row a key in each task before anything is shuffled.
+    A single aggregate. Rows are dealt by key before it, so they are sorted once and in tasks of a bounded size: a
+    sort in the scan, as a partial aggregate of whole rows needs, is as large as the files are.
     """
     rest = [c for c in changes.columns if c not in (key, sequence)]
-    ranked = changes.select(key, F.struct(sequence, deleted(changes).alias("_gone"), *rest).alias("_row"))
+    ranked = changes.select(key, F.struct(sequence, deleted(changes).alias("_gone"), *rest).alias("_row")).repartition(key)
     return ranked.groupBy(key).agg(F.max("_row").alias("_row")).select(key, "_row.*").select(*changes.columns)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from attrition.operators import checks, gold, silver
 from attrition.operators.filters import PARTITION
-from attrition.session import delete, shared_dir
+from attrition.session import bound_tasks, delete, shared_dir
 from attrition.sources import feed, landing, subscribers
 
 # Each layer, in load order, from the layers it reads.
@@ -160,6 +160,7 @@ def open_warehouse(spark: SparkSession, sf_dir: str, refresh: bool = False) -> W
 
     ``refresh`` looks at a remote store's files again; see ``_fingerprint``.
     """
+    bound_tasks(spark)
     key = (spark.sparkContext.applicationId, sf_dir, _fingerprint(spark, sf_dir, refresh))
     if key not in _OPEN:
         name = hashlib.md5(repr(key[1:]).encode()).hexdigest()[:12]

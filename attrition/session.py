@@ -48,6 +48,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+ADVISORY, DEFAULT_ADVISORY, TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864b", "16m"
+
+
+def bound_tasks(spark: SparkSession) -> None:
+    """Let a task take at most 16 MB of shuffled rows, unless the session says otherwise.
+
+    Typed rows are up to ten times as large in memory as in a shuffle file, so Spark's 64 MB make tasks
+    whose sorts go to disk as soon as a table is large enough to fill them.
+    """
+    if spark.conf.get(ADVISORY) == DEFAULT_ADVISORY:
+        spark.conf.set(ADVISORY, TASK_BYTES)
+
+
 def delete(spark: SparkSession, name: str) -> None:
     """Remove a file or folder of any store Spark can reach."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

@@ -147,3 +147,25 @@ def test_scratch_is_removed(spark, sf_dir):
     assert os.listdir(root)
     registered.clear_scratch(spark)
     assert not os.path.exists(root)
+
+
+def test_customers_are_shuffled_once(spark, sf_dir):
+    from attrition.operators import gold
+
+    plan = plan_of(gold.build_dim_customer(open_warehouse(spark, sf_dir)["silver"]))
+    assert "hashpartitioning(_bucket" in plan and "hashpartitioning(CustomerID" not in plan
+
+
+def test_latest_versions_sort_rows_once_after_the_shuffle(spark, sf_dir):
+    changes = registered.batch(open_warehouse(spark, sf_dir))
+    assert plan_of(incremental.latest_versions(changes, "customer_id", "version")).count("Sort [") == 1
+
+
+def test_tasks_take_bounded_shares_unless_told_otherwise(spark, sf_dir):
+    spark.conf.unset(session.ADVISORY)
+    open_warehouse(spark, sf_dir)
+    assert spark.conf.get(session.ADVISORY) == session.TASK_BYTES
+    spark.conf.set(session.ADVISORY, "8m")
+    open_warehouse(spark, sf_dir)
+    assert spark.conf.get(session.ADVISORY) == "8m"
+    spark.conf.unset(session.ADVISORY)
