@@ -17,7 +17,11 @@ def is_text(text: str, value: str) -> str:
 
 
 def yes_no(text: str) -> str:
-    return f"CASE WHEN {is_text(text, 'Yes')} THEN true WHEN {is_text(text, 'No')} THEN false END"
+    """The usual spellings are told by their bytes; only others are folded."""
+    return (
+        f"CASE WHEN {text} = 'Yes' THEN true WHEN {text} = 'No' THEN false "
+        f"WHEN {is_text(text, 'Yes')} THEN true WHEN {is_text(text, 'No')} THEN false END"
+    )
 
 
 def safe_int(text: str, kind: str) -> str:

@@ -39,6 +39,12 @@ def key_subscribers(silver: DataFrame, dim_customer: DataFrame) -> DataFrame:
     return silver.join(keys, "customer_id")
 
 
+def fact_columns(silver: DataFrame) -> DataFrame:
+    """The typed columns that facts and bridge are made of; what describes a customer is in the dimension."""
+    services = [column for *_, column in schemas.SERVICES]
+    return silver.select("customer_id", *services, *schemas.CONTRACT_ATTRIBUTES.values(), *schemas.FACT_ATTRIBUTES.values())
+
+
 def unpivot_services(keyed: DataFrame, *keep: str) -> DataFrame:
     """One row per held service, in a single pass over the nine columns."""
     held = ", ".join(f"CASE WHEN {hit} THEN {quote(name)} END" for name, hit in derive.subscribed().items())

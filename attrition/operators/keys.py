@@ -46,15 +46,18 @@ def with_key(
     kept = [f"`{c}`" for c in df.columns]
     # The content text decides the bucket and is dropped: only the columns themselves are shuffled and sorted.
     key = content_key(columns)
+    first = f"substring(md5({key}), 1, {digits})"
     if once:
-        bucket = f"substring(md5({key}), 1, {digits}) AS _bucket"
-        rows = df.selectExpr(*kept, bucket).repartition("_bucket").distinct().selectExpr("*", "1L AS _n", "0L AS _run")
+        rows = df.selectExpr(*kept, f"{first} AS _bucket").repartition("_bucket").distinct().selectExpr("*", "1L AS _n", "0L AS _run")
         distinct = True
     elif distinct:
-        rows = df.selectExpr("*", "1L AS _n", "0L AS _run")
+        rows = df.selectExpr(*kept, "0L AS _run", "1L AS _n", f"{first} AS _bucket")
     else:
+        # A row's own bucket is worked out before its copies are collapsed, so that neither the sizes
+        # nor the numbering hash the content again; only further runs do.
         rows = (
-            df.groupBy(*kept)
+            df.selectExpr(*kept, f"{first} AS _first")
+            .groupBy(*kept, "_first")
             .agg(F.expr("count(1) AS _copies"))
             # Runs are listed in two steps, so that no array grows with the copies of a row.
             .selectExpr("*", f"(_copies - 1) div {COPIES_PER_ROW} AS _runs")
@@ -62,14 +65,12 @@ def with_key(
             .selectExpr(
                 "*", f"explode(sequence(_lot * {COPIES_PER_ROW}, least((_lot + 1) * {COPIES_PER_ROW} - 1, _runs))) AS _run"
             )
-            .selectExpr("*", f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n")
-        )
-    if not once:
-        rows = rows.selectExpr(
-            *kept,
-            "_run",
-            "_n",
-            f"substring(md5(CASE WHEN _run = 0 THEN {key} ELSE concat({key}, '#', _run) END), 1, {digits}) AS _bucket",
+            .selectExpr(
+                *kept,
+                "_run",
+                f"least({COPIES_PER_ROW}L, _copies - _run * {COPIES_PER_ROW}) AS _n",
+                f"CASE WHEN _run = 0 THEN _first ELSE substring(md5(concat({key}, '#', _run)), 1, {digits}) END AS _bucket",
+            )
         )
     sizes = rows.groupBy("_bucket").agg(F.expr("sum(_n) AS _size"))
     offsets = sizes.selectExpr(

@@ -25,7 +25,7 @@ _BUILDERS = {
     "dim_customer": lambda w: gold.build_dim_customer(w["silver"]),
     "dim_contract": lambda w: gold.build_dim_contract(w["silver"]),
     "dim_service": lambda w: gold.build_dim_service(w.spark),
-    "keyed": lambda w: gold.key_subscribers(w["silver"], w["dim_customer"]),
+    "keyed": lambda w: gold.key_subscribers(gold.fact_columns(w["silver"]), w["dim_customer"]),
     "fact_customer_service": lambda w: gold.build_fact_customer_service(w["keyed"], w["dim_service"]),
     "fact_churn": lambda w: gold.build_fact_churn(w["keyed"], w["dim_contract"]),
     "profile": lambda w: gold.build_customer_profile(w["dim_customer"], w["fact_customer_service"]),

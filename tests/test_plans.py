@@ -5,8 +5,9 @@ import re
 import pyarrow.parquet as pq
 import pytest
 
-from attrition import session
+from attrition import schemas, session
 from attrition.operators import checks, incremental
+from attrition.operators.keys import with_key
 from attrition.plans import registered
 from attrition.plans.warehouse import Warehouse, open_warehouse
 
@@ -85,6 +86,20 @@ def test_key_checks_shuffle_no_rows(spark, sf_dir):
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_bitmap_construct_agg" in plan
 
 
+def test_keyed_rows_carry_no_column_of_the_dimension(spark, sf_dir):
+    keyed = open_warehouse(spark, sf_dir)["keyed"].columns
+    assert not set(keyed) & (set(schemas.CUSTOMER_ATTRIBUTES.values()) - {"customer_id"})
+    assert len(keyed) == len(set(keyed)) == 2 + len(schemas.SERVICES) + len(schemas.CONTRACT_ATTRIBUTES) + len(schemas.FACT_ATTRIBUTES)
+
+
+def test_content_is_hashed_once_a_row_unless_its_copies_make_further_runs(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "x string, y int").write.parquet(str(tmp_path / "t"))
+    plan = plan_of(with_key(spark.read.parquet(str(tmp_path / "t")), "k"))
+    hashes = re.findall(r"md5\(.*", plan)
+    assert hashes and all("_run = 0" in text for text in hashes if "_run" in text)
+    assert re.search(r"Exchange hashpartitioning\(x#\d+, y#\d+, _first#\d+", plan)
+
+
 def test_a_later_session_takes_over_stored_layers(spark, tmp_path, sf_dir):
     first = Warehouse(spark, sf_dir, str(tmp_path / "w"))
     rows = first["model"].count()
